@@ -47,6 +47,18 @@ RULE_PROPERTY = {
     "DQ15": "business_rules",
 }
 
+# Names of the output tables.
+OUTPUT_TABLES = {
+    "audit": "dq_audit_results",
+    "summary": "dq_summary",
+    "quarantine": "dq_quarantine",
+    "profiling": "dq_profile",
+    "candidates": "dq_rule_candidates",
+    "kpi": "dq_kpis",
+    "weights": "dq_dynamic_weights",
+    "pipeline_runs": "dq_pipeline_runs",
+}
+
 RULE_IDS = tuple(rule["id"] for rule in RULE_CATALOG)
 
 
@@ -77,6 +89,10 @@ class Rulebook:
         if float(self.thresholds["pass"]) <= float(self.thresholds["warning"]):
             raise ValueError("overall_thresholds: pass must lie above warning")
 
+    @property
+    def candidate_null_pct(self) -> float:
+        return float(self.config.get("profiling", {}).get("candidate_null_rate_pct", 1.0))
+
     def enabled(self, dq_id: str) -> bool:
         return bool(self.rules[dq_id].get("enabled", True))
 
@@ -96,6 +112,14 @@ class Rulebook:
     def volume_warning_pct(self) -> float:
         return float(self.framework.get("volume_default_variance_pct", 30))
 
+    def layer(self, name: str) -> str:
+        """Schema of a layer: ``bronze``, ``silver``, ``gold``, ``audit``, ``quarantine``, ``candidate``."""
+        return self.framework.get(f"{name}_schema", name)
+
+    def output(self, name: str) -> str:
+        """Table name of an output, e.g. ``summary``."""
+        return self.config.get("output_tables", {}).get(name, OUTPUT_TABLES[name])
+
     def setting(self, table: TableRef, dq_id: str) -> Any:
         """What the rule checks on ``table``: flat table property, else nested, else global."""
         name = RULE_PROPERTY[dq_id]
