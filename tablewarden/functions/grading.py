@@ -41,21 +41,17 @@ def volume_status(current: Column, previous: Column, pass_pct: float, warning_pc
     )
 
 
-def weight_of(dq_id: Column, weights: Mapping[str, float]) -> Column:
-    """Weight of a rule; NULL for rules outside ``weights`` (disabled ones)."""
-    if not weights:
-        return F.lit(None).cast("double")
-    entries = [F.lit(x) for dq, w in weights.items() for x in (dq, float(w))]
-    return F.try_element_at(F.create_map(*entries), dq_id)
+def weighted_score(weights: Mapping[str, float]) -> Column:
+    """Aggregate over ``dq_id, status``: share of the enabled weight earned by PASS.
 
-
-def weighted_score(dq_id: Column, status: Column, weights: Mapping[str, float]) -> Column:
-    """Aggregate: share of the enabled weight earned by PASS, in percent, two decimals."""
+    In percent, two decimals. ``weights`` lists the enabled rules.
+    """
     total = float(sum(weights.values()))
     if not total:
-        return F.coalesce(F.sum(F.lit(0.0)), F.lit(0.0))
-    earned = F.sum(F.when(status == "PASS", weight_of(dq_id, weights)))
-    return F.round(F.coalesce(earned, F.lit(0.0)) / total * 100, 2)
+        return F.max(F.lit(0.0))
+    weight = " ".join(f"WHEN '{dq_id}' THEN {float(w)}D" for dq_id, w in weights.items())
+    earned = F.expr(f"coalesce(sum(CASE dq_id {weight} END) FILTER (WHERE status = 'PASS'), 0D)")
+    return F.round(earned / total * 100, 2)
 
 
 def overall_status(score: Column, thresholds: Mapping[str, Any]) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tablewarden.functions.grading import gate_minimum
 from tablewarden.functions.names import TableRef, safe_name
-from tablewarden.operators.rules import ROW_RULES, RowRule, build_row_rule
+from tablewarden.operators.rules import ROW_RULES, RowRule, build_row_rules
 from tablewarden.plans.rulebook import Rulebook
 from tablewarden.sources.store import Store
 
@@ -112,23 +112,20 @@ def row_rules(df: DataFrame, ref: TableRef, book: Rulebook) -> list[RowRule]:
     Defects of the whole table (absent columns) are the score's business: they do not
     send every row to quarantine.
     """
-    configured = (
-        build_row_rule(df, dq_id, book.setting(ref, dq_id))
-        for dq_id in ROW_RULES
-        if book.enabled(dq_id) and book.setting(ref, dq_id)
-    )
-    return [rule for rule in configured if rule.failing]
+    settings = {d: book.setting(ref, d) for d in ROW_RULES if book.enabled(d)}
+    rules, _ = build_row_rules(df, {d: s for d, s in settings.items() if s})
+    return [rule for rule in rules.values() if rule.failing]
 
 
 def failing_condition(rules: Sequence[RowRule]) -> Column | None:
     """True on rows that fail any rule; None without rules."""
-    conditions = [rule.any_failing for rule in rules]
+    conditions = [rule.any_failing() for rule in rules]
     return reduce(lambda a, b: a | b, conditions) if conditions else None
 
 
 def failure_reasons(rules: Sequence[RowRule]) -> Column:
     """Array of the ids of all rules a row fails."""
-    return F.array_compact(F.array(*(F.when(rule.any_failing, rule.dq_id) for rule in rules)))
+    return F.array_compact(F.array(*(F.when(rule.any_failing(), rule.dq_id) for rule in rules)))
 
 
 def quarantine_frame(

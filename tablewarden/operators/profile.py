@@ -18,21 +18,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewarden.functions.grading import percentage
-from tablewarden.functions.names import TableRef, col
+from tablewarden.functions.names import TableRef, quote
 
 INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 FRACTIONAL = (T.FloatType, T.DoubleType)
 
 
-def _groupable(name: str, data_type: T.DataType) -> tuple[str, Column]:
-    """Type family and value: equal values stay equal, unequal ones unequal."""
+def _groupable(name: str, data_type: T.DataType) -> tuple[str, str]:
+    """Type family and value, in SQL: equal values stay equal, unequal ones unequal."""
     if isinstance(data_type, INTEGRAL):
-        return "bigint", col(name).cast("bigint")
+        return "bigint", f"CAST({quote(name)} AS BIGINT)"
     if isinstance(data_type, FRACTIONAL):
-        return "double", col(name).cast("double")
+        return "double", f"CAST({quote(name)} AS DOUBLE)"
     if isinstance(data_type, T.VariantType) or _has_map(data_type):
-        return "string", F.to_json(col(name))
-    return data_type.simpleString(), col(name)
+        return "string", f"to_json({quote(name)})"
+    return data_type.simpleString(), quote(name)
 
 
 def _has_map(data_type: T.DataType) -> bool:
@@ -45,15 +45,15 @@ def _has_map(data_type: T.DataType) -> bool:
 
 def value_counts(df: DataFrame, columns: Sequence[str] | None = None) -> list[DataFrame]:
     """``(column_index, value, n)`` per type family; the index is the position in ``df``."""
-    families: dict[str, list[tuple[int, Column]]] = {}
+    families: dict[str, list[tuple[int, str]]] = {}
     for i, f in enumerate(df.schema.fields):
         if columns is None or f.name in columns:
             family, value = _groupable(f.name, f.dataType)
             families.setdefault(family, []).append((i, value))
     frames = []
     for members in families.values():
-        pairs = [x for i, value in members for x in (F.lit(i), value)]
-        stacked = df.select(F.stack(F.lit(len(members)), *pairs).alias("column_index", "value"))
+        pairs = ", ".join(f"{i}, {value}" for i, value in members)
+        stacked = df.selectExpr(f"stack({len(members)}, {pairs}) AS (column_index, value)")
         frames.append(stacked.groupBy("column_index", "value").agg(F.count(F.lit(1)).alias("n")))
     return frames
 

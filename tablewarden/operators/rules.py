@@ -10,11 +10,10 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable, Collection, Mapping, Sequence
-from dataclasses import dataclass, replace
-from itertools import zip_longest
+from dataclasses import dataclass
+from functools import reduce
 from typing import Any
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,124 +22,84 @@ from tablewarden.functions.names import col, resolve
 
 log = logging.getLogger(__name__)
 
-Builder = Callable[[DataFrame, Any], "RowRule"]
+Schema = Mapping[str, T.DataType]  # column name -> type
+Builder = Callable[[Schema, Any], "RowRule"]
+
+SQL_RULES = ("DQ02", "DQ05", "DQ08", "DQ15")
 
 
 @dataclass(frozen=True)
 class RowRule:
     """What one rule checks on one table.
 
-    ``absent`` counts configured columns the table lacks: each fails every row.
-    ``blocked`` means the rule cannot look at rows at all: the whole table fails.
-    ``cells`` is the number of values checked per row (more than 1 only for DQ11).
+    ``failing`` maps the name of each check to its predicate. ``absent`` counts
+    configured columns the table lacks: each fails every row. ``blocked`` means the rule
+    cannot look at rows at all: the whole table fails. ``cells`` is the number of values
+    checked per row (more than 1 only for DQ11).
     """
 
     dq_id: str
-    failing: tuple[Column, ...] = ()
+    failing: Mapping[str, Column]
     absent: int = 0
     blocked: bool = False
     cells: int = 1
-    labels: tuple[str, ...] = ()
 
-    @property
-    def any_failing(self) -> Column | None:
-        """One predicate for the row: true where any check of this rule fails."""
-        whole = None
-        for predicate in self.failing:
-            hit = F.coalesce(predicate, F.lit(False))
-            whole = hit if whole is None else whole | hit
-        return whole
+    def any_failing(self) -> Column:
+        """True where any check of this rule fails, never NULL."""
+        hits = [F.coalesce(predicate, F.lit(False)) for predicate in self.failing.values()]
+        return reduce(lambda a, b: a | b, hits)
 
     def without(self, skipped: Collection[str]) -> RowRule:
-        """Leave out checks named ``<rule>.<label>``."""
-        kept = [
-            (p, name)
-            for p, name in zip_longest(self.failing, self.labels)
-            if f"{self.dq_id}.{name}" not in skipped
-        ]
-        return replace(self, failing=tuple(p for p, _ in kept), labels=tuple(n for _, n in kept))
-
-    @property
-    def failures(self) -> Column:
-        """Number of failed checks on a row (a predicate that is NULL does not fail)."""
-        total = F.lit(0)
-        for predicate in self.failing:
-            total = total + F.when(predicate, 1).otherwise(0)
-        return total
-
-
-def completeness(df: DataFrame, columns: Sequence[str]) -> RowRule:
-    found = [resolve(df.columns, c) for c in columns]
-    if None in found:
-        return RowRule("DQ01", blocked=True)
-    any_null = None
-    for name in found:
-        any_null = col(name).isNull() if any_null is None else any_null | col(name).isNull()
-    return RowRule("DQ01", (any_null,))
+        """Leave out checks named ``<rule>.<check>``."""
+        kept = {n: p for n, p in self.failing.items() if f"{self.dq_id}.{n}" not in skipped}
+        return RowRule(self.dq_id, kept, self.absent, self.blocked, self.cells)
 
 
-def sql_expressions(dq_id: str) -> Builder:
-    """DQ02, DQ05, DQ08, DQ15: a row fails where the SQL condition is false or NULL.
+def completeness(schema: Schema, columns: Sequence[str]) -> RowRule:
+    found = [resolve(schema, c) for c in columns]
+    if None in found:
+        return RowRule("DQ01", {}, blocked=True)
+    return RowRule("DQ01", {"any": reduce(lambda a, b: a | b, (col(c).isNull() for c in found))})
 
-    A condition that Spark cannot analyse, or that is not boolean, is skipped.
-    """
 
-    def build(df: DataFrame, expressions: Mapping[str, str]) -> RowRule:
-        kept = {}
-        for name, text in expressions.items():
-            failing = ~F.coalesce(F.expr(text).cast("boolean"), F.lit(False))
-            problem = _condition_problem(df, text, failing)
-            if problem:
-                log.warning("%s condition %r skipped: %s", dq_id, name, problem)
-            else:
-                kept[name] = failing
-        return RowRule(dq_id, tuple(kept.values()), labels=tuple(kept))
+def sql_conditions(dq_id: str) -> Builder:
+    """DQ02, DQ05, DQ08, DQ15: a row fails where the SQL condition is false or NULL."""
 
-    return build
+    def build(schema: Schema, conditions: Mapping[str, str]) -> RowRule:
+        return RowRule(
+            dq_id,
+            {str(n): ~F.coalesce(F.expr(text).cast("boolean"), F.lit(False)) for n, text in conditions.items()},
+        )
 
-
-def _condition_problem(df: DataFrame, text: str, failing: Column) -> str | None:
-    try:
-        df.filter(failing)  # also rejects aggregates and window functions
-        data_type = df.select(F.expr(text)).schema[0].dataType
-    except Exception as error:  # parse errors surface as several types
-        return str(error).splitlines()[0]
-    if not isinstance(data_type, (T.BooleanType, T.NullType)):
-        return f"type {data_type.simpleString()} is not boolean"
-    return None
+    return build
 
 
-def per_column(dq_id: str, failing_where: Callable[[DataFrame, str, Any], Column | None]) -> Builder:
+def per_column(dq_id: str, failing_where: Callable[[Column, T.DataType, Any], Column | None]) -> Builder:
     """Rules of the form {column: requirement}; an absent column fails every row."""
 
-    def build(df: DataFrame, requirements: Mapping[str, Any]) -> RowRule:
-        failing, labels, absent = [], [], 0
+    def build(schema: Schema, requirements: Mapping[str, Any]) -> RowRule:
+        failing, absent = {}, 0
         for name, requirement in requirements.items():
-            column = resolve(df.columns, name)
+            column = resolve(schema, name)
             if column is None:
                 absent += 1
                 continue
-            predicate = failing_where(df, column, requirement)
+            predicate = failing_where(col(column), schema[column], requirement)
             if predicate is not None:
-                failing.append(col(column).isNotNull() & predicate)
-                labels.append(column)
-        return RowRule(dq_id, tuple(failing), absent=absent, labels=tuple(labels))
+                failing[name] = col(column).isNotNull() & predicate
+        return RowRule(dq_id, failing, absent)
 
     return build
 
 
-def _not_allowed(df: DataFrame, column: str, values: Any) -> Column:
-    values = list(values) if isinstance(values, (list, tuple, set)) else [values]
-    texts = [isinstance(v, str) for v in values if v is not None]
-    is_text = isinstance(df.schema[column].dataType, T.StringType)
-    if any(texts) != is_text and not all(v is None for v in values) and not _booleans(values):
-        # mixed text and non-text compare as text, so that ANSI mode cannot raise
-        return ~col(column).cast("string").isin([None if v is None else str(v) for v in values])
-    return ~col(column).isin(values)
-
-
-def _booleans(values: Sequence[Any]) -> bool:
-    return any(isinstance(v, bool) for v in values)
+def _not_allowed(value: Column, data_type: T.DataType, allowed: Any) -> Column:
+    values = list(allowed) if isinstance(allowed, (list, tuple, set)) else [allowed]
+    known = [v for v in values if v is not None]
+    mixed = any(isinstance(v, str) for v in known) != isinstance(data_type, T.StringType)
+    if known and mixed and not any(isinstance(v, bool) for v in known):
+        # text and other types compare as text, so that ANSI mode cannot raise
+        return ~value.cast("string").isin([None if v is None else str(v) for v in values])
+    return ~value.isin(values)
 
 
 def _beyond(value: Column, limits: Mapping[str, Any], number: Callable[[Any], Any]) -> Column | None:
@@ -149,70 +108,108 @@ def _beyond(value: Column, limits: Mapping[str, Any], number: Callable[[Any], An
         bounds.append(value < number(limits["min"]))
     if "max" in limits:
         bounds.append(value > number(limits["max"]))
-    return None if not bounds else bounds[0] if len(bounds) == 1 else bounds[0] | bounds[1]
+    return reduce(lambda a, b: a | b, bounds) if bounds else None
 
 
-def _out_of_range(df: DataFrame, column: str, limits: Mapping[str, Any]) -> Column | None:
-    value = col(column)
-    if isinstance(df.schema[column].dataType, T.StringType):
-        value = value.try_cast("double")  # text that is no number is not out of range
-    return _beyond(value, limits, float)
+def _out_of_range(value: Column, data_type: T.DataType, limits: Mapping[str, Any]) -> Column | None:
+    # text that is no number is not out of range
+    number = value.try_cast("double") if isinstance(data_type, T.StringType) else value
+    return _beyond(number, limits, float)
 
 
-def _bad_length(df: DataFrame, column: str, limits: Mapping[str, Any]) -> Column | None:
-    return _beyond(F.length(col(column)), limits, int)
+def _bad_length(value: Column, data_type: T.DataType, limits: Mapping[str, Any]) -> Column | None:
+    return _beyond(F.length(value), limits, int)
 
 
-def _no_match(df: DataFrame, column: str, pattern: str) -> Column:
-    return ~col(column).rlike(pattern)
+def _no_match(value: Column, data_type: T.DataType, pattern: str) -> Column:
+    return ~value.rlike(pattern)
 
 
-def timeliness(df: DataFrame, columns: Sequence[str]) -> RowRule:
-    found = next((c for c in (resolve(df.columns, c) for c in columns) if c), None)
+def timeliness(schema: Schema, columns: Sequence[str]) -> RowRule:
+    found = next((c for c in (resolve(schema, c) for c in columns) if c), None)
     if found is None:
-        return RowRule("DQ07", blocked=True)
-    unparsable = col(found).isNotNull() & col(found).try_cast("date").isNull()
-    return RowRule("DQ07", (unparsable,), labels=(found,))
+        return RowRule("DQ07", {}, blocked=True)
+    return RowRule("DQ07", {found: col(found).isNotNull() & col(found).try_cast("date").isNull()})
 
 
-def null_cells(df: DataFrame, columns: Sequence[str]) -> RowRule:
-    found = [resolve(df.columns, c) for c in columns]
-    present = [c for c in found if c is not None]
-    return RowRule(
-        "DQ11",
-        tuple(col(c).isNull() for c in present),
-        absent=len(found) - len(present),
-        cells=len(found),
-        labels=tuple(present),
-    )
+def null_cells(schema: Schema, columns: Sequence[str]) -> RowRule:
+    found = [resolve(schema, c) for c in columns]
+    # numbered, as a column listed twice counts twice
+    failing = {f"{i}": col(c).isNull() for i, c in enumerate(found) if c is not None}
+    return RowRule("DQ11", failing, absent=found.count(None), cells=len(found))
 
 
 ROW_RULES: dict[str, Builder] = {
     "DQ01": completeness,
-    "DQ02": sql_expressions("DQ02"),
+    "DQ02": sql_conditions("DQ02"),
     "DQ03": per_column("DQ03", _not_allowed),
-    "DQ05": sql_expressions("DQ05"),
+    "DQ05": sql_conditions("DQ05"),
     "DQ07": timeliness,
-    "DQ08": sql_expressions("DQ08"),
+    "DQ08": sql_conditions("DQ08"),
     "DQ09": per_column("DQ09", _out_of_range),
     "DQ11": null_cells,
     "DQ12": per_column("DQ12", _bad_length),
     "DQ14": per_column("DQ14", _no_match),
-    "DQ15": sql_expressions("DQ15"),
+    "DQ15": sql_conditions("DQ15"),
 }
 
 
-def build_row_rule(df: DataFrame, dq_id: str, setting: Any) -> RowRule:
-    """Build one row rule and make sure Spark can analyse its predicates."""
-    rule = ROW_RULES[dq_id](df, setting)
-    for predicate in rule.failing:
-        df.filter(predicate)
-    return rule
+def build_row_rules(df: DataFrame, settings: Mapping[str, Any]) -> tuple[dict[str, RowRule], dict[str, Exception]]:
+    """Rules with predicates Spark can analyse, and what is wrong with the others.
+
+    ``settings`` maps rule ids to what they check. SQL conditions that do not parse, do
+    not resolve or are not boolean are left out of their rule. The checks are analysed
+    together; only if that fails are they looked at one by one.
+    """
+    schema = {f.name: f.dataType for f in df.schema.fields}
+    rules: dict[str, RowRule] = {}
+    errors: dict[str, Exception] = {}
+    for dq_id, setting in settings.items():
+        try:
+            if dq_id in SQL_RULES:
+                setting = _usable_conditions(df, dq_id, setting)
+            rules[dq_id] = ROW_RULES[dq_id](schema, setting)
+        except Exception as error:
+            errors[dq_id] = error
+    predicates = [p for rule in rules.values() for p in rule.failing.values()]
+    if predicates and analysis_error(df, reduce(lambda a, b: a & b, predicates)):
+        for dq_id, rule in list(rules.items()):
+            problems = [analysis_error(df, p) for p in rule.failing.values()]
+            if any(problems):
+                errors[dq_id] = next(p for p in problems if p)
+                del rules[dq_id]
+    return rules, errors
+
+
+def _usable_conditions(df: DataFrame, dq_id: str, conditions: Mapping[str, str]) -> dict[str, str]:
+    together = " AND ".join(f"({text})" for text in conditions.values())
+    if conditions and _condition_problem(df, together, *conditions.values()) is None:
+        return dict(conditions)
+    usable = {}
+    for name, text in conditions.items():
+        problem = _condition_problem(df, text, text)
+        if problem is None:
+            usable[name] = text
+        else:
+            log.warning("%s condition %r skipped: %s", dq_id, name, problem)
+    return usable
+
+
+def _condition_problem(df: DataFrame, condition: str, *texts: str) -> str | None:
+    """Why ``condition`` cannot be a filter (aggregates and windows cannot), or a text is not boolean."""
+    error = analysis_error(df, lambda: F.expr(condition).cast("boolean"))
+    if error:
+        return str(error).splitlines()[0]
+    for field in df.selectExpr(*texts).schema.fields:
+        if not isinstance(field.dataType, (T.BooleanType, T.NullType)):
+            return f"type {field.dataType.simpleString()} is not boolean"
+    return None
 
 
-def analysable(df: DataFrame, expression: Column) -> bool:
+def analysis_error(df: DataFrame, condition: Column | Callable[[], Column]) -> Exception | None:
+    """Parse and analyse a filter without running it."""
     try:
-        df.agg(expression)
-    except AnalysisException:
-        return False
-    return True
+        df.filter(condition() if callable(condition) else condition)
+    except Exception as error:  # parse and type errors surface as several kinds
+        return error
+    return None

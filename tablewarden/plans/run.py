@@ -21,7 +21,7 @@ from tablewarden.operators.layers import (
 )
 from tablewarden.operators.profile import profile_table, rule_candidates
 from tablewarden.operators.reports import run_totals
-from tablewarden.operators.rules import build_row_rule
+from tablewarden.operators.rules import SQL_RULES, build_row_rules
 from tablewarden.plans.rulebook import RULE_IDS, Rulebook
 from tablewarden.plans.score import summarise
 from tablewarden.plans.suite import Loader, Table, detail, results, table_measures, union_all
@@ -182,12 +182,12 @@ def raising_checks(table: Table, book: Rulebook, load: Loader) -> set[str]:
 
 def _raising_conditions(table: Table, book: Rulebook, dq_id: str) -> set[str]:
     """SQL conditions are skipped one by one; any other rule stands or falls as a whole."""
-    if dq_id not in ("DQ02", "DQ05", "DQ08", "DQ15"):
+    if dq_id not in SQL_RULES:
         return set()
-    rule = build_row_rule(table.df, dq_id, book.setting(table.ref, dq_id))
+    rules, _ = build_row_rules(table.df, {dq_id: book.setting(table.ref, dq_id)})
     return {
         f"{dq_id}.{name}"
-        for name, predicate in zip(rule.labels, rule.failing)
+        for name, predicate in rules[dq_id].failing.items()
         if _raises(table.df.filter(predicate).agg(F.count(F.lit(1))))
     }
 

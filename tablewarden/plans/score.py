@@ -17,16 +17,15 @@ def summarise(rule_results: DataFrame, book: Rulebook) -> DataFrame:
     One aggregate does the pivot and the score; a rule without a result is a WARNING
     and earns nothing, its weight still counts.
     """
-    dq_id, status = F.col("dq_id"), F.col("status")
     pivot = [
-        F.coalesce(F.max(F.when(dq_id == rule, status)), F.lit("WARNING")).alias(rule.lower())
+        F.expr(f"coalesce(max(status) FILTER (WHERE dq_id = '{rule}'), 'WARNING') AS {rule.lower()}")
         for rule in RULE_IDS
     ]
     wide = rule_results.groupBy(*RUN_KEY).agg(
         F.max("row_count").alias("row_count"),
         F.max("column_count").alias("column_count"),
         *pivot,
-        weighted_score(dq_id, status, book.weights).alias("dq_score"),
+        weighted_score(book.weights).alias("dq_score"),
     )
     return wide.select(
         "*",

@@ -10,6 +10,9 @@ counts simply add up. Per table there is
 and, once for all tables, one aggregate over the run history for the volume rule.
 Adding the measures up per table and rule gives the results; only a handful of rows
 per table ever reach that last shuffle.
+
+Measures are put together as SQL text: they refer to columns of the fused aggregate
+(``_total`` is the row count) and would otherwise be hundreds of small Column calls.
 """
 
 from __future__ import annotations
@@ -18,7 +21,9 @@ import logging
 from collections.abc import Callable, Collection, Iterable, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
+from typing import Any
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,7 +36,7 @@ from tablewarden.functions.grading import (
 from tablewarden.functions.names import TableRef, col, resolve
 from tablewarden.operators.datatypes import mismatched_columns
 from tablewarden.operators.keys import distinct_count, orphan_count, previous_row_counts
-from tablewarden.operators.rules import ROW_RULES, RowRule, analysable, build_row_rule
+from tablewarden.operators.rules import ROW_RULES, RowRule, build_row_rules
 from tablewarden.plans.rulebook import RULE_IDS, Rulebook
 
 log = logging.getLogger(__name__)
@@ -53,16 +58,11 @@ class Table:
 class Part:
     """One rule's share of a table's plan."""
 
-    measure: Column  # struct over the fused aggregate's row
-    aggregate: Column | None = None  # joins the fused aggregate under the rule's id
+    measure: str  # struct over the fused aggregate's row, in SQL
+    checks: dict[str, Column] = field(default_factory=dict)  # predicates the fused aggregate counts
     branches: list[DataFrame] = field(default_factory=list)  # more measures, scanned apart
 
 
-def _total() -> Column:
-    """Row count of the table, a column of the fused aggregate."""
-    return F.col("_total")
-
-
 def union_all(frames: Iterable[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
@@ -71,64 +71,43 @@ def union_all(frames: Iterable[DataFrame]) -> DataFrame:
 
 
 def _measure(
-    dq_id: str,
-    failed: Column | int = 0,
-    checked: Column | int | None = None,
-    status: Column | str | None = None,
-    pct: float | None = None,
-) -> Column:
-    """The measure of a rule; ``status`` and ``pct`` fix a verdict the counts cannot give.
-
-    Every row of the table is checked unless ``checked`` says otherwise.
-    """
-    checked = _total() if checked is None else checked
-    return F.struct(
-        F.lit(dq_id).alias("dq_id"),
-        F.lit(failed).cast("long").alias("failed"),
-        F.lit(checked).cast("long").alias("checked"),
-        F.lit(status).cast("string").alias("fixed_status"),
-        F.lit(pct).cast("double").alias("fixed_percentage"),
+    dq_id: str, failed: Any = 0, checked: Any = "_total", status: str = "NULL", pct: str = "NULL"
+) -> str:
+    """The measure of a rule; ``status`` and ``pct`` fix a verdict the counts cannot give."""
+    return (
+        f"named_struct('dq_id', '{dq_id}', 'failed', CAST({failed} AS BIGINT),"
+        f" 'checked', CAST({checked} AS BIGINT), 'fixed_status', CAST({status} AS STRING),"
+        f" 'fixed_percentage', CAST({pct} AS DOUBLE))"
     )
 
 
-def _extra(count: DataFrame, dq_ids: Sequence[str], sign: int = 1) -> DataFrame:
-    """A one-row frame ``n`` as failures added to, or taken from, some rules."""
-    failed = F.col("n") * sign
-    return count.select(F.inline(F.array(*(_measure(d, failed, 0) for d in dq_ids))))
+def _cannot_run(dq_id: str) -> str:
+    """A rule that raises is a WARNING, unless the table is empty and nothing was tried."""
+    return _measure(dq_id, status="IF(_total = 0, 'PASS', 'WARNING')", pct="0")
 
 
-def _cannot_run(dq_id: str) -> Column:
-    """A rule that raises is a WARNING, unless the table is empty and nothing was tried."""
-    return _measure(dq_id, status=F.when(_total() == 0, "PASS").otherwise("WARNING"), pct=0.0)
+def _whole_table_fails(dq_id: str) -> str:
+    return _measure(dq_id, failed="_total", status="'FAIL'", pct="100")
 
 
-def _whole_table_fails(dq_id: str) -> Column:
-    return _measure(dq_id, failed=_total(), status="FAIL", pct=100.0)
+def _extra(count: DataFrame, dq_ids: Sequence[str], sign: int = 1) -> DataFrame:
+    """A one-row frame ``n`` as failures added to, or taken from, some rules."""
+    measures = ", ".join(_measure(d, f"{sign} * n", 0) for d in dq_ids)
+    return count.selectExpr(f"inline(array({measures}))")
 
 
-def _counted(df: DataFrame, rule: RowRule) -> Part:
-    absent = F.lit(rule.absent) * _total()
-    checked = _total() * rule.cells
-    if not rule.failing:
-        return Part(_measure(rule.dq_id, absent, checked))
-    failures = F.sum(rule.failures.cast("long"))
-    if analysable(df, failures):
-        failed = absent + F.coalesce(F.col(rule.dq_id), F.lit(0))
-        return Part(_measure(rule.dq_id, failed, checked), failures)
-    # e.g. a subquery, which Spark takes in filters but not in aggregates
-    counts = [df.filter(p).agg(F.count(F.lit(1)).alias("n")) for p in rule.failing]
-    return Part(_measure(rule.dq_id, absent, checked), None, [_extra(c, [rule.dq_id]) for c in counts])
+def _counted(rule: RowRule) -> Part:
+    """Each check of the rule is one count of the fused aggregate."""
+    checks = {f"{rule.dq_id}_{i}": p for i, p in enumerate(rule.failing.values())}
+    failed = " + ".join([f"{rule.absent} * _total", *checks])
+    return Part(_measure(rule.dq_id, failed, f"{rule.cells} * _total"), checks)
 
 
-def _row_rule(table: Table, book: Rulebook, dq_id: str, without: Collection[str]) -> Part:
-    setting = book.setting(table.ref, dq_id)
-    if not setting:
-        return Part(_measure(dq_id))
-    rule = build_row_rule(table.df, dq_id, setting).without(without)
-    part = Part(_whole_table_fails(dq_id)) if rule.blocked else _counted(table.df, rule)
-    if dq_id == "DQ01":  # completeness alone has a verdict for a table without rows
-        empty = _measure(dq_id, status="WARNING", pct=100.0)
-        part.measure = F.when(_total() == 0, empty).otherwise(part.measure)
+def _row_rule(rule: RowRule) -> Part:
+    part = Part(_whole_table_fails(rule.dq_id)) if rule.blocked else _counted(rule)
+    if rule.dq_id == "DQ01":  # completeness alone has a verdict for a table without rows
+        empty = _measure(rule.dq_id, status="'WARNING'", pct="100")
+        part.measure = f"IF(_total = 0, {empty}, {part.measure})"
     return part
 
 
@@ -141,13 +120,12 @@ def _uniqueness(table: Table, book: Rulebook, dq_id: str, sharing: Collection[st
     if None in found:
         return Part(_whole_table_fails(dq_id))
     same = [d for d in sharing if book.setting(table.ref, d) == keys]
-    counted_here = same[0] == dq_id
-    distinct = distinct_count(table.df, found)
-    return Part(_measure(dq_id, _total()), None, [_extra(distinct, same, -1)] if counted_here else [])
+    branches = [_extra(distinct_count(table.df, found), same, -1)] if same[0] == dq_id else []
+    return Part(_measure(dq_id, "_total"), branches=branches)
 
 
 def _integrity(table: Table, book: Rulebook, load: Loader) -> Part:
-    null_keys, absent, branches = [], 0, []
+    null_keys, absent, branches = {}, 0, []
     for relation in book.relationships(table.ref):
         child = resolve(table.df.columns, relation["child_column"])
         parents = load(relation["parent_table"]) if child else None
@@ -156,9 +134,9 @@ def _integrity(table: Table, book: Rulebook, load: Loader) -> Part:
             absent += 1
             continue
         if not relation.get("nullable_allowed", True):
-            null_keys.append(col(child).isNull())
+            null_keys[str(len(null_keys))] = col(child).isNull()
         branches.append(_extra(orphan_count(table.df, child, parents, parent), ["DQ06"]))
-    part = _counted(table.df, RowRule("DQ06", tuple(null_keys), absent=absent))
+    part = _counted(RowRule("DQ06", null_keys, absent))
     part.branches += branches
     return part
 
@@ -171,27 +149,66 @@ def _data_types(table: Table, book: Rulebook) -> Part:
     return Part(_measure("DQ13", len(wrong), len(expected)))
 
 
-def _part(
-    table: Table, book: Rulebook, load: Loader, dq_id: str, only: Sequence[str], without: Collection[str]
-) -> Part:
-    if not book.enabled(dq_id):
-        return Part(_measure(dq_id, status="SKIPPED", pct=0.0))
-    if dq_id in without:
-        return Part(_cannot_run(dq_id))
-    try:
-        if dq_id in ROW_RULES:
-            return _row_rule(table, book, dq_id, without)
-        if dq_id in ("DQ04", "DQ10"):
-            sharing = [d for d in ("DQ04", "DQ10") if d in only and d not in without and book.enabled(d)]
+def _parts(
+    table: Table, book: Rulebook, load: Loader, only: Sequence[str], without: Collection[str]
+) -> dict[str, Part]:
+    active = [d for d in only if book.enabled(d) and d not in without]
+    settings = {d: book.setting(table.ref, d) for d in active if d in ROW_RULES}
+    row_rules, errors = build_row_rules(table.df, {d: s for d, s in settings.items() if s})
+    sharing = [d for d in active if d in ("DQ04", "DQ10")]
+
+    def part(dq_id: str) -> Part:
+        if not book.enabled(dq_id):
+            return Part(_measure(dq_id, status="'SKIPPED'", pct="0"))
+        if dq_id in without:
+            return Part(_cannot_run(dq_id))
+        if dq_id in errors:
+            raise errors[dq_id]
+        if dq_id in row_rules:
+            return _row_rule(row_rules[dq_id].without(without))
+        if dq_id in sharing:
             return _uniqueness(table, book, dq_id, sharing)
         if dq_id == "DQ06":
             return _integrity(table, book, load)
         if dq_id == "DQ13":
             return _data_types(table, book)
-        return Part(_measure(dq_id))  # DQ16 is graded from row_count and the history
-    except Exception as error:  # whatever stops one rule must not stop the others
-        log.warning("%s cannot run on %s: %s", dq_id, table.ref.full, error)
-        return Part(_cannot_run(dq_id))
+        return Part(_measure(dq_id))  # nothing configured; DQ16 is graded from row_count and history
+
+    parts = {}
+    for dq_id in only:
+        try:
+            parts[dq_id] = part(dq_id)
+        except Exception as error:  # whatever stops one rule must not stop the others
+            log.warning("%s cannot run on %s: %s", dq_id, table.ref.full, error)
+            parts[dq_id] = Part(_cannot_run(dq_id))
+    return parts
+
+
+def _fused(df: DataFrame, parts: dict[str, Part]) -> DataFrame:
+    """One row: ``_total`` and the count of every check."""
+    total = F.count(F.lit(1)).alias("_total")
+
+    def count(part: Part) -> list[Column]:
+        return [F.count_if(p).alias(name) for name, p in part.checks.items()]
+
+    try:
+        return df.agg(total, *(c for part in parts.values() for c in count(part)))
+    except AnalysisException:
+        # some check is fine in a filter but not in an aggregate, e.g. a random sample
+        kept = [c for dq_id, part in parts.items() for c in _keep_or_scan_apart(df, dq_id, part)]
+        return df.agg(total, *kept)
+
+
+def _keep_or_scan_apart(df: DataFrame, dq_id: str, part: Part) -> list[Column]:
+    columns = []
+    for name, predicate in part.checks.items():
+        try:
+            df.agg(F.count_if(predicate))
+            columns.append(F.count_if(predicate).alias(name))
+        except AnalysisException:
+            part.branches.append(_extra(df.filter(predicate).agg(F.count(F.lit(1)).alias("n")), [dq_id]))
+            columns.append(F.lit(0).alias(name))
+    return columns
 
 
 def table_measures(
@@ -203,16 +220,14 @@ def table_measures(
 ) -> DataFrame:
     """Measures of one table. ``load`` finds parent tables by name.
 
-    ``without`` names rules (``DQ06``) to report as not runnable and single SQL
-    conditions (``DQ02.name``) to skip; see :mod:`tablewarden.plans.run`.
+    ``without`` names rules (``DQ06``) to report as not runnable and single checks
+    (``DQ02.name``) to skip; see :mod:`tablewarden.plans.run`.
     """
-    load = load or table.df.sparkSession.table
-    parts = {dq_id: _part(table, book, load, dq_id, only, without) for dq_id in only}
-    aggregates = [p.aggregate.alias(d) for d, p in parts.items() if p.aggregate is not None]
-    fused = table.df.agg(F.count(F.lit(1)).alias("_total"), *aggregates).select(
-        _total().alias("row_count"),
-        F.lit(len(table.df.columns)).cast("long").alias("column_count"),
-        F.inline(F.array(*(p.measure for p in parts.values()))),
+    parts = _parts(table, book, load or table.df.sparkSession.table, only, without)
+    fused = _fused(table.df, parts).selectExpr(
+        "_total AS row_count",
+        f"{len(table.df.columns)}L AS column_count",
+        f"inline(array({', '.join(p.measure for p in parts.values())}))",
     )
     frames = union_all([fused, *(branch for p in parts.values() for branch in p.branches)])
     return frames.select(*(F.lit(part).alias(k) for k, part in zip(TABLE_KEY, table.ref)), "*")
@@ -229,11 +244,11 @@ def results(
     ``history`` is an earlier summary (``catalog, schema, table, run_timestamp,
     row_count``); without a usable one the volume rule passes.
     """
-    if history is not None:
-        volume = previous_row_counts(history).withColumn("dq_id", F.lit("DQ16"))
-        measures = union_all([measures, volume])
-    else:
+    previous = _previous(history)
+    if previous is None:
         measures = measures.withColumn("previous_rows", F.lit(None).cast("long"))
+    else:
+        measures = union_all([measures, previous])
     added = measures.groupBy(*TABLE_KEY, "dq_id").agg(
         F.sum("failed").alias("failed_records"),
         F.sum("checked").alias("checked"),
@@ -242,26 +257,22 @@ def results(
             for c in ("row_count", "column_count", "previous_rows", "fixed_status", "fixed_percentage")
         ),
     )
+    current, before = F.col("row_count"), F.col("previous_rows")
     is_volume = (F.col("dq_id") == "DQ16") & F.col("fixed_status").isNull()
-    change = volume_percentage(F.col("row_count"), F.col("previous_rows"))
     share = percentage(F.col("failed_records"), F.col("checked"))
-    limits = (book.volume_pass_pct, book.volume_warning_pct)
+    pct = F.coalesce(
+        "fixed_percentage", F.when(is_volume, volume_percentage(current, before)).otherwise(share)
+    )
+    volume = volume_status(current, before, book.volume_pass_pct, book.volume_warning_pct)
+    graded = F.when(is_volume, volume).otherwise(rule_status(F.col("failure_percentage")))
     return (
-        added.filter(F.col("row_count").isNotNull())  # history of tables outside this run
-        .withColumn(
-            "failure_percentage",
-            F.coalesce("fixed_percentage", F.when(is_volume, change).otherwise(share)),
-        )
+        added.filter(current.isNotNull())  # not: history of tables outside this run
+        .withColumn("failure_percentage", pct)
         .select(
             *TABLE_KEY,
             run_timestamp.alias("run_timestamp"),
             "dq_id",
-            F.coalesce(
-                "fixed_status",
-                F.when(
-                    is_volume, volume_status(F.col("row_count"), F.col("previous_rows"), *limits)
-                ).otherwise(rule_status(F.col("failure_percentage"))),
-            ).alias("status"),
+            F.coalesce("fixed_status", graded).alias("status"),
             "failure_percentage",
             "failed_records",
             "row_count",
@@ -270,6 +281,16 @@ def results(
     )
 
 
+def _previous(history: DataFrame | None) -> DataFrame | None:
+    if history is None:
+        return None
+    try:
+        return previous_row_counts(history).withColumn("dq_id", F.lit("DQ16"))
+    except AnalysisException as error:
+        log.warning("run history is of no use: %s", error)
+        return None
+
+
 def run_suite(
     tables: Sequence[Table],
     book: Rulebook,

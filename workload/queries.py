@@ -14,7 +14,6 @@ from tablewarden.functions.names import TableRef
 from tablewarden.operators import layers, reports
 from tablewarden.operators.datatypes import castable
 from tablewarden.operators.profile import profile_table, rule_candidates, top_values
-from tablewarden.operators.rules import ROW_RULES, build_row_rule
 from tablewarden.operators.weights import dynamic_weights
 from tablewarden.plans.rulebook import RULE_IDS, Rulebook
 from tablewarden.plans.run import Run
@@ -307,19 +306,16 @@ def run_history(tables: Tables) -> DataFrame:
     frames = []
     for name, (period, column) in PERIODS.items():
         df, table = tables.frame(name), ref(name)
-        rules = [
-            build_row_rule(df, dq_id, book().setting(table, dq_id))
-            for dq_id in ROW_RULES
-            if book().setting(table, dq_id)
-        ]
+        rules = layers.row_rules(df, table, book())
         arrived = F.date_trunc(period, F.col(column)).cast("timestamp_ntz")
+        checks = {f"{r.dq_id}_{i}": p for r in rules for i, p in enumerate(r.failing.values())}
         counted = df.groupBy(arrived.alias("run_timestamp")).agg(
-            F.count(F.lit(1)).alias("row_count"), *(F.sum(r.failures.cast("long")).alias(r.dq_id) for r in rules)
+            F.count(F.lit(1)).alias("row_count"), *(F.count_if(p).alias(n) for n, p in checks.items())
         )
         rows = [
             F.struct(
                 F.lit(r.dq_id).alias("dq_id"),
-                F.col(r.dq_id).alias("failed_records"),
+                F.expr(" + ".join(n for n in checks if n.startswith(r.dq_id))).alias("failed_records"),
                 (F.col("row_count") * r.cells).alias("checked"),
             )
             for r in rules

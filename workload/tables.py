@@ -64,11 +64,15 @@ class Tables:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
+        self._frames: dict[str, DataFrame] = {}
 
     def frame(self, name: str) -> DataFrame:
         name = name.rpartition(".")[2]
-        base, columns = DIRTIED.get(name, (name, ["*"]))
-        return self.spark.read.parquet(f"{self.folder}/{base}.parquet").selectExpr(*columns)
+        if name not in self._frames:
+            base, columns = DIRTIED.get(name, (name, None))
+            frame = self.spark.read.parquet(f"{self.folder}/{base}.parquet")
+            self._frames[name] = frame.selectExpr(*columns) if columns else frame
+        return self._frames[name]
 
     def table(self, name: str) -> Table:
         return Table(ref(name), self.frame(name))
