@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from tablewarden.functions.grading import percentage
 from tablewarden.functions.names import TableRef, quote
+from tablewarden.operators.keys import short_key
 
 INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 FRACTIONAL = (T.FloatType, T.DoubleType)
@@ -43,12 +44,19 @@ def _has_map(data_type: T.DataType) -> bool:
     return isinstance(data_type, T.MapType)
 
 
-def value_counts(df: DataFrame, columns: Sequence[str] | None = None) -> list[DataFrame]:
-    """``(column_index, value, n)`` per type family; the index is the position in ``df``."""
+def value_counts(
+    df: DataFrame, columns: Sequence[str] | None = None, digest: bool = False
+) -> list[DataFrame]:
+    """``(column_index, value, n)`` per type family; the index is the position in ``df``.
+
+    With ``digest``, long texts are counted by their SHA-256 and never shuffled whole.
+    """
     families: dict[str, list[tuple[int, str]]] = {}
     for i, f in enumerate(df.schema.fields):
         if columns is None or f.name in columns:
             family, value = _groupable(f.name, f.dataType)
+            if digest:
+                value = short_key(value, family)
             families.setdefault(family, []).append((i, value))
     frames = []
     for members in families.values():
@@ -59,8 +67,11 @@ def value_counts(df: DataFrame, columns: Sequence[str] | None = None) -> list[Da
 
 
 def profile_table(df: DataFrame, ref: TableRef, run_timestamp: Column | None = None) -> DataFrame:
-    """One row per column: type, rows, NULLs and distinct values (NULL being one)."""
-    spark = df.sparkSession
+    """One row per column: type, rows, NULLs and distinct values (NULL being one).
+
+    The per-column sums run as hash aggregates in the tasks that hold the value counts;
+    names and types, being known from the schema, are added to the few rows that remain.
+    """
     n, zero = F.col("n"), F.lit(0).cast("long")
     parts = [
         counts.select(
@@ -69,27 +80,29 @@ def profile_table(df: DataFrame, ref: TableRef, run_timestamp: Column | None = N
             F.when(F.col("value").isNull(), n).otherwise(zero).alias("nulls"),
             F.lit(1).cast("long").alias("values"),
         )
-        for counts in value_counts(df)
+        for counts in value_counts(df, digest=True)
     ]
     # zero rows, so that the columns of an empty table show up too
-    named = spark.createDataFrame(
-        [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields)],
-        "column_index int, column_name string, data_type string",
-    ).select("*", *(zero.alias(c) for c in ("n", "nulls", "values")))
-    every = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts, named)
-    added = every.groupBy("column_index").agg(
-        F.max("column_name").alias("column_name"),
-        F.max("data_type").alias("data_type"),
-        F.sum("n").alias("row_count"),
-        F.sum("nulls").alias("null_count"),
-        F.sum("values").alias("distinct_count"),
+    every_column = df.sparkSession.range(len(df.columns)).select(
+        F.col("id").cast("int").alias("column_index"), *(zero.alias(c) for c in ("n", "nulls", "values"))
     )
+    added = (
+        reduce(DataFrame.unionByName, parts, every_column)
+        .groupBy("column_index")
+        .agg(
+            F.sum("n").alias("row_count"),
+            F.sum("nulls").alias("null_count"),
+            F.sum("values").alias("distinct_count"),
+        )
+    )
+    position = F.col("column_index")
+    types = [f.dataType.simpleString() for f in df.schema.fields]
     return added.select(
         F.lit(ref.catalog).alias("catalog"),
         F.lit(ref.schema).alias("schema"),
         F.lit(ref.table).alias("table"),
-        "column_name",
-        "data_type",
+        F.get(F.lit(df.columns), position).alias("column_name"),
+        F.get(F.lit(types), position).alias("data_type"),
         "row_count",
         "null_count",
         percentage(F.col("null_count"), F.col("row_count")).alias("null_percentage"),
@@ -136,7 +149,7 @@ def top_values(df: DataFrame, n: int = 10, columns: Sequence[str] | None = None)
     The rank filter lets Spark keep only ``n`` values per column and task before the
     ranking shuffle (group limit), so no task receives a whole column.
     """
-    names = F.array(*(F.lit(c) for c in df.columns))
+    names = F.lit(df.columns)
     ranked = []
     for counts in value_counts(df, columns):
         order = W.partitionBy("column_index").orderBy(F.col("n").desc(), F.col("value").asc_nulls_last())

@@ -10,6 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tablewarden.functions.names import col
+from tablewarden.plans.rulebook import Rulebook
 
 TABLE_KEY = ("catalog", "schema", "table")
 
@@ -45,16 +46,20 @@ def score_history(summary: DataFrame) -> DataFrame:
         F.lag("dq_score").over(in_month)
     )
     return (
-        runs.join(carried, list(key))
+        runs.join(carried, list(key), "left")
         .select(*summary.columns, previous.alias("previous_score"))
         .withColumn("score_change", F.col("dq_score") - F.col("previous_score"))
     )
 
 
-def kpis(detail: DataFrame, catalog: DataFrame) -> DataFrame:
-    """Checks and outcomes per dimension, by table and (table columns NULL) overall."""
+def kpis(detail: DataFrame, book: Rulebook) -> DataFrame:
+    """Checks and outcomes per dimension, by table and (table columns NULL) overall.
+
+    The rule catalog that names the dimensions is broadcast: a rulebook has sixteen rules.
+    """
     status = F.col("status")
-    graded = detail.filter(status != "SKIPPED").join(catalog.select("dq_id", "dimension"), "dq_id")
+    dimensions = book.catalog_frame(detail.sparkSession).select("dq_id", "dimension")
+    graded = detail.filter(status != "SKIPPED").join(F.broadcast(dimensions), "dq_id")
     by = [F.col(c) for c in (*TABLE_KEY, "dimension")]
     checks = F.count(F.lit(1))
     passed = F.count_if(status == "PASS")

@@ -20,12 +20,12 @@ from tablewarden.operators.layers import (
     write_bronze,
 )
 from tablewarden.operators.profile import profile_table, rule_candidates
-from tablewarden.operators.reports import run_totals
+from tablewarden.operators.reports import final_report, run_totals
 from tablewarden.operators.rules import SQL_RULES, build_row_rules
 from tablewarden.plans.rulebook import RULE_IDS, Rulebook
 from tablewarden.plans.score import summarise
 from tablewarden.plans.suite import Loader, Table, detail, results, table_measures, union_all
-from tablewarden.sources.inventory import read_table
+from tablewarden.sources.inventory import discover_tables, read_table
 from tablewarden.sources.store import Store
 
 log = logging.getLogger(__name__)
@@ -82,6 +82,11 @@ class Run:
         self._write_audit(done, profiled)
         return self.outcome
 
+    def report(self, rows: int = 100) -> DataFrame | None:
+        """The newest rows of the stored summary; None before the first run."""
+        stored = self._history()
+        return None if stored is None else final_report(stored, rows)
+
     def _failed(self, ref: TableRef, error: Exception) -> None:
         log.warning("table %s failed: %s", ref.full, error)
         self.outcome.failed[ref] = str(error).splitlines()[0]
@@ -165,6 +170,18 @@ class Run:
             store.write(totals.coalesce(1), self.audit, book.output("pipeline_runs"), "append")
 
 
+def run_catalog(run: Run) -> RunOutcome:
+    """Run over every table the configuration's ``framework`` section puts in scope."""
+    scope = run.book.framework
+    found = discover_tables(
+        run.spark,
+        scope["catalog"],
+        scope.get("excluded_schemas", ()),
+        scope.get("source_schema_allowlist", ()),
+    )
+    return run.tables(found)
+
+
 def raising_checks(table: Table, book: Rulebook, load: Loader) -> set[str]:
     """Rules, or single SQL conditions, that raise on this table's data.
 

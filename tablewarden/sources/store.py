@@ -50,7 +50,7 @@ class Store:
         if self.root is None:
             return spark.catalog.tableExists(self.target(schema, table))
         try:
-            self.read(spark, schema, table)
+            spark.read.format(self.fmt).load(self.target(schema, table))
         except AnalysisException:
             return False
         return True

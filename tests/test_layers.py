@@ -3,7 +3,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from tablewarden import Run, Store, Table, TableRef, promote
+from tablewarden import Rulebook, Run, Store, Table, TableRef, promote, run_catalog
 from tablewarden.operators import layers
 from tablewarden.sources.inventory import discover_tables, in_scope, read_table, table_inventory
 from tablewarden.sources.store import shared_root
@@ -172,3 +172,26 @@ def test_second_run_sees_the_first_as_history(spark, store):
     assert [tuple(r) for r in rows] == [(100, "PASS", 100.0), (125, "WARNING", 99.0), (300, "FAIL", 99.0)]
     assert audit(spark, store, "dq_audit_results").count() == 48
     assert store.read(spark, "candidate", "dq_profile").count() == 1  # overwritten by each run
+
+
+def test_a_bad_pattern_is_isolated(spark, store):
+    rules = book({"pattern_rules": {"id": "["}, "range_rules": {"id": {"min": 1}}})
+    Run(spark, rules, store).tables([REF], lambda ref: spark.range(4))
+    found = {r.dq_id: r.status for r in audit(spark, store, "dq_audit_results").collect()}
+    assert (found["DQ14"], found["DQ09"], found["DQ01"]) == ("WARNING", "FAIL", "PASS")
+
+
+def test_run_over_a_catalog(spark, store):
+    Store().write(spark.range(3), "unit_catalog", "one")
+    Store().write(spark.range(5), "unit_catalog", "two")
+    scope = {"catalog": "spark_catalog", "source_schema_allowlist": ["UNIT_CATALOG"]}
+    run = Run(spark, Rulebook({"framework": scope}), store)
+    assert run.report() is None
+    assert {ref.table for ref in run_catalog(run).processed} == {"one", "two"}
+    assert {(r.table, r.row_count) for r in run.report().collect()} == {("one", 3), ("two", 5)}
+
+
+def test_run_over_nothing_writes_nothing(spark, store):
+    outcome = Run(spark, book(), store).tables([])
+    assert not outcome.processed and not outcome.failed
+    assert not store.exists(spark, "audit", "dq_summary")

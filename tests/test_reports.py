@@ -2,9 +2,9 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
-from tablewarden import Rulebook, summarise
+from tablewarden import Rulebook, Store, summarise
 from tablewarden.operators import reports
-from tablewarden.operators.weights import dynamic_weights
+from tablewarden.operators.weights import dynamic_weights, train_weights
 
 SUMMARY = "catalog string, schema string, table string, run_timestamp timestamp, dq_score double"
 
@@ -81,3 +81,20 @@ def test_weights_need_columns_and_rows(spark):
     assert dynamic_weights(incidents(spark, 60), ["incidents", "minutes"], "gone") is None
     nulls = incidents(spark, 60).withColumn("minutes", F.lit(None).cast("double"))
     assert dynamic_weights(nulls, ["incidents", "minutes"], "impact") is None
+
+
+def test_weights_are_appended_as_configured(spark, tmp_path):
+    settings = {
+        "enabled": True,
+        "incident_table": "incidents",
+        "feature_columns": ["incidents", "minutes"],
+        "target_column": "impact",
+        "min_training_rows": 20,
+    }
+    store, frame = Store(str(tmp_path)), incidents(spark, 30)
+    assert train_weights(Rulebook({"ml_weighting": {**settings, "enabled": False}}), store, lambda n: frame) is None
+    book = Rulebook({"ml_weighting": settings})
+    assert train_weights(book, store, lambda n: frame.limit(10)) is None
+    for _ in range(2):
+        train_weights(book, store, lambda n: frame)
+    assert store.read(spark, "audit", "dq_dynamic_weights").count() == 4

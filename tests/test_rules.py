@@ -87,6 +87,14 @@ def test_uniqueness_counts_null_as_a_value_and_is_shared(people):
     assert both == {"DQ04": ("FAIL", 25.0, 1), "DQ10": ("FAIL", 25.0, 1)}
 
 
+def test_uniqueness_of_long_text(spark):
+    long = "x" * 100
+    df = spark.createDataFrame([(long + "a",), (long + "a",), (long + "b",), (None,), ("s",)], "t string")
+    assert graded(df, {"unique_keys": ["t"]}, ["DQ04"])["DQ04"] == ("FAIL", 20.0, 1)
+    binary = df.selectExpr("CAST(t AS BINARY) AS t")
+    assert graded(binary, {"unique_keys": ["t"]}, ["DQ04"])["DQ04"] == ("FAIL", 20.0, 1)
+
+
 def test_uniqueness_with_keys_of_their_own(people):
     rules = {"DQ04": {"unique_keys": ["id"]}, "DQ10": {"unique_keys": ["id", "name"]}}
     assert graded(people, rules, ["DQ04", "DQ10"]) == {"DQ04": ("FAIL", 25.0, 1), "DQ10": PASS}

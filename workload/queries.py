@@ -347,13 +347,17 @@ def latest(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def history(spark: SparkSession, folder: str) -> DataFrame:
-    return reports.score_history(summary_history(spark, folder)).select(
+    """Over the stored summary, as the history joins it with its own monthly scores."""
+    store = Store(shared_root(spark))
+    store.write(summary_history(spark, folder), book().layer("audit"), book().output("summary"))
+    stored = store.read(spark, book().layer("audit"), book().output("summary"))
+    return reports.score_history(stored).select(
         "table", "run_timestamp", "row_count", "dq_score", "previous_score", "score_change"
     )
 
 
 def kpis(spark: SparkSession, folder: str) -> DataFrame:
-    return reports.kpis(detail(run_history(Tables(spark, folder))), book().catalog_frame(spark))
+    return reports.kpis(detail(run_history(Tables(spark, folder))), book())
 
 
 def run_totals(spark: SparkSession, folder: str) -> DataFrame:
