@@ -184,15 +184,16 @@ def _parts(
     return parts
 
 
+def _rows_where(predicate: Column) -> Column:
+    return F.count(F.when(predicate, 1))
+
+
 def _fused(df: DataFrame, parts: dict[str, Part]) -> DataFrame:
     """One row: ``_total`` and the count of every check."""
     total = F.count(F.lit(1)).alias("_total")
-
-    def count(part: Part) -> list[Column]:
-        return [F.count_if(p).alias(name) for name, p in part.checks.items()]
-
+    checks = {name: p for part in parts.values() for name, p in part.checks.items()}
     try:
-        return df.agg(total, *(c for part in parts.values() for c in count(part)))
+        return df.agg(total, *(_rows_where(p).alias(name) for name, p in checks.items()))
     except AnalysisException:
         # some check is fine in a filter but not in an aggregate, e.g. a random sample
         kept = [c for dq_id, part in parts.items() for c in _keep_or_scan_apart(df, dq_id, part)]
@@ -203,8 +204,8 @@ def _keep_or_scan_apart(df: DataFrame, dq_id: str, part: Part) -> list[Column]:
     columns = []
     for name, predicate in part.checks.items():
         try:
-            df.agg(F.count_if(predicate))
-            columns.append(F.count_if(predicate).alias(name))
+            df.agg(_rows_where(predicate))
+            columns.append(_rows_where(predicate).alias(name))
         except AnalysisException:
             part.branches.append(_extra(df.filter(predicate).agg(F.count(F.lit(1)).alias("n")), [dq_id]))
             columns.append(F.lit(0).alias(name))
