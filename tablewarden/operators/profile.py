@@ -24,6 +24,9 @@ from tablewarden.operators.keys import short_key
 INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 FRACTIONAL = (T.FloatType, T.DoubleType)
 
+# Wide tables are stacked in slices of this many columns, which keeps generated code small.
+COLUMNS_PER_SCAN = 64
+
 
 def _groupable(name: str, data_type: T.DataType) -> tuple[str, str]:
     """Type family and value, in SQL: equal values stay equal, unequal ones unequal."""
@@ -51,13 +54,13 @@ def value_counts(
 
     With ``digest``, long texts are counted by their SHA-256 and never shuffled whole.
     """
-    families: dict[str, list[tuple[int, str]]] = {}
+    families: dict[tuple[str, int], list[tuple[int, str]]] = {}
     for i, f in enumerate(df.schema.fields):
         if columns is None or f.name in columns:
             family, value = _groupable(f.name, f.dataType)
             if digest:
                 value = short_key(value, family)
-            families.setdefault(family, []).append((i, value))
+            families.setdefault((family, i // COLUMNS_PER_SCAN), []).append((i, value))
     frames = []
     for members in families.values():
         pairs = ", ".join(f"{i}, {value}" for i, value in members)

@@ -70,3 +70,8 @@ def test_ranking_is_limited_before_the_shuffle(spark):
     df = spark.range(1000).selectExpr("id % 7 AS a", "id AS b")
     plan = top_values(df, 3)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+def test_wide_table(spark):
+    df = spark.range(3).select(*(F.expr(f"id % {i + 1} AS c{i}") for i in range(150)))
+    assert profiled(df) == {f"c{i}": (3, 0, min(i + 1, 3)) for i in range(150)}

@@ -10,6 +10,12 @@ CONFIG = {
         "default_freshness_hours": 24,
         "volume_default_variance_pct": 30,
     },
+    "ml_weighting": {
+        "enabled": True,
+        "incident_table": "supplier_history",
+        "feature_columns": ["lines", "avg_quantity", "avg_discount", "avg_tax", "returned_share"],
+        "target_column": "revenue",
+    },
     "quality_gate": {"enabled": True, "silver_min_score": 90},
     "table_rules": {
         "lake.sales.orders_dq": {

@@ -14,7 +14,7 @@ from tablewarden.functions.names import TableRef
 from tablewarden.operators import layers, reports
 from tablewarden.operators.datatypes import castable
 from tablewarden.operators.profile import profile_table, rule_candidates, top_values
-from tablewarden.operators.weights import dynamic_weights
+from tablewarden.operators.weights import train_weights
 from tablewarden.plans.rulebook import RULE_IDS, Rulebook
 from tablewarden.plans.run import Run
 from tablewarden.plans.score import summarise
@@ -187,8 +187,9 @@ def ml_dynamic_weights(spark: SparkSession, folder: str) -> DataFrame:
         F.avg((F.col("l_returnflag") == "R").cast("double")).alias("returned_share"),
         F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("revenue"),
     )
-    features = ["lines", "avg_quantity", "avg_discount", "avg_tax", "returned_share"]
-    return dynamic_weights(history, features, "revenue", partitions=8)
+    store, settings = Store(shared_root(spark)), CONFIG["ml_weighting"]
+    store.write(history, "sales", settings["incident_table"])  # training passes over it several times
+    return train_weights(book(), store, lambda name: store.read(spark, "sales", name), partitions=8)
 
 
 # --- sources, sinks, layers -------------------------------------------------------------
