@@ -7,4 +7,15 @@ from tablewarden.plans.score import summarise
 from tablewarden.plans.suite import Table, detail, run_suite
 from tablewarden.sources.store import Store
 
-__all__ = ["Rulebook", "Run", "Store", "Table", "TableRef", "detail", "promote", "run_catalog", "run_suite", "summarise"]
+__all__ = [
+    "Rulebook",
+    "Run",
+    "Store",
+    "Table",
+    "TableRef",
+    "detail",
+    "promote",
+    "run_catalog",
+    "run_suite",
+    "summarise",
+]

@@ -63,9 +63,11 @@ def overall_status(score: Column, thresholds: Mapping[str, Any]) -> Column:
 
 
 def quality_gate(score: Column, gate: Mapping[str, Any]) -> Column:
+    """Outcome of the gate; its ``threshold``, if not set, is the silver layer's minimum."""
     if not gate.get("enabled", True):
         return F.lit("DISABLED")
-    return F.when(score >= gate_minimum(gate), "PASSED").otherwise("FAILED")
+    threshold = float(gate.get("threshold", gate_minimum(gate)))
+    return F.when(score >= threshold, "PASSED").otherwise("FAILED")
 
 
 def gate_minimum(gate: Mapping[str, Any]) -> float:

@@ -30,6 +30,8 @@ from tablewarden.sources.store import Store
 
 log = logging.getLogger(__name__)
 
+STAGED = "dq_run_results"  # results as they come, by run; summary and detail are made from them
+
 
 @dataclass
 class RunOutcome:
@@ -55,7 +57,7 @@ class Run:
     run_timestamp: Column | None = None
     load: Loader | None = None
     tables_per_job: int = 8
-    outcome: RunOutcome = field(default_factory=lambda: RunOutcome(uuid4().hex))
+    outcome: RunOutcome = field(default_factory=lambda: RunOutcome(f"run-{uuid4().hex}"))
 
     def __post_init__(self):
         if self.run_timestamp is None:  # one value for the whole run
@@ -63,7 +65,6 @@ class Run:
             self.run_timestamp = F.timestamp_micros(F.lit(now))
         self.load = self.load or self.spark.table
         self.audit = self.book.layer("audit")
-        self.staged = f"run_{self.outcome.run_id}"
 
     def tables(self, refs: Iterable[TableRef], read: Callable[[TableRef], DataFrame] | None = None) -> RunOutcome:
         """Evaluate and profile tables, then write summary, detail, profile, candidates, totals."""
@@ -101,7 +102,8 @@ class Run:
 
     def _stage(self, measures: DataFrame, history: DataFrame | None) -> None:
         frame = results(measures, self.book, self.run_timestamp, history)
-        self.store.write(frame.coalesce(1), self.audit, self.staged, "append")
+        staged = frame.withColumn("run_id", F.lit(self.outcome.run_id)).coalesce(1)
+        self.store.write(staged, self.audit, STAGED, "append", partition_by=("run_id",))
 
     def _evaluate(self, tables: Sequence[Table], history: DataFrame | None) -> None:
         try:
@@ -156,7 +158,8 @@ class Run:
         profile = nothing.withColumnRenamed("run_timestamp", "profile_timestamp")
         candidates = nothing.withColumnRenamed("run_timestamp", "created_timestamp")
         if tables:
-            staged = store.read(spark, self.audit, self.staged)
+            staged = store.read(spark, self.audit, STAGED)
+            staged = staged.filter(F.col("run_id") == self.outcome.run_id).drop("run_id")
             summary, rule_results = summarise(staged, book), detail(staged)
             store.write(summary.coalesce(1), self.audit, book.output("summary"), "append")
             store.write(rule_results.coalesce(1), self.audit, book.output("audit"), "append")

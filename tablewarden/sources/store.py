@@ -8,6 +8,7 @@ both kinds where its jars are present.
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Sequence
 from dataclasses import dataclass
 from uuid import uuid4
 
@@ -19,22 +20,36 @@ from tablewarden.functions.names import quote
 
 @dataclass(frozen=True)
 class Store:
-    """``root`` is a shared directory; without one, tables go to the session's catalog."""
+    """``root`` is a shared directory; without one, tables go to a catalog, if not named
+    then to the session's current one."""
 
     root: str | None = None
     fmt: str = "parquet"
+    catalog: str | None = None
+
+    def _namespace(self, schema: str) -> str:
+        return ".".join(quote(part) for part in (self.catalog, schema) if part)
 
     def target(self, schema: str, table: str) -> str:
         if self.root is None:
-            return f"{quote(schema)}.{quote(table)}"
+            return f"{self._namespace(schema)}.{quote(table)}"
         return f"{self.root.rstrip('/')}/{schema}/{table}"
 
-    def write(self, df: DataFrame, schema: str, table: str, mode: str = "overwrite") -> str:
+    def write(
+        self,
+        df: DataFrame,
+        schema: str,
+        table: str,
+        mode: str = "overwrite",
+        partition_by: Sequence[str] = (),
+    ) -> str:
         target = self.target(schema, table)
         evolution = "mergeSchema" if mode == "append" else "overwriteSchema"
         writer = df.write.format(self.fmt).mode(mode).option(evolution, "true")
+        if partition_by:
+            writer = writer.partitionBy(*partition_by)
         if self.root is None:
-            df.sparkSession.sql(f"CREATE SCHEMA IF NOT EXISTS {quote(schema)}")
+            df.sparkSession.sql(f"CREATE SCHEMA IF NOT EXISTS {self._namespace(schema)}")
             writer.saveAsTable(target)
         else:
             writer.save(target)

@@ -195,3 +195,12 @@ def test_run_over_nothing_writes_nothing(spark, store):
     outcome = Run(spark, book(), store).tables([])
     assert not outcome.processed and not outcome.failed
     assert not store.exists(spark, "audit", "dq_summary")
+
+
+def test_run_into_a_catalog(spark):
+    store, scope = Store(catalog="spark_catalog"), {"audit_schema": "unit_audit", "candidate_schema": "unit_profiles"}
+    for n in (3, 4):
+        Run(spark, Rulebook({"framework": scope}), store).tables([REF], lambda ref, n=n: spark.range(n))
+    assert store.read(spark, "unit_audit", "dq_summary").count() == 2
+    assert spark.table("unit_audit.dq_audit_results").count() == 32
+    assert spark.table("unit_profiles.dq_profile").collect()[0].row_count == 4

@@ -38,7 +38,15 @@ def test_null_condition_fails(people):
 
 @pytest.mark.parametrize(
     "condition",
-    ["no_such_column > 1", "score >", "id", "name", "count(*) > 0", "row_number() OVER (ORDER BY id) > 1", "explode(array(true))"],
+    [
+        "no_such_column > 1",
+        "score >",
+        "id",
+        "name",
+        "count(*) > 0",
+        "row_number() OVER (ORDER BY id) > 1",
+        "explode(array(true))",
+    ],
 )
 def test_unusable_condition_is_skipped(people, condition):
     assert graded(people, {"row_expressions": {"bad": condition}}, ["DQ02"])["DQ02"] == PASS

@@ -64,7 +64,12 @@ CONFIG = {
             "conformity_rules": {"quantity_band": "l_quantity BETWEEN 1 AND 45"},
             "range_rules": {"l_quantity": {"min": 1, "max": 49}, "l_tax": {"max": 0.08}},
             "length_rules": {"l_returnflag": {"min": 1, "max": 1}},
-            "expected_types": {"l_orderkey": "bigint", "l_linenumber": "integer", "l_quantity": "int", "l_tax": "double"},
+            "expected_types": {
+                "l_orderkey": "bigint",
+                "l_linenumber": "integer",
+                "l_quantity": "int",
+                "l_tax": "double",
+            },
             "pattern_rules": {"l_linestatus": "^[FO]$"},
             "business_rules": {"large_orders_taxed": "NOT (l_quantity > 40 AND l_tax = 0)"},
             "date_columns": ["l_shipdate"],
