@@ -80,7 +80,7 @@ def run_totals(
     profile: DataFrame,
     candidates: DataFrame,
 ) -> DataFrame:
-    """One row per run: tables processed and failed, rows of each audit frame.
+    """One row per run: tables found, processed and failed, rows of each audit frame.
 
     ``attempts`` has one row ``(run_timestamp, processed)`` per table tried.
     """
@@ -105,7 +105,10 @@ def run_totals(
     return (
         reduce(DataFrame.unionByName, rows)
         .groupBy("run_timestamp")
-        .agg(*(F.count_if(F.col("kind") == kind).alias(kind) for kind in kinds))
+        .agg(
+            F.count_if(F.col("kind").startswith("tables_")).alias("tables_discovered"),
+            *(F.count_if(F.col("kind") == kind).alias(kind) for kind in kinds),
+        )
     )
 
 

@@ -134,6 +134,7 @@ def test_a_failing_table_does_not_stop_the_others(spark, people, store):
     assert audit(spark, store, "dq_summary").count() == 1
     totals = audit(spark, store, "dq_pipeline_runs").drop("run_timestamp").collect()[0].asDict()
     assert totals == {
+        "tables_discovered": 3,
         "tables_processed": 1,
         "tables_failed": 2,
         "summary_records": 1,

@@ -394,7 +394,8 @@ def run_total(at: str, tables: list[str], failed: int) -> str:
     """Totals of one run: candidates are counted, the other numbers follow from the tables."""
     columns = sum(COLUMN_COUNTS[t] for t in tables)
     found = candidate_oracle([t for t in tables if t in COLUMNS])
-    return f"""SELECT TIMESTAMP '{at}' AS run_timestamp, {len(tables)}::BIGINT AS tables_processed,
+    return f"""SELECT TIMESTAMP '{at}' AS run_timestamp, {len(tables) + failed}::BIGINT AS tables_discovered,
+        {len(tables)}::BIGINT AS tables_processed,
         {failed}::BIGINT AS tables_failed, {len(tables)}::BIGINT AS summary_records,
         {16 * len(tables)}::BIGINT AS detail_records, {columns}::BIGINT AS profile_records,
         (SELECT count(*) FROM ({found})) AS candidate_records"""
