@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tablewarden.functions.grading import gate_minimum
 from tablewarden.functions.names import TableRef, safe_name
+from tablewarden.functions.trees import balanced
 from tablewarden.operators.rules import ROW_RULES, RowRule, build_row_rules
 from tablewarden.plans.rulebook import Rulebook
 from tablewarden.sources.store import Store
@@ -120,7 +121,7 @@ def row_rules(df: DataFrame, ref: TableRef, book: Rulebook) -> list[RowRule]:
 def failing_condition(rules: Sequence[RowRule]) -> Column | None:
     """True on rows that fail any rule; None without rules."""
     conditions = [rule.any_failing() for rule in rules]
-    return reduce(lambda a, b: a | b, conditions) if conditions else None
+    return balanced(or_, conditions) if conditions else None
 
 
 def failure_reasons(rules: Sequence[RowRule]) -> Column:

@@ -11,7 +11,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable, Collection, Mapping, Sequence
 from dataclasses import dataclass
-from functools import reduce
+from operator import and_, or_
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewarden.functions.names import col, resolve
+from tablewarden.functions.trees import balanced
 
 log = logging.getLogger(__name__)
 
@@ -47,7 +48,7 @@ class RowRule:
     def any_failing(self) -> Column:
         """True where any check of this rule fails, never NULL."""
         hits = [F.coalesce(predicate, F.lit(False)) for predicate in self.failing.values()]
-        return reduce(lambda a, b: a | b, hits)
+        return balanced(or_, hits)
 
     def without(self, skipped: Collection[str]) -> RowRule:
         """Leave out checks named ``<rule>.<check>``."""
@@ -59,7 +60,7 @@ def completeness(schema: Schema, columns: Sequence[str]) -> RowRule:
     found = [resolve(schema, c) for c in columns]
     if None in found:
         return RowRule("DQ01", {}, blocked=True)
-    return RowRule("DQ01", {"any": reduce(lambda a, b: a | b, (col(c).isNull() for c in found))})
+    return RowRule("DQ01", {"any": balanced(or_, (col(c).isNull() for c in found))})
 
 
 def sql_conditions(dq_id: str) -> Builder:
@@ -108,7 +109,7 @@ def _beyond(value: Column, limits: Mapping[str, Any], number: Callable[[Any], An
         bounds.append(value < number(limits["min"]))
     if "max" in limits:
         bounds.append(value > number(limits["max"]))
-    return reduce(lambda a, b: a | b, bounds) if bounds else None
+    return balanced(or_, bounds) if bounds else None
 
 
 def _out_of_range(value: Column, data_type: T.DataType, limits: Mapping[str, Any]) -> Column | None:
@@ -172,7 +173,7 @@ def build_row_rules(df: DataFrame, settings: Mapping[str, Any]) -> tuple[dict[st
         except Exception as error:
             errors[dq_id] = error
     predicates = [p for rule in rules.values() for p in rule.failing.values()]
-    if predicates and analysis_error(df, reduce(lambda a, b: a & b, predicates)):
+    if predicates and analysis_error(df, balanced(and_, predicates)):
         for dq_id, rule in list(rules.items()):
             problems = [analysis_error(df, p) for p in rule.failing.values()]
             if any(problems):

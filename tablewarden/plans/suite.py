@@ -20,7 +20,6 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable, Collection, Iterable, Sequence
 from dataclasses import dataclass, field
-from functools import reduce
 from typing import Any
 
 from pyspark.errors import AnalysisException
@@ -34,6 +33,7 @@ from tablewarden.functions.grading import (
     volume_status,
 )
 from tablewarden.functions.names import TableRef, col, resolve
+from tablewarden.functions.trees import balanced
 from tablewarden.operators.datatypes import mismatched_columns
 from tablewarden.operators.keys import distinct_count, orphan_count, previous_row_counts
 from tablewarden.operators.rules import ROW_RULES, RowRule, build_row_rules
@@ -64,7 +64,7 @@ class Part:
 
 
 def union_all(frames: Iterable[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    return balanced(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
 # --- measures ---------------------------------------------------------------------
@@ -99,7 +99,7 @@ def _extra(count: DataFrame, dq_ids: Sequence[str], sign: int = 1) -> DataFrame:
 def _counted(rule: RowRule) -> Part:
     """Each check of the rule is one count of the fused aggregate."""
     checks = {f"{rule.dq_id}_{i}": p for i, p in enumerate(rule.failing.values())}
-    failed = " + ".join([f"{rule.absent} * _total", *checks])
+    failed = balanced(lambda a, b: f"({a} + {b})", [f"{rule.absent} * _total", *checks])
     return Part(_measure(rule.dq_id, failed, f"{rule.cells} * _total"), checks)
 
 

@@ -203,6 +203,30 @@ def test_empty_table(spark):
     assert graded(df, rules) == expected
 
 
+def test_many_columns(spark):
+    df = spark.range(2).selectExpr(*(f"IF(id = {i % 2}, NULL, id) AS c{i}" for i in range(400)))
+    rules = {"mandatory_columns": df.columns, "null_columns": df.columns}
+    assert graded(df, rules, ["DQ01", "DQ11"]) == {"DQ01": ("FAIL", 100.0, 2), "DQ11": ("FAIL", 50.0, 400)}
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_values_of_other_types_do_not_depend_on_ansi_mode(spark, ansi):
+    saved = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        df = spark.createDataFrame([("1", "2024-01-01", 1), ("x", "soon", 2)], "t string, d string, n int")
+        rules = {
+            "allowed_values": {"t": [1], "n": ["1"]},
+            "range_rules": {"t": {"max": 0}},
+            "date_columns": ["d"],
+            "length_rules": {"n": {"min": 2}},
+        }
+        found = graded(df, rules, ["DQ03", "DQ07", "DQ09", "DQ12"])
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", saved)
+    assert {d: failed for d, (_, _, failed) in found.items()} == {"DQ03": 2, "DQ07": 1, "DQ09": 1, "DQ12": 2}
+
+
 # --- foreign keys ------------------------------------------------------------------
 
 

@@ -46,7 +46,8 @@ PERIODS = {"orders_dq": ("year", "o_orderdate"), "lineitem": ("year", "l_shipdat
 
 
 def moment(at: datetime = RUN_AT) -> Column:
-    return F.lit(at).cast("timestamp_ntz")
+    """A wall-clock time, the same in every session time zone."""
+    return F.lit(at.isoformat(" ")).cast("timestamp_ntz")
 
 
 def book() -> Rulebook:
@@ -99,7 +100,7 @@ def earlier_runs(tables: Tables) -> DataFrame:
     frames = []
     for name, (column, days) in EARLIER_RUNS.items():
         loaded = F.col(column)
-        stamps = [F.lit(datetime.fromisoformat(day)).cast("timestamp_ntz") for day in days]
+        stamps = [moment(datetime.fromisoformat(day)) for day in days]
         counts = [F.count_if(loaded < at).alias(f"n{i}") for i, at in enumerate(stamps)]
         runs = [
             F.struct(at.alias("run_timestamp"), F.col(f"n{i}").alias("row_count"))
