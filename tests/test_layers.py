@@ -1,4 +1,5 @@
 from datetime import datetime
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -118,6 +119,14 @@ def test_shared_root_follows_the_session(spark):
     assert shared_root(spark).startswith(spark.conf.get("spark.checkpoint.dir"))
 
 
+@pytest.mark.parametrize("master", ["spark://host:7077", "yarn", ""])
+def test_a_cluster_must_name_its_shared_folder(master):
+    settings = {"spark.master": master}
+    session = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: settings.get(key, default)))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_root(session)
+
+
 # --- runs over many tables ----------------------------------------------------------------
 
 
