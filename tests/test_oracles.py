@@ -3,6 +3,8 @@
 import pytest
 
 import __spark_entry__ as driver
+import workload.oracles
+import workload.queries
 from tests.comparison import assert_same, duck, folder
 
 QUERIES, ORACLES = driver.queries(), driver.oracle_sql()
@@ -19,7 +21,7 @@ def test_matches_sql(spark, connection, name):
 
 
 def test_every_query_but_the_forest_has_sql():
-    assert set(QUERIES) - set(ORACLES) == {"ml_dynamic_weights"}
+    assert set(workload.queries.QUERIES) - set(workload.oracles.ORACLES) == {"ml_dynamic_weights"}
 
 
 def test_entry_returns_rows(spark):
