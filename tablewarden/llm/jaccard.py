@@ -31,6 +31,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType
 
 from tablewarden.llm.common import Scratch, WordHashes, components, load, mixed, windows
 
@@ -147,7 +148,7 @@ def _encoded(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInPandas(run, "rep long, tokens binary, bits binary")
 
 
-@F.pandas_udf("boolean")
+@F.pandas_udf(BooleanType())
 def _linked(a: pd.Series, b: pd.Series) -> pd.Series:
     def one(x: bytes, y: bytes) -> bool:
         p, q = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)

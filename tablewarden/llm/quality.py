@@ -82,7 +82,9 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
         names = [x.split()[0] for x in COUNTS.split(", ")]
         for batch in batches:
             found = pd.DataFrame([counts(t, hashes) for t in batch.iloc[:, -1]], columns=names, dtype="int64")
-            yield pd.concat([batch.iloc[:, :-1].reset_index(drop=True), found], axis=1)
+            kept = batch.iloc[:, :-1].reset_index(drop=True)
+            kept = kept.astype({c: object for c in kept.columns if kept[c].dtype == "str"})
+            yield pd.concat([kept, found], axis=1)
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
     return docs.select(*keep, text).mapInPandas(run, f"{schema}, {COUNTS}")

@@ -91,7 +91,7 @@ def character_model(docs: DataFrame) -> np.ndarray:
 
 # --- the lattice ---------------------------------------------------------------------
 
-SUBSTITUTE, DELETE, REPEAT, SPLIT = -1.0, -1.5, -0.5, -3.0
+SUBSTITUTE, DELETE, REPEAT, DOUBLED, SPLIT = -1.0, -1.5, -0.5, -7.0, -3.0
 
 
 def lattice(span: str) -> list[list[tuple[str, float]]]:
@@ -106,8 +106,10 @@ def lattice(span: str) -> list[list[tuple[str, float]]]:
         run = j - i
         options: list[tuple[str, float]] = []
         if c.isalpha():
-            copies = (1, 2) if run > 1 else (1,)
-            options = [(c * k, 0.0 if k == run else REPEAT) for k in copies]
+            # two are mostly meant, more never are
+            options = [(c, (0.0, DOUBLED, REPEAT)[min(run, 3) - 1])]
+            if run > 1:
+                options.append((c * 2, 0.0 if run == 2 else REPEAT))
         else:
             for letter in LOOK_ALIKES.get(c, ""):
                 options.append((letter, SUBSTITUTE))
@@ -247,7 +249,7 @@ def _scored(docs: DataFrame, scorer: Scorer, keep: list[str], only_sums: bool) -
                 sums.append(scorer.sums(restorer.words(text), known))
                 if len(known) > 500_000:
                     known.clear()
-            out = batch[keep].copy()
+            out = batch[keep].astype({c: object for c in keep if batch[c].dtype == "str"})
             if only_sums:
                 out["sums"] = [list(s) for s in sums]
             else:
@@ -271,7 +273,7 @@ def feature_counts(labelled: DataFrame, model: np.ndarray) -> DataFrame:
                 {"feature": names, "clean": [seen[0][x] for x in names], "toxic": [seen[1][x] for x in names]}
             )
             seen[0].clear(), seen[1].clear()
-            return out.astype({"clean": "int64", "toxic": "int64"})
+            return out.astype({"feature": object, "clean": "int64", "toxic": "int64"})
 
         for batch in batches:
             for text, toxic in zip(batch["text"], batch["toxic"], strict=True):
