@@ -96,11 +96,13 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     scratch = Scratch(docs.sparkSession)
     table = scratch.save(chunks(docs), "chunks")
     place = F.struct("doc_id", "part", "start")
-    kept = (
+    # written, so that the join has no aggregate in its stage and Spark can split a hot digest
+    kept = scratch.save(
         table.groupBy("digest")
         .agg(F.count("*").alias("n"), F.min(place).alias("kept"))
         .filter("n > 1")
-        .select("digest", "kept")
+        .select("digest", "kept"),
+        "kept",
     )
     repeated = table.join(kept, "digest")
     # a repeated row of the table is at the same place as its copy; number such rows

@@ -11,7 +11,8 @@ are compared, and only those whose gram occurs at two places.
 1. Equal texts collapse; a text with a copy and at least LENGTH bytes goes entirely.
 2. Anchors are counted by gram; an aggregate, so frequent grams are combined first.
 3. Anchors with a repeated gram get their context: the bytes before, up to LENGTH - 32, and
-   the bytes from the anchor on, up to LENGTH. Equal contexts of a gram collapse.
+   the bytes from the anchor on, up to LENGTH. Equal contexts of a gram collapse, in each
+   task before the shuffle and again after it.
 4. The contexts of one gram are ordered twice, by what follows and by what precedes
    (reversed). Deep-shallow: multikey quicksort to depth ``SHALLOW``; groups that are still
    equal there go to a blind trie, which finds the place of a string by branching bytes
@@ -26,6 +27,7 @@ are empty; rows that repeat a doc_id or a text are judged one by one.
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -241,10 +243,15 @@ def _anchors(texts: DataFrame) -> DataFrame:
 
 
 def _contexts(texts: DataFrame, with_bytes: bool) -> DataFrame:
-    """A row per anchor of ``texts`` (key, text, anchors): its gram and its context's digest,
-    and either the context or the place."""
+    """A row per anchor of ``texts`` (key, text, anchors): gram, digest of its context, place.
+
+    ``with_bytes``: the contexts themselves, once per task, with how often they occur. A
+    context's further occurrences in a task follow as one row without bytes.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen: Counter = Counter()
+        names = ["gram", "context", *(("left", "right", "times") if with_bytes else ("key", "place"))]
         for batch in batches:
             rows = []
             for key, text, found in zip(batch["key"], batch["text"], batch["anchors"], strict=True):
@@ -253,10 +260,18 @@ def _contexts(texts: DataFrame, with_bytes: bool) -> DataFrame:
                     at = a["place"]
                     left, right = data[max(0, at - SPAN + 1) : at][::-1], data[at : at + LENGTH]
                     digest = hashlib.blake2b(b"%d," % len(left) + left + right, digest_size=16).digest()
-                    rows.append((a["gram"], digest, left, right) if with_bytes else (a["gram"], digest, key, at))
-            yield pd.DataFrame(rows, columns=["gram", "context", *(("left", "right") if with_bytes else ("key", "place"))])
-
-    rest = "left binary, right binary" if with_bytes else "key binary, place int"
+                    if not with_bytes:
+                        rows.append((a["gram"], digest, key, at))
+                        continue
+                    if (a["gram"], digest) not in seen:
+                        rows.append((a["gram"], digest, left, right, 1))
+                    seen[a["gram"], digest] += 1
+            yield pd.DataFrame(rows, columns=names)
+        if with_bytes:
+            rows = [(gram, digest, None, None, n - 1) for (gram, digest), n in seen.items() if n > 1]
+            yield pd.DataFrame(rows, columns=names)
+
+    rest = "left binary, right binary, times long" if with_bytes else "key binary, place int"
     return texts.select("key", "text", "anchors").mapInPandas(run, f"gram long, context binary, {rest}")
 
 
@@ -265,16 +280,15 @@ def _shared(contexts: DataFrame) -> DataFrame:
     must follow one another."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: list[tuple] = []
+        held: dict[bytes, list] = {}  # context to its bytes and count
         out: list[tuple] = []
 
-        def close() -> None:
-            if not held:
-                return
-            before = after = np.zeros(len(held), np.int64)
-            if len(held) > 1:
-                before, after = shared_strings([bytes(x[2]) for x in held], [bytes(x[3]) for x in held])
-            for (gram, context, left, right, times), l, r in zip(held, before.tolist(), after.tolist(), strict=True):
+        def close(gram: int | None) -> None:
+            rows = list(held.items())
+            before = after = np.zeros(len(rows), np.int64)
+            if len(rows) > 1:
+                before, after = shared_strings([x[0] for _, x in rows], [x[1] for _, x in rows])
+            for (context, (left, right, times)), l, r in zip(rows, before.tolist(), after.tolist(), strict=True):
                 if times > 1 and len(left) + len(right) >= LENGTH:
                     l, r = len(left), len(right)
                 if r:
@@ -286,13 +300,20 @@ def _shared(contexts: DataFrame) -> DataFrame:
             out.clear()
             return frame
 
+        current = None
         for batch in batches:
-            for row in zip(*(batch[c].tolist() for c in ("gram", "context", "left", "right", "times")), strict=True):
-                if held and held[0][0] != row[0]:
-                    close()
-                held.append(row)
+            for gram, context, left, right, times in zip(
+                *(batch[c].tolist() for c in ("gram", "context", "left", "right", "times")), strict=True
+            ):
+                if gram != current:
+                    close(current)
+                    current = gram
+                known = held.setdefault(bytes(context), [None, None, 0])
+                known[2] += times
+                if left is not None:
+                    known[:2] = bytes(left), bytes(right)
             yield taken()
-        close()
+        close(current)
         yield taken()
 
     return contexts.select("gram", "context", "left", "right", "times").mapInPandas(
@@ -353,7 +374,8 @@ def repeated_bytes(docs: DataFrame) -> DataFrame:
         "key", F.col("a.grams").alias("gram"), F.col("a.places").alias("place")
     )
     places = scratch.save(places, "places")
-    grams = places.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1").select("gram")
+    # written, so that the join below has no aggregate in its stage and Spark can split a hot gram
+    grams = scratch.save(places.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1").select("gram"), "grams")
     wanted = (
         places.join(grams, "gram").groupBy("key").agg(F.collect_list(F.struct("gram", "place")).alias("anchors"))
     )
@@ -361,12 +383,8 @@ def repeated_bytes(docs: DataFrame) -> DataFrame:
     texts = scratch.save(keyed.dropDuplicates(["key"]).join(wanted, "key"), "texts")
     scratch.drop("places")
 
-    contexts = (
-        _contexts(texts, with_bytes=True)
-        .groupBy("gram", "context")
-        .agg(F.first("left").alias("left"), F.first("right").alias("right"), F.count("*").alias("times"))
-    )
-    shared = scratch.save(_shared(contexts.repartition("gram").sortWithinPartitions("gram")), "shared")
+    contexts = _contexts(texts, with_bytes=True).repartition("gram").sortWithinPartitions("gram")
+    shared = scratch.save(_shared(contexts), "shared")
     spans = (
         _contexts(texts, with_bytes=False)
         .join(shared, ["gram", "context"])
