@@ -8,8 +8,9 @@ similarity is at least ``PERCENT`` / 100. No link is lost:
    among the first n - ceil(0.75 n) + 1 of each. Documents meet in the groups of these
    shingles. The order is by hash, but the most frequent shingles come last, so passages
    that many documents share do not make groups. (Any order is right; this one is fast.)
-3. Each group links to its smallest and largest member first. What this joins into one
-   component needs no further comparison. It settles families of copies in linear work.
+3. Each document is compared with two others first: of the smallest and of the largest
+   members of its groups those it meets most often. What this joins into one component needs
+   no further comparison. It settles families of copies in linear work.
 4. In groups that still hold several components, signature trees find the rest: nodes hold
    the OR of token bitmaps, the range of set sizes and of components. Two trees are walked
    together; a pair of nodes is dropped when its maximum possible overlap is too small for
@@ -33,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
-from tablewarden.llm.common import Scratch, WordHashes, components, load, mixed, windows
+from tablewarden.llm.common import Scratch, WordHashes, components, load, windows
 
 SIZE = 5
 PERCENT = 75
@@ -112,40 +113,62 @@ def _frequent(pool: list[np.ndarray]) -> pd.DataFrame:
     )
 
 
-def _prefixes(docs: DataFrame, last: np.ndarray) -> DataFrame:
+def _shapes(docs: DataFrame, last: np.ndarray) -> DataFrame:
+    """Set size, bitmap and prefix of each document; ``last``: sorted frequent shingles."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = WordHashes()
         for batch in batches:
-            lists = []
+            ns, bits, common, frequent = [], [], [], []
             for text in batch["text"]:
                 s = shingles(text, hashes)
                 n = len(s)
                 take = n - needed(n) + 1 if n else 0
+                late = np.zeros(n, bool)
                 if len(last):
-                    late = np.isin(s, last)
-                    s = np.concatenate([s[~late], s[late]])
-                lists.append(s[:take].view(np.int64))
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "tokens": lists})
+                    late = last[np.minimum(np.searchsorted(last, s), len(last) - 1)] == s
+                ns.append(n)
+                bits.append(bitmap(s).tobytes())
+                common.append(s[~late][:take].view(np.int64))
+                frequent.append(s[late][: max(0, take - len(common[-1]))].view(np.int64))
+            yield pd.DataFrame(
+                {"rep": batch["doc_id"], "n": ns, "bits": bits, "common": common, "frequent": frequent}
+            )
 
-    return docs.select("doc_id", "text").mapInPandas(run, "doc_id long, tokens array<long>")
+    return docs.select("doc_id", "text").mapInPandas(
+        run, "rep long, n long, bits binary, common array<long>, frequent array<long>"
+    )
 
 
 def _encoded(docs: DataFrame) -> DataFrame:
-    """Whole sets and their bitmaps, as bytes."""
+    """Whole sets, as bytes."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = WordHashes()
         for batch in batches:
-            sets = [shingles(t, hashes) for t in batch["text"]]
             yield pd.DataFrame(
-                {
-                    "rep": batch["doc_id"],
-                    "tokens": [s.tobytes() for s in sets],
-                    "bits": [bitmap(s).tobytes() for s in sets],
-                }
+                {"rep": batch["doc_id"], "tokens": [shingles(t, hashes).tobytes() for t in batch["text"]]}
             )
 
-    return docs.select("doc_id", "text").mapInPandas(run, "rep long, tokens binary, bits binary")
+    return docs.select("doc_id", "text").mapInPandas(run, "rep long, tokens binary")
+
+
+@F.pandas_udf(BooleanType())
+def _plausible(m: pd.Series, a: pd.Series, n: pd.Series, b: pd.Series) -> pd.Series:
+    """Whether sets of these sizes and bitmaps may link."""
+
+    def one(m: int, a: bytes, n: int, b: bytes) -> bool:
+        if 100 * min(m, n) < PERCENT * max(m, n):
+            return False
+        x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+        words = min(len(x), len(y))
+        x, y = fold(x, words), fold(y, words)
+        both = int(np.bitwise_count(x & y).sum())
+        # a bit that only one set has stands for a token that only it has
+        most = min(m - int(np.bitwise_count(x).sum()), n - int(np.bitwise_count(y).sum())) + both
+        return (100 + PERCENT) * most >= PERCENT * (m + n)
+
+    return pd.Series([one(*x) for x in zip(m, a, n, b, strict=True)], dtype=bool)
 
 
 @F.pandas_udf(BooleanType())
@@ -160,10 +183,19 @@ def _linked(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([one(x, y) for x, y in zip(a, b, strict=True)], dtype=bool)
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _verified(pairs: DataFrame, docs: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+    """The pairs (a, b) that link. Only texts of documents in a pair are encoded."""
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    ids = scratch.save(ids, f"{name}_ids")
+    few = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    # a doc_id with several texts takes part with each of them
+    sets = scratch.save(_encoded(docs.join(few, "doc_id", "left_semi")).distinct(), f"{name}_sets")
     left = sets.select(F.col("rep").alias("b"), F.col("tokens").alias("_y"))
     right = sets.select(F.col("rep").alias("a"), F.col("tokens").alias("_x"))
-    return pairs.join(left, "b").join(right, "a").filter(_linked("_x", "_y")).select("a", "b")
+    linked = pairs.join(left, "b").join(right, "a").filter(_linked("_x", "_y")).select("a", "b")
+    links = scratch.save(linked, name)
+    scratch.drop(f"{name}_sets")
+    return links
 
 
 # --- signature trees -----------------------------------------------------------------
@@ -285,9 +317,76 @@ def _candidates(group: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"a": np.concatenate(left), "b": np.concatenate(right)}).drop_duplicates()
 
 
+def _pair(rows: list[tuple]) -> pd.DataFrame:
+    """The pair of a group of two, if sizes and bitmaps let it link."""
+    (_, _, _, _, a, p, m, x), (_, _, _, _, b, q, n, y) = rows
+    if p == q or 100 * min(m, n) < PERCENT * max(m, n):
+        return pd.DataFrame({"a": [], "b": []}, dtype="int64")
+    s, t = (np.frombuffer(v, np.uint64) for v in (x, y))
+    words = min(len(s), len(t))
+    s, t = fold(s, words), fold(t, words)
+    most = min(m - int(np.bitwise_count(s).sum()), n - int(np.bitwise_count(t).sum())) + int(np.bitwise_count(s & t).sum())
+    fits = (100 + PERCENT) * most >= PERCENT * (m + n)
+    return pd.DataFrame({"a": [min(a, b)] * fits, "b": [max(a, b)] * fits}, dtype="int64")
+
+
+def _block_pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Trees over sorted rows: those of a pair of blocks follow one another. A task holds
+    two blocks at a time."""
+    columns = ["token", "i", "j", "block", "rep", "label", "n", "bits"]
+    held: list[tuple] = []
+
+    def close() -> pd.DataFrame:
+        if len(held) == 2:
+            out = _pair(held)
+        else:
+            out = _candidates(pd.DataFrame(held, columns=columns))
+        held.clear()
+        return out
+
+    for batch in batches:
+        out = []
+        for row in zip(*(batch[c].tolist() for c in columns), strict=True):
+            if held and held[0][:3] != row[:3]:
+                out.append(close())
+            held.append(row)
+        out = [x for x in out if len(x)]
+        if out:
+            yield pd.concat(out).drop_duplicates()
+    if held:
+        yield close()
+
+
 # --- the join ------------------------------------------------------------------------
 
 
+def _members(shapes: DataFrame) -> DataFrame:
+    """(token, size, lo, hi, rep): the groups of at least two; of groups with the same members
+    one.
+
+    Frequent shingles are aggregated before they are shuffled and joined so that Spark can
+    split them. All others cross once: their groups are counted and joined where they lie.
+    """
+    measures = [
+        F.count("*").alias("size"),
+        F.min("rep").alias("lo"),
+        F.max("rep").alias("hi"),
+        F.bit_xor(F.xxhash64("rep")).alias("mark"),
+    ]
+    common = shapes.select(F.explode("common").alias("token"), "rep").repartition("token")
+    frequent = shapes.select(F.explode("frequent").alias("token"), "rep")
+    counted = [part.groupBy("token").agg(*measures).filter("lo < hi") for part in (common, frequent)]
+    groups = (
+        counted[0]
+        .union(counted[1])
+        .groupBy("size", "lo", "hi", "mark")
+        .agg(F.min("token").alias("token"))
+        .select("token", "size", "lo", "hi")
+    )
+    # one job, so that its two uses of the shuffled rows are one shuffle
+    return common.join(groups, "token").union(frequent.join(groups, "token")).select("token", "size", "lo", "hi", "rep")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id for every row of ``docs`` (doc_id, text)."""
     scratch = Scratch(docs.sparkSession)
@@ -297,7 +396,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     frequent = (
         both.filter("kind = 1").groupBy("token").agg(F.sum("times").alias("times")).orderBy(F.desc("times"), "token")
     )
-    last = np.array([r.token for r in frequent.limit(FREQUENT).collect()], np.int64).view(np.uint64)
+    last = np.sort(np.array([r.token for r in frequent.limit(FREQUENT).collect()], np.int64).view(np.uint64))
 
     filled = sets.filter("n > 0 AND doc_id IS NOT NULL")
     smallest = filled.groupBy("digest").agg(F.min("doc_id").alias("rep"))
@@ -305,49 +404,31 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     copies = reps.filter("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
     heads = reps.filter("doc_id = rep").select("doc_id", "n").distinct()
 
-    prefix = _prefixes(docs, last).join(heads.select("doc_id").distinct(), "doc_id")
-    prefix = prefix.select(F.explode("tokens").alias("token"), F.col("doc_id").alias("rep"))
-    prefix = scratch.save(prefix, "prefix")
-    # groups of the same members are one group
-    groups = (
-        prefix.groupBy("token")
-        .agg(
-            F.count("*").alias("size"),
-            F.min("rep").alias("lo"),
-            F.max("rep").alias("hi"),
-            F.sum(F.xxhash64("rep").cast("decimal(38,0)")).alias("mark"),
-        )
-        .filter("lo < hi")
-        .groupBy("size", "lo", "hi", "mark")
-        .agg(F.min("token").alias("token"))
-        .select("token", "size", "lo", "hi")
-    )
-    members = scratch.save(prefix.join(groups, "token"), "members")
-    scratch.drop("prefix")
+    shapes = _shapes(docs, last).join(heads.withColumnRenamed("doc_id", "rep").select("rep").distinct(), "rep")
+    shapes = scratch.save(shapes, "shapes")
+    members = scratch.save(_members(shapes), "members")
+    small = shapes.select("rep", "n", "bits")
 
-    ends = F.explode(F.array("lo", "hi")).alias("end")
-    stars = members.select("rep", ends).filter("rep <> end")
+    # the smallest and the largest member that a document meets most often
+    ends = F.array(*(F.struct(F.lit(k).alias("side"), F.col(c).alias("end")) for k, c in enumerate(("lo", "hi"))))
+    met = members.select("rep", F.explode(ends).alias("e"))
+    met = met.select("rep", "e.side", "e.end").filter("rep <> end").groupBy("rep", "side", "end").count()
+    stars = met.groupBy("rep", "side").agg(F.max_by("end", F.struct("count", "end")).alias("end"))
     stars = stars.select(F.least("rep", "end").alias("a"), F.greatest("rep", "end").alias("b")).distinct()
-    stars = scratch.save(stars, "stars")
-    ids = scratch.save(members.select(F.col("rep").alias("doc_id")).distinct(), "ids")
-    few = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    encoded = scratch.save(_encoded(docs.join(few, "doc_id", "left_semi")), "encoded")
-    # a doc_id with several texts takes part with each of them
-    links = scratch.save(_verified(stars, encoded.select("rep", "tokens")).distinct(), "links")
+    first = small.toDF("a", "_m", "_x")
+    second = small.toDF("b", "_n", "_y")
+    stars = stars.join(first, "a").join(second, "b").filter(_plausible("_m", "_x", "_n", "_y")).select("a", "b")
+    links = _verified(scratch.save(stars.distinct(), "stars"), docs, scratch, "links")
 
     label = components(links, scratch, "first").withColumnRenamed("node", "rep")
-    # in groups of up to three, the stars were all pairs
-    tested = members.filter("size > 3").select("token", "size", "rep")
-    tested = tested.join(label, "rep", "left").select(
-        "token", "size", "rep", F.coalesce("component", "rep").alias("label")
-    )
+    tested = members.select("token", "size", "rep").join(label, "rep", "left")
+    tested = tested.select("token", "size", "rep", F.coalesce("component", "rep").alias("label"))
     tested = scratch.save(tested, "tested")
-    mixed_groups = (
-        tested.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("token")
-    )
+    open_groups = tested.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi")
+    open_groups = scratch.save(open_groups.select("token"), "open")
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     placed = (
-        tested.join(mixed_groups, "token")
+        tested.join(open_groups, "token")
         .withColumn("block", F.pmod(F.xxhash64("rep"), blocks).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
         .select(
@@ -359,16 +440,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             "label",
         )
     )
-    # n follows from the set, so that a doc_id with several texts has each of its sizes
-    shapes = encoded.select("rep", (F.octet_length("tokens") / 8).cast("long").alias("n"), "bits")
     found = (
-        placed.join(shapes, "rep")
-        .groupBy("token", "i", "j")
-        .applyInPandas(_candidates, "a long, b long")
+        placed.join(small, "rep")
+        .repartition("token", "i", "j")
+        .sortWithinPartitions("token", "i", "j")
+        .mapInPandas(_block_pairs, "a long, b long")
         .filter("a <> b")
         .distinct()
     )
-    more = scratch.save(_verified(found, encoded.select("rep", "tokens")).distinct(), "more")
+    more = _verified(scratch.save(found, "found"), docs, scratch, "more")
     label = components(links.union(more).union(copies), scratch, "all")
     return (
         sets.join(label.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left")
