@@ -8,8 +8,8 @@ similarity is at least ``PERCENT`` / 100. No link is lost:
    among the first n - ceil(0.75 n) + 1 of each. Documents meet in the groups of these
    shingles. The order is by hash, but the most frequent shingles come last, so passages
    that many documents share do not make groups. (Any order is right; this one is fast.)
-3. Each document is compared with two others first: of the smallest and of the largest
-   members of its groups those it meets most often. What this joins into one component needs
+3. Each document is compared with three others first: of the smallest members, the largest
+   members and the hubs of its groups those it meets most often. What this joins into one component needs
    no further comparison. It settles families of copies in linear work.
 4. In groups that still hold several components, signature trees find the rest: nodes hold
    the OR of token bitmaps, the range of set sizes and of components. Two trees are walked
@@ -61,9 +61,9 @@ def shingles(text: str | None, hashes: WordHashes) -> np.ndarray:
 
 
 def bitmap(tokens: np.ndarray) -> np.ndarray:
-    """A bit per token, at least two per token on the whole; widths are powers of two."""
+    """A bit for each token, in a width of at least four bits per token, a power of two."""
     width = 64
-    while width < 2 * len(tokens):
+    while width < 4 * len(tokens):
         width *= 2
     bits = np.zeros(width, np.uint8)
     bits[(tokens & np.uint64(width - 1)).astype(np.int64)] = 1
@@ -314,13 +314,17 @@ def _candidates(group: pd.DataFrame) -> pd.DataFrame:
                 right.append(np.maximum(a, b))
     if not left:
         return pd.DataFrame({"a": [], "b": []}, dtype="int64")
-    return pd.DataFrame({"a": np.concatenate(left), "b": np.concatenate(right)}).drop_duplicates()
+    # a pair that meets in several groups is a candidate in the first of them only
+    token, groups = int(group["token"].iloc[0]), {r: frozenset(g) for r, g in zip(group["rep"], group["groups"])}
+    pairs = zip(np.concatenate(left).tolist(), np.concatenate(right).tolist(), strict=True)
+    kept = {(a, b) for a, b in pairs if a != b and min(groups[a] & groups[b]) == token}
+    return pd.DataFrame(sorted(kept), columns=["a", "b"], dtype="int64")
 
 
 def _pair(rows: list[tuple]) -> pd.DataFrame:
     """The pair of a group of two, if sizes and bitmaps let it link."""
-    (_, _, _, _, a, p, m, x), (_, _, _, _, b, q, n, y) = rows
-    if p == q or 100 * min(m, n) < PERCENT * max(m, n):
+    (token, _, _, _, a, p, m, x, g), (_, _, _, _, b, q, n, y, h) = rows
+    if p == q or 100 * min(m, n) < PERCENT * max(m, n) or min(set(g) & set(h)) != token:
         return pd.DataFrame({"a": [], "b": []}, dtype="int64")
     s, t = (np.frombuffer(v, np.uint64) for v in (x, y))
     words = min(len(s), len(t))
@@ -333,7 +337,7 @@ def _pair(rows: list[tuple]) -> pd.DataFrame:
 def _block_pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Trees over sorted rows: those of a pair of blocks follow one another. A task holds
     two blocks at a time."""
-    columns = ["token", "i", "j", "block", "rep", "label", "n", "bits"]
+    columns = ["token", "i", "j", "block", "rep", "label", "n", "bits", "groups"]
     held: list[tuple] = []
 
     def close() -> pd.DataFrame:
@@ -409,9 +413,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     members = scratch.save(_members(shapes), "members")
     small = shapes.select("rep", "n", "bits")
 
-    # the smallest and the largest member that a document meets most often
-    ends = F.array(*(F.struct(F.lit(k).alias("side"), F.col(c).alias("end")) for k, c in enumerate(("lo", "hi"))))
-    met = members.select("rep", F.explode(ends).alias("e"))
+    # Hubs: the original of a family of copies shares most with the others, so it stands in
+    # more and larger groups than any of its variants.
+    weight = members.groupBy("rep").agg(F.sum("size").alias("weight"))
+    hubs = members.join(weight, "rep").groupBy("token").agg(F.max_by("rep", F.struct("weight", "rep")).alias("hub"))
+    hubs = scratch.save(hubs, "hubs")
+    ends = F.array(*(F.struct(F.lit(k).alias("side"), F.col(c).alias("end")) for k, c in enumerate(("lo", "hi", "hub"))))
+    met = members.join(hubs, "token").select("rep", F.explode(ends).alias("e"))
     met = met.select("rep", "e.side", "e.end").filter("rep <> end").groupBy("rep", "side", "end").count()
     stars = met.groupBy("rep", "side").agg(F.max_by("end", F.struct("count", "end")).alias("end"))
     stars = stars.select(F.least("rep", "end").alias("a"), F.greatest("rep", "end").alias("b")).distinct()
@@ -427,8 +435,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     open_groups = tested.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi")
     open_groups = scratch.save(open_groups.select("token"), "open")
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    still_open = scratch.save(tested.join(open_groups, "token"), "still_open")
+    # a document has no more groups than its prefix has shingles
+    of_each = still_open.groupBy("rep").agg(F.collect_set("token").alias("groups"))
     placed = (
-        tested.join(open_groups, "token")
+        still_open
         .withColumn("block", F.pmod(F.xxhash64("rep"), blocks).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
         .select(
@@ -441,7 +452,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         )
     )
     found = (
-        placed.join(small, "rep")
+        placed.join(small.join(of_each, "rep"), "rep")
         .repartition("token", "i", "j")
         .sortWithinPartitions("token", "i", "j")
         .mapInPandas(_block_pairs, "a long, b long")

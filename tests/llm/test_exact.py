@@ -78,7 +78,7 @@ def test_trees_lose_no_link(data):
     m = len(sets)
     group = pd.DataFrame(
         {
-            "i": 0, "j": 0, "block": 0, "rep": range(m), "label": range(m),
+            "token": 7, "groups": [[7, 9]] * m, "i": 0, "j": 0, "block": 0, "rep": range(m), "label": range(m),
             "n": [len(s) for s in sets], "bits": [jaccard.bitmap(s).tobytes() for s in sets],
         }
     )
