@@ -55,7 +55,8 @@ def orphan_count(child: DataFrame, child_key: str, parent: DataFrame, parent_key
         .groupBy(child_value.alias("_child_key"))
         .agg(F.count(F.lit(1)).alias("_rows"))
     )
-    parents = parent.select(parent_value.alias("_parent_key"))
+    # repeats of a parent are dropped before the shuffle: the join cannot split that side
+    parents = parent.select(parent_value.alias("_parent_key")).distinct()
     return per_key.join(parents, F.col("_child_key") == F.col("_parent_key"), "left_anti").agg(
         F.coalesce(F.sum("_rows"), F.lit(0)).alias("n")
     )
@@ -64,4 +65,4 @@ def orphan_count(child: DataFrame, child_key: str, parent: DataFrame, parent_key
 def previous_row_counts(history: DataFrame) -> DataFrame:
     """``previous_rows`` of each table: the row count of its newest run."""
     newest = F.max_by("row_count", F.struct("run_timestamp", "row_count"))
-    return history.groupBy("catalog", "schema", "table").agg(newest.cast("long").alias("previous_rows"))
+    return history.groupBy("catalog", "schema", "table").agg(newest.try_cast("long").alias("previous_rows"))

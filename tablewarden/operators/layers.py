@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 from operator import or_
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -107,15 +107,18 @@ def create_gold(
 # --- quarantine -------------------------------------------------------------------
 
 
-def row_rules(df: DataFrame, ref: TableRef, book: Rulebook) -> list[RowRule]:
+def row_rules(df: DataFrame, ref: TableRef, book: Rulebook, without: Collection[str] = ()) -> list[RowRule]:
     """The enabled row-level rules of a table that have a predicate to offer.
 
+    ``without``: rules and single conditions that a run found to raise on the data.
+
     Defects of the whole table (absent columns) are the score's business: they do not
     send every row to quarantine.
     """
-    settings = {d: book.setting(ref, d) for d in ROW_RULES if book.enabled(d)}
+    settings = {d: book.setting(ref, d) for d in ROW_RULES if book.enabled(d) and d not in without}
     rules, _ = build_row_rules(df, {d: s for d, s in settings.items() if s})
-    return [rule for rule in rules.values() if rule.failing]
+    left = [rule.without(without) for rule in rules.values()]
+    return [rule for rule in left if rule.failing]
 
 
 def failing_condition(rules: Sequence[RowRule]) -> Column | None:

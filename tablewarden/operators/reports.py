@@ -22,7 +22,8 @@ def final_report(summary: DataFrame, rows: int = 100) -> DataFrame:
 
 def latest_results(summary: DataFrame) -> DataFrame:
     """Newest summary row of each table. The rank filter is applied before the shuffle too."""
-    newest_first = W.partitionBy(*TABLE_KEY).orderBy(F.col("run_timestamp").desc())
+    others = (F.col(c).desc() for c in summary.columns if c not in (*TABLE_KEY, "run_timestamp"))
+    newest_first = W.partitionBy(*TABLE_KEY).orderBy(F.col("run_timestamp").desc(), *others)
     return summary.withColumn("_rank", F.row_number().over(newest_first)).filter("_rank = 1").drop("_rank")
 
 

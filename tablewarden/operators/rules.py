@@ -97,10 +97,18 @@ def _not_allowed(value: Column, data_type: T.DataType, allowed: Any) -> Column:
     values = list(allowed) if isinstance(allowed, (list, tuple, set)) else [allowed]
     known = [v for v in values if v is not None]
     mixed = any(isinstance(v, str) for v in known) != isinstance(data_type, T.StringType)
-    if known and mixed and not any(isinstance(v, bool) for v in known):
-        # text and other types compare as text, so that ANSI mode cannot raise
-        return ~value.cast("string").isin([None if v is None else str(v) for v in values])
-    return ~value.isin(values)
+    if not known or not mixed or any(isinstance(v, bool) for v in known):
+        return ~value.isin(values)
+    # the text side converts to the other type, as in a plain comparison, but without raising
+    if isinstance(data_type, T.StringType):
+        whole = all(isinstance(v, int) for v in known)
+        allowed_values = [F.lit(v) for v in known]
+        value = value.try_cast("bigint" if whole else "double")
+    else:
+        allowed_values = [F.lit(v).try_cast(data_type) for v in known]
+    # what does not convert matches nothing; NULL in the list leaves the rest unknown
+    matches = balanced(or_, [F.coalesce(value == v, F.lit(False)) for v in allowed_values])
+    return F.when(matches, F.lit(False)).otherwise(F.lit(None if len(known) < len(values) else True).cast("boolean"))
 
 
 def _beyond(value: Column, limits: Mapping[str, Any], number: Callable[[Any], Any]) -> Column | None:

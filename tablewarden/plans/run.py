@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Collection, Iterable, Sequence
 from dataclasses import dataclass, field
 from uuid import uuid4
 
@@ -38,6 +38,7 @@ class RunOutcome:
     run_id: str
     processed: list[TableRef] = field(default_factory=list)
     failed: dict[TableRef, str] = field(default_factory=dict)
+    skipped: dict[TableRef, set[str]] = field(default_factory=dict)  # checks that raise on the data
 
 
 @dataclass
@@ -69,6 +70,7 @@ class Run:
     def tables(self, refs: Iterable[TableRef], read: Callable[[TableRef], DataFrame] | None = None) -> RunOutcome:
         """Evaluate and profile tables, then write summary, detail, profile, candidates, totals."""
         read = read or (lambda ref: read_table(self.spark, ref))
+        self._call = f"{self.outcome.run_id}-{uuid4().hex[:8]}"  # a second call writes its own tables only
         loaded = []
         for ref in refs:
             try:
@@ -102,7 +104,7 @@ class Run:
 
     def _stage(self, measures: DataFrame, history: DataFrame | None) -> None:
         frame = results(measures, self.book, self.run_timestamp, history)
-        staged = frame.withColumn("run_id", F.lit(self.outcome.run_id)).coalesce(1)
+        staged = frame.withColumn("run_id", F.lit(self._call)).coalesce(1)
         self.store.write(staged, self.audit, STAGED, "append", partition_by=("run_id",))
 
     def _evaluate(self, tables: Sequence[Table], history: DataFrame | None) -> None:
@@ -113,6 +115,10 @@ class Run:
             if len(tables) > 1:
                 for table in tables:
                     self._evaluate([table], history)
+            elif history is not None and not _raises(table_measures(tables[0], self.book, self.load)):
+                # the table is sound, so the history is not: the volume rule passes without it
+                log.warning("table %s: %s; going on without history", tables[0].ref.full, error)
+                self._evaluate(tables, None)
             else:
                 log.warning("table %s: %s; looking for the cause", tables[0].ref.full, error)
                 self._evaluate_without_raising(tables[0], history)
@@ -121,6 +127,7 @@ class Run:
         try:
             without = raising_checks(table, self.book, self.load)
             self._stage(table_measures(table, self.book, self.load, RULE_IDS, without), history)
+            self.outcome.skipped[table.ref] = without
             self.outcome.processed.append(table.ref)
         except Exception as error:
             self._failed(table.ref, error)
@@ -159,15 +166,15 @@ class Run:
         candidates = nothing.withColumnRenamed("run_timestamp", "created_timestamp")
         if tables:
             staged = store.read(spark, self.audit, STAGED)
-            staged = staged.filter(F.col("run_id") == self.outcome.run_id).drop("run_id")
+            staged = staged.filter(F.col("run_id") == self._call).drop("run_id")
             summary, rule_results = summarise(staged, book), detail(staged)
             store.write(summary.coalesce(1), self.audit, book.output("summary"), "append")
             store.write(rule_results.coalesce(1), self.audit, book.output("audit"), "append")
         if profiled:
             profile = store.read(spark, book.layer("candidate"), book.output("profiling"))
             candidates = rule_candidates(profile, book.candidate_null_pct)
-            if not candidates.isEmpty():
-                store.write(candidates.coalesce(1), book.layer("candidate"), book.output("candidates"))
+            # also when there are none, so that they belong to the stored profile
+            store.write(candidates.coalesce(1), book.layer("candidate"), book.output("candidates"))
         if attempts:
             totals = run_totals(tried, summary, rule_results, profile, candidates)
             store.write(totals.coalesce(1), self.audit, book.output("pipeline_runs"), "append")
@@ -230,15 +237,24 @@ class Promotion:
 
 
 def promote(
-    table: Table, book: Rulebook, store: Store, run_id: str, score: float, status: str, at: Column | None = None
+    table: Table,
+    book: Rulebook,
+    store: Store,
+    run_id: str,
+    score: float,
+    status: str,
+    at: Column | None = None,
+    without: Collection[str] = (),
 ) -> Promotion:
     """Take a scored table through the layers: bronze, quarantine, silver, gold.
 
+    ``without``: what the run skipped for this table (``RunOutcome.skipped``).
+
     Silver is made from the stored bronze table, so the source is read once for it.
     """
     spark = table.df.sparkSession
     _, columns = write_bronze(table.df, table.ref, store, book, at)
-    condition = failing_condition(row_rules(table.df, table.ref, book))
+    condition = failing_condition(row_rules(table.df, table.ref, book, without))
     quarantined = create_quarantine(table.df, condition, table.ref, store, book, run_id, at)
     bronze = store.read(spark, book.layer("bronze"), table.ref.table)
     silver = create_silver(bronze, table.ref.table, store, book, score)

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Collection, Iterable
-from functools import reduce
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewarden.functions.names import TableRef, quote
+from tablewarden.functions.trees import balanced
 
 log = logging.getLogger(__name__)
 
@@ -74,4 +74,7 @@ def table_inventory(
         for ref, df in tables
         if in_scope(ref.schema, excluded, allowed)
     ]
-    return reduce(DataFrame.unionByName, counts)
+    if not counts:
+        schema = "schema string, table string, row_count long, column_count long"
+        return SparkSession.active().createDataFrame([], schema)
+    return balanced(DataFrame.unionByName, counts)

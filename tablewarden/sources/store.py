@@ -7,6 +7,7 @@ both kinds where its jars are present.
 
 from __future__ import annotations
 
+import re
 import tempfile
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -80,6 +81,6 @@ def shared_root(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return f"{folder.rstrip('/')}/tablewarden-{uuid4().hex}"
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.conf.get("spark.master", "")):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return tempfile.mkdtemp(prefix="tablewarden-")

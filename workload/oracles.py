@@ -438,7 +438,7 @@ ORACLES: dict[str, str] = {
                 {rows("o_orderdate_str IS NOT NULL AND TRY_CAST(o_orderdate_str AS DATE) IS NULL")} AS failed
                 FROM orders_dq
             UNION ALL SELECT 'priority_code', 'int', count(*),
-                {rows("o_orderpriority IS NOT NULL AND TRY_CAST(substr(o_orderpriority, 1, 1) AS INT) IS NULL")}
+                {rows("o_orderpriority IS NOT NULL AND TRY_CAST(o_orderpriority AS INT) IS NULL")}
                 FROM orders_dq
             UNION ALL SELECT 'custkey_text', 'bigint', count(*),
                 {rows("o_custkey IS NOT NULL AND TRY_CAST(o_custkey::VARCHAR AS BIGINT) IS NULL")}

@@ -130,7 +130,7 @@ def castable_values(spark: SparkSession, folder: str) -> DataFrame:
     orders = Tables(spark, folder).frame("orders_dq")
     texts = orders.select(
         "o_orderdate_str",
-        F.substring("o_orderpriority", 1, 1).alias("priority_code"),
+        F.col("o_orderpriority").alias("priority_code"),
         F.col("o_custkey").cast("string").alias("custkey_text"),
     )
     return castable(texts, {"o_orderdate_str": "date", "priority_code": "integer", "custkey_text": "bigint"})
@@ -190,7 +190,7 @@ def ml_dynamic_weights(spark: SparkSession, folder: str) -> DataFrame:
     )
     store, settings = Store(shared_root(spark)), CONFIG["ml_weighting"]
     store.write(history, "sales", settings["incident_table"])  # training passes over it several times
-    return train_weights(book(), store, lambda name: store.read(spark, "sales", name), partitions=8)
+    return train_weights(book(), store, lambda name: store.read(spark, "sales", name))
 
 
 # --- sources, sinks, layers -------------------------------------------------------------

@@ -38,7 +38,7 @@ ORDERS_DQ = [
     "CASE WHEN o_orderkey % 211 = 0 THEN -o_totalprice ELSE o_totalprice END AS o_totalprice",
     "o_orderdate",
     "CASE WHEN o_orderkey % 113 = 0 THEN 'not-a-date'"
-    " ELSE substr(CAST(o_orderdate AS STRING), 1, 10) END AS o_orderdate_str",
+    " ELSE CAST(CAST(o_orderdate AS DATE) AS STRING) END AS o_orderdate_str",
     "CASE WHEN o_orderkey % 31 = 0 THEN NULL WHEN o_orderkey % 37 = 0 THEN 'bad prio'"
     " ELSE o_orderpriority END AS o_orderpriority",
 ]
