@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,19 +23,25 @@ def short_key(value: str, data_type: str) -> str:
     return f"IF(octet_length({value}) > 64, {digest}, {value})"
 
 
-def distinct_count(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row ``n``: distinct key tuples, NULL being a value.
+def distinct_count(df: DataFrame, keys: Sequence[str], by: Column | None = None) -> DataFrame:
+    """One row ``n``: distinct key tuples, NULL being a value. With ``by`` (a named
+    expression), a row per value of it.
 
     Only the key columns are read. Spark drops repeats within each task before the
     shuffle, so a key that holds a third of all rows costs one row per task.
     """
+    group = [] if by is None else [by]
     types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    short = (f"{short_key(quote(k), types[k])} AS key_{i}" for i, k in enumerate(keys))
-    return df.selectExpr(*short).distinct().agg(F.count(F.lit(1)).alias("n"))
+    short = (F.expr(f"{short_key(quote(k), types[k])} AS key_{i}") for i, k in enumerate(keys))
+    distinct = df.select(*group, *short).distinct()
+    return distinct.groupBy(*distinct.columns[: len(group)]).agg(F.count(F.lit(1)).alias("n"))
 
 
-def orphan_count(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str) -> DataFrame:
-    """One row ``n``: child rows whose non-NULL key has no parent.
+def orphan_count(
+    child: DataFrame, child_key: str, parent: DataFrame, parent_key: str, by: Column | None = None
+) -> DataFrame:
+    """One row ``n``: child rows whose non-NULL key has no parent. With ``by`` (a named
+    expression), a row per value of it that has such rows; then a key crosses once per value.
 
     Child rows are counted per key first, so the join sees each key once per task at
     most, whatever the skew; the aggregate's partitioning is then reused by the join.
@@ -50,16 +56,16 @@ def orphan_count(child: DataFrame, child_key: str, parent: DataFrame, parent_key
             child_value = child_value.try_cast(parent_type)
         else:
             parent_value = parent_value.try_cast(child_type)
+    group = [] if by is None else [by]
     per_key = (
         child.filter(col(child_key).isNotNull())
-        .groupBy(child_value.alias("_child_key"))
+        .groupBy(*group, child_value.alias("_child_key"))
         .agg(F.count(F.lit(1)).alias("_rows"))
     )
     # repeats of a parent are dropped before the shuffle: the join cannot split that side
     parents = parent.select(parent_value.alias("_parent_key")).distinct()
-    return per_key.join(parents, F.col("_child_key") == F.col("_parent_key"), "left_anti").agg(
-        F.coalesce(F.sum("_rows"), F.lit(0)).alias("n")
-    )
+    orphans = per_key.join(parents, F.col("_child_key") == F.col("_parent_key"), "left_anti")
+    return orphans.groupBy(*per_key.columns[: len(group)]).agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("n"))
 
 
 def previous_row_counts(history: DataFrame) -> DataFrame:

@@ -56,22 +56,30 @@ def score_history(summary: DataFrame) -> DataFrame:
 def kpis(detail: DataFrame, book: Rulebook) -> DataFrame:
     """Checks and outcomes per dimension, by table and (table columns NULL) overall.
 
-    The rule catalog that names the dimensions is broadcast: a rulebook has sixteen rules.
+    Overall, a dimension without checks has a row with 0 checks and no rates. The rule
+    catalog that names the dimensions is broadcast: a rulebook has sixteen rules.
     """
     status = F.col("status")
     dimensions = book.catalog_frame(detail.sparkSession).select("dq_id", "dimension")
-    graded = detail.filter(status != "SKIPPED").join(F.broadcast(dimensions), "dq_id")
+    graded = (
+        detail.filter(status != "SKIPPED")
+        .join(F.broadcast(dimensions), "dq_id")
+        .select(*TABLE_KEY, "dimension", "status", "failure_percentage")
+        .unionByName(dimensions.select("dimension"), allowMissingColumns=True)
+    )
     by = [F.col(c) for c in (*TABLE_KEY, "dimension")]
-    checks = F.count(F.lit(1))
+    checks = F.count("status")
     passed = F.count_if(status == "PASS")
-    return graded.groupingSets([by, by[-1:]], *by).agg(
+    counted = graded.groupingSets([by, by[-1:]], *by).agg(
+        F.grouping_id().alias("_set"),
         checks.alias("checks"),
         passed.alias("passed"),
         F.count_if(status == "WARNING").alias("warnings"),
         F.count_if(status == "FAIL").alias("failed"),
-        F.round(passed / checks * 100, 4).alias("pass_rate"),
+        F.round(passed / F.nullif(checks, F.lit(0)) * 100, 4).alias("pass_rate"),
         F.round(F.avg("failure_percentage"), 4).alias("mean_failure_percentage"),
     )
+    return counted.filter("_set > 0 OR checks > 0").drop("_set")
 
 
 def run_totals(

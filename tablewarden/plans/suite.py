@@ -11,6 +11,9 @@ and, once for all tables, one aggregate over the run history for the volume rule
 Adding the measures up per table and rule gives the results; only a handful of rows
 per table ever reach that last shuffle.
 
+With a period per table the same plan gives the history of runs: every scan groups by the
+period too, and the volume rule looks at the period before.
+
 Measures are put together as SQL text: they refer to columns of the fused aggregate
 (``_total`` is the row count) and would otherwise be hundreds of small Column calls.
 """
@@ -24,6 +27,7 @@ from typing import Any
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tablewarden.functions.grading import (
@@ -32,7 +36,7 @@ from tablewarden.functions.grading import (
     volume_percentage,
     volume_status,
 )
-from tablewarden.functions.names import TableRef, col, resolve
+from tablewarden.functions.names import TableRef, col, quote, resolve
 from tablewarden.functions.trees import balanced
 from tablewarden.operators.datatypes import mismatched_columns
 from tablewarden.operators.keys import distinct_count, orphan_count, previous_row_counts
@@ -91,9 +95,9 @@ def _whole_table_fails(dq_id: str) -> str:
 
 
 def _extra(count: DataFrame, dq_ids: Sequence[str], sign: int = 1) -> DataFrame:
-    """A one-row frame ``n`` as failures added to, or taken from, some rules."""
+    """Counts ``n``, one or one per period, as failures added to, or taken from, some rules."""
     measures = ", ".join(_measure(d, f"{sign} * n", 0) for d in dq_ids)
-    return count.selectExpr(f"inline(array({measures}))")
+    return count.selectExpr(*(quote(c) for c in count.columns if c != "n"), f"inline(array({measures}))")
 
 
 def _counted(rule: RowRule) -> Part:
@@ -111,7 +115,9 @@ def _row_rule(rule: RowRule) -> Part:
     return part
 
 
-def _uniqueness(table: Table, book: Rulebook, dq_id: str, sharing: Collection[str]) -> Part:
+def _uniqueness(
+    table: Table, book: Rulebook, dq_id: str, sharing: Collection[str], by: Column | None
+) -> Part:
     """Rows minus distinct keys. The first rule with these keys counts them for all."""
     keys = book.setting(table.ref, dq_id)
     if not keys:
@@ -120,11 +126,11 @@ def _uniqueness(table: Table, book: Rulebook, dq_id: str, sharing: Collection[st
     if None in found:
         return Part(_whole_table_fails(dq_id))
     same = [d for d in sharing if book.setting(table.ref, d) == keys]
-    branches = [_extra(distinct_count(table.df, found), same, -1)] if same[0] == dq_id else []
+    branches = [_extra(distinct_count(table.df, found, by), same, -1)] if same[0] == dq_id else []
     return Part(_measure(dq_id, "_total"), branches=branches)
 
 
-def _integrity(table: Table, book: Rulebook, load: Loader) -> Part:
+def _integrity(table: Table, book: Rulebook, load: Loader, by: Column | None) -> Part:
     null_keys, absent, branches = {}, 0, []
     for relation in book.relationships(table.ref):
         child = resolve(table.df.columns, relation["child_column"])
@@ -135,7 +141,7 @@ def _integrity(table: Table, book: Rulebook, load: Loader) -> Part:
             continue
         if not relation.get("nullable_allowed", True):
             null_keys[str(len(null_keys))] = col(child).isNull()
-        branches.append(_extra(orphan_count(table.df, child, parents, parent), ["DQ06"]))
+        branches.append(_extra(orphan_count(table.df, child, parents, parent, by), ["DQ06"]))
     part = _counted(RowRule("DQ06", null_keys, absent))
     part.branches += branches
     return part
@@ -150,7 +156,12 @@ def _data_types(table: Table, book: Rulebook) -> Part:
 
 
 def _parts(
-    table: Table, book: Rulebook, load: Loader, only: Sequence[str], without: Collection[str]
+    table: Table,
+    book: Rulebook,
+    load: Loader,
+    only: Sequence[str],
+    without: Collection[str],
+    by: Column | None,
 ) -> dict[str, Part]:
     active = [d for d in only if book.enabled(d) and d not in without]
     settings = {d: book.setting(table.ref, d) for d in active if d in ROW_RULES}
@@ -167,9 +178,9 @@ def _parts(
         if dq_id in row_rules:
             return _row_rule(row_rules[dq_id].without(without))
         if dq_id in sharing:
-            return _uniqueness(table, book, dq_id, sharing)
+            return _uniqueness(table, book, dq_id, sharing, by)
         if dq_id == "DQ06":
-            return _integrity(table, book, load)
+            return _integrity(table, book, load, by)
         if dq_id == "DQ13":
             return _data_types(table, book)
         return Part(_measure(dq_id))  # nothing configured; DQ16 is graded from row_count and history
@@ -188,26 +199,28 @@ def _rows_where(predicate: Column) -> Column:
     return F.count(F.when(predicate, 1))
 
 
-def _fused(df: DataFrame, parts: dict[str, Part]) -> DataFrame:
-    """One row: ``_total`` and the count of every check."""
+def _fused(df: DataFrame, parts: dict[str, Part], by: Column | None) -> DataFrame:
+    """One row, or one per period: ``_total`` and the count of every check."""
+    grouped = df.groupBy(*([] if by is None else [by]))
     total = F.count(F.lit(1)).alias("_total")
     checks = {name: p for part in parts.values() for name, p in part.checks.items()}
     try:
-        return df.agg(total, *(_rows_where(p).alias(name) for name, p in checks.items()))
+        return grouped.agg(total, *(_rows_where(p).alias(name) for name, p in checks.items()))
     except AnalysisException:
         # some check is fine in a filter but not in an aggregate, e.g. a random sample
-        kept = [c for dq_id, part in parts.items() for c in _keep_or_scan_apart(df, dq_id, part)]
-        return df.agg(total, *kept)
+        kept = [c for dq_id, part in parts.items() for c in _keep_or_scan_apart(df, dq_id, part, by)]
+        return grouped.agg(total, *kept)
 
 
-def _keep_or_scan_apart(df: DataFrame, dq_id: str, part: Part) -> list[Column]:
+def _keep_or_scan_apart(df: DataFrame, dq_id: str, part: Part, by: Column | None) -> list[Column]:
     columns = []
     for name, predicate in part.checks.items():
         try:
             df.agg(_rows_where(predicate))
             columns.append(_rows_where(predicate).alias(name))
         except AnalysisException:
-            part.branches.append(_extra(df.filter(predicate).agg(F.count(F.lit(1)).alias("n")), [dq_id]))
+            failing = df.filter(predicate).groupBy(*([] if by is None else [by]))
+            part.branches.append(_extra(failing.agg(F.count(F.lit(1)).alias("n")), [dq_id]))
             columns.append(F.lit(0).alias(name))
     return columns
 
@@ -218,14 +231,19 @@ def table_measures(
     load: Loader | None = None,
     only: Sequence[str] = RULE_IDS,
     without: Collection[str] = (),
+    period: Column | None = None,
 ) -> DataFrame:
     """Measures of one table. ``load`` finds parent tables by name.
 
+    With ``period`` there are measures for each of its values, in ``run_timestamp``.
+
     ``without`` names rules (``DQ06``) to report as not runnable and single checks
     (``DQ02.name``) to skip; see :mod:`tablewarden.plans.run`.
     """
-    parts = _parts(table, book, load or table.df.sparkSession.table, only, without)
-    fused = _fused(table.df, parts).selectExpr(
+    by = None if period is None else period.alias("run_timestamp")
+    parts = _parts(table, book, load or table.df.sparkSession.table, only, without, by)
+    fused = _fused(table.df, parts, by).selectExpr(
+        *([] if by is None else ["run_timestamp"]),
         "_total AS row_count",
         f"{len(table.df.columns)}L AS column_count",
         f"inline(array({', '.join(p.measure for p in parts.values())}))",
@@ -238,10 +256,13 @@ def table_measures(
 
 
 def results(
-    measures: DataFrame, book: Rulebook, run_timestamp: Column, history: DataFrame | None = None
+    measures: DataFrame, book: Rulebook, run_timestamp: Column | None, history: DataFrame | None = None
 ) -> DataFrame:
     """Add the measures up and grade them: one row per table and rule.
 
+    Without a ``run_timestamp`` the measures bring their own: one row per table, period and
+    rule, and the volume rule compares with the period before.
+
     ``history`` is an earlier summary (``catalog, schema, table, run_timestamp,
     row_count``); without a usable one the volume rule passes.
     """
@@ -250,7 +271,8 @@ def results(
         measures = measures.withColumn("previous_rows", F.lit(None).cast("long"))
     else:
         measures = union_all([measures, previous])
-    added = measures.groupBy(*TABLE_KEY, "dq_id").agg(
+    key = [*TABLE_KEY, *(["run_timestamp"] if run_timestamp is None else []), "dq_id"]
+    added = measures.groupBy(*key).agg(
         F.sum("failed").alias("failed_records"),
         F.sum("checked").alias("checked"),
         *(
@@ -259,6 +281,11 @@ def results(
         ),
     )
     current, before = F.col("row_count"), F.col("previous_rows")
+    added = added.filter(current.isNotNull())  # not: history of tables outside this run
+    if run_timestamp is None:  # a row per period in each partition of the window
+        run_timestamp = F.col("run_timestamp")
+        runs = W.partitionBy(*TABLE_KEY, "dq_id").orderBy("run_timestamp")
+        added = added.withColumn("previous_rows", F.lag("row_count").over(runs))
     is_volume = (F.col("dq_id") == "DQ16") & F.col("fixed_status").isNull()
     share = percentage(F.col("failed_records"), F.col("checked"))
     pct = F.coalesce(
@@ -267,8 +294,7 @@ def results(
     volume = volume_status(current, before, book.volume_pass_pct, book.volume_warning_pct)
     graded = F.when(is_volume, volume).otherwise(rule_status(F.col("failure_percentage")))
     return (
-        added.filter(current.isNotNull())  # not: history of tables outside this run
-        .withColumn("failure_percentage", pct)
+        added.withColumn("failure_percentage", pct)
         .select(
             *TABLE_KEY,
             run_timestamp.alias("run_timestamp"),
@@ -305,6 +331,21 @@ def run_suite(
     return results(measures, book, F.current_timestamp() if run_timestamp is None else run_timestamp, history)
 
 
+def run_suite_by_period(
+    tables: Sequence[tuple[Table, Column]],
+    book: Rulebook,
+    load: Loader | None = None,
+    only: Sequence[str] = RULE_IDS,
+) -> DataFrame:
+    """Results of all rules for each period of each table, as if run once per period.
+
+    The period of a row is an expression; rows without one form a period of their own. A
+    large period stays cheap, as tasks combine their counts and keys before any shuffle.
+    """
+    measures = union_all([table_measures(t, book, load, only, period=period) for t, period in tables])
+    return results(measures, book, None)
+
+
 def detail(rule_results: DataFrame) -> DataFrame:
     """The audit detail: results without the counts the summary needs."""
     return rule_results.drop("row_count", "column_count")

@@ -6,7 +6,10 @@ from pyspark.sql import functions as F
 from tablewarden.functions.names import TableRef
 from tablewarden.operators.datatypes import castable
 from tablewarden.operators.keys import orphan_count, previous_row_counts
+from tablewarden.operators.reports import kpis
 from tablewarden.operators.rules import build_row_rules
+from tablewarden.plans.rulebook import Rulebook
+from tablewarden.plans.suite import Table, run_suite, run_suite_by_period
 from tablewarden.sources.inventory import table_inventory
 from tablewarden.sources.store import shared_root
 
@@ -66,3 +69,51 @@ def test_only_a_local_session_may_use_its_own_folder(spark, monkeypatch):
 
     with pytest.raises(ValueError):
         shared_root(Session)
+
+
+def test_history_by_period_equals_a_run_per_period(spark):
+    """All sixteen rules; a period that holds most rows, keys shared by periods, no period."""
+    rows = [("a", i % 50, i % 7, "2024-01-01") for i in range(400)]
+    rows += [("b", i, None if i % 5 == 0 else i % 9, "2024-01-02") for i in range(60)]
+    rows += [(None, 3, 8, None), (None, 3, 8, None)]
+    df = spark.createDataFrame(rows, "name string, id int, parent int, day string")
+    parents = spark.createDataFrame([(i,) for i in range(8)] * 3, "p int")
+    book = Rulebook(
+        {
+            "table_rules": {
+                "c.s.t": {
+                    "mandatory_columns": ["name"], "unique_keys": ["id"], "range_rules": {"id": {"max": 40}},
+                    "expected_types": {"id": "bigint", "name": "string"},
+                }
+            },
+            "relationships": [
+                {"child_table": "c.s.t", "child_column": "parent", "parent_table": "p", "parent_column": "p",
+                 "nullable_allowed": False}
+            ],
+        }
+    )
+    ref, period = TableRef("c", "s", "t"), F.to_timestamp_ntz(F.col("day"))
+    fields = ("dq_id", "status", "failure_percentage", "failed_records", "row_count")
+    found = run_suite_by_period([(Table(ref, df), period)], book, lambda _: parents).collect()
+    assert len(found) == 48
+    before = None
+    for day in (None, "2024-01-01", "2024-01-02"):
+        part = df.filter(F.col("day").eqNullSafe(F.lit(day)))
+        history = None if before is None else spark.createDataFrame(
+            [("c", "s", "t", "2000-01-01", before)], "catalog string, schema string, table string, run_timestamp string, row_count long"
+        )
+        alone = run_suite([Table(ref, part)], book, F.lit(None).cast("timestamp"), lambda _: parents, history).collect()
+        own = [r for r in found if (str(r.run_timestamp)[:10] if r.run_timestamp else None) == day]
+        assert sorted(tuple(r[f] for f in fields) for r in own) == sorted(tuple(r[f] for f in fields) for r in alone)
+        before = part.count()
+
+
+def test_kpis_name_dimensions_without_checks(spark):
+    detail = spark.createDataFrame(
+        [("c", "s", "t", "DQ01", "PASS", 0.0), ("c", "s", "t", "DQ02", "SKIPPED", 0.0)],
+        "catalog string, schema string, table string, dq_id string, status string, failure_percentage double",
+    )
+    found = kpis(detail, Rulebook({})).collect()
+    assert len(found) == 17
+    assert [(r.dimension, r.checks, r.pass_rate) for r in found if r.table] == [("completeness", 1, 100.0)]
+    assert {(r.checks, r.pass_rate) for r in found if not r.table} == {(1, 100.0), (0, None)}

@@ -139,9 +139,6 @@ COLUMN_COUNTS = {
 
 RULES = [f"DQ{i:02d}" for i in range(1, 17)]
 
-# Row-level rules, in the order their ids are reported.
-ROW_RULES = ["DQ01", "DQ02", "DQ03", "DQ05", "DQ07", "DQ08", "DQ09", "DQ11", "DQ12", "DQ14", "DQ15"]
-
 # Weights of the rules.
 WEIGHTS = dict(zip(RULES, [10, 10, 8, 8, 7, 7, 6, 5, 5, 7, 8, 4, 5, 4, 5, 1]))
 
@@ -237,24 +234,53 @@ ALL_TABLES = list(CHECKS)
 PERIODS = {"orders_dq": ("year", "o_orderdate"), "lineitem": ("year", "l_shipdate"), "events": ("week", "ts")}
 
 
+# Keys and parents of the tables with periods: (child key, parent, parent key)
+UNIQUE = {"orders_dq": "o_orderkey", "lineitem": "l_orderkey, l_linenumber", "events": "event_id"}
+PARENTS = {
+    "orders_dq": [("o_custkey", "customer_dq", "c_custkey")],
+    "lineitem": [("l_orderkey", "orders_dq", "o_orderkey"), ("l_partkey", "part", "p_partkey")],
+}
+
+
+def period_check(table: str, rule: str) -> str | tuple[str, str]:
+    """As ``CHECKS``, within a period; orphans are marked in the table read."""
+    if rule in ("DQ04", "DQ10"):
+        return f"count(*) - count(DISTINCT row({UNIQUE[table]}))"
+    if rule == "DQ06":
+        marks = [f"orphan_{i}" for i in range(len(PARENTS.get(table, [])))]
+        return rows(*marks, *(["o_custkey IS NULL"] if table == "orders_dq" else [])) or "0"
+    return CHECKS[table].get(rule, "0")
+
+
 def run_history() -> str:
     parts = []
     for table, (period, column) in PERIODS.items():
-        for rule in ROW_RULES:
-            if rule not in CHECKS[table]:
-                continue
-            check = CHECKS[table][rule]
+        at, own = f"date_trunc('{period}', {column})::TIMESTAMP", f"{COLUMN_COUNTS[table]}::BIGINT AS column_count"
+        orphan = "".join(
+            f", t.{child} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {parent} p WHERE p.{parent_key} = t.{child})"
+            f" AS orphan_{i}"
+            for i, (child, parent, parent_key) in enumerate(PARENTS.get(table, []))
+        )
+        for rule in RULES[:-1]:
+            check = period_check(table, rule)
             failed, checked = check if isinstance(check, tuple) else (check, "count(*)")
+            source = f"(SELECT t.*{orphan} FROM {table} t)" if rule == "DQ06" else table
             parts.append(
-                f"""SELECT {key(table)}, date_trunc('{period}', {column})::TIMESTAMP AS run_timestamp,
-                    '{rule}' AS dq_id, ({failed})::BIGINT AS failed, ({checked})::BIGINT AS checked,
-                    count(*)::BIGINT AS row_count, {COLUMN_COUNTS[table]}::BIGINT AS column_count
-                    FROM {table} GROUP BY date_trunc('{period}', {column})"""
+                f"""SELECT {key(table)}, {at} AS run_timestamp, '{rule}' AS dq_id, ({failed})::BIGINT AS failed,
+                    ({checked})::BIGINT AS checked, count(*)::BIGINT AS row_count, {own}
+                    FROM {source} GROUP BY {at}"""
             )
+        parts.append(
+            f"""SELECT {key(table)}, run_timestamp, 'DQ16', coalesce(abs(n - before), 0), coalesce(before, 0), n, {own}
+                FROM (SELECT *, lag(n) OVER (ORDER BY run_timestamp) AS before FROM (
+                    SELECT {at} AS run_timestamp, count(*)::BIGINT AS n FROM {table} GROUP BY {at}))"""
+        )
     return f"""WITH {DIRTIED_SQL}, counted AS ({' UNION ALL '.join(parts)}),
         measured AS (SELECT *, {PCT} AS pct FROM counted),
-        history AS (SELECT "catalog", "schema", "table", run_timestamp, dq_id, {STATUS} AS status,
-            pct AS failure_percentage, failed AS failed_records, row_count, column_count FROM measured)"""
+        history AS (SELECT "catalog", "schema", "table", run_timestamp, dq_id,
+            CASE WHEN dq_id = 'DQ16' THEN {VOLUME_STATUS} ELSE {STATUS} END AS status,
+            pct AS failure_percentage, CASE WHEN dq_id = 'DQ16' THEN 0 ELSE failed END AS failed_records,
+            row_count, column_count FROM measured)"""
 
 
 HISTORY = f"{run_history()}, {summary_cte('history')}"

@@ -9,7 +9,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewarden.functions.grading import gate_minimum, percentage, rule_status
+from tablewarden.functions.grading import gate_minimum
 from tablewarden.functions.names import TableRef
 from tablewarden.operators import layers, reports
 from tablewarden.operators.datatypes import castable
@@ -18,7 +18,7 @@ from tablewarden.operators.weights import train_weights
 from tablewarden.plans.rulebook import RULE_IDS, Rulebook
 from tablewarden.plans.run import Run
 from tablewarden.plans.score import summarise
-from tablewarden.plans.suite import detail, run_suite
+from tablewarden.plans.suite import detail, run_suite, run_suite_by_period
 from tablewarden.sources.inventory import table_inventory
 from tablewarden.sources.store import Store, shared_root
 from workload.config import CONFIG
@@ -301,39 +301,12 @@ def most_frequent(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def run_history(tables: Tables) -> DataFrame:
-    """Results of the row-level rules by period of arrival: one run per period and table.
-
-    One aggregate per table; Spark combines within tasks, so a large period stays cheap.
-    """
-    frames = []
-    for name, (period, column) in PERIODS.items():
-        df, table = tables.frame(name), ref(name)
-        rules = layers.row_rules(df, table, book())
-        arrived = F.date_trunc(period, F.col(column)).cast("timestamp_ntz")
-        checks = {f"{r.dq_id}_{i}": p for r in rules for i, p in enumerate(r.failing.values())}
-        counted = df.groupBy(arrived.alias("run_timestamp")).agg(
-            F.count(F.lit(1)).alias("row_count"), *(F.count_if(p).alias(n) for n, p in checks.items())
-        )
-        rows = [
-            F.struct(
-                F.lit(r.dq_id).alias("dq_id"),
-                F.expr(" + ".join(n for n in checks if n.startswith(r.dq_id))).alias("failed_records"),
-                (F.col("row_count") * r.cells).alias("checked"),
-            )
-            for r in rules
-        ]
-        pct = percentage(F.col("failed_records"), F.col("checked"))
-        graded = counted.select("run_timestamp", "row_count", F.inline(F.array(*rows))).select(
-            "run_timestamp",
-            "dq_id",
-            rule_status(pct).alias("status"),
-            pct.alias("failure_percentage"),
-            "failed_records",
-            "row_count",
-            F.lit(len(df.columns)).cast("long").alias("column_count"),
-        )
-        frames.append(named(graded, table))
-    return union(frames)
+    """Results of all rules by period of arrival: one run per period and table."""
+    periods = [
+        (tables.table(name), F.date_trunc(period, F.col(column)).cast("timestamp_ntz"))
+        for name, (period, column) in PERIODS.items()
+    ]
+    return run_suite_by_period(periods, book(), tables.frame)
 
 
 def summary_history(spark: SparkSession, folder: str) -> DataFrame:
