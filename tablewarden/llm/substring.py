@@ -20,8 +20,10 @@ are compared, and only those whose gram occurs at two places.
    the bytes l and r that they share on either side: l + r >= LENGTH is a repeated string.
 5. The intervals of a text are merged and cut out.
 
-A task holds the distinct contexts of one gram at a time, some 370 bytes each. Null texts
-are empty; rows that repeat a doc_id or a text are judged one by one.
+A task holds the distinct contexts of one gram at a time, some 370 bytes each, of at most
+``HOT`` places. A gram with more places is not gathered: the windows of its contexts are
+counted by digest, an aggregate that any number of tasks share, with the same result. Null
+texts are empty; rows that repeat a doc_id or a text are judged one by one.
 """
 
 from __future__ import annotations
@@ -42,6 +44,7 @@ GRAM = 32
 SPAN = LENGTH - GRAM + 1  # grams in a window
 SHALLOW = 48
 PAIRS = 256  # contexts up to which all pairs of one gram are looked at, in 64 KB
+HOT = 1 << 16  # places of a gram up to which one task sorts its contexts, some 25 MB
 STEP = 1 << 22
 PLACE = np.uint64((1 << 24) - 1)
 BYTES = mixed(np.arange(1001, 1257, dtype=np.uint64))
@@ -242,11 +245,17 @@ def _anchors(texts: DataFrame) -> DataFrame:
     return texts.select("key", "text").mapInPandas(run, "key binary, grams array<long>, places array<int>")
 
 
+def _context(data: bytes, at: int) -> tuple[bytes, bytes, bytes]:
+    """Digest of the context of an anchor, the bytes before it (reversed) and from it on."""
+    left, right = data[max(0, at - SPAN + 1) : at][::-1], data[at : at + LENGTH]
+    return hashlib.blake2b(b"%d," % len(left) + left + right, digest_size=16).digest(), left, right
+
+
 def _contexts(texts: DataFrame, with_bytes: bool) -> DataFrame:
     """A row per anchor of ``texts`` (key, text, anchors): gram, digest of its context, place.
 
-    ``with_bytes``: the contexts themselves, once per task, with how often they occur. A
-    context's further occurrences in a task follow as one row without bytes.
+    ``with_bytes``: the contexts themselves, once per task, with how often they occur, but
+    for hot grams. A context's further occurrences in a task follow as one row without bytes.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -257,9 +266,10 @@ def _contexts(texts: DataFrame, with_bytes: bool) -> DataFrame:
             for key, text, found in zip(batch["key"], batch["text"], batch["anchors"], strict=True):
                 data = text.encode("utf-8", "surrogatepass")
                 for a in found:
+                    if with_bytes and a["hot"]:
+                        continue
                     at = a["place"]
-                    left, right = data[max(0, at - SPAN + 1) : at][::-1], data[at : at + LENGTH]
-                    digest = hashlib.blake2b(b"%d," % len(left) + left + right, digest_size=16).digest()
+                    digest, left, right = _context(data, at)
                     if not with_bytes:
                         rows.append((a["gram"], digest, key, at))
                         continue
@@ -321,6 +331,54 @@ def _shared(contexts: DataFrame) -> DataFrame:
     )
 
 
+def _hot_windows(texts: DataFrame) -> DataFrame:
+    """(gram, context, window, before): the windows through anchors of hot grams, by digest.
+
+    A task names the windows of a context once; if it meets the context again, its first and
+    last window a second time, which is all that a repeated context needs.
+    """
+    names = ["gram", "context", "window", "before"]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        met: dict[tuple[int, bytes], int] = {}
+        rows: list[tuple] = []
+        for batch in batches:
+            for text, found in zip(batch["text"], batch["anchors"], strict=True):
+                data = text.encode("utf-8", "surrogatepass")
+                for a in found:
+                    if not a["hot"]:
+                        continue
+                    at = a["place"]
+                    digest, left, right = _context(data, at)
+                    times = met[a["gram"], digest] = met.get((a["gram"], digest), 0) + 1
+                    places = range(LENGTH - len(right), len(left) + 1)
+                    if times > 2 or not places:
+                        continue
+                    for o in places if times == 1 else {places[0], places[-1]}:
+                        window = data[at - o : at - o + LENGTH]
+                        rows.append((a["gram"], digest, hashlib.blake2b(b"%d," % o + window, digest_size=16).digest(), o))
+                if len(rows) > 50_000:
+                    yield pd.DataFrame(rows, columns=names)
+                    rows.clear()
+        yield pd.DataFrame(rows, columns=names)
+
+    return texts.select("text", "anchors").mapInPandas(run, "gram long, context binary, window binary, before int")
+
+
+def _shared_of_hot(texts: DataFrame, scratch: Scratch) -> DataFrame:
+    """As ``_shared``, for hot grams."""
+    texts = texts.filter(F.exists("anchors", lambda a: a["hot"]))
+    windows = scratch.save(_hot_windows(texts), "windows")
+    # written, so that Spark can split the join at a window of many contexts
+    repeated = scratch.save(windows.groupBy("window").agg(F.count("*").alias("n")).filter("n > 1").select("window"), "repeated")
+    return (
+        windows.join(repeated, "window")
+        .groupBy("gram", "context")
+        .agg(F.min("before").alias("least"), F.max("before").alias("before"))
+        .select("gram", "context", "before", (F.lit(LENGTH) - F.col("least")).alias("after"))
+    )
+
+
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     out: list[list[int]] = []
     for start, stop in sorted(spans):
@@ -375,16 +433,22 @@ def repeated_bytes(docs: DataFrame) -> DataFrame:
     )
     places = scratch.save(places, "places")
     # written, so that the join below has no aggregate in its stage and Spark can split a hot gram
-    grams = scratch.save(places.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1").select("gram"), "grams")
+    counted = places.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1")
+    grams = scratch.save(counted.select("gram", (F.col("n") > HOT).alias("hot")), "grams")
     wanted = (
-        places.join(grams, "gram").groupBy("key").agg(F.collect_list(F.struct("gram", "place")).alias("anchors"))
+        places.join(grams, "gram")
+        .groupBy("key")
+        .agg(F.collect_list(F.struct("gram", "place", "hot")).alias("anchors"))
     )
     # copies meet in the map-side part of the aggregate; only one text of each crosses
     texts = scratch.save(keyed.dropDuplicates(["key"]).join(wanted, "key"), "texts")
     scratch.drop("places")
 
     contexts = _contexts(texts, with_bytes=True).repartition("gram").sortWithinPartitions("gram")
-    shared = scratch.save(_shared(contexts), "shared")
+    shared = _shared(contexts)
+    if not grams.filter("hot").isEmpty():
+        shared = shared.union(_shared_of_hot(texts, scratch))
+    shared = scratch.save(shared, "shared")
     spans = (
         _contexts(texts, with_bytes=False)
         .join(shared, ["gram", "context"])

@@ -90,7 +90,9 @@ def test_trees_lose_no_link(data):
                 assert (a, b) in found
 
 
-def test_suffix_array_dedup(spark, docs):
+@pytest.mark.parametrize("hot", [substring.HOT, 1, 4])
+def test_suffix_array_dedup(spark, docs, monkeypatch, hot):
+    monkeypatch.setattr(substring, "HOT", hot)
     found = substring.repeated_bytes(docs)
     got = Counter(
         (r.doc_id, r.n_bytes, r.n_removed, len(r.spans), r.kept_sha256) for r in found.collect()
