@@ -21,9 +21,10 @@ are compared, and only those whose gram occurs at two places.
 5. The intervals of a text are merged and cut out.
 
 A task holds the distinct contexts of one gram at a time, some 370 bytes each, of at most
-``HOT`` places. A gram with more places is not gathered: the windows of its contexts are
-counted by digest, an aggregate that any number of tasks share, with the same result. Null
-texts are empty; rows that repeat a doc_id or a text are judged one by one.
+``HOT`` places. The contexts of a gram with more places meet by longer strings instead, of
+some 180 bytes, and those that share such a string with many others by whole windows, with
+the same result (see ``_shared_of_hot``). Null texts are empty; rows that repeat a doc_id or a
+text are judged one by one.
 """
 
 from __future__ import annotations
@@ -44,7 +45,8 @@ GRAM = 32
 SPAN = LENGTH - GRAM + 1  # grams in a window
 SHALLOW = 48
 PAIRS = 256  # contexts up to which all pairs of one gram are looked at, in 64 KB
-HOT = 1 << 16  # places of a gram up to which one task sorts its contexts, some 25 MB
+HOT = 1 << 13  # places of a gram, or contexts of a core, that one task sorts, some 3 MB
+CORES = 8  # ranges of windows by which contexts of a hot gram meet
 STEP = 1 << 22
 PLACE = np.uint64((1 << 24) - 1)
 BYTES = mixed(np.arange(1001, 1257, dtype=np.uint64))
@@ -251,11 +253,12 @@ def _context(data: bytes, at: int) -> tuple[bytes, bytes, bytes]:
     return hashlib.blake2b(b"%d," % len(left) + left + right, digest_size=16).digest(), left, right
 
 
-def _contexts(texts: DataFrame, with_bytes: bool) -> DataFrame:
+def _contexts(texts: DataFrame, with_bytes: bool, hot: bool = False) -> DataFrame:
     """A row per anchor of ``texts`` (key, text, anchors): gram, digest of its context, place.
 
-    ``with_bytes``: the contexts themselves, once per task, with how often they occur, but
-    for hot grams. A context's further occurrences in a task follow as one row without bytes.
+    ``with_bytes``: the contexts themselves, once per task, with how often they occur, of the
+    grams that are ``hot`` or of those that are not. A context's further occurrences in a task
+    follow as one row without bytes.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -266,7 +269,7 @@ def _contexts(texts: DataFrame, with_bytes: bool) -> DataFrame:
             for key, text, found in zip(batch["key"], batch["text"], batch["anchors"], strict=True):
                 data = text.encode("utf-8", "surrogatepass")
                 for a in found:
-                    if with_bytes and a["hot"]:
+                    if with_bytes and a["hot"] != hot:
                         continue
                     at = a["place"]
                     digest, left, right = _context(data, at)
@@ -285,9 +288,9 @@ def _contexts(texts: DataFrame, with_bytes: bool) -> DataFrame:
     return texts.select("key", "text", "anchors").mapInPandas(run, f"gram long, context binary, {rest}")
 
 
-def _shared(contexts: DataFrame) -> DataFrame:
-    """(gram, context, before, after) of the contexts that share strings. The rows of a gram
-    must follow one another."""
+def _shared(contexts: DataFrame, group: str = "gram") -> DataFrame:
+    """(gram, context, before, after) of the contexts that share strings. The rows of a group
+    must follow one another; a group has one gram."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: dict[bytes, list] = {}  # context to its bytes and count
@@ -310,72 +313,107 @@ def _shared(contexts: DataFrame) -> DataFrame:
             out.clear()
             return frame
 
-        current = None
+        current = gram_of_it = None
         for batch in batches:
-            for gram, context, left, right, times in zip(
-                *(batch[c].tolist() for c in ("gram", "context", "left", "right", "times")), strict=True
+            for this, gram, context, left, right, times in zip(
+                *(batch[c].tolist() for c in ("group", "gram", "context", "left", "right", "times")), strict=True
             ):
-                if gram != current:
-                    close(current)
-                    current = gram
+                if this != current:
+                    close(gram_of_it)
+                    current, gram_of_it = this, gram
                 known = held.setdefault(bytes(context), [None, None, 0])
                 known[2] += times
                 if left is not None:
                     known[:2] = bytes(left), bytes(right)
             yield taken()
-        close(current)
+        close(gram_of_it)
         yield taken()
 
-    return contexts.select("gram", "context", "left", "right", "times").mapInPandas(
+    return contexts.select(F.col(group).alias("group"), "gram", "context", "left", "right", "times").mapInPandas(
         run, "gram long, context binary, before int, after int"
     )
 
 
-def _hot_windows(texts: DataFrame) -> DataFrame:
-    """(gram, context, window, before): the windows through anchors of hot grams, by digest.
+def _digest(*parts):
+    return F.substring(F.unhex(F.sha2(F.concat(*parts), 256)), 1, 16)
 
-    A task names the windows of a context once; if it meets the context again, its first and
-    last window a second time, which is all that a repeated context needs.
-    """
-    names = ["gram", "context", "window", "before"]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        met: dict[tuple[int, bytes], int] = {}
-        rows: list[tuple] = []
-        for batch in batches:
-            for text, found in zip(batch["text"], batch["anchors"], strict=True):
-                data = text.encode("utf-8", "surrogatepass")
-                for a in found:
-                    if not a["hot"]:
-                        continue
-                    at = a["place"]
-                    digest, left, right = _context(data, at)
-                    times = met[a["gram"], digest] = met.get((a["gram"], digest), 0) + 1
-                    places = range(LENGTH - len(right), len(left) + 1)
-                    if times > 2 or not places:
-                        continue
-                    for o in places if times == 1 else {places[0], places[-1]}:
-                        window = data[at - o : at - o + LENGTH]
-                        rows.append((a["gram"], digest, hashlib.blake2b(b"%d," % o + window, digest_size=16).digest(), o))
-                if len(rows) > 50_000:
-                    yield pd.DataFrame(rows, columns=names)
-                    rows.clear()
-        yield pd.DataFrame(rows, columns=names)
+def _shared_of_hot(texts: DataFrame, scratch: Scratch) -> DataFrame:
+    """As ``_shared``, for hot grams.
 
-    return texts.select("text", "anchors").mapInPandas(run, "gram long, context binary, window binary, before int")
+    A window that begins o bytes before the anchor, low <= o <= high, holds the bytes from low
+    before the anchor to LENGTH - high after it: its core. Contexts with a window in common
+    share the core of one of ``CORES`` ranges of o, so they meet by core instead of by gram.
+    What shares a core with nothing is done with. Cores of more than ``HOT`` contexts are cut
+    further, into the single windows of their range, which an aggregate counts.
+    """
+    texts = texts.filter(F.exists("anchors", lambda a: a["hot"]))
+    contexts = (
+        _contexts(texts, with_bytes=True, hot=True)
+        .groupBy("gram", "context")
+        .agg(
+            F.first("left", ignorenulls=True).alias("left"),
+            F.first("right", ignorenulls=True).alias("right"),
+            F.sum("times").alias("times"),
+        )
+    )
+    contexts = scratch.save(contexts, "hot_contexts")
+    before, after = F.octet_length("left"), F.octet_length("right")
+    again = contexts.filter((F.col("times") > 1) & (before + after >= LENGTH)).select(
+        "gram", "context", before.alias("before"), after.alias("after")
+    )
+
+    step = -(-SPAN // CORES)
+    ranges = F.array(
+        *(F.struct(F.lit(o).alias("low"), F.lit(min(o + step, SPAN) - 1).alias("high")) for o in range(0, SPAN, step))
+    )
+    keys = (
+        contexts.select("gram", "context", "left", "right", F.explode(ranges).alias("o"))
+        .select("gram", "context", "left", "right", "o.low", "o.high")
+        .filter((before >= F.col("low")) & (after >= LENGTH - F.col("high")))
+    )
+    core = _digest(
+        F.col("low").cast("string").cast("binary"),
+        F.lit(" ").cast("binary"),
+        F.col("left").substr(F.lit(1), F.col("low")),
+        F.col("right").substr(F.lit(1), LENGTH - F.col("high")),
+    )
+    keys = scratch.save(keys.select("gram", "context", "low", "high", core.alias("core")), "cores")
+    counted = scratch.save(keys.groupBy("core").agg(F.count("*").alias("n")).filter("n > 1"), "core_counts")
+    met = keys.join(counted, "core").join(contexts.select("gram", "context", "left", "right"), ["gram", "context"])
 
+    few = met.filter(F.col("n") <= HOT).withColumn("times", F.lit(1).cast("long"))
+    sortable = few.repartition("core").sortWithinPartitions("core")
+    sorted_out = _shared(sortable, "core")
 
-def _shared_of_hot(texts: DataFrame, scratch: Scratch) -> DataFrame:
-    """As ``_shared``, for hot grams."""
-    texts = texts.filter(F.exists("anchors", lambda a: a["hot"]))
-    windows = scratch.save(_hot_windows(texts), "windows")
-    # written, so that Spark can split the join at a window of many contexts
-    repeated = scratch.save(windows.groupBy("window").agg(F.count("*").alias("n")).filter("n > 1").select("window"), "repeated")
+    windows = met.filter(F.col("n") > HOT).select(
+        "gram", "context", "left", "right", F.explode(F.sequence("low", "high")).alias("o")
+    )
+    windows = windows.filter((before >= F.col("o")) & (after >= LENGTH - F.col("o"))).select(
+        "gram",
+        "context",
+        "o",
+        _digest(
+            F.col("o").cast("string").cast("binary"),
+            F.lit(" ").cast("binary"),
+            F.col("left").substr(F.lit(1), F.col("o")),
+            F.col("right").substr(F.lit(1), LENGTH - F.col("o")),
+        ).alias("window"),
+    )
+    if counted.filter(F.col("n") > HOT).isEmpty():
+        found = sorted_out
+    else:
+        windows = scratch.save(windows, "windows")
+        # written, so that Spark can split the join at a window of many contexts
+        repeated = windows.groupBy("window").agg(F.count("*").alias("n")).filter("n > 1").select("window")
+        counted_out = windows.join(scratch.save(repeated, "repeated"), "window").select(
+            "gram", "context", F.col("o").alias("before"), (LENGTH - F.col("o")).alias("after")
+        )
+        found = sorted_out.union(counted_out)
     return (
-        windows.join(repeated, "window")
+        found.union(again)
         .groupBy("gram", "context")
-        .agg(F.min("before").alias("least"), F.max("before").alias("before"))
-        .select("gram", "context", "before", (F.lit(LENGTH) - F.col("least")).alias("after"))
+        .agg(F.max("before").alias("before"), F.max("after").alias("after"))
     )
 
 
