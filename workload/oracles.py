@@ -5,6 +5,7 @@
 
 from __future__ import annotations
 
+from workload.config import CONFIG
 from workload.tables import DIRTIED_SQL, SCHEMAS
 
 PRIORITIES = "('1-URGENT', '2-HIGH', '3-MEDIUM', '4-NOT SPECIFIED', '5-LOW')"
@@ -427,6 +428,12 @@ def run_total(at: str, tables: list[str], failed: int) -> str:
         (SELECT count(*) FROM ({found})) AS candidate_records"""
 
 
+SUPPLIER_HISTORY = """SELECT l_suppkey, count(*) AS lines, avg(l_quantity) AS avg_quantity,
+    avg(l_discount) AS avg_discount, avg(l_tax) AS avg_tax,
+    avg((l_returnflag = 'R')::INT) AS returned_share,
+    sum(l_extendedprice * (1 - l_discount)) AS revenue FROM lineitem GROUP BY l_suppkey"""
+FEATURES = CONFIG["ml_weighting"]["feature_columns"]
+
 ORACLES: dict[str, str] = {
     "table_inventory": " UNION ALL ".join(
         f"""SELECT '{SCHEMAS[t]}' AS "schema", '{t}' AS "table", count(*) AS row_count,
@@ -481,6 +488,13 @@ ORACLES: dict[str, str] = {
     "quality_gate": summary(
         SCORED, 'SELECT "table", dq_score, 90.0::DOUBLE AS gate_minimum, quality_gate FROM summary'
     ),
+    "ml_training": f"""SELECT l_suppkey, lines, round(avg_quantity, 6) AS avg_quantity,
+        round(avg_discount, 6) AS avg_discount, round(avg_tax, 6) AS avg_tax,
+        round(returned_share, 6) AS returned_share, round(revenue, 2) AS revenue FROM ({SUPPLIER_HISTORY})""",
+    # one row for each feature that the training rows have
+    "ml_weight_properties": f"""SELECT kpi, true AS is_share, true AS adds_up FROM (
+        UNPIVOT (SELECT {", ".join(f"count({c}) AS {c}" for c in FEATURES)} FROM ({SUPPLIER_HISTORY}))
+        ON {", ".join(FEATURES)} INTO NAME kpi VALUE filled) WHERE filled > 0""",
     "profile_table": f"{profile_cte(['orders_dq', 'lineitem', 'documents'])} SELECT * FROM profile",
     "rule_candidates": candidate_oracle(["orders_dq", "customer", "labels"]),
     "top_values": top_value_oracle("orders_dq", 10),
@@ -490,6 +504,11 @@ ORACLES: dict[str, str] = {
     "silver": "SELECT *, 'orders' AS \"table\" FROM orders",
     "gold": f"""SELECT *, 100.0::DOUBLE AS _dq_quality_score, 'PASS' AS _dq_overall_status,
         {RUN_AT} AS _dq_gold_timestamp, 'orders' AS "table" FROM orders""",
+    "promoted_tables": f"""WITH {DIRTIED_SQL}
+        SELECT 'orders_dq' AS "table", 'bronze' AS layer, count(*) AS row_count FROM orders_dq
+        UNION ALL SELECT 'orders_dq', 'quarantine', count(*) FROM orders_dq WHERE {QUARANTINED}
+        UNION ALL SELECT 'orders', layer, n FROM (SELECT count(*) AS n FROM orders),
+            (VALUES ('bronze'), ('silver'), ('gold')) AS layers(layer)""",
     "quarantine": f"""WITH {DIRTIED_SQL} SELECT *, 'run-1' AS _dq_run_id,
         'lake.sales.orders_dq' AS _dq_source_table, {RUN_AT} AS _dq_quarantine_timestamp
         FROM orders_dq WHERE {QUARANTINED}""",

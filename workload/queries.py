@@ -16,7 +16,7 @@ from tablewarden.operators.datatypes import castable
 from tablewarden.operators.profile import profile_table, rule_candidates, top_values
 from tablewarden.operators.weights import train_weights
 from tablewarden.plans.rulebook import RULE_IDS, Rulebook
-from tablewarden.plans.run import Run
+from tablewarden.plans.run import Run, promote
 from tablewarden.plans.score import summarise
 from tablewarden.plans.suite import detail, run_suite, run_suite_by_period
 from tablewarden.sources.inventory import table_inventory
@@ -31,6 +31,7 @@ RULED_TABLES = [name.rpartition(".")[2] for name in CONFIG["table_rules"]]
 SCORED_TABLES = ["orders", "customer", "orders_dq"]
 SUITE_TABLES = ["orders_dq", "lineitem"]
 VOLUME_TABLES = ["orders", "lineitem", "events", "customer"]
+LAYERED = ["orders", "orders_dq"]
 
 RUN_AT = datetime(2026, 1, 5, 6, 0, 0)
 
@@ -177,10 +178,9 @@ def dq_summary(spark: SparkSession, folder: str) -> DataFrame:
     return audited_run(spark, folder).read(spark, book().layer("audit"), book().output("summary"))
 
 
-def ml_dynamic_weights(spark: SparkSession, folder: str) -> DataFrame:
+def supplier_history(tables: Tables) -> DataFrame:
     """What drives a supplier's revenue: one training row per supplier."""
-    lines = Tables(spark, folder).frame("lineitem")
-    history = lines.groupBy("l_suppkey").agg(
+    return tables.frame("lineitem").groupBy("l_suppkey").agg(
         F.count(F.lit(1)).alias("lines"),
         F.avg("l_quantity").alias("avg_quantity"),
         F.avg("l_discount").alias("avg_discount"),
@@ -188,11 +188,38 @@ def ml_dynamic_weights(spark: SparkSession, folder: str) -> DataFrame:
         F.avg((F.col("l_returnflag") == "R").cast("double")).alias("returned_share"),
         F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("revenue"),
     )
+
+
+def ml_training(spark: SparkSession, folder: str) -> DataFrame:
+    """The rows that the weights are trained on; sums of doubles depend on order, hence the rounding."""
+    history = supplier_history(Tables(spark, folder))
+    rounded = [F.round(c, 6).alias(c) for c in ("avg_quantity", "avg_discount", "avg_tax", "returned_share")]
+    return history.select("l_suppkey", "lines", *rounded, F.round("revenue", 2).alias("revenue"))
+
+
+def ml_dynamic_weights(spark: SparkSession, folder: str) -> DataFrame:
     store, settings = Store(shared_root(spark)), CONFIG["ml_weighting"]
+    history = supplier_history(Tables(spark, folder))
     store.write(history, "sales", settings["incident_table"])  # training passes over it several times
     return train_weights(book(), store, lambda name: store.read(spark, "sales", name))
 
 
+def ml_weight_properties(spark: SparkSession, folder: str) -> DataFrame:
+    """Per feature whether its weight is a share of 100, and whether all of them add up to it.
+
+    Which feature weighs most is the forest's finding, not a property that SQL can state.
+    """
+    whole = ml_dynamic_weights(spark, folder).agg(  # a handful of features
+        F.sum("dynamic_weight").alias("total"),
+        F.collect_list(F.struct("kpi", "dynamic_weight")).alias("features"),
+    )
+    return whole.select("total", F.inline("features")).select(
+        "kpi",
+        F.col("dynamic_weight").between(0, 100).alias("is_share"),
+        (F.abs(F.col("total") - 100) < 0.001).alias("adds_up"),
+    )
+
+
 # --- sources, sinks, layers -------------------------------------------------------------
 
 
@@ -240,19 +267,28 @@ def bronze(spark: SparkSession, folder: str) -> DataFrame:
 def layered(spark: SparkSession, folder: str) -> Store:
     """Orders pass the gate into silver and gold, the dirtied orders do not."""
     tables, store = Tables(spark, folder), Store(shared_root(spark))
-    scores = summarise(suite(tables, ["orders", "orders_dq"]), book())
+    scores = summarise(suite(tables, LAYERED), book())
     for name, score, status in scores.select("table", "dq_score", "overall_status").toLocalIterator():
-        landed, _ = layers.write_bronze(tables.frame(name), ref(name), store, book(), moment())
-        landed = store.read(spark, book().layer("bronze"), name)
-        layers.create_silver(landed, name, store, book(), score)
-        layers.create_gold(spark, name, store, book(), score, status, moment())
+        promote(tables.table(name), book(), store, "run-1", score, status, moment())
     return store
 
 
+def promoted_tables(spark: SparkSession, folder: str) -> DataFrame:
+    """The whole flow: rows per table and layer after checks, quarantine and the gate."""
+    store, found = layered(spark, folder), []
+    for name in LAYERED:
+        for layer in ("bronze", "quarantine", "silver", "gold"):
+            stored = f"quarantine_{name}" if layer == "quarantine" else name
+            if store.exists(spark, book().layer(layer), stored):
+                rows = store.read(spark, book().layer(layer), stored).agg(F.count(F.lit(1)).alias("row_count"))
+                found.append(rows.select(F.lit(name).alias("table"), F.lit(layer).alias("layer"), "row_count"))
+    return union(found)
+
+
 def layer_query(layer: str) -> Query:
     def query(spark: SparkSession, folder: str) -> DataFrame:
         store = layered(spark, folder)
-        written = [n for n in ("orders", "orders_dq") if store.exists(spark, book().layer(layer), n)]
+        written = [n for n in LAYERED if store.exists(spark, book().layer(layer), n)]
         frames = [store.read(spark, book().layer(layer), n).withColumn("table", F.lit(n)) for n in written]
         return union(frames)
 
@@ -385,7 +421,9 @@ QUERIES: dict[str, Query] = {
     "dq_all_tables": dq_all_tables,
     "dq_score": dq_score,
     "quality_gate": quality_gate,
+    "ml_training": ml_training,
     "ml_dynamic_weights": ml_dynamic_weights,
+    "ml_weight_properties": ml_weight_properties,
     "profile_table": profile,
     "rule_candidates": candidates,
     "top_values": most_frequent,
@@ -393,6 +431,7 @@ QUERIES: dict[str, Query] = {
     "bronze": bronze,
     "silver": layer_query("silver"),
     "gold": layer_query("gold"),
+    "promoted_tables": promoted_tables,
     "quarantine": quarantine,
     "quarantine_reasons": quarantine_reasons,
     "final_report": final_report,
