@@ -22,7 +22,6 @@ from tablewarden.functions.names import TableRef, quote
 from tablewarden.operators.keys import short_key
 
 INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
-FRACTIONAL = (T.FloatType, T.DoubleType)
 
 # Wide tables are stacked in slices of this many columns, which keeps generated code small.
 COLUMNS_PER_SCAN = 64
@@ -32,19 +31,38 @@ def _groupable(name: str, data_type: T.DataType) -> tuple[str, str]:
     """Type family and value, in SQL: equal values stay equal, unequal ones unequal."""
     if isinstance(data_type, INTEGRAL):
         return "bigint", f"CAST({quote(name)} AS BIGINT)"
-    if isinstance(data_type, FRACTIONAL):
-        return "double", f"CAST({quote(name)} AS DOUBLE)"
-    if isinstance(data_type, T.VariantType) or _has_map(data_type):
+    if isinstance(data_type, T.VariantType):
         return "string", f"to_json({quote(name)})"
+    if _has_map(data_type):
+        return f"sorted {data_type.simpleString()}", _sorted(quote(name), data_type)
     return data_type.simpleString(), quote(name)
 
 
 def _has_map(data_type: T.DataType) -> bool:
+    """Whether a map or variant, which Spark cannot group by, is inside."""
     if isinstance(data_type, T.ArrayType):
         return _has_map(data_type.elementType)
     if isinstance(data_type, T.StructType):
         return any(_has_map(f.dataType) for f in data_type.fields)
-    return isinstance(data_type, T.MapType)
+    return isinstance(data_type, (T.MapType, T.VariantType))
+
+
+def _sorted(value: str, data_type: T.DataType, depth: int = 0) -> str:
+    """The value with maps as entries in order of key and variants as JSON, in SQL."""
+    if not _has_map(data_type):
+        return value
+    item = f"x{depth}"
+    if isinstance(data_type, T.ArrayType):
+        return f"transform({value}, {item} -> {_sorted(item, data_type.elementType, depth + 1)})"
+    if isinstance(data_type, T.MapType):
+        entry = f"named_struct('key', {item}.key, 'value', {_sorted(f'{item}.value', data_type.valueType, depth + 1)})"
+        return f"array_sort(transform(map_entries({value}), {item} -> {entry}))"
+    if isinstance(data_type, T.StructType):
+        fields = ", ".join(
+            f"'f{i}', {_sorted(f'{value}.{quote(f.name)}', f.dataType, depth)}" for i, f in enumerate(data_type.fields)
+        )
+        return f"if({value} IS NULL, NULL, named_struct({fields}))"
+    return f"to_json({value})"
 
 
 def value_counts(

@@ -75,3 +75,21 @@ def test_ranking_is_limited_before_the_shuffle(spark):
 def test_wide_table(spark):
     df = spark.range(3).select(*(F.expr(f"id % {i + 1} AS c{i}") for i in range(150)))
     assert profiled(df) == {f"c{i}": (3, 0, min(i + 1, 3)) for i in range(150)}
+
+
+def test_profile_of_nested_maps_and_variants(spark):
+    """Maps are equal whatever the order of entries; microseconds and nested variants count."""
+    frame = spark.sql(
+        """SELECT map('a', 1, 'b', 2) AS m, named_struct('v', parse_json('{"x": 1}')) AS v,
+            named_struct('m', map('k', timestamp'2024-01-01 00:00:00.000001')) AS t, array(map('a', 1, 'b', 2)) AS r
+        UNION ALL SELECT map('b', 2, 'a', 1), named_struct('v', parse_json('{"x": 2}')),
+            named_struct('m', map('k', timestamp'2024-01-01 00:00:00.000002')), array(map('b', 2, 'a', 1))
+        UNION ALL SELECT NULL, NULL, NULL, NULL"""
+    )
+    found = {r.column_name: (r.null_count, r.distinct_count) for r in profile_table(frame, REF).collect()}
+    assert found == {"m": (1, 2), "v": (1, 3), "t": (1, 3), "r": (1, 2)}
+
+
+def test_top_values_print_floats_as_they_are(spark):
+    frame = spark.sql("SELECT CAST(0.1 AS FLOAT) AS f, 0.1D AS d")
+    assert {(r.column_name, r.value) for r in top_values(frame).collect()} == {("f", "0.1"), ("d", "0.1")}
