@@ -9,6 +9,7 @@ from tablewarden.operators.keys import orphan_count, previous_row_counts
 from tablewarden.operators.reports import kpis
 from tablewarden.operators.rules import build_row_rules
 from tablewarden.plans.rulebook import Rulebook
+from tablewarden.plans.run import bisected
 from tablewarden.plans.suite import Table, run_suite, run_suite_by_period
 from tablewarden.sources.inventory import table_inventory
 from tablewarden.sources.store import shared_root
@@ -117,3 +118,19 @@ def test_kpis_name_dimensions_without_checks(spark):
     assert len(found) == 17
     assert [(r.dimension, r.checks, r.pass_rate) for r in found if r.table] == [("completeness", 1, 100.0)]
     assert {(r.checks, r.pass_rate) for r in found if not r.table} == {(1, 100.0), (0, None)}
+
+
+def test_bisection_finds_what_raises_with_few_probes():
+    items = [f"c{i}" for i in range(16)]
+    for bad in [{"c0"}, {"c15"}, {"c3", "c12"}, set(items), set()]:
+        probes = []
+
+        def raises(some, bad=bad, probes=probes):
+            probes.append(some)
+            return bool(bad & set(some))
+
+        assert set(bisected(items, raises)) == bad
+        if len(bad) == 1:
+            assert len(probes) <= 9
+    once = iter([True])  # a failure that does not come back
+    assert bisected(items, lambda some: next(once, False)) == []
