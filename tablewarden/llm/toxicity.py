@@ -3,8 +3,11 @@
 Writers hide words by look-alike characters (1d10t), by spacing (i d i o t, i.d.i.o.t) and
 by repetition (idiooot). Such a span is a lattice: every character offers the letters it
 may stand for, or nothing. A Viterbi search finds the likeliest path under a character
-trigram model of all documents and the channel's own costs. Tokens of letters without a
-triple have one path only, so they are left as they are. The restored words are scored.
+trigram model of all documents and the channel's own costs. Words of letters that no other
+follows twice have one path only, so they are left as they are; every other token is decoded
+whole, whatever its length. Where plain reading and decoded one differ, both are kept: words
+with a doubled letter, parts of compounds, and marks at an edge that are look-alikes too
+(``!diot``, ``stop!``). The restored words are scored.
 
 The scorer knows words and word beginnings that are significantly more frequent in toxic
 documents (a likelihood ratio test over labelled documents, corrected for the number of
@@ -46,8 +49,12 @@ SEPARATORS = set(" .-_*~'·​‌‍⁠﻿\t")
 SPACED = re.compile(r"(?<!\S)\S(?:[ \t]\S){2,}(?!\S)")
 SPACED_HINT = re.compile(r"\s\S\s\S\s\S(?!\S)")
 TRIPLE = re.compile(r"(.)\1\1")
+DOUBLE = re.compile(r"(.)\1")
 EDGE = "\"'`.,;:?!()[]{}<>«»„“”‘’…-–—_/\\&%~^="
 
+MARKS = "".join(c for c in EDGE if c not in LOOK_ALIKES)  # edges that stand for no letter
+JOINTS = re.compile("[" + re.escape("".join(sorted((SEPARATORS | set(EDGE)) - set(LOOK_ALIKES)))) + "]")
+
 # --- the character model -------------------------------------------------------------
 
 LETTERS = "abcdefghijklmnopqrstuvwxyz" + "".join(chr(c) for c in range(0xDF, 0x100) if c != 0xF7)
@@ -124,29 +131,37 @@ def lattice(span: str) -> list[list[tuple[str, float]]]:
     return steps
 
 
+LETTER_CODES = {c: i for i, c in enumerate(LETTERS, 1)}
+
+
 def decode(span: str, model: list[float]) -> str:
     """The likeliest reading of a span: words of letters, separated by blanks."""
-    code = {c: i for i, c in enumerate(LETTERS, 1)}
-    states = {(0, 0): (0.0, "")}
+    # a state's text is a chain of pieces, so the work grows with the length alone
+    states: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
     for options in [*lattice(span), [(" ", 0.0)]]:
-        following: dict[tuple[int, int], tuple[float, str]] = {}
+        following: dict[tuple[int, int], tuple[float, tuple | None]] = {}
         for (a, b), (score, text) in states.items():
             for piece, cost in options:
                 x, y, s = a, b, score + cost
                 for c in piece:
-                    z = code.get(c, 0)
+                    z = LETTER_CODES.get(c, 0)
                     s += model[(x << (2 * BITS)) | (y << BITS) | z]
                     x, y = y, z
                 if (x, y) not in following or s > following[x, y][0]:
-                    following[x, y] = (s, text + piece)
+                    following[x, y] = (s, (text, piece))
         states = following
-    return max(states.values())[1].strip()
+    chain, pieces = max(states.values(), key=lambda state: state[0])[1], []
+    while chain:
+        chain, piece = chain
+        pieces.append(piece)
+    return "".join(reversed(pieces)).strip()
 
 
 class Restorer:
     """Restores tokens; remembers what it did."""
 
     LIMIT = 300_000
+    LONG = 64  # longer tokens are not remembered
 
     def __init__(self, model: np.ndarray):
         self.model, self.known = model.tolist(), {}
@@ -154,28 +169,45 @@ class Restorer:
     def token(self, token: str) -> tuple[str, ...]:
         found = self.known.get(token)
         if found is None:
-            if len(self.known) >= self.LIMIT:
-                self.known.clear()
-            found = self.known[token] = self._token(token)
+            found = tuple(dict.fromkeys(self._token(token)))
+            if len(token) <= self.LONG:
+                if len(self.known) >= self.LIMIT:
+                    self.known.clear()
+                self.known[token] = found
         return found
 
-    def _token(self, token: str) -> tuple[str, ...]:
-        if token.isalpha() and not TRIPLE.search(token):
-            return (token,)
+    def _token(self, token: str) -> list[str]:
+        if token.isalpha() and not DOUBLE.search(token):
+            return [token]
         bare = token
         while len(bare) > 2 and not bare[-1].isalnum() and bare[-1] == bare[-2] == bare[-3]:
             bare = bare.rstrip(bare[-1])  # a run of one mark is decoration
         bare = bare.strip(EDGE)
-        if bare.isalpha() and not TRIPLE.search(bare):
-            return (bare,)
-        letters = sum(c.isalpha() for c in bare)
-        if not letters or len(bare) > 64:
-            return ()
-        # plain parts of a compound are words of their own; its reading as a whole comes on top
-        parts = tuple(p for p in re.split(r"[^\w]|_", bare) if len(p) > 2 and p.isalpha() and not TRIPLE.search(p))
-        if sum(map(len, parts)) == letters and "".join(c for c in bare if not c.isalpha()).strip("".join(SEPARATORS) + EDGE) == "":
-            return parts
-        return parts + tuple(decode(bare, self.model).split())
+        core = token.strip(MARKS)
+        found = self._readings(bare)
+        if core == bare or len(set(core)) < 2:
+            return found
+        # what was taken off stands for letters on either side: none of it, all, or the run next to the word
+        at = core.find(bare) if bare else len(core)
+        lead, tail = core[:at], core[at + len(bare) :]
+        near = lead[len(lead.rstrip(lead[-1:])) :] if lead else "", tail[: len(tail) - len(tail.lstrip(tail[:1]))] if tail else ""
+        leads, tails = ({"", whole, run if run[:1] in LOOK_ALIKES else ""} for whole, run in zip((lead, tail), near, strict=True))
+        for span in sorted({a + bare + b for a in leads for b in tails} - {bare}):
+            found += decode(span, self.model).split()
+        return found
+
+    def _readings(self, bare: str) -> list[str]:
+        """Plain words of a token without its edges, and what its lattice reads."""
+        if bare.isalpha() and not DOUBLE.search(bare):
+            return [bare]
+        if not any(c.isalpha() or c in LOOK_ALIKES for c in bare):
+            return []
+        # parts of a compound are words of their own; its reading as a whole comes on top
+        found = [p for p in re.split(r"[^\w]|_", bare) if len(p) > 2 and p.isalpha() and not TRIPLE.search(p)]
+        for part in JOINTS.split(bare):
+            if 2 < len(part) < len(bare):
+                found += self.token(part)
+        return found + decode(bare, self.model).split()
 
     def words(self, text: str | None) -> set[str]:
         """The distinct restored words of a whole text, in lower case."""
@@ -187,10 +219,7 @@ class Restorer:
             found.update(self.token(token))
         if SPACED_HINT.search(low) or SPACED_HINT.search(" " + low[:12]):
             for match in SPACED.finditer(low):
-                span = match.group()
-                # a span is cut for the search, with an overlap longer than any word
-                for k in range(0, max(1, len(span) - 40), 160):
-                    found.update(decode(span[k : k + 200], self.model).split())
+                found.update(decode(match.group(), self.model).split())
         return found
 
 

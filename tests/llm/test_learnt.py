@@ -37,6 +37,24 @@ def test_restores_hidden_words(spark):
     assert restorer.words(None) == restorer.words("") == restorer.words(" \n") == set()
 
 
+def test_no_gate_before_the_lattice(spark):
+    restorer = toxicity.Restorer(toxicity.character_model(load(spark, folder("0.01"), "documents")))
+    for hidden, plain in [
+        ("idi" + "o" * 80 + "t", "idiot"), ("idi" + "o" * 5000 + "t", "idiot"), ("1d10t" + "." * 70 + "x", "idiot"),
+        (".".join(["you", "are", "an", "utter", "idiot"] * 9), "idiot"), ("you-are-a-w0rthl3ss-" * 9 + "one", "worthless"),
+        ("!diot", "idiot"), ('"!diot!"', "idiot"), ("(!diot)", "idiot"), ("(!diot!!!", "idiot"),
+        ("idioot", "idiot"), ("idioot-face", "idiot"), ("mor-ons", "morons"),
+    ]:
+        assert plain in restorer.words(f"was the {hidden} of"), hidden[:80]
+    for hidden in ("@$$", "455", "10", "(455)"):  # letters only by their look-alikes
+        assert all(w.isalpha() for w in restorer.words(hidden)) and restorer.words(hidden), hidden
+    assert restorer.words("!!! -- ... ,") == set()
+    # a word with a doubled letter stays as it is, too
+    assert {"letter", "stop"} <= restorer.words("a letter, stop!")
+    spaced = " ".join("x" * 300) + " i d i o t"
+    assert "idiot" in "".join(restorer.words(spaced))
+
+
 def test_held_out_accuracy(spark):
     found = toxicity_of(spark, "0.1").filter("held_out").join(load(spark, folder("0.1"), "labels"), "doc_id")
     pairs = [(r.score, r.toxic) for r in found.collect()]
