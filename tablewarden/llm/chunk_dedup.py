@@ -1,10 +1,13 @@
 """Substring dedup by content-defined chunking.
 
-A gear rolling hash over the bytes of a text cuts it where the hash's low bits are zero. The
-hash sees the last bytes only, so cuts move with the content: after an insertion the same
-chunks come back. Chunks are deduplicated by a 128-bit digest; of equal chunks the first one
-(by doc_id, then place) stays. Runs of repeated chunks shorter than ``SHORTEST_RUN`` bytes
-stay too, so stock phrases are left alone.
+A gear rolling hash runs over the bytes of a text, which is cut where the hash is the least
+within ``REACH`` bytes on either side. A cut depends on the ``REACH`` + 16 bytes before it and
+the ``REACH`` after it and on no earlier cut, so the same content is cut alike wherever it
+lies, up to that distance from its ends. Only where no hash is the least (repeated bytes) do
+cuts follow each other at ``MOST`` bytes. Chunks are deduplicated by a 128-bit digest; of
+equal chunks the first one (by doc_id, then place) stays. ``SHORTEST_RUN`` is the shortest
+chunk between two cuts, so a repeated chunk always counts; only shorter leftovers at the ends
+of texts stay.
 
 Counting a digest's chunks is an aggregate, so a chunk with a third of all copies is combined
 before the shuffle; chunks that occur once are dropped there. Null and empty texts have no
@@ -24,8 +27,8 @@ from pyspark.sql import functions as F
 
 from tablewarden.llm.common import Scratch, load, mixed
 
-LEAST, MASK, MOST = 24, 31, 192  # bytes; a cut at one place in MASK + 1
-SHORTEST_RUN = 100
+REACH, MOST = 24, 192  # bytes; chunks have some 2 REACH + 1
+SHORTEST_RUN = REACH + 1
 GEAR = mixed(np.arange(1, 257, dtype=np.uint64)).astype(np.uint32)
 STEP = 1 << 22  # bytes hashed at a time
 
@@ -39,20 +42,34 @@ def gear(data: bytes) -> np.ndarray:
     return h
 
 
+def least_places(keys: np.ndarray) -> np.ndarray:
+    """Where a key is less than the REACH before it and not more than the REACH after it."""
+    n, most = len(keys), np.iinfo(keys.dtype).max
+    edge = np.full(REACH, most, keys.dtype)
+    # runs[i] is the least of the ``width`` keys from i on
+    runs, width = np.concatenate([edge, keys, edge]), 1
+    while 2 * width <= REACH:
+        runs, width = np.minimum(runs[:-width], runs[width:]), 2 * width
+    rest = REACH - width
+    runs = np.minimum(runs[: len(runs) - rest], runs[rest:])
+    return np.flatnonzero((keys < runs[:n]) & (keys <= runs[REACH + 1 : REACH + 1 + n]))
+
+
 def cuts(data: bytes) -> list[int]:
     """Ends of the chunks of a text."""
     places: list[np.ndarray] = []
     for k in range(0, len(data), STEP):
-        part = gear(data[max(0, k - 31) : k + STEP])[min(k, 31) :]
-        # the high bits depend on all of the last 32 bytes
-        places.append(np.flatnonzero((part >> np.uint32(27)) & np.uint32(MASK) == 0) + k + 1)
+        low = max(0, k - REACH)
+        part = gear(data[max(0, low - 31) : k + STEP + REACH])[min(low, 31) :]
+        # the low half depends on the last 16 bytes
+        found = least_places(part & np.uint32(0xFFFF)) + low
+        places.append(found[(found >= k) & (found < k + STEP)] + 1)
     ends, last = [], 0
     for place in np.concatenate(places).tolist() if places else ():
         while place - last > MOST:
             last += MOST
             ends.append(last)
-        if place - last >= LEAST:
-            ends.append(last := place)
+        ends.append(last := place)
     while len(data) - last > MOST:
         ends.append(last := last + MOST)
     if len(data) > last:

@@ -143,6 +143,21 @@ def test_chunks_resist_shifts(spark):
     assert all(r.first_doc_ids for r in found.values())
 
 
+def test_every_passage_of_51_words_is_found(spark):
+    texts = [t for _, t in brute.rows(load(spark, folder("0.01"), "documents")) if t]
+    vocabulary, rng = [w for t in texts for w in t.split()], random.Random(6)
+    some = lambda n: [rng.choice(vocabulary) for _ in range(n)]
+    rows = []
+    for k in range(600):
+        passage = some(51)
+        for half in range(2):
+            text = [*some(rng.randint(10, 90)), *passage, *some(rng.randint(1, 40))]
+            rows.append((2 * k + half, " ".join(text)))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {(r.doc_id, i) for r in chunk_dedup.repeated_spans(frame).collect() for i in r.first_doc_ids}
+    assert {(2 * k + 1, 2 * k) for k in range(600)} <= found
+
+
 def test_chunk_dedup_edges(spark, docs):
     found = [tuple(r[:4]) for r in chunk_dedup.repeated_spans(docs).collect()]
     assert {900007} <= {r[0] for r in found}
