@@ -1,18 +1,22 @@
 """Benchmark decontamination by templates, which catches re-parameterised questions.
 
 A text becomes a template: words in lower case without edge punctuation, where numbers,
-names (words with a capital inside a sentence) and units after a number are typed
-placeholders. Windows of ``WINDOW`` template words are hashed and joined with those of the
-benchmark. Windows that lie on one diagonal of a document and an item count together. A
-document is contaminated by an item if at least ``ENOUGH`` of the item's windows (all, if it
-has fewer) occur on a diagonal and its slots are consistent: equal values of the benchmark
-became equal values in the document.
+names (words with a capital) and units after a number are typed placeholders; a run of equal
+placeholders is one. A word with a capital that begins a sentence may be a name or not, so a
+text has two readings: such words plain, and such words names. The second does not depend on
+what stands before the text. Windows of ``WINDOW`` template words of both readings are hashed
+and joined with those of the benchmark. Places are counted in words of the text; as values
+may differ in length, windows on one diagonal of a document and an item count together, and
+so do those on diagonals within ``DRIFT`` / 2 of each other. A document is contaminated by an
+item if the share ``SHARE`` of the item's windows, or ``ENOUGH`` of them, occur there and the
+slots are consistent: equal values of the benchmark became equal values in the document.
 
 Only windows of the benchmark leave the scan: while the benchmark has at most ``SMALL``
 windows, their sorted hashes travel with the job (32 MB); beyond that every window is joined.
-Items of ``SHORTEST`` to ``WINDOW`` - 1 words are one window of their own length; shorter
-ones cannot be told from chance and match nothing, as windows with fewer than ``LITERALS``
-plain words do. Null and empty texts match nothing; repeated rows of a document or an item
+Templates of ``SHORTEST`` to ``WINDOW`` - 1 words are one window of their own length. Windows
+with fewer than ``LITERALS`` plain words match nothing; an item without any other matches
+word for word as a whole. Items of fewer than ``SHORTEST`` words cannot be told from chance
+and match nothing. Null and empty texts match nothing; repeated rows of a document or an item
 count once.
 """
 
@@ -34,6 +38,8 @@ WINDOW = 8
 SHORTEST = 5
 LITERALS = 4
 ENOUGH = 6
+SHARE = 0.5
+DRIFT = 16
 SMALL = 1 << 22
 
 # fixed values: number words and units
@@ -89,23 +95,42 @@ class Words(dict):
             self.clear()
             self.hash, self.flags, self.bare = array("Q"), array("B"), []
 
-    def typed(self, raw: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Indexes, hashes with placeholders and kinds of the words of a text."""
+    def indexes(self, raw: list[str]) -> np.ndarray:
+        """Indexes of the words of a text that are not punctuation alone."""
         ids = np.fromiter(map(self.__getitem__, raw), np.int64, len(raw))
-        table, flags = np.frombuffer(self.hash, np.uint64), np.frombuffer(self.flags, np.uint8)
-        ids = ids[table[ids] != 0]
-        return ids, *_typed(table[ids], flags[ids])
+        return ids[np.frombuffer(self.hash, np.uint64)[ids] != 0]
 
+    def hashes(self, ids: np.ndarray) -> np.ndarray:
+        return np.frombuffer(self.hash, np.uint64)[ids]
 
-def _typed(hashes: np.ndarray, flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def readings(self, ids: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Hashes with placeholders, kinds and places of the words of each reading."""
+        hashes, flags = self.hashes(ids), np.frombuffer(self.flags, np.uint8)[ids]
+        plain, names = _kinds(flags)
+        out = [_template(hashes, plain)]
+        if (plain != names).any():
+            out.append(_template(hashes, names))
+        return out
+
+
+def _kinds(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Kinds with the words that begin sentences plain, and as names if they have a capital."""
     kinds = flags & 7
     starts = np.ones(len(flags), bool)
     starts[1:] = (flags[:-1] & ENDS) > 0
     after_number = np.zeros(len(flags), bool)
     after_number[1:] = kinds[:-1] == NUM
     kinds = np.where((kinds == UNIT) & ~after_number, PLAIN, kinds)
-    kinds = np.where((kinds == PLAIN) & ((flags & TITLE) > 0) & ~starts, NAME, kinds).astype(np.uint8)
-    return np.where(kinds == PLAIN, hashes, HASHES[kinds]), kinds
+    capital = (kinds == PLAIN) & ((flags & TITLE) > 0)
+    return tuple(np.where(c, NAME, kinds).astype(np.uint8) for c in (capital & ~starts, capital))
+
+
+def _template(hashes: np.ndarray, kinds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    first = np.ones(len(kinds), bool)
+    first[1:] = (kinds[1:] == PLAIN) | (kinds[1:] != kinds[:-1])
+    places = np.flatnonzero(first)
+    kinds = kinds[places]
+    return np.where(kinds == PLAIN, hashes[places], HASHES[kinds]), kinds, places
 
 
 def _windows(hashes: np.ndarray, kinds: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -121,7 +146,16 @@ def template_windows(
     texts: DataFrame, key: str, sizes: list[int], whole: bool, wanted: np.ndarray | None = None
 ) -> DataFrame:
     """(key, size, h, pos, slots) of the windows of each size, or of texts of that size if
-    ``whole``. ``wanted``: sorted hashes; other windows are left out."""
+    ``whole``. Negative sizes: of that many words as they are; with ``whole``, texts that have
+    no other window. ``wanted``: sorted hashes; other windows are left out."""
+
+    def hit(h: np.ndarray, pos: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if wanted is None or not len(h):
+            return h, pos
+        at = np.searchsorted(wanted, h)
+        at[at == len(wanted)] = 0
+        same = wanted[at] == h
+        return h[same], pos[same]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words = Words()
@@ -129,19 +163,27 @@ def template_windows(
             rows = []
             for name, text in zip(batch.iloc[:, 0], batch.iloc[:, 1], strict=True):
                 words.trim()
-                ids, hashes, kinds = words.typed(text.split() if text else [])
-                for size in sizes:
-                    if whole and size < WINDOW and len(ids) != size:
-                        continue
-                    h, pos = _windows(hashes, kinds, size)
-                    if wanted is not None and len(h):
-                        at = np.searchsorted(wanted, h)
-                        at[at == len(wanted)] = 0
-                        hit = wanted[at] == h
-                        h, pos = h[hit], pos[hit]
-                    for value, p in zip(h.view(np.int64).tolist(), pos.tolist(), strict=True):
-                        slots = [words.bare[ids[p + k]] for k in np.flatnonzero(kinds[p : p + size])]
-                        rows.append((name, size, value, p, slots))
+                ids, before = words.indexes(text.split() if text else []), len(rows)
+                for hashes, kinds, places in words.readings(ids):
+                    ends = np.append(places[1:], len(ids))
+                    for size in sizes:
+                        if size < 0 or (whole and size < WINDOW and len(hashes) != size):
+                            continue
+                        h, pos = hit(*_windows(hashes, kinds, size))
+                        for value, p in zip(h.view(np.int64).tolist(), pos.tolist(), strict=True):
+                            slots = [
+                                " ".join(words.bare[i] for i in ids[places[p + k] : ends[p + k]])
+                                for k in np.flatnonzero(kinds[p : p + size])
+                            ]
+                            rows.append((name, size, value, int(places[p]), slots))
+                if whole:
+                    exact = [-len(ids)] if len(rows) == before and len(ids) >= SHORTEST else []
+                else:
+                    exact = [size for size in sizes if size < 0]
+                for size in exact:
+                    h = windows(words.hashes(ids), -size)
+                    h, pos = hit(h, np.arange(len(h)))
+                    rows += [(name, size, v, p, []) for v, p in zip(h.view(np.int64).tolist(), pos.tolist(), strict=True)]
             yield pd.DataFrame(rows, columns=["key", "size", "h", "pos", "slots"])
 
     schema = f"key {texts.schema[key].dataType.simpleString()}, size int, h long, pos long, slots array<string>"
@@ -155,7 +197,7 @@ def contaminations(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     items = scratch.save(template_windows(benchmark, "item_id", sizes, whole=True).distinct(), "items")
     totals = items.groupBy("key").agg(F.countDistinct("pos").alias("n_item_windows"))
     wanted = None
-    short = [r["size"] for r in items.select("size").distinct().collect()]  # at most len(sizes)
+    short = [r["size"] for r in items.select("size").distinct().collect()]  # and the lengths of items
     if items.count() <= SMALL:
         wanted = np.sort(np.array([r.h for r in items.select("h").distinct().collect()], np.int64).view(np.uint64))
         if not len(wanted):
@@ -167,8 +209,18 @@ def contaminations(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         ["size", "h"],
     )
     pairs = F.array_distinct(F.flatten(F.collect_set(F.arrays_zip("ours", "theirs"))))
+    diagonal = F.col("pos") - F.col("at")
+    # bands of diagonals lie half over each other, so near diagonals share one of them
+    bands = F.array(
+        F.struct(F.lit(0).alias("kind"), diagonal.alias("at")),
+        *(
+            F.struct(F.lit(k).alias("kind"), F.floor((diagonal + shift) / DRIFT).cast("int").alias("at"))
+            for k, shift in ((1, 0), (2, DRIFT // 2))
+        ),
+    )
     lines = (
-        hits.groupBy("doc_id", "item_id", (F.col("pos") - F.col("at")).alias("diagonal"))
+        hits.withColumn("band", F.explode(bands))
+        .groupBy("doc_id", "item_id", "band")
         .agg(F.countDistinct("at").alias("n_windows"), pairs.alias("slots"))
         .withColumn("exact", F.forall("slots", lambda s: s["ours"] == s["theirs"]))
         .filter(F.size("slots") == F.size(F.array_distinct(F.transform("slots", lambda s: s["ours"]))))
@@ -178,7 +230,7 @@ def contaminations(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     )
     return (
         best.join(totals.withColumnRenamed("key", "item_id"), "item_id")
-        .filter(F.col("n_windows") >= F.least("n_item_windows", F.lit(ENOUGH)))
+        .filter(F.col("n_windows") >= F.least(F.col("n_item_windows") * SHARE, F.lit(ENOUGH)))
         .select("doc_id", "item_id", "n_windows", "n_item_windows", "exact")
     )
 

@@ -259,6 +259,28 @@ def test_catches_other_parameters(spark):
     assert decontamination.contaminations(a, b.limit(0)).count() == 0
 
 
+def test_catches_short_items_in_any_context(spark):
+    items = [
+        (1, "The old baker sold many warm loaves before noon today"),
+        (2, "Anna buys 4 pens and some paper at the store near home."),
+        (3, "Then a train from Paris took 7 hours to reach the coast in heavy rain."),
+        (4, "Rome Paris Oslo Bern 12 15"),
+    ]
+    docs = [
+        (1, "Question 3\nThe old baker sold many warm loaves before noon today"),
+        (2, "We say: Carla buys 19 pens and some paper at the store near home. Yes"),
+        (3, "then a train from New York took twenty five hours to reach the coast in heavy rain."),
+        (4, "so Rome Paris Oslo Bern 12 15 it was"),
+        (5, "so Rome Paris Oslo Bern 13 15 it was"),
+        (6, "the old baker went home and many warm days came before noon"),
+        (7, "Task\nDora buys 3 pens and some paper at the store near home."),
+    ]
+    a = spark.createDataFrame(docs, "doc_id long, text string")
+    b = spark.createDataFrame(items, "item_id long, text string")
+    found = {(r.doc_id, r.item_id): r.exact for r in decontamination.contaminations(a, b).collect()}
+    assert found == {(1, 1): True, (2, 2): False, (3, 3): False, (4, 4): True, (7, 2): False}
+
+
 # --- PII -----------------------------------------------------------------------------
 
 TEXTS = [
