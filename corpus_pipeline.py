@@ -2,7 +2,8 @@
 
 Stages: toxic documents go; one document of each group of near copies stays; documents that
 hold benchmark questions go; personal data get surrogates; what is left is packed. All
-stages but the last return the columns of ``documents``.
+stages but the last return the columns of ``documents``. A row is judged by its own text: no
+row goes because another one has the same doc_id, or none.
 """
 
 from __future__ import annotations
@@ -13,14 +14,14 @@ from pyspark.sql import functions as F
 from tablewarden.llm import decontamination, jaccard, packing, pii, toxicity
 from tablewarden.llm.common import Scratch, load
 
-BROADCAST_IDS = 1_000_000  # ids, 8 bytes each
+BROADCAST_KEYS = 100_000  # digests of 32 bytes, or row ids
 
 
-def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows whose doc_id is not among ``ids``, a written table."""
-    if ids.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
-    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["doc_id"]), "left_anti")
+def without(docs: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """The rows whose ``key`` is not among ``keys``, a written table. Null keys stay."""
+    if keys.count() <= BROADCAST_KEYS:
+        keys = F.broadcast(keys)
+    return docs.join(keys, key, "left_anti")
 
 
 def clean_speech(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,19 +32,38 @@ def clean_speech(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each group of near copies.
+    """Keeps one row of each group of near copies, that of the smallest id; null ids come last.
 
-    Documents with no words have no near copies and stay, as do those with a null id.
+    Rows get ids of their own, so rows that share a doc_id, or have none, are told apart and
+    repeated rows are copies. Documents with no words have no near copies and stay.
     """
-    found = jaccard.near_duplicates(docs)
-    extra = Scratch(spark).save(found.filter("component_id < doc_id").select("doc_id").distinct(), "extra")
-    return without(docs, extra)
+    scratch = Scratch(spark)
+    # written, so that a row keeps its id; the name clashes with no column
+    row = "_row"
+    while row in docs.columns:
+        row += "_"
+    rows = scratch.save(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    found = jaccard.near_duplicates(rows.select(F.col(row).alias("doc_id"), "text"))
+    found = scratch.save(found.filter("n_shingles > 0").select(F.col("doc_id").alias(row), "component_id"), "found")
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", row)
+    placed = found.join(rows.select("doc_id", row), row).select(row, "component_id", order.alias("place"))
+    placed = scratch.save(placed, "placed")
+    kept = scratch.save(placed.groupBy("component_id").agg(F.min("place").alias("kept"), F.count("*").alias("n")).filter("n > 1"), "kept")
+    extra = placed.join(kept, "component_id").filter("place <> kept").select(row)
+    return without(rows, scratch.save(extra, "extra"), row).select(docs.columns)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops the documents that hold a benchmark question, re-parameterised or not."""
-    found = decontamination.contaminations(docs, load(spark, sf_dir, "benchmark"))
-    return without(docs, Scratch(spark).save(found.select("doc_id").distinct(), "contaminated"))
+    """Drops the texts that hold a benchmark question, re-parameterised or not."""
+    key = "_digest"
+    while key in docs.columns:
+        key += "_"
+    digest = F.unhex(F.sha2(F.col("text").cast("binary"), 256))  # null for a null text, which stays
+    # equal texts have equal verdicts, so a text's digest is its id
+    texts = docs.select(digest.alias("doc_id"), "text")
+    found = decontamination.contaminations(texts, load(spark, sf_dir, "benchmark"))
+    found = Scratch(spark).save(found.select(F.col("doc_id").alias(key)).distinct(), "contaminated")
+    return without(docs.withColumn(key, digest), found, key).select(docs.columns)
 
 
 def pseudonymised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

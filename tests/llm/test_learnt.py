@@ -390,3 +390,27 @@ def test_pipeline_edges(spark):
     for frame in (docs, docs.limit(0)):
         for _, stage in corpus_pipeline.STAGES:
             assert stage(spark, frame, folder("0.001")).count() >= 0
+
+
+def test_pipeline_judges_rows_by_their_own_text(spark):
+    question = load(spark, folder("0.001"), "benchmark").filter("length(text) > 120").orderBy("item_id").first().text
+    some = lambda name: " ".join(f"{name}{i}" for i in range(30))
+    rows = [
+        (None, question), (None, some("b")), (None, some("c")), (None, some("c")), (None, some("a")),
+        (1, some("a")), (2, some("a")), (2, some("own")), (3, some("r")), (3, some("r")),
+        (4, question), (4, some("d")), (5, None), (6, ""), (6, ""),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns(
+        {"lang": F.lit("en"), "source": F.lit("s"), "n_chars": F.length("text").cast("long")}
+    )
+    docs = docs.repartition(4).cache()
+    clean = corpus_pipeline.decontaminated(spark, docs, folder("0.001"))
+    assert Counter(brute.rows(clean)) == Counter(r for r in rows if r[1] != question)
+    single = corpus_pipeline.one_of_each(spark, docs, folder("0.001"))
+    assert single.columns == clean.columns == docs.columns
+    assert Counter(brute.rows(single)) == Counter(
+        [
+            (4, question), (None, some("b")), (None, some("c")), (1, some("a")), (2, some("own")), (3, some("r")),
+            (4, some("d")), (5, None), (6, ""), (6, ""),
+        ]
+    )
