@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from tablewarden.llm import dualtree, filter_audit
+from tablewarden.llm.bytebpe import op12_byte_level_bpe
 from tablewarden.llm.chunk_dedup import op3_substring_dedup
 from tablewarden.llm.decontamination import op9_benchmark_decontamination
+from tablewarden.llm.dualtree import op13_ranked_lexical_search
+from tablewarden.llm.filter_audit import op11_filter_interaction_audit
 from tablewarden.llm.jaccard import op6_ngram_jaccard_join
 from tablewarden.llm.licences import op4_license_scans
 from tablewarden.llm.packing import op5_packing
@@ -24,6 +28,12 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_pii": op10_pii,
+    "op11_filter_interaction_audit": op11_filter_interaction_audit,
+    "op12_byte_level_bpe": op12_byte_level_bpe,
+    "op13_ranked_lexical_search": op13_ranked_lexical_search,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op11_filter_interaction_audit": filter_audit.ORACLE,
+    "op13_ranked_lexical_search": dualtree.ORACLE,
+}
