@@ -26,12 +26,13 @@ from tablewarden.plans.rulebook import RULE_IDS, Rulebook
 from tablewarden.plans.score import summarise
 from tablewarden.plans.suite import Loader, Table, detail, results, table_measures, union_all
 from tablewarden.sources.inventory import discover_tables, read_table
+from tablewarden.sources.publication import Publication
 from tablewarden.sources.store import Store
 
 log = logging.getLogger(__name__)
 
 KEY_RULES = ("DQ04", "DQ10", "DQ06")  # those with scans of their own
-STAGED = "dq_run_results"  # results as they come, by run; summary and detail are made from them
+STAGED = "dq_run_results"  # results as they come; summary and detail are made from them, then they go
 
 
 @dataclass
@@ -51,6 +52,9 @@ class Run:
     later table costs finished work. If such a job fails, its tables are taken one by
     one; if a single table fails, the rules that raise are found and reported as
     WARNING (single SQL conditions are skipped) and the rest is evaluated again.
+
+    Nothing of a call of ``tables`` is visible before all its audit tables are written; then
+    they appear at once. The same calls under the same ``run_id`` leave the same rows.
     """
 
     spark: SparkSession
@@ -59,9 +63,12 @@ class Run:
     run_timestamp: Column | None = None
     load: Loader | None = None
     tables_per_job: int = 8
+    run_id: str | None = None
     outcome: RunOutcome = field(default_factory=lambda: RunOutcome(f"run-{uuid4().hex}"))
+    calls: int = 0
 
     def __post_init__(self):
+        self.outcome.run_id = self.run_id = self.run_id or self.outcome.run_id
         if self.run_timestamp is None:  # one value for the whole run
             now = self.spark.range(1).select(F.unix_micros(F.current_timestamp())).first()[0]
             self.run_timestamp = F.timestamp_micros(F.lit(now))
@@ -71,7 +78,9 @@ class Run:
     def tables(self, refs: Iterable[TableRef], read: Callable[[TableRef], DataFrame] | None = None) -> RunOutcome:
         """Evaluate and profile tables, then write summary, detail, profile, candidates, totals."""
         read = read or (lambda ref: read_table(self.spark, ref))
-        self._call = f"{self.outcome.run_id}-{uuid4().hex[:8]}"  # a second call writes its own tables only
+        self.calls += 1  # a second call writes its own tables only
+        self._attempt = Publication(self.store, self.spark, f"{self.run_id}-{self.calls}", self.audit)
+        self._parts = 0
         loaded = []
         for ref in refs:
             try:
@@ -105,8 +114,8 @@ class Run:
 
     def _stage(self, measures: DataFrame, history: DataFrame | None) -> None:
         frame = results(measures, self.book, self.run_timestamp, history)
-        staged = frame.withColumn("run_id", F.lit(self._call)).coalesce(1)
-        self.store.write(staged, self.audit, STAGED, "append", partition_by=("run_id",))
+        self._parts += 1
+        self._attempt.write(frame.coalesce(1), (self.audit, STAGED), f"{self._parts}")
 
     def _evaluate(self, tables: Sequence[Table], history: DataFrame | None) -> None:
         try:
@@ -136,16 +145,16 @@ class Run:
     # profile
 
     def _profile(self, tables: Sequence[Table]) -> bool:
-        """Overwrite the profile table; a table that cannot be profiled is left out."""
+        """Write the profile group by group; a table that cannot be profiled is left out."""
         target = (self.book.layer("candidate"), self.book.output("profiling"))
         wrote = False
         for start in range(0, len(tables), self.tables_per_job):
             group = tables[start : start + self.tables_per_job]
             attempts = [group] if len(group) == 1 else [group, *([t] for t in group)]
-            for attempt in attempts:
+            for number, attempt in enumerate(attempts):
                 try:
                     frame = union_all([profile_table(t.df, t.ref, self.run_timestamp) for t in attempt])
-                    self.store.write(frame.coalesce(1), *target, "append" if wrote else "overwrite")
+                    self._attempt.write(frame.coalesce(1), target, f"{start}-{number}")
                     wrote = True
                     if attempt is group:
                         break
@@ -156,29 +165,38 @@ class Run:
     # audit trail
 
     def _write_audit(self, tables: Sequence[Table], profiled: bool) -> None:
-        book, store, spark = self.book, self.store, self.spark
-        attempts = [(True,)] * len(tables) + [(False,)] * len(self.outcome.failed)
-        tried = spark.createDataFrame(attempts, "processed boolean").select(
+        """Write every audit table from this call's own rows, then publish all of them at once."""
+        book, spark, attempt = self.book, self.spark, self._attempt
+        outcomes = [(True,)] * len(tables) + [(False,)] * len(self.outcome.failed)
+        if not outcomes:
+            attempt.publish([])
+            return
+        summary, audit, totals = ((self.audit, book.output(n)) for n in ("summary", "audit", "pipeline_runs"))
+        profile, candidates = ((book.layer("candidate"), book.output(n)) for n in ("profiling", "candidates"))
+        staged = (self.audit, STAGED)
+        tried = spark.createDataFrame(outcomes, "processed boolean").select(
             self.run_timestamp.alias("run_timestamp"), "processed"
         )
         nothing = tried.filter(F.lit(False))
-        summary = rule_results = nothing
-        profile = nothing.withColumnRenamed("run_timestamp", "profile_timestamp")
-        candidates = nothing.withColumnRenamed("run_timestamp", "created_timestamp")
+        counted = [nothing, nothing]
+        counted += [nothing.withColumnRenamed("run_timestamp", f"{c}_timestamp") for c in ("profile", "created")]
         if tables:
-            staged = store.read(spark, self.audit, STAGED)
-            staged = staged.filter(F.col("run_id") == self._call).drop("run_id")
-            summary, rule_results = summarise(staged, book), detail(staged)
-            store.write(summary.coalesce(1), self.audit, book.output("summary"), "append")
-            store.write(rule_results.coalesce(1), self.audit, book.output("audit"), "append")
+            graded = attempt.own(staged)
+            attempt.write(summarise(graded, book).coalesce(1), summary)
+            attempt.write(detail(graded).coalesce(1), audit)
+            counted[:2] = attempt.own(summary), attempt.own(audit)
         if profiled:
-            profile = store.read(spark, book.layer("candidate"), book.output("profiling"))
-            candidates = rule_candidates(profile, book.candidate_null_pct)
-            # also when there are none, so that they belong to the stored profile
-            store.write(candidates.coalesce(1), book.layer("candidate"), book.output("candidates"))
-        if attempts:
-            totals = run_totals(tried, summary, rule_results, profile, candidates)
-            store.write(totals.coalesce(1), self.audit, book.output("pipeline_runs"), "append")
+            found = rule_candidates(attempt.own(profile), book.candidate_null_pct)
+            attempt.write(found.coalesce(1), candidates)
+            counted[2:] = attempt.own(profile), attempt.own(candidates)
+        attempt.write(run_totals(tried, *counted).coalesce(1), totals)
+        attempt.publish(
+            [summary, audit, totals] if tables else [totals],
+            # candidates also when there are none, so that they belong to the stored profile
+            [profile, candidates] if profiled else [],
+        )
+        if tables:
+            attempt.discard(staged)
 
 
 def run_catalog(run: Run) -> RunOutcome:

@@ -1,8 +1,9 @@
 """Where audit frames and layers are written: directories or catalog tables.
 
-The format is a parameter. ``parquet`` in a directory is the default because it can
-append frames with new columns (they are merged when read); ``delta`` works with
-both kinds where its jars are present.
+The format is a parameter. ``parquet`` in a directory is the default. Files that do not know the
+columns of other files have a schema registry beside them, so frames with new columns can be
+appended and a read opens no footer to plan; ``delta`` works with both kinds where its jars are
+present, and keeps its schemas itself.
 """
 
 from __future__ import annotations
@@ -13,10 +14,16 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from uuid import uuid4
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tablewarden.functions.names import quote
+from tablewarden.sources.files import Files
+from tablewarden.sources.publication import ATTEMPT, PART, Pointers
+from tablewarden.sources.schemas import SchemaRegistry
+
+OWN_SCHEMAS = ("delta", "iceberg", "hudi")  # formats that keep the schema of a table
+HIDDEN = (ATTEMPT, PART, "_dq_route")  # partition columns that readers do not see
 
 
 @dataclass(frozen=True)
@@ -28,6 +35,11 @@ class Store:
     fmt: str = "parquet"
     catalog: str | None = None
 
+    @property
+    def keeps_schemas(self) -> bool:
+        """Whether the format keeps the schema of a table itself."""
+        return self.fmt in OWN_SCHEMAS
+
     def _namespace(self, schema: str) -> str:
         return ".".join(quote(part) for part in (self.catalog, schema) if part)
 
@@ -45,30 +57,71 @@ class Store:
         partition_by: Sequence[str] = (),
     ) -> str:
         target = self.target(schema, table)
-        evolution = "mergeSchema" if mode == "append" else "overwriteSchema"
-        writer = df.write.format(self.fmt).mode(mode).option(evolution, "true")
-        if partition_by:
-            writer = writer.partitionBy(*partition_by)
         if self.root is None:
+            evolution = "mergeSchema" if mode == "append" else "overwriteSchema"
+            writer = df.write.format(self.fmt).mode(mode).option(evolution, "true")
             df.sparkSession.sql(f"CREATE SCHEMA IF NOT EXISTS {self._namespace(schema)}")
-            writer.saveAsTable(target)
-        else:
-            writer.save(target)
+            (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(target)
+            return target
+        if mode == "append":
+            self._register(df, schema, table)
+        writer = df.write.format(self.fmt).mode(mode)
+        if self.keeps_schemas:
+            writer = writer.option("mergeSchema" if mode == "append" else "overwriteSchema", "true")
+        (writer.partitionBy(*partition_by) if partition_by else writer).save(target)
+        if mode == "overwrite" and not self.keeps_schemas:
+            SchemaRegistry(Files(df.sparkSession, self.root)).replace(schema, table, df.schema)
         return target
 
+    def replace_partitions(self, df: DataFrame, schema: str, table: str, partition_by: Sequence[str]) -> None:
+        """Replace exactly the partitions of a directory table that ``df`` has rows of."""
+        self._register(df, schema, table)
+        writer = df.write.format(self.fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(*partition_by).save(self.target(schema, table))
+
+    def _register(self, df: DataFrame, schema: str, table: str) -> None:
+        """Make the columns of rows that will be added known to readers."""
+        if self.keeps_schemas:
+            return
+        registry = SchemaRegistry(Files(df.sparkSession, self.root))
+        if registry.read(schema, table) is None and registry.files.exists(f"{schema}/{table}"):
+            # files that something else wrote: their footers are read this once
+            registry.add(schema, table, self._merging_footers(df.sparkSession, schema, table).schema)
+        registry.add(schema, table, df.schema)
+
+    def _merging_footers(self, spark: SparkSession, schema: str, table: str) -> DataFrame:
+        return spark.read.format(self.fmt).option("mergeSchema", "true").load(self.target(schema, table))
+
+    def read_files(self, spark: SparkSession, schema: str, table: str) -> DataFrame:
+        """A directory table with all its columns and rows, published or not."""
+        known = None
+        if not self.keeps_schemas:
+            known = SchemaRegistry(Files(spark, self.root)).read(schema, table)
+        if known is None:
+            return self._merging_footers(spark, schema, table)
+        return spark.read.format(self.fmt).schema(known).load(self.target(schema, table))
+
     def read(self, spark: SparkSession, schema: str, table: str) -> DataFrame:
-        target = self.target(schema, table)
+        """The table as readers see it: of runs that are published, without columns of storage."""
         if self.root is None:
-            return spark.table(target)
-        return spark.read.format(self.fmt).option("mergeSchema", "true").load(target)
+            stored = spark.table(self.target(schema, table))
+        else:
+            stored = self.read_files(spark, schema, table)
+            if ATTEMPT in stored.columns:
+                visible = Pointers(Files(spark, self.root)).visible((schema, table))
+                stored = stored.filter(F.col(ATTEMPT).isin(visible))
+        return stored.drop(*HIDDEN)
 
     def exists(self, spark: SparkSession, schema: str, table: str) -> bool:
+        """Whether there is something to read; asks the file system or the catalog, reads no data."""
         if self.root is None:
             return spark.catalog.tableExists(self.target(schema, table))
-        try:
-            spark.read.format(self.fmt).load(self.target(schema, table))
-        except AnalysisException:
+        files = Files(spark, self.root)
+        if not files.exists(f"{schema}/{table}"):
             return False
+        known = None if self.keeps_schemas else SchemaRegistry(files).read(schema, table)
+        if known is not None and ATTEMPT in known.names:
+            return bool(Pointers(files).visible((schema, table)))
         return True
 
 

@@ -339,6 +339,14 @@ COLUMNS = {
         "c_mktsegment": "string",
     },
     "labels": {"doc_id": "bigint", "quality": "int", "toxic": "int"},
+    "orders": {
+        "o_orderkey": "bigint",
+        "o_custkey": "bigint",
+        "o_orderstatus": "string",
+        "o_totalprice": "double",
+        "o_orderdate": "timestamp_ntz",
+        "o_orderpriority": "string",
+    },
 }
 
 
@@ -446,6 +454,12 @@ ORACLES: dict[str, str] = {
         UNION ALL SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer""",
     "dq_detail": graded(every(SCORED)) + DETAIL,
     "dq_summary": summary(SCORED, f"SELECT {SUMMARY_COLUMNS} FROM summary"),
+    "dq_repeated_run": f"""SELECT * FROM (VALUES ('dq_summary', {len(SCORED)}::BIGINT),
+            ('dq_audit_results', {16 * len(SCORED)}), ('dq_pipeline_runs', 1),
+            ('dq_profile', {sum(COLUMN_COUNTS[t] for t in SCORED)})) AS stored("table", row_count)
+        UNION ALL SELECT 'dq_rule_candidates', count(*) FROM ({candidate_oracle(SCORED)})""",
+    "stored_profile": f"{profile_cte(SCORED)} SELECT * FROM profile",
+    "stored_candidates": candidate_oracle(SCORED),
     "dq01_completeness": rule_oracle("DQ01"),
     "dq02_accuracy": rule_oracle("DQ02"),
     "dq03_validity": rule_oracle("DQ03"),

@@ -33,6 +33,10 @@ SUITE_TABLES = ["orders_dq", "lineitem"]
 VOLUME_TABLES = ["orders", "lineitem", "events", "customer"]
 LAYERED = ["orders", "orders_dq"]
 
+# Audit tables by layer and output
+STORED = [("audit", "summary"), ("audit", "audit"), ("audit", "pipeline_runs")]
+STORED += [("candidate", "profiling"), ("candidate", "candidates")]
+
 RUN_AT = datetime(2026, 1, 5, 6, 0, 0)
 
 # Earlier runs of the volume rule: when they ran and which timestamp says what was loaded.
@@ -161,12 +165,13 @@ def dq_all_tables(spark: SparkSession, folder: str) -> DataFrame:
     return summarise(suite(tables, RULED_TABLES, history=earlier_runs(tables)), book())
 
 
-def audited_run(spark: SparkSession, folder: str) -> Store:
-    """A run with its audit trail written to the shared folder."""
+def audited_run(spark: SparkSession, folder: str, times: int = 1) -> Store:
+    """A run with its audit trail written to the shared folder; repeated under the same id."""
     tables = Tables(spark, folder)
     store = Store(shared_root(spark))
-    run = Run(spark, book(), store, moment(), tables.frame)
-    run.tables([ref(name) for name in SCORED_TABLES], lambda r: tables.frame(r.table))
+    for _ in range(times):
+        run = Run(spark, book(), store, moment(), tables.frame, run_id="daily")
+        run.tables([ref(name) for name in SCORED_TABLES], lambda r: tables.frame(r.table))
     return store
 
 
@@ -178,6 +183,23 @@ def dq_summary(spark: SparkSession, folder: str) -> DataFrame:
     return audited_run(spark, folder).read(spark, book().layer("audit"), book().output("summary"))
 
 
+def repeated_run(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of each audit table after the same run has been done twice."""
+    store, found = audited_run(spark, folder, times=2), []
+    for layer, output in STORED:
+        stored = store.read(spark, book().layer(layer), book().output(output))
+        rows = stored.agg(F.count(F.lit(1)).alias("row_count"))
+        found.append(rows.select(F.lit(book().output(output)).alias("table"), "row_count"))
+    return union(found)
+
+
+def stored(output: str) -> Query:
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        return audited_run(spark, folder).read(spark, book().layer("candidate"), book().output(output))
+
+    return query
+
+
 def supplier_history(tables: Tables) -> DataFrame:
     """What drives a supplier's revenue: one training row per supplier."""
     return tables.frame("lineitem").groupBy("l_suppkey").agg(
@@ -399,6 +421,9 @@ QUERIES: dict[str, Query] = {
     "sink_append_merge": sink_append_merge,
     "dq_detail": dq_detail,
     "dq_summary": dq_summary,
+    "dq_repeated_run": repeated_run,
+    "stored_profile": stored("profiling"),
+    "stored_candidates": stored("candidates"),
     "dq01_completeness": rule_query("DQ01"),
     "dq02_accuracy": rule_query("DQ02"),
     "dq03_validity": rule_query("DQ03"),
