@@ -13,7 +13,9 @@ from tablewarden.functions.names import TableRef, safe_name
 from tablewarden.functions.trees import balanced
 from tablewarden.operators.rules import ROW_RULES, RowRule, build_row_rules
 from tablewarden.plans.rulebook import Rulebook
-from tablewarden.sources.store import Store
+from tablewarden.sources.store import ROUTE, Store
+
+CLEAN, FAILING = "clean", "failing"  # routes of a row
 
 # Lineage columns of the bronze layer.
 LINEAGE_COLUMNS = (
@@ -33,13 +35,14 @@ def _now(at: Column | None) -> Column:
 
 def normalized_names(columns: Sequence[str]) -> list[str]:
     """Safe names by position; later clashes get ``_1``, ``_2``, ..."""
-    names: list[str] = []
+    suffixes: dict[str, int] = {}  # by name taken: the last suffix tried with it
+    names = []
     for column in columns:
         base = name = safe_name(column)
-        suffix = 0
-        while name in names:
-            suffix += 1
-            name = f"{base}_{suffix}"
+        while name in suffixes:
+            suffixes[base] += 1
+            name = f"{base}_{suffixes[base]}"
+        suffixes[name] = 0
         names.append(name)
     return names
 
@@ -62,6 +65,28 @@ def write_bronze(
     return bronze, normalize_columns(df)[1]
 
 
+def land(
+    df: DataFrame,
+    condition: Column | None,
+    ref: TableRef,
+    store: Store,
+    book: Rulebook,
+    at: Column | None = None,
+) -> tuple[dict[str, str], int]:
+    """Write bronze in one pass, rows that meet ``condition`` apart from the others.
+
+    Returns the new column names and how many rows met it, counted while they were written.
+    """
+    way = F.lit(CLEAN) if condition is None else F.when(condition, FAILING).otherwise(CLEAN)
+    # the condition knows the columns by their old names
+    named = df.select("*", way.alias(ROUTE)).toDF(*normalized_names(df.columns), ROUTE)
+    landed = named.withColumns(dict(zip(LINEAGE_COLUMNS, (_now(at), *map(F.lit, ref)))))
+    written = Observation()
+    counted = landed.observe(written, F.count_if(F.col(ROUTE) == FAILING).alias("failing"))
+    store.write(counted, book.layer("bronze"), ref.table, partition_by=(ROUTE,))
+    return normalize_columns(df)[1], written.get["failing"]
+
+
 # --- silver and gold --------------------------------------------------------------
 
 
@@ -163,6 +188,25 @@ def create_quarantine(
     failing = quarantine_frame(df, condition, ref, run_id, at)
     if failing.isEmpty():
         return 0
+    return _append_counted(failing, ref, store, book)
+
+
+def quarantine_landed(
+    spark: SparkSession,
+    columns: Sequence[str],
+    ref: TableRef,
+    store: Store,
+    book: Rulebook,
+    run_id: str,
+    at: Column | None = None,
+) -> int:
+    """Quarantine the failing rows of a landed table, under the names they had in the source."""
+    landed = store.read_routed(spark, book.layer("bronze"), ref.table, FAILING)
+    rows = landed.drop(*LINEAGE_COLUMNS).toDF(*columns)
+    return _append_counted(quarantine_frame(rows, F.lit(True), ref, run_id, at), ref, store, book)
+
+
+def _append_counted(failing: DataFrame, ref: TableRef, store: Store, book: Rulebook) -> int:
     written = Observation()
     counted = failing.observe(written, F.count(F.lit(1)).alias("rows"))
     store.write(counted, book.layer("quarantine"), f"quarantine_{safe_name(ref.table)}", "append")

@@ -10,14 +10,15 @@ from uuid import uuid4
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablewarden.functions.errors import is_data_error
 from tablewarden.functions.names import TableRef
 from tablewarden.operators.layers import (
     create_gold,
-    create_quarantine,
     create_silver,
     failing_condition,
+    land,
+    quarantine_landed,
     row_rules,
-    write_bronze,
 )
 from tablewarden.operators.profile import profile_table, rule_candidates
 from tablewarden.operators.reports import final_report, run_totals
@@ -50,8 +51,10 @@ class Run:
     Tables are evaluated ``tables_per_job`` at a time, in one Spark job each, and their
     few result rows are written straight to the store, so neither a lost executor nor a
     later table costs finished work. If such a job fails, its tables are taken one by
-    one; if a single table fails, the rules that raise are found and reported as
-    WARNING (single SQL conditions are skipped) and the rest is evaluated again.
+    one; if a single table fails on its data, the rules that raise are found and reported as
+    WARNING (single SQL conditions are skipped) and the rest is evaluated again. A failure
+    that says nothing about the data is tried once more and then fails the table: no rule
+    is accused of it.
 
     Nothing of a call of ``tables`` is visible before all its audit tables are written; then
     they appear at once. The same calls under the same ``run_id`` leave the same rows.
@@ -117,7 +120,7 @@ class Run:
         self._parts += 1
         self._attempt.write(frame.coalesce(1), (self.audit, STAGED), f"{self._parts}")
 
-    def _evaluate(self, tables: Sequence[Table], history: DataFrame | None) -> None:
+    def _evaluate(self, tables: Sequence[Table], history: DataFrame | None, again: bool = True) -> None:
         try:
             self._stage(union_all([table_measures(t, self.book, self.load) for t in tables]), history)
             self.outcome.processed += [t.ref for t in tables]
@@ -125,16 +128,23 @@ class Run:
             if len(tables) > 1:
                 for table in tables:
                     self._evaluate([table], history)
-            elif history is not None and not _raises(table_measures(tables[0], self.book, self.load)):
-                # the table is sound, so the history is not: the volume rule passes without it
-                log.warning("table %s: %s; going on without history", tables[0].ref.full, error)
-                self._evaluate(tables, None)
+            elif not is_data_error(error):
+                if again:
+                    log.warning("table %s: %s; trying once more", tables[0].ref.full, error)
+                    self._evaluate(tables, history, again=False)
+                else:
+                    self._failed(tables[0].ref, error)
             else:
-                log.warning("table %s: %s; looking for the cause", tables[0].ref.full, error)
-                self._evaluate_without_raising(tables[0], history)
+                self._evaluate_without_raising(tables[0], history, error)
 
-    def _evaluate_without_raising(self, table: Table, history: DataFrame | None) -> None:
+    def _evaluate_without_raising(self, table: Table, history: DataFrame | None, error: Exception) -> None:
         try:
+            if history is not None and not _raises(table_measures(table, self.book, self.load)):
+                # the table is sound, so the history is not: the volume rule passes without it
+                log.warning("table %s: %s; going on without history", table.ref.full, error)
+                self._evaluate([table], None)
+                return
+            log.warning("table %s: %s; looking for the cause", table.ref.full, error)
             without = raising_checks(table, self.book, self.load)
             self._stage(table_measures(table, self.book, self.load, RULE_IDS, without), history)
             self.outcome.skipped[table.ref] = without
@@ -254,9 +264,12 @@ def _raising_conditions(table: Table, book: Rulebook, dq_id: str) -> set[str]:
 
 
 def _raises(frame: DataFrame) -> bool:
+    """Whether a frame raises on its data; other failures are passed on."""
     try:
         frame.write.format("noop").mode("overwrite").save()
     except Exception as error:
+        if not is_data_error(error):
+            raise
         log.warning("check raises: %s", str(error).splitlines()[0])
         return True
     return False
@@ -284,12 +297,15 @@ def promote(
 
     ``without``: what the run skipped for this table (``RunOutcome.skipped``).
 
-    Silver is made from the stored bronze table, so the source is read once for it.
+    The source is read once: bronze is written in two parts, clean rows and failing ones, and
+    quarantine and silver are made from what is stored.
     """
     spark = table.df.sparkSession
-    _, columns = write_bronze(table.df, table.ref, store, book, at)
     condition = failing_condition(row_rules(table.df, table.ref, book, without))
-    quarantined = create_quarantine(table.df, condition, table.ref, store, book, run_id, at)
+    columns, failing = land(table.df, condition, table.ref, store, book, at)
+    quarantined = 0
+    if failing:
+        quarantined = quarantine_landed(spark, table.df.columns, table.ref, store, book, run_id, at)
     bronze = store.read(spark, book.layer("bronze"), table.ref.table)
     silver = create_silver(bronze, table.ref.table, store, book, score)
     gold = create_gold(spark, table.ref.table, store, book, score, status, at) if silver else False

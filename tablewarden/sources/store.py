@@ -23,7 +23,8 @@ from tablewarden.sources.publication import ATTEMPT, PART, Pointers
 from tablewarden.sources.schemas import SchemaRegistry
 
 OWN_SCHEMAS = ("delta", "iceberg", "hudi")  # formats that keep the schema of a table
-HIDDEN = (ATTEMPT, PART, "_dq_route")  # partition columns that readers do not see
+ROUTE = "_dq_route"  # which of several ways a row took when it was written
+HIDDEN = (ATTEMPT, PART, ROUTE)  # partition columns that readers do not see
 
 
 @dataclass(frozen=True)
@@ -92,6 +93,11 @@ class Store:
     def _merging_footers(self, spark: SparkSession, schema: str, table: str) -> DataFrame:
         return spark.read.format(self.fmt).option("mergeSchema", "true").load(self.target(schema, table))
 
+    def read_routed(self, spark: SparkSession, schema: str, table: str, route: str) -> DataFrame:
+        """The rows that were written to one route; the others are not opened."""
+        stored = spark.table(self.target(schema, table)) if self.root is None else self.read_files(spark, schema, table)
+        return stored.filter(F.col(ROUTE) == route).drop(*HIDDEN)
+
     def read_files(self, spark: SparkSession, schema: str, table: str) -> DataFrame:
         """A directory table with all its columns and rows, published or not."""
         known = None
