@@ -4,7 +4,8 @@ All three stand on value counts: the columns of one type family are stacked into
 ``(column_index, value)`` and counted. Repeats are combined before the shuffle, so a
 value that fills a third of a column costs one row per task. Families are scanned
 apart, each reading only its own columns, so the table's bytes are read once in all
-and values keep their type (no text conversion, narrow shuffle rows).
+and values keep their type (no text conversion, narrow shuffle rows). Long texts and nested
+values are counted by digest, so no row of a shuffle is wider than about a hundred bytes.
 """
 
 from __future__ import annotations
@@ -20,9 +21,13 @@ from pyspark.sql import types as T
 from tablewarden.functions.grading import percentage
 from tablewarden.functions.names import TableRef, quote
 from tablewarden.operators.keys import short_key
+from tablewarden.sources.store import Store, shared_root
 
+NESTED = (T.ArrayType, T.StructType, T.MapType)
 INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
+HEAD = 64  # bytes of a text that are counted and ranked as they are
+
 # Wide tables are stacked in slices of this many columns, which keeps generated code small.
 COLUMNS_PER_SCAN = 64
 
@@ -65,26 +70,68 @@ def _sorted(value: str, data_type: T.DataType, depth: int = 0) -> str:
     return f"to_json({value})"
 
 
-def value_counts(
-    df: DataFrame, columns: Sequence[str] | None = None, digest: bool = False
-) -> list[DataFrame]:
-    """``(column_index, value, n)`` per type family; the index is the position in ``df``.
+def canonical(value: str, data_type: T.DataType, depth: int = 0) -> str:
+    """A text, in SQL, that is equal for equal values of a type and for no others; never NULL.
 
-    With ``digest``, long texts are counted by their SHA-256 and never shuffled whole.
+    Maps are equal whatever the order of their entries, as are 0.0 and -0.0.
     """
+    item = f"y{depth}"
+    if isinstance(data_type, T.ArrayType):
+        inner = canonical(item, data_type.elementType, depth + 1)
+        text = f"concat('[', concat_ws(',', transform({value}, {item} -> {inner})), ']')"
+    elif isinstance(data_type, T.MapType):
+        key = canonical(f"{item}.key", data_type.keyType, depth + 1)
+        inner = canonical(f"{item}.value", data_type.valueType, depth + 1)
+        entries = f"transform(map_entries({value}), {item} -> concat({key}, '=', {inner}))"
+        text = f"concat('{{', concat_ws(',', array_sort({entries})), '}}')"
+    elif isinstance(data_type, T.StructType):
+        fields = [canonical(f"{value}.{quote(f.name)}", f.dataType, depth) for f in data_type.fields]
+        text = f"concat('(', concat_ws(',', array({', '.join(fields)})), ')')"
+        text = f"IF({value} IS NULL, NULL, {text})"
+    elif isinstance(data_type, T.BinaryType):
+        text = f"hex({value})"
+    elif isinstance(data_type, (T.FloatType, T.DoubleType)):
+        text = f"CAST(IF({value} = 0, CAST(0 AS {data_type.simpleString()}), {value}) AS STRING)"
+    elif isinstance(data_type, T.TimestampType):
+        text = f"CAST(unix_micros({value}) AS STRING)"
+    elif isinstance(data_type, T.VariantType):
+        text = f"to_json({value})"
+    elif isinstance(data_type, T.StringType):
+        text = f"concat(length({value}), ':', {value})"  # the length, as a text may hold any sign used here
+    else:
+        text = f"CAST({value} AS STRING)"
+    return f"coalesce(concat('v', {text}), 'n')"
+
+
+def _families(
+    df: DataFrame, columns: Sequence[str] | None, digest: bool
+) -> dict[tuple[str, int], list[tuple[int, str]]]:
+    """Positions and values, in SQL, of the columns by type family and slice."""
     families: dict[tuple[str, int], list[tuple[int, str]]] = {}
     for i, f in enumerate(df.schema.fields):
         if columns is None or f.name in columns:
-            family, value = _groupable(f.name, f.dataType)
-            if digest:
-                value = short_key(value, family)
+            if digest and isinstance(f.dataType, NESTED):
+                name = quote(f.name)
+                family, value = "string", f"IF({name} IS NULL, NULL, sha2({canonical(name, f.dataType)}, 256))"
+            else:
+                family, value = _groupable(f.name, f.dataType)
+                value = short_key(value, family) if digest else value
             families.setdefault((family, i // COLUMNS_PER_SCAN), []).append((i, value))
-    frames = []
-    for members in families.values():
-        pairs = ", ".join(f"{i}, {value}" for i, value in members)
-        stacked = df.selectExpr(f"stack({len(members)}, {pairs}) AS (column_index, value)")
-        frames.append(stacked.groupBy("column_index", "value").agg(F.count(F.lit(1)).alias("n")))
-    return frames
+    return families
+
+
+def value_counts(df: DataFrame, columns: Sequence[str] | None = None) -> list[DataFrame]:
+    """``(column_index, value, n)`` per type family; the index is the position in ``df``.
+
+    Long texts and nested values are counted by their SHA-256 and never shuffled whole.
+    """
+    return [_counted(df, members) for members in _families(df, columns, digest=True).values()]
+
+
+def _counted(df: DataFrame, members: Sequence[tuple[int, str]]) -> DataFrame:
+    pairs = ", ".join(f"{i}, {value}" for i, value in members)
+    stacked = df.selectExpr(f"stack({len(members)}, {pairs}) AS (column_index, value)")
+    return stacked.groupBy("column_index", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
 def profile_table(df: DataFrame, ref: TableRef, run_timestamp: Column | None = None) -> DataFrame:
@@ -101,7 +148,7 @@ def profile_table(df: DataFrame, ref: TableRef, run_timestamp: Column | None = N
             F.when(F.col("value").isNull(), n).otherwise(zero).alias("nulls"),
             F.lit(1).cast("long").alias("values"),
         )
-        for counts in value_counts(df, digest=True)
+        for counts in value_counts(df)
     ]
     # zero rows, so that the columns of an empty table show up too
     every_column = df.sparkSession.range(len(df.columns)).select(
@@ -168,20 +215,67 @@ def top_values(df: DataFrame, n: int = 10, columns: Sequence[str] | None = None)
     """The ``n`` most frequent values of each column, ties in order of value.
 
     The rank filter lets Spark keep only ``n`` values per column and task before the
-    ranking shuffle (group limit), so no task receives a whole column.
+    ranking shuffle (group limit), so no task receives a whole column. Texts are counted and
+    ranked without moving them, see ``_top_texts``.
     """
-    names = F.lit(df.columns)
     ranked = []
-    for counts in value_counts(df, columns):
-        order = W.partitionBy("column_index").orderBy(F.col("n").desc(), F.col("value").asc_nulls_last())
-        ranked.append(
-            counts.withColumn("rank", F.row_number().over(order))
-            .filter(F.col("rank") <= int(n))
-            .select(
-                F.get(names, F.col("column_index")).alias("column_name"),
-                F.col("value").cast("string").alias("value"),
-                F.col("n").alias("value_count"),
-                "rank",
-            )
+    for (family, _), members in _families(df, columns, digest=False).items():
+        counts = _top_texts(df, members, family, n) if family in ("string", "binary") else _counted(df, members)
+        ranked.append(_ranked(counts, n, F.col("value").asc_nulls_last()))
+    names = F.lit(df.columns)
+    parts = [
+        counts.select(
+            F.get(names, F.col("column_index")).alias("column_name"),
+            F.col("value").cast("string").alias("value"),
+            F.col("n").alias("value_count"),
+            "rank",
         )
-    return reduce(DataFrame.unionByName, ranked)
+        for counts in ranked
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _ranked(counts: DataFrame, n: int, *ties: Column) -> DataFrame:
+    order = W.partitionBy("column_index").orderBy(F.col("n").desc(), *ties)
+    return counts.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= int(n))
+
+
+def _top_texts(df: DataFrame, members: Sequence[tuple[int, str]], family: str, n: int) -> DataFrame:
+    """``(column_index, value, n)``: the most frequent texts and what ties with the last of them.
+
+    A text is counted as its first ``HEAD`` bytes and, if there are more, a digest. The first
+    ``n`` pairs of count and head cover the ``n`` most frequent texts, and they are so few that
+    they can be broadcast. The counts that have such a pair are written: their number decides
+    how Spark joins them with the column, from which the long ones among them are read again.
+    """
+    spark = df.sparkSession
+    parts = ", ".join(
+        f"{i}, substring(CAST({value} AS BINARY), 1, {HEAD}),"
+        f" IF(octet_length({value}) > {HEAD}, unhex(sha2({value}, 256)), NULL)"
+        for i, value in members
+    )
+    stacked = df.selectExpr(f"stack({len(members)}, {parts}) AS (column_index, head, digest)")
+    counts = stacked.groupBy("column_index", "head", "digest").agg(F.count(F.lit(1)).alias("n"))
+    pairs = counts.select("column_index", "n", "head").distinct()
+    first = _ranked(pairs, n, F.col("head").asc_nulls_last()).drop("rank").toDF("c", "m", "h")
+    same = (F.col("column_index") == F.col("c")) & (F.col("n") == F.col("m")) & F.col("head").eqNullSafe(F.col("h"))
+    store = Store(shared_root(spark))
+    store.write(counts.join(F.broadcast(first), same, "left_semi"), "top_values", "kept")
+    kept = store.read(spark, "top_values", "kept")
+    long = kept.filter("digest IS NOT NULL").select("column_index", "digest")
+    holding = {row[0] for row in long.select("column_index").distinct().toLocalIterator()}
+    value = F.col("head").cast(family)
+    if holding:
+        found = [_texts(df, i, text, long) for i, text in members if i in holding]
+        kept = kept.join(reduce(DataFrame.unionByName, found), ["column_index", "digest"], "left")
+        value = F.coalesce("text", value)
+    return kept.select("column_index", value.alias("value"), "n")
+
+
+def _texts(df: DataFrame, index: int, value: str, digests: DataFrame) -> DataFrame:
+    """The texts of a column that have one of the digests, each once."""
+    texts = df.selectExpr(f"{value} AS text").filter(F.octet_length("text") > HEAD)
+    texts = texts.withColumn("digest", F.unhex(F.sha2("text", 256)))
+    own = digests.filter(F.col("column_index") == index).select("digest")
+    once = texts.join(own, "digest", "left_semi").groupBy("digest").agg(F.first("text").alias("text"))
+    return once.withColumn("column_index", F.lit(index))

@@ -57,6 +57,7 @@ OUTPUT_TABLES = {
     "kpi": "dq_kpis",
     "weights": "dq_dynamic_weights",
     "pipeline_runs": "dq_pipeline_runs",
+    "sketches": "dq_profile_sketches",
 }
 
 RULE_IDS = tuple(rule["id"] for rule in RULE_CATALOG)
@@ -93,6 +94,11 @@ class Rulebook:
     def candidate_null_pct(self) -> float:
         return float(self.config.get("profiling", {}).get("candidate_null_rate_pct", 1.0))
 
+    @property
+    def sketches(self) -> bool:
+        """Whether runs also keep sketches of their profiles, which can be united later."""
+        return bool(self.config.get("profiling", {}).get("sketches", False))
+
     def enabled(self, dq_id: str) -> bool:
         return bool(self.rules[dq_id].get("enabled", True))
 

@@ -23,6 +23,7 @@ from tablewarden.operators.layers import (
 from tablewarden.operators.profile import profile_table, rule_candidates
 from tablewarden.operators.reports import final_report, run_totals
 from tablewarden.operators.rules import SQL_RULES, build_row_rules
+from tablewarden.operators.sketches import sketch_profile
 from tablewarden.plans.rulebook import RULE_IDS, Rulebook
 from tablewarden.plans.score import summarise
 from tablewarden.plans.suite import Loader, Table, detail, results, table_measures, union_all
@@ -94,8 +95,11 @@ class Run:
         for start in range(0, len(loaded), self.tables_per_job):
             self._evaluate(loaded[start : start + self.tables_per_job], history)
         done = [t for t in loaded if t.ref in self.outcome.processed]
-        profiled = self._profile(done)
-        self._write_audit(done, profiled)
+        layer = self.book.layer("candidate")
+        profiled = self._by_group(done, profile_table, (layer, self.book.output("profiling")))
+        sketches = (layer, self.book.output("sketches"))
+        sketched = [sketches] if self.book.sketches and self._by_group(done, sketch_profile, sketches) else []
+        self._write_audit(done, profiled, sketched)
         return self.outcome
 
     def report(self, rows: int = 100) -> DataFrame | None:
@@ -154,27 +158,26 @@ class Run:
 
     # profile
 
-    def _profile(self, tables: Sequence[Table]) -> bool:
-        """Write the profile group by group; a table that cannot be profiled is left out."""
-        target = (self.book.layer("candidate"), self.book.output("profiling"))
+    def _by_group(self, tables: Sequence[Table], profile: Callable[..., DataFrame], target: tuple[str, str]) -> bool:
+        """Write a kind of profile group by group; a table that cannot be profiled is left out."""
         wrote = False
         for start in range(0, len(tables), self.tables_per_job):
             group = tables[start : start + self.tables_per_job]
             attempts = [group] if len(group) == 1 else [group, *([t] for t in group)]
             for number, attempt in enumerate(attempts):
                 try:
-                    frame = union_all([profile_table(t.df, t.ref, self.run_timestamp) for t in attempt])
+                    frame = union_all([profile(t.df, t.ref, self.run_timestamp) for t in attempt])
                     self._attempt.write(frame.coalesce(1), target, f"{start}-{number}")
                     wrote = True
                     if attempt is group:
                         break
                 except Exception as error:
-                    log.warning("profile of %s: %s", [t.ref.full for t in attempt], error)
+                    log.warning("%s of %s: %s", profile.__name__, [t.ref.full for t in attempt], error)
         return wrote
 
     # audit trail
 
-    def _write_audit(self, tables: Sequence[Table], profiled: bool) -> None:
+    def _write_audit(self, tables: Sequence[Table], profiled: bool, more: Sequence[tuple[str, str]]) -> None:
         """Write every audit table from this call's own rows, then publish all of them at once."""
         book, spark, attempt = self.book, self.spark, self._attempt
         outcomes = [(True,)] * len(tables) + [(False,)] * len(self.outcome.failed)
@@ -201,7 +204,7 @@ class Run:
             counted[2:] = attempt.own(profile), attempt.own(candidates)
         attempt.write(run_totals(tried, *counted).coalesce(1), totals)
         attempt.publish(
-            [summary, audit, totals] if tables else [totals],
+            [summary, audit, totals, *more] if tables else [totals],
             # candidates also when there are none, so that they belong to the stored profile
             [profile, candidates] if profiled else [],
         )

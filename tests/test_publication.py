@@ -70,6 +70,7 @@ def test_a_run_killed_between_groups_shows_nothing(spark, store, monkeypatch):
             raise KeyboardInterrupt  # no Exception: nothing in the run can go on
         return profile(*args)
 
+    killed.__name__ = "profile_table"
     monkeypatch.setattr(runs, "profile_table", killed)
     with pytest.raises(KeyboardInterrupt):
         run(spark, store, "tuesday", 9, day=2, tables_per_job=1)

@@ -339,6 +339,8 @@ COLUMNS = {
         "c_mktsegment": "string",
     },
     "labels": {"doc_id": "bigint", "quality": "int", "toxic": "int"},
+    "embeddings": {"vec_id": "bigint", "embedding": "array<float>", "label": "int"},
+    "conversations": {"conv_id": "bigint", "turn": "bigint", "role": "string", "text": "string"},
     "orders": {
         "o_orderkey": "bigint",
         "o_custkey": "bigint",
@@ -442,12 +444,21 @@ SUPPLIER_HISTORY = """SELECT l_suppkey, count(*) AS lines, avg(l_quantity) AS av
     sum(l_extendedprice * (1 - l_discount)) AS revenue FROM lineitem GROUP BY l_suppkey"""
 FEATURES = CONFIG["ml_weighting"]["feature_columns"]
 
+PART_HISTORY = """SELECT l_partkey, count(*) AS lines, avg(l_quantity) AS avg_quantity,
+    avg(l_discount) AS avg_discount, avg(l_tax) AS avg_tax,
+    avg((l_returnflag = 'R')::INT) AS returned_share FROM lineitem GROUP BY l_partkey"""
+
 ORACLES: dict[str, str] = {
     "table_inventory": " UNION ALL ".join(
         f"""SELECT '{SCHEMAS[t]}' AS "schema", '{t}' AS "table", count(*) AS row_count,
             {n}::BIGINT AS column_count FROM {t}"""
         for t, n in INVENTORY.items()
     ),
+    "discovered_inventory": " UNION ALL ".join(
+        f"""SELECT 'tablewarden_{SCHEMAS[t]}' AS "schema", '{t}' AS "table", count(*) AS row_count,
+            {n}::BIGINT AS column_count FROM {t}"""
+        for t, n in INVENTORY.items()
+    ),
     "sink_roundtrip": "SELECT * FROM orders",
     "sink_append_merge": """SELECT s_suppkey AS key, s_name AS name, s_nationkey AS nation,
         s_acctbal AS balance, NULL::VARCHAR AS segment FROM supplier
@@ -509,6 +520,17 @@ ORACLES: dict[str, str] = {
     "ml_weight_properties": f"""SELECT kpi, true AS is_share, true AS adds_up FROM (
         UNPIVOT (SELECT {", ".join(f"count({c}) AS {c}" for c in FEATURES)} FROM ({SUPPLIER_HISTORY}))
         ON {", ".join(FEATURES)} INTO NAME kpi VALUE filled) WHERE filled > 0""",
+    # the feature that goes with the target most closely
+    "ml_planted_weight": f"""WITH history AS (SELECT *, 5 + 40 * avg_discount AS impact FROM ({PART_HISTORY})),
+        linked AS ({" UNION ALL ".join(f"SELECT '{c}' AS kpi, abs(corr({c}, impact)) AS r FROM history" for c in FEATURES)})
+        SELECT method, (SELECT arg_max(kpi, r) FROM linked) AS kpi
+        FROM (VALUES ('impurity'), ('permutation')) AS methods(method)""",
+    "profile_nested": f"{profile_cte(['embeddings', 'conversations'])} SELECT * FROM profile",
+    "profile_merged": f"""{profile_cte(['orders_dq', 'lineitem'])}
+        SELECT "table", column_name, row_count, null_count,
+            CASE WHEN distinct_count <= 50 THEN distinct_count END AS few_distinct,
+            true AS is_close FROM profile""",
+    "top_values_documents": top_value_oracle("documents", 10),
     "profile_table": f"{profile_cte(['orders_dq', 'lineitem', 'documents'])} SELECT * FROM profile",
     "rule_candidates": candidate_oracle(["orders_dq", "customer", "labels"]),
     "top_values": top_value_oracle("orders_dq", 10),

@@ -14,12 +14,13 @@ from tablewarden.functions.names import TableRef
 from tablewarden.operators import layers, reports
 from tablewarden.operators.datatypes import castable
 from tablewarden.operators.profile import profile_table, rule_candidates, top_values
-from tablewarden.operators.weights import train_weights
+from tablewarden.operators.sketches import estimated_profile, merge_sketches, sketch_profile
+from tablewarden.operators.weights import METHODS, train_weights
 from tablewarden.plans.rulebook import RULE_IDS, Rulebook
 from tablewarden.plans.run import Run, promote
 from tablewarden.plans.score import summarise
 from tablewarden.plans.suite import detail, run_suite, run_suite_by_period
-from tablewarden.sources.inventory import table_inventory
+from tablewarden.sources.inventory import discover_tables, read_table, table_inventory
 from tablewarden.sources.store import Store, shared_root
 from workload.config import CONFIG
 from workload.tables import DIRTIED, SCHEMAS, Tables, ref
@@ -32,6 +33,7 @@ SCORED_TABLES = ["orders", "customer", "orders_dq"]
 SUITE_TABLES = ["orders_dq", "lineitem"]
 VOLUME_TABLES = ["orders", "lineitem", "events", "customer"]
 LAYERED = ["orders", "orders_dq"]
+DISCOVERED = "tablewarden_"  # prefix of the schemas that discovery looks for
 
 # Audit tables by layer and output
 STORED = [("audit", "summary"), ("audit", "audit"), ("audit", "pipeline_runs")]
@@ -242,6 +244,25 @@ def ml_weight_properties(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def planted_weights(spark: SparkSession, folder: str) -> DataFrame:
+    """The heaviest feature, by each method, of a history whose target is one of them."""
+    lines = Tables(spark, folder).frame("lineitem").groupBy("l_partkey").agg(
+        F.count(F.lit(1)).alias("lines"),
+        F.avg("l_quantity").alias("avg_quantity"),
+        F.avg("l_discount").alias("avg_discount"),
+        F.avg("l_tax").alias("avg_tax"),
+        F.avg((F.col("l_returnflag") == "R").cast("double")).alias("returned_share"),
+    )
+    store = Store(shared_root(spark))
+    store.write(lines.withColumn("impact", F.lit(5) + F.lit(40) * F.col("avg_discount")), "sales", "planted")
+    planted, found = store.read(spark, "sales", "planted"), []
+    for method, weigh in METHODS.items():
+        weights = weigh(planted, CONFIG["ml_weighting"]["feature_columns"], "impact")
+        heaviest = weights.agg(F.max_by("kpi", "dynamic_weight").alias("kpi"))
+        found.append(heaviest.select(F.lit(method).alias("method"), "kpi"))
+    return union(found)
+
+
 # --- sources, sinks, layers -------------------------------------------------------------
 
 
@@ -255,6 +276,19 @@ def inventory(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def discovered_inventory(spark: SparkSession, folder: str) -> DataFrame:
+    """Tables found through the session's catalog; one schema is excluded, a view is temporary."""
+    for name in BASE_TABLES:
+        schema = f"{DISCOVERED}{SCHEMAS[name]}"
+        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
+        spark.sql(f"DROP TABLE IF EXISTS {schema}.{name}")  # external: its files stay
+        spark.sql(f"CREATE TABLE {schema}.{name} USING parquet LOCATION '{folder.rstrip('/')}/{name}.parquet'")
+    spark.range(1).createOrReplaceTempView(f"{DISCOVERED}view")
+    scope = [f"{DISCOVERED}{schema}".upper() for schema in set(SCHEMAS.values())]
+    found = discover_tables(spark, "spark_catalog", [f"{DISCOVERED}web"], scope)
+    return table_inventory([(table, read_table(spark, table)) for table in found])
+
+
 def sink_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     tables, store = Tables(spark, folder), Store(shared_root(spark))
     store.write(tables.frame("customer"), "sales", "orders")
@@ -351,6 +385,36 @@ def candidates(spark: SparkSession, folder: str) -> DataFrame:
     return rule_candidates(profiles(spark, folder, ["orders_dq", "customer", "labels"]))
 
 
+def profile_nested(spark: SparkSession, folder: str) -> DataFrame:
+    return profiles(spark, folder, ["embeddings", "conversations"])
+
+
+def profile_merged(spark: SparkSession, folder: str) -> DataFrame:
+    """Sketches of a table's years, kept apart and united, beside its exact profile."""
+    tables, store = Tables(spark, folder), Store(shared_root(spark))
+    for name, column, year in (("orders_dq", "o_orderdate", 2000), ("lineitem", "l_shipdate", 1999)):
+        late = F.year(column) >= year
+        for part in (late, ~F.coalesce(late, F.lit(False))):
+            sketches = sketch_profile(tables.frame(name).filter(part), ref(name), moment())
+            store.write(sketches, book().layer("candidate"), book().output("sketches"), "append")
+    stored = store.read(spark, book().layer("candidate"), book().output("sketches"))
+    estimated = estimated_profile(merge_sketches(stored)).withColumnRenamed("distinct_count", "estimate")
+    exact = profiles(spark, folder, ["orders_dq", "lineitem"]).select("table", "column_name", "distinct_count")
+    off = F.abs(F.col("estimate") / F.col("distinct_count") - 1)
+    return estimated.join(exact, ["table", "column_name"]).select(
+        "table",
+        "column_name",
+        "row_count",
+        "null_count",
+        F.when(F.col("distinct_count") <= 50, F.col("estimate")).alias("few_distinct"),  # sketches count few exactly
+        (off <= 0.08).alias("is_close"),  # five standard errors
+    )
+
+
+def most_frequent_texts(spark: SparkSession, folder: str) -> DataFrame:
+    return top_values(Tables(spark, folder).frame("documents"), 10)
+
+
 def most_frequent(spark: SparkSession, folder: str) -> DataFrame:
     return top_values(Tables(spark, folder).frame("orders_dq"), 10)
 
@@ -417,6 +481,7 @@ def freshness(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "table_inventory": inventory,
+    "discovered_inventory": discovered_inventory,
     "sink_roundtrip": sink_roundtrip,
     "sink_append_merge": sink_append_merge,
     "dq_detail": dq_detail,
@@ -449,9 +514,13 @@ QUERIES: dict[str, Query] = {
     "ml_training": ml_training,
     "ml_dynamic_weights": ml_dynamic_weights,
     "ml_weight_properties": ml_weight_properties,
+    "ml_planted_weight": planted_weights,
     "profile_table": profile,
+    "profile_nested": profile_nested,
+    "profile_merged": profile_merged,
     "rule_candidates": candidates,
     "top_values": most_frequent,
+    "top_values_documents": most_frequent_texts,
     "normalize_columns": normalize_columns,
     "bronze": bronze,
     "silver": layer_query("silver"),
