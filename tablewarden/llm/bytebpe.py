@@ -21,7 +21,7 @@ import base64
 import heapq
 import unicodedata
 from collections.abc import Iterator
-from itertools import chain, pairwise
+from itertools import pairwise, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -30,9 +30,10 @@ from pyspark.sql import functions as F
 
 from tablewarden.llm.common import load
 
-WINDOW = 1 << 20  # code points scanned, ids decoded and pieces cut at a time
-BLOCKS = 1 << 12  # of a window, composed side by side
-CACHED_PIECES, CACHED_BYTES = 200_000, 64  # pieces kept, and how long one may be
+WINDOW = 1 << 18  # code points scanned, or ids decoded, at a time
+CUT = 1 << 16  # pieces looked up at a time
+BLOCKS = 1 << 11  # of a window, composed side by side; pieces merged side by side
+CACHED_PIECES, CACHED_BYTES, CACHED_IDS = 160_000, 64, 1 << 22  # kept pieces, their length, and all their ids
 
 NO_RANK = 1 << 62
 
@@ -164,7 +165,8 @@ class Pieces:
     """Ids of pieces; merges the pairs of those that the cache does not hold, many at a time."""
 
     def __init__(self, ranks: dict[bytes, int]):
-        self.ranks, self.cache = ranks, {b"": ()}
+        self.ranks = ranks
+        self._forget()
         self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
         self.span = max(ranks.values()) + 1
         # every pair of tokens that joins to a token, in order of key
@@ -177,23 +179,45 @@ class Pieces:
         self.keys = np.sort(np.fromiter(joins, np.int64, len(joins)))
         self.joined = np.array([joins[k] for k in self.keys.tolist()], np.int64)
 
-    def of(self, pieces: list[bytes]) -> list[tuple[int, ...]]:
-        cache = self.cache
-        found = list(map(cache.get, pieces))
-        missing = {p for p, f in zip(pieces, found, strict=True) if f is None}
-        if not missing:
-            return found
-        new = {p: (self.ranks[p],) for p in missing if p in self.ranks}
-        new |= {p: self.merged_long(p) for p in missing if len(p) > CACHED_BYTES and p not in new}
-        short = sorted(missing - new.keys(), key=len)
-        for at in range(0, len(short), BLOCKS):  # of about equal lengths
-            part = short[at : at + BLOCKS]
-            new.update(zip(part, self.merged(part), strict=True))
-        if len(cache) + len(new) > CACHED_PIECES:
-            cache.clear()
-            cache[b""] = ()
-        cache.update((p, ids) for p, ids in new.items() if len(p) <= CACHED_BYTES)
-        return [new[p] if f is None else f for p, f in zip(pieces, found, strict=True)]
+    def _forget(self) -> None:
+        """Start the cache anew; slot 0 is the empty piece."""
+        self.slots, self.flat = {b"": 0}, np.empty(0, np.int32)
+        self.starts, self.sizes = np.zeros(1, np.int64), np.zeros(1, np.int64)
+
+    def of(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of up to ``CUT`` pieces, one after the other, and how many each has."""
+        slots = np.fromiter(map(self.slots.get, pieces, repeat(-1)), np.int64, len(pieces))
+        if slots.min(initial=0) < 0:
+            new = list({pieces[i] for i in np.flatnonzero(slots < 0)})
+            if len(self.slots) + len(new) > CACHED_PIECES or len(self.flat) > CACHED_IDS:
+                self._forget()
+                new = list(set(pieces) - {b""})
+            self._add(new)
+            slots = np.fromiter(map(self.slots.__getitem__, pieces), np.int64, len(pieces))
+            for piece in new:
+                if len(piece) > CACHED_BYTES:
+                    del self.slots[piece]
+        sizes = self.sizes[slots]
+        shift = self.starts[slots] - (np.cumsum(sizes) - sizes)
+        return self.flat[np.repeat(shift, sizes) + np.arange(sizes.sum())], sizes
+
+    def _add(self, pieces: list[bytes]) -> None:
+        whole = [p for p in pieces if p in self.ranks]
+        rest = sorted((p for p in pieces if p not in self.ranks), key=len)  # merged with others of their length
+        ids, sizes = [np.array([self.ranks[p] for p in whole], np.int32)], [np.ones(len(whole), np.int64)]
+        short = sum(len(p) <= CACHED_BYTES for p in rest)
+        for at in range(0, short, BLOCKS):
+            merged, counts = self.merged(rest[at : min(at + BLOCKS, short)])
+            ids.append(merged)
+            sizes.append(counts)
+        for piece in rest[short:]:
+            ids.append(self.merged_long(piece))
+            sizes.append(np.array([len(ids[-1])]))
+        added = np.concatenate(sizes)
+        self.slots.update(zip(whole + rest, range(len(self.sizes), len(self.sizes) + len(added)), strict=True))
+        self.starts = np.concatenate((self.starts, len(self.flat) + np.cumsum(added) - added))
+        self.sizes = np.concatenate((self.sizes, added))
+        self.flat = np.concatenate((self.flat, *ids))
 
     def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The rank of joined tokens, which is the id of the token they join to."""
@@ -201,20 +225,18 @@ class Pieces:
         at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
         return np.where((self.keys[at] == key) & (left >= 0) & (right >= 0), self.joined[at], NO_RANK)
 
-    def merged(self, pieces: list[bytes]) -> list[tuple[int, ...]]:
+    def merged(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Join the pair of least rank, leftmost first, until no pair has one: a step for all pieces."""
         width = max(map(len, pieces))
         data = np.frombuffer(b"".join(p.ljust(width, b"\0") for p in pieces), np.uint8).reshape(-1, width)
         lengths = np.array([len(p) for p in pieces])
         ids = np.where(np.arange(width) < lengths[:, None], self.byte_ids[data], -1)
         ranks = self._rank(ids[:, :-1], ids[:, 1:])
-        rows, out = np.arange(len(pieces)), [()] * len(pieces)
+        rows, out = np.arange(len(pieces)), np.full((len(pieces), width), -1, np.int32)
         while len(rows):
             least = ranks.argmin(1) if ranks.shape[1] else np.zeros(len(rows), np.int64)
             live = ranks[np.arange(len(rows)), least] < NO_RANK if ranks.shape[1] else np.zeros(len(rows), bool)
-            counts = (ids[~live] >= 0).sum(1).tolist()
-            for row, listed, n in zip(rows[~live].tolist(), ids[~live].tolist(), counts, strict=True):
-                out[row] = tuple(listed[:n])
+            out[rows[~live], : ids.shape[1]] = ids[~live]
             rows, ids, ranks, least = rows[live], ids[live], ranks[live], least[live]
             every, i = np.arange(len(rows)), least[:, None]
             ids[every, least] = ranks[every, least]
@@ -227,9 +249,9 @@ class Pieces:
                 has = (pair >= 0) & (pair < ranks.shape[1])
                 r, c = every[has], pair[has]
                 ranks[r, c] = self._rank(ids[r, c], ids[r, c + 1])
-        return out
+        return out[out >= 0], (out >= 0).sum(1)
 
-    def merged_long(self, piece: bytes) -> tuple[int, ...]:
+    def merged_long(self, piece: bytes) -> np.ndarray:
         """The same for one piece in n log n steps, with the pairs in a heap."""
         rank, n = self.ranks.get, len(piece)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
@@ -250,7 +272,7 @@ class Pieces:
             left = before[i]
             if left >= 0 and (r := rank(piece[left:end])) is not None:
                 heapq.heappush(heap, (r, left, end))
-        return tuple(self.ranks[piece[i : after[i]]] for i in range(n) if alive[i])
+        return np.array([self.ranks[piece[i : after[i]]] for i in range(n) if alive[i]], np.int32)
 
 
 class Vocabulary:
@@ -278,11 +300,11 @@ class Encoder:
         cuts = self.scanner.cut(SEPARATOR.join(texts) + SEPARATOR)
         data = "".join(texts).encode()
         ids, counts = [], []
-        for at in range(0, len(cuts) - 1, WINDOW):
-            part = cuts[at : at + WINDOW + 1].tolist()
-            found = self.pieces.of([data[a:b] for a, b in pairwise(part)])
-            counts.append(np.fromiter(map(len, found), np.int64, len(found)))
-            ids.append(np.fromiter(chain.from_iterable(found), np.int32, int(counts[-1].sum())))
+        for at in range(0, len(cuts) - 1, CUT):
+            part = cuts[at : at + CUT + 1].tolist()
+            found, sizes = self.pieces.of([data[a:b] for a, b in pairwise(part)])
+            ids.append(found)
+            counts.append(sizes)
         flat = np.concatenate(ids)
         # the empty pieces are those of the separators, one for each text
         empty = np.flatnonzero(np.diff(cuts) == 0)

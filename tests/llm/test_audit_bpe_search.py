@@ -1,0 +1,327 @@
+"""Filter interactions, byte-level BPE and ranked search, against plain versions."""
+
+import hashlib
+import math
+import re
+from collections import Counter
+from itertools import permutations
+
+import numpy as np
+import public_tokenizers
+import pytest
+import tiktoken
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from tablewarden.llm import bytebpe, dualtree, filter_audit
+from tablewarden.llm.common import load
+from tests.comparison import folder
+from tests.llm import brute
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return brute.corpus(spark).withColumn("source", F.when(F.col("lang") != "xx", F.col("lang")))
+
+
+# --- filter interactions ------------------------------------------------------------------
+
+
+def plain_failures(text):
+    words = brute.words(text)
+    out = "A" if len(words) < 50 else ""
+    out += "B" if 100 * len(set(words)) < 65 * len(words) else ""
+    out += "C" if 100 * sum("A" <= c <= "Z" for c in text) > 5 * len(text) else ""
+    return out + ("D" if set(text) & set("#$%&*|") else "")
+
+
+def plain_audit(docs, labels):
+    """docs: (doc_id, text, part); labels: {doc_id: (good, toxic)}"""
+    least = {}
+    for i, text, _ in docs:
+        if i is not None:
+            least[text] = min(i, least.get(text, i))
+    rows = []
+    for i, text, part in docs:
+        late = i is not None and i > least[text]
+        rows.append((part, plain_failures(text) + "E" * late, *labels.get(i, (0, 0))))
+    out = {}
+    for part in {r[0] for r in rows}:
+        own = [r for r in rows if r[0] == part]
+        shares = Counter()
+        for order in map("".join, permutations("ABCDE")):
+            left = own
+            for step, f in enumerate(order, 1):
+                gone = [r for r in left if f in r[1]]
+                left = [r for r in left if f not in r[1]]
+                failing = [r for r in own if f in r[1]]
+                shares[f] += len(gone)
+                out[part, order, step] = [
+                    len(left),
+                    len(gone),
+                    len(failing) - len(gone),
+                    sum(r[1] == f for r in own),
+                    sum(r[2] for r in gone),
+                    sum(r[3] for r in gone),
+                ]
+        for (p, order, step), row in out.items():
+            if p == part:
+                row.append(shares[order[step - 1]])
+    return {k: tuple(v) for k, v in out.items()}
+
+
+def found_audit(frame):
+    return {(r[0], r[1], r[2]): tuple(r)[3:] for r in frame.collect()}
+
+
+def test_audit_against_every_order(spark, docs):
+    labels = load(spark, folder("0.001"), "labels")
+    repeated = spark.createDataFrame([(900005, None, 1), (900005, 1, 0), (None, 1, 1)], labels.schema)
+    labels = labels.unionByName(repeated)
+    known = {}
+    for i, quality, toxic in labels.collect():
+        if i is not None:
+            good, bad = known.get(i, (0, 0))
+            known[i] = (int(good or quality == 1), int(bad or toxic == 1))
+    nameless = docs.filter("doc_id = 900004").withColumn("doc_id", F.lit(None).cast("long"))
+    docs = docs.unionByName(nameless).unionByName(nameless)
+    plain = [(r.doc_id, r.text or "", r.source or "") for r in docs.select("doc_id", "text", "source").collect()]
+    assert found_audit(filter_audit.filter_interactions(docs, labels)) == plain_audit(plain, known)
+
+
+def test_audit_of_nothing(spark, docs):
+    labels = load(spark, folder("0.001"), "labels")
+    assert filter_audit.filter_interactions(docs.limit(0), labels).count() == 0
+    assert filter_audit.filter_interactions(docs, labels.limit(0)).agg(F.sum("good_lost")).first()[0] == 0
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 2**32 - 1), st.integers(0, 2**40)), max_size=200))
+def test_positional_popcounts(pairs):
+    words = np.array([w for w, _ in pairs], np.uint32)
+    weights = np.array([n for _, n in pairs], np.int64)
+    expected = [sum(n for w, n in pairs if w >> s & 1) for s in range(32)]
+    assert filter_audit.positional_popcounts(words, weights).tolist() == expected
+
+
+def test_parts_beyond_those_held(spark, docs, monkeypatch):
+    monkeypatch.setattr(filter_audit, "PARTS_HELD", 2)
+    many = docs.withColumn("source", F.concat("lang", (F.coalesce("doc_id", F.lit(0)) % 7).cast("string")))
+    plain = [(r.doc_id, r.text or "", r.source or "") for r in many.select("doc_id", "text", "source").collect()]
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    assert found_audit(filter_audit.filter_interactions(many, labels)) == plain_audit(plain, {})
+
+
+# --- byte-level BPE -------------------------------------------------------------------------
+
+
+@pytest.fixture(scope="module")
+def encoder():
+    return bytebpe.Encoder(bytebpe.Vocabulary(bytebpe.default_vocabulary()))
+
+
+@pytest.fixture(scope="module")
+def library(encoder):
+    ranks = encoder.pieces.ranks
+    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+def check_encoded(encoder, library, texts):
+    ids, offsets, ends = encoder.encode(texts)
+    start = 0
+    for text, end in zip(texts, ends.tolist(), strict=True):
+        expected = library.encode_ordinary(text)
+        assert ids[start:end].tolist() == expected
+        sizes = [len(library.decode_single_token_bytes(i)) for i in expected]
+        assert offsets[start:end].tolist() == (np.cumsum([0, *sizes])[:-1]).tolist()
+        start = end
+    assert start == len(ids)
+
+
+PARTS = ["a", "s", "t", "re", "ve", "ll", "d", "m", "'", "'s", " ", "  ", "\n", "\t", " ", "　", "7", "٣"]
+PARTS += ["!", "-", "é", "漢", "\U0001f600", "Ᲊ", "\x00", "\x1c", "​", "́", "\U0001e5f1", "<|endoftext|>"]
+
+
+@settings(max_examples=150, deadline=None)
+@given(texts=st.lists(st.lists(st.sampled_from(PARTS), max_size=30).map("".join), min_size=1, max_size=8))
+def test_boundaries_of_awkward_texts(encoder, library, texts):
+    check_encoded(encoder, library, texts)
+
+
+@settings(max_examples=60, deadline=None)
+@given(texts=st.lists(st.text(max_size=60), min_size=1, max_size=5))
+def test_boundaries_of_any_text(encoder, library, texts):
+    check_encoded(encoder, library, [t.encode("utf-8", "ignore").decode() for t in texts])
+
+
+def test_every_code_point(encoder, library):
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    check_encoded(encoder, library, ["a".join(points[i : i + 2000]) for i in range(0, len(points), 2000)])
+
+
+def test_windows_carry_the_state(encoder, library, monkeypatch):
+    monkeypatch.setattr(bytebpe, "WINDOW", 7)
+    monkeypatch.setattr(bytebpe, "CUT", 3)
+    rng = np.random.default_rng(4)
+    for _ in range(60):
+        texts = ["".join(rng.choice(PARTS, int(rng.integers(0, 40)))) for _ in range(4)]
+        check_encoded(encoder, library, texts)
+
+
+def test_forgetting_keeps_ids(library, monkeypatch):
+    monkeypatch.setattr(bytebpe, "CACHED_PIECES", 50)
+    monkeypatch.setattr(bytebpe, "CUT", 40)
+    small = bytebpe.Encoder(bytebpe.Vocabulary(bytebpe.default_vocabulary()))
+    words = [f"word{i * 7919 % 1000} Donau{i % 13}schiff" for i in range(600)]
+    check_encoded(small, library, [" ".join(words), "x" * 3000 + " " + "ab" * 700, " ".join(words[::3])])
+    assert len(small.pieces.slots) <= 50
+
+
+def test_long_runs(encoder):
+    """The library itself cannot cut these, so the expected ids are written out."""
+    blank, (x,), (y,) = encoder.pieces.ranks[b" "], *([encoder.pieces.ranks[c]] for c in (b"x", b" y"))
+    ids, offsets, ends = encoder.encode(["x" + " " * 1_000_000 + "y", "", "x"])
+    assert ids.tolist() == [x, *[blank] * 999_999, y, x]
+    assert ends.tolist() == [1_000_001, 1_000_001, 1_000_002]
+    assert offsets[-2:].tolist() == [1_000_000, 0]
+
+
+def test_bpe_query(spark, docs, library):
+    encoded = bytebpe.encode(docs, bytebpe.default_vocabulary()).cache()
+    found = Counter((r.doc_id, tuple(r.ids)) for r in encoded.collect())
+    assert found == Counter((i, tuple(library.encode_ordinary(t or ""))) for i, t in brute.rows(docs))
+    decoded = bytebpe.decode(encoded, bytebpe.default_vocabulary())
+    assert decoded.columns == ["doc_id", "decoded"]
+    texts = Counter((i, (t or "").encode()) for i, t in brute.rows(docs))
+    assert Counter((r.doc_id, bytes(r.decoded)) for r in decoded.collect()) == texts
+    assert bytebpe.encode(docs.limit(0), bytebpe.default_vocabulary()).count() == 0
+    given = {r.doc_id: r.text for r in load(spark, folder("0.001"), "documents").collect()}
+    for r in bytebpe.op12_byte_level_bpe(spark, folder("0.001")).collect():
+        ids = library.encode_ordinary(given[r.doc_id])
+        assert r.n_tokens == len(ids)
+        assert r.ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
+        assert r.decoded_sha256 == hashlib.sha256(given[r.doc_id].encode()).hexdigest()
+
+
+def test_slices_and_nulls_decode(spark, library):
+    text = "Ein Satz über Schiffe, 12 Boote's Bug."
+    frame = spark.createDataFrame([("k", text)], "doc_id string, text string")
+    encoded = bytebpe.encode(frame, bytebpe.default_vocabulary())
+    part = encoded.select("doc_id", *(F.slice(c, 3, 4).alias(c) for c in ("ids", "offsets")))
+    none = encoded.select("doc_id", *(F.lit(None).cast("array<int>").alias(c) for c in ("ids", "offsets")))
+    rows = bytebpe.decode(part.union(none), bytebpe.default_vocabulary()).collect()
+    assert [r.doc_id for r in rows] == ["k", "k"]
+    expected = library.decode_bytes(library.encode_ordinary(text)[2:6])
+    assert {None if r.decoded is None else bytes(r.decoded) for r in rows} == {expected, None}
+
+
+# --- ranked search ---------------------------------------------------------------------------
+
+TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def plain_terms(text):
+    return Counter(TERM.findall("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")))
+
+
+def plain_ranks(docs, items, top):
+    counted = [(i, plain_terms(t)) for i, t in docs]
+    counted = [(i, c) for i, c in counted if c]
+    n_docs, length = len(counted), sum(c.total() for _, c in counted)
+    df = Counter(t for _, c in counted for t in c)
+    out = Counter()
+    for item, text in items:
+        scored = []
+        for i, c in counted:
+            m = 100 - 50 + (50 * c.total() * n_docs) // length
+            score = sum(
+                math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1)))
+                * ((1000000000 * c[t]) // (1000 * c[t] + 20 * m))
+                for t in plain_terms(text)
+            )
+            if score > 0:
+                scored.append((-score, i is None, i or 0))
+        for rank, (score, none, i) in enumerate(sorted(scored)[:top], 1):
+            out[item, rank, None if none else i, -score] += 1
+    return out
+
+
+def found_ranks(frame):
+    return Counter(map(tuple, frame.collect()))
+
+
+@pytest.fixture(scope="module")
+def items(spark):
+    extra = [(501, None), (502, " .,!"), (503, "Wort unheard of"), (None, "two words"), (503, "two Words two"), (504, "")]
+    return load(spark, folder("0.001"), "benchmark").select("item_id", "text").union(
+        spark.createDataFrame(extra, "item_id long, text string")
+    )
+
+
+@pytest.mark.parametrize("cells", [dualtree.CELLS, 3000])
+def test_ranks_against_every_score(docs, items, cells):
+    plain = plain_ranks(brute.rows(docs), [tuple(r) for r in items.collect()], 7)
+    assert found_ranks(dualtree.best_documents(docs, items, 7, cells)) == plain
+
+
+def test_ranks_of_nothing(spark, docs, items):
+    assert dualtree.best_documents(docs.limit(0), items).count() == 0
+    assert dualtree.best_documents(docs, items.limit(0)).count() == 0
+    assert dualtree.best_documents(docs, items.filter("item_id = 501")).count() == 0
+
+
+def test_ties_of_many_copies(spark):
+    """A third of the rows are one text: the least ids win, wherever they lie."""
+    rows = [(i, f"other text number {i}") for i in range(400)]
+    rows += [(10_000 - i, "the very same copied text") for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    items = spark.createDataFrame([(1, "the copied text"), (2, "number 17")], "item_id long, text string")
+    found = found_ranks(dualtree.best_documents(docs, items, 20))
+    assert found == plain_ranks(rows, [(1, "the copied text"), (2, "number 17")], 20)
+
+
+def batches(seed, n_docs=600, n_items=37, n_terms=300):
+    rng = np.random.default_rng(seed)
+    block = dualtree.Block(0)
+    names = [f"t{k}".encode() for k in range(n_terms)]
+    block.vocabulary.update({t: k for k, t in enumerate(names)})
+    topics = rng.integers(0, 10, n_items)
+    for i, topic in enumerate(topics):  # items and documents of a topic share its thirty terms
+        block.add(i, Counter(names[topic * 30 + int(k)] for k in rng.integers(0, 30, 12)))
+    rows, terms, counts = [], [], []
+    for d in range(n_docs):
+        own = np.unique(rng.integers(0, 30, 15) + 30 * rng.integers(0, 10))
+        rows += [d] * len(own)
+        terms += own.tolist()
+        counts += rng.integers(1, 6, len(own)).tolist()
+    return block, rng.integers(1, 9000, n_terms), *(np.array(v) for v in (rows, terms, counts)), rng.integers(5, 90, n_docs)
+
+
+@pytest.mark.parametrize("factor", [1, 10**6])
+def test_pruning_is_exact_and_prunes(factor):
+    """In doubles and, with weights too large for them, in integers."""
+    block, weights, rows, terms, counts, n = batches(9)
+    weights = weights * factor
+    ids = np.random.default_rng(1).permutation(len(n)).astype(np.int64)
+    task = dualtree.Search(block, weights, 1000, 40_000, 5, {})
+    assert task.items.dtype == (np.float64 if factor == 1 else np.int64)
+    for low in range(0, len(n), 150):  # four batches
+        own = (rows >= low) & (rows < low + 150)
+        task.add(ids[low : low + 150], n[low : low + 150], rows[own] - low, terms[own], counts[own])
+    m = 50 + (50 * n * 1000) // 40_000
+    impact = np.zeros((len(n), len(weights)), np.int64)
+    impact[rows, terms] = (10**9 * counts) // (1000 * counts + 20 * m[rows])
+    expected = set()
+    for i, own in enumerate(block.terms):
+        scores = (impact[:, own] * weights[own]).sum(1)
+        best = np.lexsort((ids, -scores))[:5]
+        expected |= {(i, int(ids[d]), int(scores[d])) for d in best if scores[d] > 0}
+    assert set(zip(*(v.tolist() for v in task.found()), strict=True)) == expected
+    assert task.scored < 0.5 * len(n) * len(block.terms)
+
+
+def test_long_text_is_counted_in_slices(monkeypatch):
+    monkeypatch.setattr(dualtree, "SLICE", 16)
+    text = "Ärger, ÄRGER und x" + "y" * 60 + " Z9 z9 z9 " * 40
+    assert dualtree.term_counts(text) == Counter({t.encode(): n for t, n in plain_terms(text).items()})
