@@ -11,8 +11,10 @@ with a doubled letter, parts of compounds, and marks at an edge that are look-al
 
 The scorer knows words and word beginnings that are significantly more frequent in toxic
 documents (a likelihood ratio test over labelled documents, corrected for the number of
-features), and a logistic model over four sums of their weights. Its size has a documented
-bound (``MAX_FEATURES``); counts cover every document and every training label.
+features), and a logistic model over four sums of their weights. It keeps all significant ones.
+The character model reads every document. The scorer is fitted on a sample of the labelled ids by
+their hash, of about ``LABELLED`` ids, and on all of them if there are no more; so what is learnt
+from, and the ids that are broadcast to find its texts, do not grow with the corpus.
 
 Null and empty texts score like a text without known words. Repeated rows are scored one by
 one; a document with several label rows counts as toxic if one of them says so.
@@ -35,7 +37,8 @@ from pyspark.sql import functions as F
 
 from tablewarden.llm.common import Scratch, load
 
-MAX_FEATURES = 4096  # words and beginnings in the model, the most significant ones
+LABELLED = 16_384  # labelled ids that the scorer is fitted on
+SHARES = 1 << 30  # of which a sample takes some, by hash
 PREFIXES = (4, 5, 6, 7)
 THRESHOLD = 0.7
 CRITICAL = 30.0  # G2 for p < 1e-7, one sided
@@ -337,19 +340,20 @@ def _significant(counted: DataFrame, clean: int, toxic: int) -> dict[str, float]
         .withColumn("weight", F.log((a + 0.5) / (toxic + 1.0)) - F.log((b + 0.5) / (clean + 1.0)))
         .withColumn("g2", g2)
         .filter((F.col("weight") > 1.0) & (F.col("g2") > CRITICAL))
-        .orderBy(F.desc("g2"), "feature")
         .select("feature", "weight")
-        .limit(MAX_FEATURES)
     )
-    return {r.feature: r.weight for r in rows.collect()}
+    return {r.feature: r.weight for r in rows.collect()}  # each is in three of a bounded number of texts
 
 
-def train(docs: DataFrame, labels: DataFrame) -> Scorer:
-    """Fit on ``labels`` (doc_id, toxic); the character model reads all of ``docs``."""
+def train(docs: DataFrame, labels: DataFrame, labelled_ids: int = LABELLED) -> Scorer:
+    """Fit on about ``labelled_ids`` of ``labels`` (doc_id, toxic); the character model reads all of ``docs``."""
     scratch = Scratch(docs.sparkSession)
     scorer = Scorer(character_model(docs))
-    marks = labels.filter("toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    labelled = docs.select("doc_id", "text").join(marks, "doc_id").select("text", "toxic")
+    marks = labels.filter("toxic IS NOT NULL AND doc_id IS NOT NULL")
+    marks = scratch.save(marks.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")), "marks")
+    share = SHARES * labelled_ids // max(marks.count(), 1)
+    sample = marks.filter(F.pmod(F.xxhash64("doc_id"), F.lit(SHARES)) < F.lit(share))
+    labelled = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("text", "toxic")
     labelled = scratch.save(labelled, "labelled")
     sizes = {r.toxic: r["count"] for r in labelled.groupBy("toxic").count().collect()}
     clean, toxic = sizes.get(0, 0), sizes.get(1, 0)
