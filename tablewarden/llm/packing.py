@@ -47,7 +47,8 @@ class Encoder:
     """Token ids of texts under a byte-level BPE file of the ``tokenizers`` library.
 
     The BPE itself runs in ``tiktoken``, which gives the same ids several times faster, on the
-    ranks read from that file. A text that holds a special token goes to ``tokenizers``.
+    ranks read from that file. A text that holds a special token goes to ``tokenizers``, and so does
+    one that the other library gives up on, such as a million blanks in a row.
     """
 
     PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -74,10 +75,14 @@ class Encoder:
     def ids(self, text: str | None) -> np.ndarray:
         if not text:
             return np.array([END], "<u4")
-        if any(s in text for s in self.special):
+        found = None
+        if not any(s in text for s in self.special):
+            try:
+                found = self.fast.encode_to_numpy(text, disallowed_special=())
+            except ValueError:  # its regular expressions have a bounded stack
+                pass
+        if found is None:
             found = self.plain.encode(text, add_special_tokens=False).ids
-        else:
-            found = self.fast.encode_to_numpy(text, disallowed_special=())
         return np.append(np.asarray(found, "<u4"), np.array([END], "<u4"))
 
 

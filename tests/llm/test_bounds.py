@@ -1,16 +1,17 @@
 """Very long runs of blanks in packing, and the bounded sample of the toxicity scorer."""
 
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tablewarden.llm import packing, toxicity
+from tablewarden.llm import jaccard, packing, toxicity
 from tablewarden.llm.common import load
 from tests.comparison import folder
+from tests.llm import brute
 
 RUNS = {1: "x" + " " * 2_000_000 + "y", 2: "\n" * 1_200_000, 3: "a b " + "\t" * 1_500_000, 4: "short"}
 
@@ -49,7 +50,7 @@ def test_the_pipelines_packing_of_long_runs(spark, runs):
 def test_the_sample_of_labels_is_bounded_and_enough(spark):
     docs, labels = (load(spark, folder("0.1"), t) for t in ("documents", "labels"))
     train = labels.filter(~toxicity.held_out(F.col("doc_id")))
-    scorer = toxicity.train(docs, train, 1000)
+    scorer = toxicity.train(docs, train, 2000)
     held = docs.join(labels.filter(toxicity.held_out(F.col("doc_id"))).select("doc_id", "toxic"), "doc_id")
     found = toxicity.score(held.select("doc_id", "text", "toxic"), scorer).select("predicted", "toxic").collect()
     assert np.mean([r.predicted == r.toxic for r in found]) > 0.97
@@ -60,3 +61,26 @@ def test_a_sample_of_no_less_than_the_labels_is_all_of_them(spark):
     n = labels.count()
     one, two = (toxicity.train(docs, labels, k) for k in (n, 100 * n))
     assert one.weights == two.weights and one.weights
+
+
+def test_documents_that_share_passages(spark):
+    """Each holds two of forty passages, so shingles have many documents, and none links to another
+    but the variants; those share just enough."""
+    rng = np.random.default_rng(11)
+    passages = [[f"p{k}_{i}" for i in range(60)] for k in range(40)]
+    texts = []
+    for k in range(300):
+        own = [f"o{v}" for v in rng.integers(0, 10**9, 400)]
+        a, b = rng.integers(0, 40, 2)
+        texts.append(own[:150] + passages[a] + own[150:300] + passages[b] + own[300:])
+    for k in range(0, 60, 2):  # around the threshold: 520 words, some of them changed in one stretch
+        w = list(texts[k])
+        change = 30 + 2 * k
+        w[200 : 200 + change] = [f"c{v}" for v in rng.integers(0, 10**9, change)]
+        texts.append(w)
+    rows = [(i, " ".join(w)) for i, w in enumerate(texts)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    found = Counter(map(tuple, jaccard.near_duplicates(frame).collect()))
+    assert found == brute.near_components(rows)
+    sizes = Counter(c for _, _, c in found)
+    assert 5 < sum(n > 1 for n in sizes.values()) < 30  # some variants link, others do not
