@@ -403,7 +403,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     last = np.sort(np.array([r.token for r in frequent.limit(FREQUENT).collect()], np.int64).view(np.uint64))
 
     filled = sets.filter("n > 0 AND doc_id IS NOT NULL")
-    smallest = filled.groupBy("digest").agg(F.min("doc_id").alias("rep"))
+    # written, so that Spark can split a hot digest when it joins
+    smallest = scratch.save(filled.groupBy("digest").agg(F.min("doc_id").alias("rep")), "smallest")
     reps = scratch.save(filled.join(smallest, "digest").select("doc_id", "rep", "n"), "reps")
     copies = reps.filter("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
     heads = reps.filter("doc_id = rep").select("doc_id", "n").distinct()
