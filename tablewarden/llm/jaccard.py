@@ -6,13 +6,18 @@ similarity is at least ``PERCENT`` / 100. No link is lost:
 1. Documents with equal sets collapse to the smallest id.
 2. Prefix filter: with all shingles in one common order, two linked sets share a shingle
    among the first n - ceil(0.75 n) + 1 of each. Documents meet in the groups of these
-   shingles. The order is by hash, but the most frequent shingles come last, so passages
-   that many documents share do not make groups. (Any order is right; this one is fast.)
+   shingles. The order is rarest first, by a sketch of counts over all documents, so what
+   many documents share makes no groups. (Any common order is right; this one is fast.)
+   Let a pair's first common shingle have r and s shingles from its place to the ends of the
+   sets: the pair needs an overlap of 3/7 of its sizes' sum, so r and s are no less. Groups
+   without a member whose place would allow this with any other are left out.
 3. Each document is compared with three others first: of the smallest members, the largest
    members and the hubs of its groups those it meets most often. What this joins into one component needs
    no further comparison. It settles families of copies in linear work.
-4. In groups that still hold several components, signature trees find the rest: nodes hold
-   the OR of token bitmaps, the range of set sizes and of components. Two trees are walked
+4. In groups that still hold several components, members without any partner of another
+   component whose size and place would do are put aside, before bitmaps are shipped. For
+   the others signature trees find the links: nodes hold the OR of token bitmaps, the range
+   of set sizes, places and components. Two trees are walked
    together; a pair of nodes is dropped when its maximum possible overlap is too small for
    its sizes, or when both hold the same single component. Large groups are cut into blocks
    and every pair of blocks is a task of its own, so that no task gets a whole group.
@@ -26,6 +31,7 @@ a doc_id are one node of the graph and keep a row each.
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,9 +44,11 @@ from tablewarden.llm.common import Scratch, WordHashes, components, load, window
 
 SIZE = 5
 PERCENT = 75
-FREQUENT = 1 << 16  # shingles that are moved to the end of the order, the most frequent ones
-SHOWN = 8  # times that a shingle must occur among some 2,000 documents to be thought frequent
+CELLS = 1 << 22  # counters of the sketch, a byte each where it is shipped
+PART = 1 << 16  # counters in a row of a written sketch
+HOT = 4096  # shingles in cells with more are aggregated before they are shuffled
 BLOCK = 4096  # members of a group in one block
+SLICE = 1000  # documents of a batch worked on at a time
 LEAF, FAN = 32, 8
 BROADCAST_IDS = 1_000_000  # ids, 8 bytes each
 
@@ -78,62 +86,98 @@ def fold(bits: np.ndarray, words: int) -> np.ndarray:
     return bits
 
 
+def _coded(counts: np.ndarray) -> np.ndarray:
+    """Counts as bytes below 128, four steps to a doubling."""
+    return np.minimum(np.rint(4 * np.log2(1 + counts)), 127).astype(np.uint8)
+
+
+def _sketch_rows(counts: dict[int, np.ndarray]) -> pd.DataFrame:
+    packed = [zlib.compress(_coded(c).tobytes(), 1) for c in counts.values()]
+    return pd.DataFrame({"kind": 1, "doc_id": None, "n": None, "digest": None, "part": list(counts), "cells": packed})
+
+
+SETS = "kind int, doc_id long, n long, digest binary, part int, cells binary"
+
+
 def _sets(docs: DataFrame) -> DataFrame:
-    """Two kinds of rows: a document's set size and digest (0), frequent shingles (1)."""
+    """Two kinds of rows: a document's set size and digest (0), a task's sketch of counts (1)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes, pool, pooled = WordHashes(), [], 0
-        for batch in batches:
-            ns, digests = [], []
-            for text in batch["text"]:
-                s = shingles(text, hashes)
-                ns.append(len(s))
-                digests.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
-                pool.append(s)
-            pooled += len(batch)
-            yield pd.DataFrame(
-                {"kind": 0, "doc_id": batch["doc_id"], "n": ns, "digest": digests, "token": None, "times": None}
-            )
-            if pooled >= 2000:
-                yield _frequent(pool)
-                pool, pooled = [], 0
-        if pool:
-            yield _frequent(pool)
+        hashes, counts = WordHashes(), None
+        for whole in batches:
+            for k in range(0, len(whole), SLICE):
+                batch = whole.iloc[k : k + SLICE]
+                sets = [shingles(text, hashes) for text in batch["text"]]
+                if counts is None:
+                    counts = np.zeros(CELLS, np.uint32)
+                np.add.at(counts, (np.concatenate(sets) & np.uint64(CELLS - 1)).astype(np.int64), np.uint32(1))
+                digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
+                ns = [len(s) for s in sets]
+                yield pd.DataFrame(
+                    {"kind": 0, "doc_id": batch["doc_id"], "n": ns, "digest": digests, "part": None, "cells": None}
+                )
+        if counts is not None:
+            yield _sketch_rows(dict(enumerate(counts.reshape(-1, PART))))
+
+    return docs.select("doc_id", "text").mapInPandas(run, SETS)
+
+
+def _added(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The sums of sketches, part by part. Steps of codes are rough, which changes the order of
+    shingles a little, for all documents alike."""
+    value = np.exp2(np.arange(128) / 4) - 1
+    sums: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for part, cells in zip(batch["part"], batch["cells"], strict=True):
+            counts = value[np.frombuffer(zlib.decompress(cells), np.uint8)]
+            sums[part] = sums[part] + counts if part in sums else counts
+    if sums:
+        yield _sketch_rows(sums)
 
-    return docs.select("doc_id", "text").mapInPandas(
-        run, "kind int, doc_id long, n long, digest binary, token long, times long"
-    )
 
+def _sketch(rows: DataFrame) -> np.ndarray:
+    """The codes of all cells over all documents: CELLS bytes, whatever the corpus.
 
-def _frequent(pool: list[np.ndarray]) -> pd.DataFrame:
-    tokens, times = np.unique(np.concatenate(pool), return_counts=True)
-    often = times >= SHOWN
-    return pd.DataFrame(
-        {"kind": 1, "doc_id": None, "n": None, "digest": None, "token": tokens[often].view(np.int64), "times": times[often]}
-    )
+    Sketches of tasks are added in two steps, the first one salted; a task holds one sum a part.
+    """
+    for keys in ([F.col("part"), F.pmod(F.xxhash64("cells"), F.lit(64))], [F.col("part")]):
+        rows = rows.repartition(*keys).mapInPandas(_added, SETS)
+    codes = np.zeros((CELLS // PART, PART), np.uint8)
+    for row in rows.select("part", "cells").collect():
+        codes[row.part] = np.frombuffer(zlib.decompress(row.cells), np.uint8)
+    return codes.ravel()
+
+
+def _ordered(s: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """A set in the common order, rarest first: the code of a shingle's cell above 56 bits of its
+    hash, so that greater numbers come later."""
+    code = codes[(s & np.uint64(CELLS - 1)).astype(np.int64)].astype(np.uint64)
+    return np.sort((code << np.uint64(56)) | (s & np.uint64((1 << 56) - 1))).view(np.int64)
 
 
-def _shapes(docs: DataFrame, last: np.ndarray) -> DataFrame:
-    """Set size, bitmap and prefix of each document; ``last``: sorted frequent shingles."""
+def _shapes(docs: DataFrame, codes: np.ndarray) -> DataFrame:
+    """Set size, bitmap and prefix of each document, the rare shingles of the prefix first."""
+    usual = np.exp2(codes / 4.0).mean() if len(codes) else 0
+    hot = int(_coded(np.array([max(HOT, 4 * usual)]))[0]) << 56
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = WordHashes()
-        for batch in batches:
-            ns, bits, common, frequent = [], [], [], []
-            for text in batch["text"]:
-                s = shingles(text, hashes)
-                n = len(s)
-                take = n - needed(n) + 1 if n else 0
-                late = np.zeros(n, bool)
-                if len(last):
-                    late = last[np.minimum(np.searchsorted(last, s), len(last) - 1)] == s
-                ns.append(n)
-                bits.append(bitmap(s).tobytes())
-                common.append(s[~late][:take].view(np.int64))
-                frequent.append(s[late][: max(0, take - len(common[-1]))].view(np.int64))
-            yield pd.DataFrame(
-                {"rep": batch["doc_id"], "n": ns, "bits": bits, "common": common, "frequent": frequent}
-            )
+        for whole in batches:
+            for k in range(0, len(whole), SLICE):
+                batch = whole.iloc[k : k + SLICE]
+                ns, bits, common, frequent = [], [], [], []
+                for text in batch["text"]:
+                    s = shingles(text, hashes)
+                    n = len(s)
+                    prefix = _ordered(s, codes)[: n - needed(n) + 1 if n else 0]
+                    rare = int(np.searchsorted(prefix, hot))
+                    ns.append(n)
+                    bits.append(bitmap(s).tobytes())
+                    common.append(prefix[:rare])
+                    frequent.append(prefix[rare:])
+                yield pd.DataFrame(
+                    {"rep": batch["doc_id"], "n": ns, "bits": bits, "common": common, "frequent": frequent}
+                )
 
     return docs.select("doc_id", "text").mapInPandas(
         run, "rep long, n long, bits binary, common array<long>, frequent array<long>"
@@ -204,9 +248,10 @@ def _verified(pairs: DataFrame, docs: DataFrame, scratch: Scratch, name: str) ->
 class Tree:
     """Members of one bitmap width, sorted by size; nodes with ORs and ranges."""
 
-    def __init__(self, reps, labels, sizes, bits):
+    def __init__(self, reps, labels, sizes, rests, bits):
         order = np.lexsort((reps, labels, sizes))
         self.reps, self.labels, self.sizes, self.bits = reps[order], labels[order], sizes[order], bits[order]
+        self.rests = rests[order]
         self.ones = np.bitwise_count(self.bits).sum(1, dtype=np.int64)
         self.levels = [[self._leaf(k) for k in range(0, len(reps), LEAF)]]
         while len(self.levels[-1]) > 1:
@@ -220,6 +265,7 @@ class Tree:
             "or": np.bitwise_or.reduce(self.bits[part], 0),
             "size": (self.sizes[part].min(), self.sizes[part].max()),
             "label": (self.labels[part].min(), self.labels[part].max()),
+            "rest": self.rests[part].max(),
             "slack": (self.sizes[part] - self.ones[part]).max(),
             "below": (),
         }
@@ -230,6 +276,7 @@ class Tree:
             "or": np.bitwise_or.reduce([x["or"] for x in nodes], 0),
             "size": (min(x["size"][0] for x in nodes), max(x["size"][1] for x in nodes)),
             "label": (min(x["label"][0] for x in nodes), max(x["label"][1] for x in nodes)),
+            "rest": max(x["rest"] for x in nodes),
             "slack": max(x["slack"] for x in nodes),
             "below": nodes,
         }
@@ -240,9 +287,10 @@ class Tree:
 
 
 def may_link(a: dict, b: dict) -> bool:
-    """Whether some member of node a can link to one of b.
+    """Whether some member of node a can link to one of b, with the group's shingle as the
+    first one that they share.
 
-    A set has at most ``slack`` tokens more than bits, so sets of the two nodes share at
+    They share no more than the ``rest`` of either set, from that shingle on. A set has at most ``slack`` tokens more than bits, so sets of the two nodes share at
     most slack + |OR a & OR b| tokens. Sizes x, y need an overlap of 3/7 (x + y).
     """
     if a["label"][0] == a["label"][1] == b["label"][0] == b["label"][1]:
@@ -254,7 +302,7 @@ def may_link(a: dict, b: dict) -> bool:
     common = int(np.bitwise_count(fold(a["or"], words) & fold(b["or"], words)).sum())
     # folding merges bits, so the slack of the folded side is only bounded by its size
     slack = min(a["slack"] if len(a["or"]) == words else a1, b["slack"] if len(b["or"]) == words else b1)
-    return (100 + PERCENT) * min(slack + common, a1, b1) >= PERCENT * (a0 + b0)
+    return (100 + PERCENT) * min(slack + common, a["rest"], b["rest"]) >= PERCENT * (a0 + b0)
 
 
 def walk(s: Tree, t: Tree) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -281,6 +329,7 @@ def walk(s: Tree, t: Tree) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         px, py = (np.bitwise_count(v).sum(1, dtype=np.int64) for v in (x, y))
         # a bit that only one set has stands for a token that only it has
         most = np.minimum(nx - px[:, None] + both, ny - py[None, :] + both)
+        most = np.minimum(most, np.minimum(s.rests[p][:, None], t.rests[q][None, :]))
         fits = ((100 + PERCENT) * most >= PERCENT * (nx + ny)) & (s.labels[p][:, None] != t.labels[q][None, :])
         i, j = np.nonzero(fits)
         if len(i):
@@ -291,7 +340,8 @@ def _trees(group: pd.DataFrame) -> dict[int, Tree]:
     by: dict[int, list[int]] = {}
     for k, b in enumerate(group["bits"]):
         by.setdefault(len(b) // 8, []).append(k)
-    columns = [group[c].to_numpy(np.int64) for c in ("rep", "label", "n")]
+    rest = "rest" if "rest" in group else "n"  # a whole set may be shared
+    columns = [group[c].to_numpy(np.int64) for c in ("rep", "label", "n", rest)]
     bits = group["bits"].to_numpy()
     return {
         w: Tree(*(c[rows] for c in columns), np.frombuffer(b"".join(bits[rows]), np.uint64).reshape(len(rows), w))
@@ -314,17 +364,14 @@ def _candidates(group: pd.DataFrame) -> pd.DataFrame:
                 right.append(np.maximum(a, b))
     if not left:
         return pd.DataFrame({"a": [], "b": []}, dtype="int64")
-    # a pair that meets in several groups is a candidate in the first of them only
-    token, groups = int(group["token"].iloc[0]), {r: frozenset(g) for r, g in zip(group["rep"], group["groups"])}
-    pairs = zip(np.concatenate(left).tolist(), np.concatenate(right).tolist(), strict=True)
-    kept = {(a, b) for a, b in pairs if a != b and min(groups[a] & groups[b]) == token}
-    return pd.DataFrame(sorted(kept), columns=["a", "b"], dtype="int64")
+    pairs = pd.DataFrame({"a": np.concatenate(left), "b": np.concatenate(right)})
+    return pairs[pairs["a"] != pairs["b"]].drop_duplicates()
 
 
 def _pair(rows: list[tuple]) -> pd.DataFrame:
     """The pair of a group of two, if sizes and bitmaps let it link."""
-    (token, _, _, _, a, p, m, x, g), (_, _, _, _, b, q, n, y, h) = rows
-    if p == q or 100 * min(m, n) < PERCENT * max(m, n) or min(set(g) & set(h)) != token:
+    (*_, a, p, m, r, x), (*_, b, q, n, o, y) = rows
+    if p == q or not _fits(m, r, n, o):
         return pd.DataFrame({"a": [], "b": []}, dtype="int64")
     s, t = (np.frombuffer(v, np.uint64) for v in (x, y))
     words = min(len(s), len(t))
@@ -334,52 +381,90 @@ def _pair(rows: list[tuple]) -> pd.DataFrame:
     return pd.DataFrame({"a": [min(a, b)] * fits, "b": [max(a, b)] * fits}, dtype="int64")
 
 
-def _block_pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Trees over sorted rows: those of a pair of blocks follow one another. A task holds
-    two blocks at a time."""
-    columns = ["token", "i", "j", "block", "rep", "label", "n", "bits", "groups"]
-    held: list[tuple] = []
+def _fits(m: int, r: int, n: int, o: int) -> bool:
+    """Whether sets of sizes m and n may link that share r or o shingles at most."""
+    return 100 * min(m, n) >= PERCENT * max(m, n) and (100 + PERCENT) * min(r, o) >= PERCENT * (m + n)
 
-    def close() -> pd.DataFrame:
-        if len(held) == 2:
-            out = _pair(held)
-        else:
-            out = _candidates(pd.DataFrame(held, columns=columns))
-        held.clear()
-        return out
 
+def _runs(batches: Iterator[pd.DataFrame], columns: list[str]) -> Iterator[list[list[tuple]]]:
+    """For each batch, the runs of rows with equal first three values that end in it."""
+    held: list[tuple] = []
     for batch in batches:
-        out = []
+        ended = []
         for row in zip(*(batch[c].tolist() for c in columns), strict=True):
             if held and held[0][:3] != row[:3]:
-                out.append(close())
+                ended.append(held)
+                held = []
             held.append(row)
-        out = [x for x in out if len(x)]
-        if out:
-            yield pd.concat(out).drop_duplicates()
+        yield ended
     if held:
-        yield close()
+        yield [held]
+
+
+def _partnered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The members with a partner of another component whose size and place would do. A task
+    holds two blocks at a time."""
+    columns = ["token", "i", "j", "block", "size", "rep", "label", "n", "rest"]
+    for runs in _runs(batches, columns):
+        out = []
+        for rows in runs:
+            if len(rows) == 2:
+                (*_, p, m, r), (*_, q, n, o) = rows
+                if p != q and _fits(m, r, n, o):
+                    out += rows
+            elif len(rows) > 2:
+                labels, sizes, rests = (np.array([row[k] for row in rows], np.int64) for k in (6, 7, 8))
+                for k in range(0, len(rows), SLICE):
+                    cut = slice(k, k + SLICE)
+                    m, n = sizes[cut, None], sizes[None, :]
+                    fits = 100 * np.minimum(m, n) >= PERCENT * np.maximum(m, n)
+                    fits &= (100 + PERCENT) * np.minimum(rests[cut, None], rests[None, :]) >= PERCENT * (m + n)
+                    fits &= labels[cut, None] != labels[None, :]
+                    out += [rows[k + x] for x in np.flatnonzero(fits.any(1)).tolist()]
+        if out:
+            yield pd.DataFrame(out, columns=columns)[["token", "size", "rep", "label", "n", "rest"]]
+
+
+def _block_pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Trees over sorted rows: those of a pair of blocks follow one another. A task holds
+    two blocks at a time."""
+    columns = ["token", "i", "j", "block", "rep", "label", "n", "rest", "bits"]
+    for runs in _runs(batches, columns):
+        found = [_pair(rows) if len(rows) == 2 else _candidates(pd.DataFrame(rows, columns=columns)) for rows in runs]
+        found = [x for x in found if len(x)]
+        if found:
+            yield pd.concat(found).drop_duplicates()
 
 
 # --- the join ------------------------------------------------------------------------
 
 
 def _members(shapes: DataFrame) -> DataFrame:
-    """(token, size, lo, hi, rep): the groups of at least two; of groups with the same members
-    one.
+    """(token, size, lo, hi, rep, n, rest): the groups of at least two that may hold a link; of
+    groups with the same members the first one in the common order, where places are best.
 
     Frequent shingles are aggregated before they are shuffled and joined so that Spark can
     split them. All others cross once: their groups are counted and joined where they lie.
     """
+    whole, rest = F.shiftright("place", 32), F.col("place").bitwiseAND((1 << 32) - 1)
     measures = [
         F.count("*").alias("size"),
         F.min("rep").alias("lo"),
         F.max("rep").alias("hi"),
         F.bit_xor(F.xxhash64("rep")).alias("mark"),
+        # the smaller set of a link needs this
+        F.max((100 + PERCENT) * rest >= 2 * PERCENT * whole).alias("early"),
+    ]
+    # the set's size and what is left of it from here on, in one number
+    left = F.col("n") - F.col("pos") - F.when(F.col("late"), F.col("ahead")).otherwise(0)
+    place = F.shiftleft("n", 32).bitwiseOR(left).alias("place")
+    ahead = F.size("common").alias("ahead")
+    parts = [
+        shapes.select("rep", "n", ahead, F.lit(late).alias("late"), F.posexplode(c).alias("pos", "token")).select("token", "rep", place)
+        for late, c in ((False, "common"), (True, "frequent"))
     ]
-    common = shapes.select(F.explode("common").alias("token"), "rep").repartition("token")
-    frequent = shapes.select(F.explode("frequent").alias("token"), "rep")
-    counted = [part.groupBy("token").agg(*measures).filter("lo < hi") for part in (common, frequent)]
+    common, frequent = parts[0].repartition("token"), parts[1]
+    counted = [part.groupBy("token").agg(*measures).filter("lo < hi AND early") for part in (common, frequent)]
     groups = (
         counted[0]
         .union(counted[1])
@@ -388,7 +473,24 @@ def _members(shapes: DataFrame) -> DataFrame:
         .select("token", "size", "lo", "hi")
     )
     # one job, so that its two uses of the shuffled rows are one shuffle
-    return common.join(groups, "token").union(frequent.join(groups, "token")).select("token", "size", "lo", "hi", "rep")
+    members = common.join(groups, "token").union(frequent.join(groups, "token"))
+    return members.select("token", "size", "lo", "hi", "rep", whole.alias("n"), rest.alias("rest"))
+
+
+def _placed(members: DataFrame) -> DataFrame:
+    """A row for each pair of blocks of its group that a member takes part in, pair by pair."""
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    return (
+        members.withColumn("block", F.pmod(F.xxhash64("rep"), blocks).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+        .withColumn("i", F.least("block", "other"))
+        .withColumn("j", F.greatest("block", "other"))
+        .drop("other")
+    )
+
+
+def _sorted_pairs(placed: DataFrame) -> DataFrame:
+    return placed.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -397,10 +499,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     docs = docs.select("doc_id", "text")
     both = scratch.save(_sets(docs), "sets", "kind")
     sets = both.filter("kind = 0").select("doc_id", "n", "digest")
-    frequent = (
-        both.filter("kind = 1").groupBy("token").agg(F.sum("times").alias("times")).orderBy(F.desc("times"), "token")
-    )
-    last = np.sort(np.array([r.token for r in frequent.limit(FREQUENT).collect()], np.int64).view(np.uint64))
+    codes = _sketch(both.filter("kind = 1"))
 
     filled = sets.filter("n > 0 AND doc_id IS NOT NULL")
     # written, so that Spark can split a hot digest when it joins
@@ -409,7 +508,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     copies = reps.filter("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
     heads = reps.filter("doc_id = rep").select("doc_id", "n").distinct()
 
-    shapes = _shapes(docs, last).join(heads.withColumnRenamed("doc_id", "rep").select("rep").distinct(), "rep")
+    shapes = _shapes(docs, codes).join(heads.withColumnRenamed("doc_id", "rep").select("rep").distinct(), "rep")
     shapes = scratch.save(shapes, "shapes")
     members = scratch.save(_members(shapes), "members")
     small = shapes.select("rep", "n", "bits")
@@ -430,36 +529,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     links = _verified(scratch.save(stars.distinct(), "stars"), docs, scratch, "links")
 
     label = components(links, scratch, "first").withColumnRenamed("node", "rep")
-    tested = members.select("token", "size", "rep").join(label, "rep", "left")
-    tested = tested.select("token", "size", "rep", F.coalesce("component", "rep").alias("label"))
+    tested = members.drop("lo", "hi").join(label, "rep", "left")
+    tested = tested.withColumn("label", F.coalesce("component", "rep")).drop("component")
     tested = scratch.save(tested, "tested")
     open_groups = tested.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi")
     open_groups = scratch.save(open_groups.select("token"), "open")
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    still_open = scratch.save(tested.join(open_groups, "token"), "still_open")
-    # a document has no more groups than its prefix has shingles
-    of_each = still_open.groupBy("rep").agg(F.collect_set("token").alias("groups"))
-    placed = (
-        still_open
-        .withColumn("block", F.pmod(F.xxhash64("rep"), blocks).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-        .select(
-            "token",
-            F.least("block", "other").alias("i"),
-            F.greatest("block", "other").alias("j"),
-            "block",
-            "rep",
-            "label",
-        )
-    )
-    found = (
-        placed.join(small.join(of_each, "rep"), "rep")
-        .repartition("token", "i", "j")
-        .sortWithinPartitions("token", "i", "j")
-        .mapInPandas(_block_pairs, "a long, b long")
-        .filter("a <> b")
-        .distinct()
-    )
+    light = "token long, size long, rep long, label long, n long, rest long"
+    partnered = _sorted_pairs(_placed(tested.join(open_groups, "token"))).mapInPandas(_partnered, light).distinct()
+    partnered = scratch.save(partnered, "partnered")
+    # texts of one doc_id and one size take part with all their bitmaps
+    heavy = _placed(partnered).join(small, ["rep", "n"])
+    found = _sorted_pairs(heavy).mapInPandas(_block_pairs, "a long, b long").filter("a <> b").distinct()
     more = _verified(scratch.save(found, "found"), docs, scratch, "more")
     label = components(links.union(more).union(copies), scratch, "all")
     return (
