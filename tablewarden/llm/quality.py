@@ -2,10 +2,12 @@
 
 Every rule is a measure of a document and a cutoff above which the document is rejected.
 Cutoffs are not set by hand: for each stratum (language) and rule, documents labelled good
-say how often a cutoff rejects good documents. The exact binomial test of "the rate of
-false rejections exceeds the limit" must fail to hold at a level divided by the number of
-all (stratum, rule, cutoff) hypotheses; among the cutoffs that pass, the strictest is
-used, and where none passes the rule is off. The limit is shared out over the rules, so
+say how often a cutoff rejects good documents. The cutoffs of a rule are tested in a fixed
+order, loosest first, each by the exact binomial test of "the rate of false rejections
+exceeds the limit"; the first one that is not refuted ends the order, and the last one before
+it is used. Where the loosest fails the rule is off. To go wrong, the first cutoff over the
+limit must be refuted, so an order needs no correction for its length: the level is divided
+by the number of orders, (stratum, rule). The limit is shared out over the rules, so
 that all rules together reject no more than ``max_false_rejection`` of the good documents
 of any stratum, with probability 1 - ``error``.
 
@@ -91,15 +93,38 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def binomial_cdf(k: int, n: int, p: float) -> float:
-    """P(Bin(n, p) <= k), exact up to rounding."""
+    """P(Bin(n, p) <= k), exact up to rounding.
+
+    Terms are added from k away from the mean n p, so they fall and end soon, whatever n.
+    """
     if k >= n:
         return 1.0
-    logs = [
-        math.lgamma(n + 1) - math.lgamma(i + 1) - math.lgamma(n - i + 1) + i * math.log(p) + (n - i) * math.log1p(-p)
-        for i in range(k + 1)
-    ]
-    top = max(logs)
-    return min(1.0, math.exp(top) * math.fsum(math.exp(x - top) for x in logs))
+    if k < 0:
+        return 0.0
+    upper = k > n * p  # then the terms above k are fewer
+    i = k + 1 if upper else k
+    first = math.lgamma(n + 1) - math.lgamma(i + 1) - math.lgamma(n - i + 1) + i * math.log(p) + (n - i) * math.log1p(-p)
+    term, total = 1.0, 0.0
+    while term > total * 1e-18:
+        total += term
+        if upper:
+            term *= (n - i) / (i + 1) * p / (1 - p)
+            i += 1
+        else:
+            term *= i / (n - i + 1) * (1 - p) / p
+            i -= 1
+    tail = math.exp(first) * total
+    return max(0.0, 1 - tail) if upper else min(1.0, tail)
+
+
+def strictest(rejected: Sequence[int], n: int, limit: float, level: float) -> int | None:
+    """The index of the cutoff to use, of the good rows ``rejected`` by each of ``CUTOFFS``."""
+    chosen = None
+    for i in reversed(range(len(rejected))):
+        if rejected[i] > limit * n or binomial_cdf(rejected[i], n, limit) > level:
+            break
+        chosen = i
+    return chosen
 
 
 def stratum(lang: Column, strata: Sequence[str] = STRATA) -> Column:
@@ -121,15 +146,13 @@ def thresholds(
         F.sum((F.col(m) > c).cast("long")).alias(f"{m}_{i}") for m in MEASURES for i, c in enumerate(CUTOFFS)
     ]
     limit = max_false_rejection / len(MEASURES)
-    level = error / (len(MEASURES) * len(CUTOFFS) * (len(strata) + 1))
+    level = error / (len(MEASURES) * (len(strata) + 1))
     chosen = {}
     for row in labelled.groupBy("stratum").agg(F.count("*").alias("n"), *sums).collect():
         for m in MEASURES:
-            for i, cutoff in enumerate(CUTOFFS):
-                rejected = row[f"{m}_{i}"]
-                if rejected <= limit * row["n"] and binomial_cdf(rejected, row["n"], limit) <= level:
-                    chosen[row["stratum"], m] = cutoff
-                    break
+            at = strictest([row[f"{m}_{i}"] for i in range(len(CUTOFFS))], row["n"], limit, level)
+            if at is not None:
+                chosen[row["stratum"], m] = CUTOFFS[at]
     return chosen
 
 

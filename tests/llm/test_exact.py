@@ -1,5 +1,6 @@
 """Operators with one right answer, against plain versions."""
 
+import math
 from collections import Counter, defaultdict
 from zlib import crc32
 
@@ -152,6 +153,45 @@ def test_binomial_bound():
     assert quality.binomial_cdf(20, 20, 0.3) == 1.0
 
 
+def test_binomial_bound_of_many_terms():
+    for n, p in ((50, 0.3), (400, 0.004), (3000, 0.02)):
+        logs = [math.lgamma(n + 1) - math.lgamma(i + 1) - math.lgamma(n - i + 1) for i in range(n + 1)]
+        terms = [math.exp(x + i * math.log(p) + (n - i) * math.log1p(-p)) for i, x in enumerate(logs)]
+        for k in (0, 1, int(n * p), int(n * p) + 1, 2 * int(n * p) + 3, n - 1):
+            assert quality.binomial_cdf(k, n, p) == pytest.approx(math.fsum(terms[: k + 1]), abs=1e-9)
+    assert 0.4 < quality.binomial_cdf(4_000_000, 10**9, 0.004) < 0.6
+
+
+def test_ordered_tests_keep_their_promise():
+    """Over simulated holdouts, a cutoff over the limit is chosen no more often than the level."""
+    rng, limit, level, n, runs = np.random.default_rng(3), 0.02, 0.05, 1500, 2000
+    rates = np.linspace(0.06, 0.001, len(quality.CUTOFFS))  # of good rows beyond each cutoff
+    wrong = chosen = 0
+    for _ in range(runs):
+        values = np.sort(rng.random(n))
+        rejected = np.searchsorted(values, rates).tolist()  # nested, as cutoffs are
+        at = quality.strictest(rejected, n, limit, level)
+        chosen += at is not None
+        wrong += at is not None and rates[at] > limit
+    assert chosen == runs and wrong / runs <= level + 3 * math.sqrt(level / runs)
+    assert quality.strictest([0] * len(rates), 100, limit, level) is None  # too few to tell
+
+
+def test_kept_against_plain_verdicts(spark):
+    """Enough labels select cutoffs in one stratum; each row's verdict follows from them."""
+    rows, labels = [], []
+    for i in range(2400):
+        words = [f"w{i}x{k}" for k in range(20)]
+        junk = i % 8 == 7
+        rows.append((i, "en" if i < 2300 else "de", " ".join(words) + " " + "#" * (400 if junk else 0)))
+        labels.append((i, int(not junk)))
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    found = quality.assess(docs, spark.createDataFrame(labels, "doc_id long, quality int")).collect()
+    kept = {r.doc_id: r.kept for r in found}
+    assert len(found) == len(rows) and not any(r.base_failed for r in found)
+    assert kept == {i: lang == "de" or i % 8 != 7 for i, lang, _ in rows}
+
+
 def test_cutoffs_respect_the_limit(spark):
     n = 20_000
     frame = spark.range(n).select(
