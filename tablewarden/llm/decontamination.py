@@ -17,7 +17,8 @@ Templates of ``SHORTEST`` to ``WINDOW`` - 1 words are one window of their own le
 with fewer than ``LITERALS`` plain words match nothing; an item without any other matches
 word for word as a whole. Items of fewer than ``SHORTEST`` words cannot be told from chance
 and match nothing. Null and empty texts match nothing; repeated rows of a document or an item
-count once.
+count once. Texts that share a doc_id, or have none, are judged each by itself, by a digest of
+the text, and have rows of their own; items without an id match nothing.
 """
 
 from __future__ import annotations
@@ -145,9 +146,10 @@ def _windows(hashes: np.ndarray, kinds: np.ndarray, size: int) -> tuple[np.ndarr
 def template_windows(
     texts: DataFrame, key: str, sizes: list[int], whole: bool, wanted: np.ndarray | None = None
 ) -> DataFrame:
-    """(key, size, h, pos, slots) of the windows of each size, or of texts of that size if
+    """(key, version, size, h, pos, slots) of the windows of each size, or of texts of that size if
     ``whole``. Negative sizes: of that many words as they are; with ``whole``, texts that have
-    no other window. ``wanted``: sorted hashes; other windows are left out."""
+    no other window. ``wanted``: sorted hashes; other windows are left out. ``version``: a digest
+    of the text."""
 
     def hit(h: np.ndarray, pos: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if wanted is None or not len(h):
@@ -160,7 +162,7 @@ def template_windows(
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words = Words()
         for batch in batches:
-            rows = []
+            rows, versions = [], []
             for name, text in zip(batch.iloc[:, 0], batch.iloc[:, 1], strict=True):
                 words.trim()
                 ids, before = words.indexes(text.split() if text else []), len(rows)
@@ -184,9 +186,14 @@ def template_windows(
                     h = windows(words.hashes(ids), -size)
                     h, pos = hit(h, np.arange(len(h)))
                     rows += [(name, size, v, p, []) for v, p in zip(h.view(np.int64).tolist(), pos.tolist(), strict=True)]
-            yield pd.DataFrame(rows, columns=["key", "size", "h", "pos", "slots"])
-
-    schema = f"key {texts.schema[key].dataType.simpleString()}, size int, h long, pos long, slots array<string>"
+                if len(rows) > before:
+                    version = xxhash.xxh3_128_digest(text.encode("utf-8", "surrogatepass"))
+                    versions += [version] * (len(rows) - before)
+            out = pd.DataFrame(rows, columns=["key", "size", "h", "pos", "slots"])
+            out["version"] = pd.Series(versions, dtype=object)
+            yield out
+
+    schema = f"key {texts.schema[key].dataType.simpleString()}, version binary, size int, h long, pos long, slots array<string>"
     return texts.select(key, "text").mapInPandas(run, schema)
 
 
@@ -194,7 +201,7 @@ def contaminations(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, item_id, n_windows, n_item_windows, exact) of contaminated documents."""
     scratch = Scratch(docs.sparkSession)
     sizes = list(range(SHORTEST, WINDOW + 1))
-    items = scratch.save(template_windows(benchmark, "item_id", sizes, whole=True).distinct(), "items")
+    items = scratch.save(template_windows(benchmark, "item_id", sizes, whole=True).drop("version").distinct(), "items")
     totals = items.groupBy("key").agg(F.countDistinct("pos").alias("n_item_windows"))
     wanted = None
     short = [r["size"] for r in items.select("size").distinct().collect()]  # and the lengths of items
@@ -203,7 +210,7 @@ def contaminations(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         if not len(wanted):
             short, wanted = [], None
     found = template_windows(docs, "doc_id", sorted(short), whole=False, wanted=wanted)
-    found = found.select(F.col("key").alias("doc_id"), "size", "h", "pos", F.col("slots").alias("theirs")).distinct()
+    found = found.select(F.col("key").alias("doc_id"), "version", "size", "h", "pos", F.col("slots").alias("theirs")).distinct()
     hits = found.join(
         items.select(F.col("key").alias("item_id"), "size", "h", F.col("pos").alias("at"), F.col("slots").alias("ours")),
         ["size", "h"],
@@ -220,12 +227,12 @@ def contaminations(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     )
     lines = (
         hits.withColumn("band", F.explode(bands))
-        .groupBy("doc_id", "item_id", "band")
+        .groupBy("doc_id", "version", "item_id", "band")
         .agg(F.countDistinct("at").alias("n_windows"), pairs.alias("slots"))
         .withColumn("exact", F.forall("slots", lambda s: s["ours"] == s["theirs"]))
         .filter(F.size("slots") == F.size(F.array_distinct(F.transform("slots", lambda s: s["ours"]))))
     )
-    best = lines.groupBy("doc_id", "item_id").agg(
+    best = lines.groupBy("doc_id", "version", "item_id").agg(
         F.max("n_windows").alias("n_windows"), F.max_by("exact", F.struct("n_windows", "exact")).alias("exact")
     )
     return (

@@ -259,6 +259,19 @@ def test_catches_other_parameters(spark):
     assert decontamination.contaminations(a, b.limit(0)).count() == 0
 
 
+def test_texts_that_share_an_id_are_judged_apart(spark):
+    """Four texts with ten words each of an item's forty are clean, whatever their ids."""
+    words = [f"{a}{b}" for a in ("lorem", "ipsum", "dolor", "amet", "elit") for b in "abcdefgh"]
+    parts = [" ".join(words[k : k + 10]) for k in range(0, 40, 10)]
+    items = spark.createDataFrame([(1, " ".join(words))], "item_id long, text string")
+    for ids in ([1, 2, 3, 4], [7] * 4, [None] * 4):
+        frame = spark.createDataFrame(list(zip(ids, parts, strict=True)), "doc_id long, text string")
+        assert decontamination.contaminations(frame, items).count() == 0
+        whole = frame.union(spark.createDataFrame([(ids[-1], " ".join(words))] * 2, frame.schema))
+        found = decontamination.contaminations(whole, items).collect()
+        assert [(r.doc_id, r.item_id, r.exact) for r in found] == [(ids[-1], 1, True)]
+
+
 def test_catches_short_items_in_any_context(spark):
     items = [
         (1, "The old baker sold many warm loaves before noon today"),
