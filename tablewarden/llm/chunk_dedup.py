@@ -4,21 +4,26 @@ A gear rolling hash runs over the bytes of a text, which is cut where the hash i
 within ``REACH`` bytes on either side. A cut depends on the ``REACH`` + 16 bytes before it and
 the ``REACH`` after it and on no earlier cut, so the same content is cut alike wherever it
 lies, up to that distance from its ends. Only where no hash is the least (repeated bytes) do
-cuts follow each other at ``MOST`` bytes. Chunks are deduplicated by a 128-bit digest; of
-equal chunks the first one (by doc_id, then place) stays. ``SHORTEST_RUN`` is the shortest
-chunk between two cuts, so a repeated chunk always counts; only shorter leftovers at the ends
-of texts stay.
+cuts follow each other at ``MOST`` bytes.
+
+A chunk's 128-bit digest covers the chunk and the ``CONTEXT`` bytes on either side of it, fewer
+at the ends of a text, and where the chunk lies in them. So small chunks find a repeat, and an
+equal digest proves that the context is repeated as well, which is taken away with the chunk;
+of equal digests the first one (by doc_id, then text, then place) stays. A span counts if
+it has ``LEAST`` bytes, as every chunk with its whole context has, or is a whole text: phrases that
+texts have in common are shorter and stay. Every byte taken away has an equal one at an
+earlier place of the input.
 
 Counting a digest's chunks is an aggregate, so a chunk with a third of all copies is combined
 before the shuffle; chunks that occur once are dropped there. Null and empty texts have no
-chunks. Rows that repeat a doc_id count as parts of one document, in the order of their
-texts' digests; a repeated row is a copy of the row before.
+chunks. Texts that share a doc_id, or have none, are told apart by ``part``, 64 bits of the text's
+digest, and have rows of their own; a repeated row is a copy of the row before.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -28,7 +33,8 @@ from pyspark.sql import functions as F
 from tablewarden.llm.common import Scratch, load, mixed
 
 REACH, MOST = 24, 192  # bytes; chunks have some 2 REACH + 1
-SHORTEST_RUN = REACH + 1
+CONTEXT = 32  # bytes
+LEAST = 2 * CONTEXT + REACH + 1  # bytes of a span: the shortest chunk between two cuts and its context
 GEAR = mixed(np.arange(1, 257, dtype=np.uint64)).astype(np.uint32)
 STEP = 1 << 22  # bytes hashed at a time
 
@@ -77,31 +83,34 @@ def cuts(data: bytes) -> list[int]:
     return ends
 
 
+def keyed(data: bytes) -> Iterator[tuple[int, int, bytes]]:
+    """(start, stop, digest) of every chunk of a text; ``stop`` and the digest with the context."""
+    last = 0
+    for end in cuts(data):
+        start, stop = max(0, last - CONTEXT), min(len(data), end + CONTEXT)
+        # two chunks are equal only if they lie alike in equal bytes
+        place = b"%d,%d;" % (last - start, stop - end)
+        yield last, stop, hashlib.blake2b(place + data[start:stop], digest_size=16).digest()
+        last = end
+
+
 def chunks(docs: DataFrame) -> DataFrame:
-    """(doc_id, part, start, length, digest) of every chunk of the whole texts."""
+    """(doc_id, part, start, stop, ends, digest) of every chunk of the whole texts; ``stop``
+    is where the context stops, ``ends`` whether that is the text's end."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            ids, parts, starts, lengths, digests = [], [], [], [], []
+            rows = []
             for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
                 if not text:
                     continue
                 data = text.encode("utf-8", "surrogatepass")
-                part = int.from_bytes(hashlib.blake2b(data, digest_size=4).digest(), "big", signed=True)
-                last = 0
-                for end in cuts(data):
-                    ids.append(doc_id)
-                    parts.append(part)
-                    starts.append(last)
-                    lengths.append(end - last)
-                    digests.append(hashlib.blake2b(data[last:end], digest_size=16).digest())
-                    last = end
-            yield pd.DataFrame(
-                {"doc_id": ids, "part": parts, "start": starts, "length": lengths, "digest": digests}
-            )
+                part = int.from_bytes(hashlib.blake2b(data, digest_size=8).digest(), "big", signed=True)
+                rows += [(doc_id, part, a, b, b == len(data), digest) for a, b, digest in keyed(data)]
+            yield pd.DataFrame(rows, columns=["doc_id", "part", "start", "stop", "ends", "digest"])
 
     return docs.select("doc_id", "text").mapInPandas(
-        run, "doc_id long, part int, start int, length int, digest binary"
+        run, "doc_id long, part long, start int, stop int, ends boolean, digest binary"
     )
 
 
@@ -112,56 +121,62 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     """
     scratch = Scratch(docs.sparkSession)
     table = scratch.save(chunks(docs), "chunks")
-    place = F.struct("doc_id", "part", "start")
+    spot = ["doc_id", "part", "start"]
     # written, so that the join has no aggregate in its stage and Spark can split a hot digest
     kept = scratch.save(
         table.groupBy("digest")
-        .agg(F.count("*").alias("n"), F.min(place).alias("kept"))
+        .agg(F.count("*").alias("n"), F.min(F.struct(*spot)).alias("kept"))
         .filter("n > 1")
         .select("digest", "kept"),
         "kept",
     )
     repeated = table.join(kept, "digest")
     # a repeated row of the table is at the same place as its copy; number such rows
-    spot = ["doc_id", "part", "start"]
     again = (
-        repeated.groupBy(*spot, "length", "kept")
+        repeated.groupBy(*spot, "stop", "ends", "kept")
         .agg(F.count("*").alias("times"))
         .withColumn("first", F.struct(*spot).eqNullSafe(F.col("kept")))
         .filter("NOT first OR times > 1")
-        .select("doc_id", "part", "start", "length", F.col("kept.doc_id").alias("source"))
+        .withColumn("start", F.greatest(F.col("start") - CONTEXT, F.lit(0)))
+        .select(*spot, "stop", "ends", F.col("kept.doc_id").alias("source"))
     )
-    # the chunks of one document lie in one group, whose size the document bounds
+    # the chunks of one text lie in one group, whose size the text bounds
     parts = again.groupBy("doc_id", "part").agg(
-        F.array_sort(F.collect_list(F.struct("start", "length", "source"))).alias("chunks")
+        F.array_sort(F.collect_list(F.struct("start", "stop", "ends", "source"))).alias("chunks")
     )
 
     def joined(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
             for doc_id, part, found in zip(batch["doc_id"], batch["part"], batch["chunks"], strict=True):
-                start = stop = None
-                sources: set = set()
-                for c in [*found, None]:
-                    if c is not None and c["start"] == stop:
-                        stop += c["length"]
-                        sources.add(c["source"])
-                        continue
-                    if stop is not None and stop - start >= SHORTEST_RUN:
-                        rows.append((doc_id, part, start, stop, sorted(s for s in sources if s is not None)))
-                    if c is not None:
-                        start, stop, sources = c["start"], c["start"] + c["length"], {c["source"]}
+                for start, stop, ends, sources in merged((c["start"], c["stop"], c["ends"], c["source"]) for c in found):
+                    if stop - start >= LEAST or (start == 0 and ends):
+                        rows.append((doc_id, part, start, stop, sorted(sources)))
             yield pd.DataFrame(rows, columns=["doc_id", "part", "start", "stop", "first_doc_ids"])
 
-    return parts.mapInPandas(joined, "doc_id long, part int, start int, stop int, first_doc_ids array<long>")
+    return parts.mapInPandas(joined, "doc_id long, part long, start int, stop int, first_doc_ids array<long>")
+
+
+def merged(found: Iterable[tuple[int, int, bool, int | None]]) -> list[tuple[int, int, bool, set[int]]]:
+    """Spans that touch or overlap as one, of (start, stop, ends, source) in order."""
+    spans: list[tuple[int, int, bool, set[int]]] = []
+    for start, stop, ends, source in found:
+        sources = set() if source is None else {source}
+        if spans and start <= spans[-1][1]:
+            first, last, ended, others = spans.pop()
+            spans.append((first, max(last, stop), ended or ends, others | sources))
+        else:
+            spans.append((start, stop, ends, sources))
+    return spans
 
 
 def op3_substring_dedup(spark, folder: str) -> DataFrame:
-    """A row per document that loses bytes."""
+    """A row per text that loses bytes; ``part``, in hex, tells texts of one doc_id apart."""
     spans = repeated_spans(load(spark, folder, "documents"))
-    return spans.groupBy("doc_id").agg(
+    found = spans.groupBy("doc_id", "part").agg(
         F.sum(F.col("stop").cast("long") - F.col("start")).alias("n_removed"),
         F.count("*").alias("n_spans"),
         F.array_sort(F.collect_list(F.struct("start", "stop"))).alias("spans"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("first_doc_ids")))).alias("first_doc_ids"),
     )
+    return found.withColumn("part", F.hex("part"))
