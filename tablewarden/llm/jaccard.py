@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
-from tablewarden.llm.common import Scratch, WordHashes, components, load, windows
+from tablewarden.llm.common import Scratch, WordHashes, components, load, small_batches, windows
 
 SIZE = 5
 PERCENT = 75
@@ -48,7 +48,7 @@ CELLS = 1 << 22  # counters of the sketch, a byte each where it is shipped
 PART = 1 << 16  # counters in a row of a written sketch
 HOT = 4096  # shingles in cells with more are aggregated before they are shuffled
 BLOCK = 4096  # members of a group in one block
-SLICE = 1000  # documents of a batch worked on at a time
+SLICE = 1000  # documents of a batch worked on at a time, and rows of a batch that hold sets
 LEAF, FAN = 32, 8
 BROADCAST_IDS = 1_000_000  # ids, 8 bytes each
 
@@ -233,11 +233,13 @@ def _verified(pairs: DataFrame, docs: DataFrame, scratch: Scratch, name: str) ->
     ids = scratch.save(ids, f"{name}_ids")
     few = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
     # a doc_id with several texts takes part with each of them
-    sets = scratch.save(_encoded(docs.join(few, "doc_id", "left_semi")).distinct(), f"{name}_sets")
+    with small_batches(scratch.spark, SLICE):
+        sets = scratch.save(_encoded(docs.join(few, "doc_id", "left_semi")).distinct(), f"{name}_sets")
     left = sets.select(F.col("rep").alias("b"), F.col("tokens").alias("_y"))
     right = sets.select(F.col("rep").alias("a"), F.col("tokens").alias("_x"))
     linked = pairs.join(left, "b").join(right, "a").filter(_linked("_x", "_y")).select("a", "b")
-    links = scratch.save(linked, name)
+    with small_batches(scratch.spark, SLICE):
+        links = scratch.save(linked, name)
     scratch.drop(f"{name}_sets")
     return links
 
@@ -497,7 +499,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id for every row of ``docs`` (doc_id, text)."""
     scratch = Scratch(docs.sparkSession)
     docs = docs.select("doc_id", "text")
-    both = scratch.save(_sets(docs), "sets", "kind")
+    with small_batches(scratch.spark, SLICE):
+        both = scratch.save(_sets(docs), "sets", "kind")
     sets = both.filter("kind = 0").select("doc_id", "n", "digest")
     codes = _sketch(both.filter("kind = 1"))
 
@@ -509,7 +512,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     heads = reps.filter("doc_id = rep").select("doc_id", "n").distinct()
 
     shapes = _shapes(docs, codes).join(heads.withColumnRenamed("doc_id", "rep").select("rep").distinct(), "rep")
-    shapes = scratch.save(shapes, "shapes")
+    with small_batches(scratch.spark, SLICE):
+        shapes = scratch.save(shapes, "shapes")
     members = scratch.save(_members(shapes), "members")
     small = shapes.select("rep", "n", "bits")
 
@@ -526,7 +530,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     first = small.toDF("a", "_m", "_x")
     second = small.toDF("b", "_n", "_y")
     stars = stars.join(first, "a").join(second, "b").filter(_plausible("_m", "_x", "_n", "_y")).select("a", "b")
-    links = _verified(scratch.save(stars.distinct(), "stars"), docs, scratch, "links")
+    with small_batches(scratch.spark, SLICE):
+        stars = scratch.save(stars.distinct(), "stars")
+    links = _verified(stars, docs, scratch, "links")
 
     label = components(links, scratch, "first").withColumnRenamed("node", "rep")
     tested = members.drop("lo", "hi").join(label, "rep", "left")
@@ -540,7 +546,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     # texts of one doc_id and one size take part with all their bitmaps
     heavy = _placed(partnered).join(small, ["rep", "n"])
     found = _sorted_pairs(heavy).mapInPandas(_block_pairs, "a long, b long").filter("a <> b").distinct()
-    more = _verified(scratch.save(found, "found"), docs, scratch, "more")
+    with small_batches(scratch.spark, SLICE):
+        found = scratch.save(found, "found")
+    more = _verified(found, docs, scratch, "more")
     label = components(links.union(more).union(copies), scratch, "all")
     return (
         sets.join(label.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left")
