@@ -40,6 +40,7 @@ from tablewarden.llm.common import Scratch, load
 LABELLED = 16_384  # labelled ids that the scorer is fitted on
 SHARES = 1 << 30  # of which a sample takes some, by hash
 PREFIXES = (4, 5, 6, 7)
+SLICE = 1000  # documents of a batch that leave a task together
 THRESHOLD = 0.7
 CRITICAL = 30.0  # G2 for p < 1e-7, one sided
 
@@ -163,19 +164,19 @@ def decode(span: str, model: list[float]) -> str:
 class Restorer:
     """Restores tokens; remembers what it did."""
 
-    LIMIT = 300_000
+    LIMIT = 75_000  # of the latest tokens; as many of those before are kept beside them
     LONG = 64  # longer tokens are not remembered
 
     def __init__(self, model: np.ndarray):
-        self.model, self.known = model.tolist(), {}
+        self.model, self.known, self.older = model.tolist(), {}, {}
 
     def token(self, token: str) -> tuple[str, ...]:
         found = self.known.get(token)
         if found is None:
-            found = tuple(dict.fromkeys(self._token(token)))
+            found = self.older.get(token) or tuple(dict.fromkeys(self._token(token)))
             if len(token) <= self.LONG:
                 if len(self.known) >= self.LIMIT:
-                    self.known.clear()
+                    self.known, self.older = {}, self.known
                 self.known[token] = found
         return found
 
@@ -275,11 +276,11 @@ class Scorer:
 def _scored(docs: DataFrame, scorer: Scorer, keep: list[str], only_sums: bool) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         restorer, known = Restorer(scorer.model), {}
-        for batch in batches:
+        for batch in parts(batches):
             sums = []
             for text in batch["text"]:
                 sums.append(scorer.sums(restorer.words(text), known))
-                if len(known) > 500_000:
+                if len(known) > 150_000:
                     known.clear()
             out = batch[keep].astype({c: object for c in keep if batch[c].dtype == "str"})
             if only_sums:
@@ -288,6 +289,10 @@ def _scored(docs: DataFrame, scorer: Scorer, keep: list[str], only_sums: bool) -
                 out["score"] = np.array([scorer.score(s) for s in sums], dtype=float)
             yield out
 
+    def parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield from (batch.iloc[k : k + SLICE] for k in range(0, len(batch), SLICE))
+
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
     return docs.select(*dict.fromkeys([*keep, "text"])).mapInPandas(run, f"{schema}, " + ("sums array<double>" if only_sums else "score double"))
 
@@ -310,7 +315,7 @@ def feature_counts(labelled: DataFrame, model: np.ndarray) -> DataFrame:
         for batch in batches:
             for text, toxic in zip(batch["text"], batch["toxic"], strict=True):
                 seen[int(toxic)].update(features(restorer.words(text)))
-                if len(seen[0]) + len(seen[1]) > 500_000:
+                if len(seen[0]) + len(seen[1]) > 200_000:
                     yield flush()
         yield flush()
 
