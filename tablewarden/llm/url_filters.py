@@ -6,6 +6,10 @@ Pages that name one another as canonical page or redirect to one another are ali
 components of that graph. A URL without a rule of its own is blocked if a URL of its
 component is blocked by a rule. An explicit allow rule always wins for the URL it fits.
 
+Links are read as a browser would: not from comments, with ``&amp;`` as ``&``, relative to the
+page, without dot segments; an empty path is the root. Targets that are no pages (``mailto:``,
+``#part``) make no edge.
+
 Null or malformed URLs have an empty host and path, fit no rule and are allowed. Repeated
 pages give repeated rows.
 """
@@ -36,11 +40,15 @@ RULES = [
 ]
 
 # <link rel="canonical" href="..."> and <meta http-equiv="refresh" content="0; url=...">
-TAGS = r"(?i)<(?:link|meta)\s[^<>]{0,4000}>"
+COMMENTS = r"(?s)<!--.*?(?:-->|\z)"
+TAGS = r"(?i)<(?:link|meta)\s[^<>]*+>"
 CANONICAL = r"(?i)\brel\s*=\s*[\"']?canonical\b"
-HREF = r"(?i)\bhref\s*=\s*[\"']?([^\"'\s<>]+)"
+HREF = r"(?i)(?<![\w-])href\s*=\s*[\"']?([^\"'\s<>]+)"
 REFRESH = r"(?i)\bhttp-equiv\s*=\s*[\"']?refresh\b"
-TARGET = r"(?i)\bcontent\s*=\s*[\"']?\s*[0-9.]*\s*;\s*url\s*=\s*[\"']?([^\"'\s<>]+)"
+TARGET = r"(?i)(?<![\w-])content\s*=\s*[\"']?\s*[0-9.]*\s*;\s*url\s*=\s*[\"']?([^\"'\s<>]+)"
+
+AMPERSAND = r"(?i)&(?:amp|#38|#x26);"
+SCHEME = r"(?i)^[a-z][a-z0-9+.\-]*:"
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -59,9 +67,25 @@ def path_of(url: Column) -> Column:
     return F.regexp_extract(_rest(url), r"^[^/?#]*([^?#]*)", 1)
 
 
+def _without_dots(path: Column) -> Column:
+    """A path without the segments ``.`` and ``..``."""
+    parts = F.split(path, "/")
+
+    def step(kept: Column, part: Column) -> Column:
+        up = F.slice(kept, F.lit(1), F.greatest(F.size(kept) - 1, F.lit(1)))
+        return F.when(part == ".", kept).when(part == "..", up).otherwise(F.concat(kept, F.array(part)))
+
+    kept = F.aggregate(parts, F.array().cast("array<string>"), step)
+    # a dot at the end names the folder
+    kept = F.when(F.element_at(parts, -1).isin(".", ".."), F.concat(kept, F.array(F.lit("")))).otherwise(kept)
+    return F.when(path.rlike(r"/\.\.?(?:/|$)"), F.array_join(kept, "/")).otherwise(path)
+
+
 def node_of(url: Column) -> Column:
     """What tells one page from another: host, path and query, not scheme or fragment."""
-    return F.concat(host_of(url), F.regexp_extract(_rest(url), r"^[^/?#]*([^#]*)", 1))
+    host, path = host_of(url), _without_dots(path_of(url))
+    query = F.regexp_extract(_rest(url), r"^[^?#]*([^#]*)", 1)
+    return F.concat(host, F.when((path == "") & (host != ""), "/").otherwise(path), query)
 
 
 def _fits(rule: Rule, host: Column, path: Column) -> Column:
@@ -86,7 +110,9 @@ def _absolute(base: Column, target: Column) -> Column:
     origin = F.concat(F.lit("x://"), host_of(base))
     folder = F.regexp_replace(path_of(base), r"[^/]*$", "")
     return (
-        F.when(target.contains("://"), target)
+        F.when(target.rlike(SCHEME + "//"), target)
+        .when(target.rlike(SCHEME) | target.startswith("#"), F.lit(None))
+        .when(target.startswith("?"), F.concat(origin, path_of(base), target))
         .when(target.startswith("//"), F.concat(F.lit("x:"), target))
         .when(target.startswith("/"), F.concat(origin, target))
         .otherwise(F.concat(origin, F.when(folder == "", "/").otherwise(folder), target))
@@ -95,7 +121,7 @@ def _absolute(base: Column, target: Column) -> Column:
 
 def alias_edges(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """(source, target) nodes of the canonical links and redirects in the pages."""
-    tags = F.regexp_extract_all(F.col(html), F.lit(TAGS), F.lit(0))
+    tags = F.regexp_extract_all(F.regexp_replace(F.col(html), COMMENTS, " "), F.lit(TAGS), F.lit(0))
     # the cheap test spares most pages the regular expression
     linked = pages.filter(F.lower(F.col(html)).rlike("canonical|refresh"))
     found = linked.select(F.col(url).alias("_url"), F.explode(tags).alias("_tag")).select(
@@ -108,7 +134,7 @@ def alias_edges(pages: DataFrame, url: str = "url", html: str = "html") -> DataF
         found.filter("_target <> ''")
         .select(
             node_of(F.col("_url")).alias("source"),
-            node_of(_absolute(F.col("_url"), F.col("_target"))).alias("target"),
+            node_of(_absolute(F.col("_url"), F.regexp_replace("_target", AMPERSAND, "&"))).alias("target"),
         )
         .filter("source <> '' AND target <> '' AND source <> target")
         .distinct()

@@ -281,6 +281,38 @@ def test_url_rules(spark):
         assert (found[i].host, found[i].path, found[i].rule, found[i].verdict) == (host, path, rule, verdict)
 
 
+def test_links_as_a_browser_reads_them(spark):
+    def canonical(url, more=""):
+        return f'<link {more} href="{url}" rel="canonical">'
+
+    bad = "http://x.example.com/en/bad"
+    edges = {
+        "http://a.org": ("HTTP://A.ORG/", None),  # one page, so no edge
+        "http://b.org/x": ("http://B.org?p=1&amp;q=2#top", "b.org/?p=1&q=2"),
+        "http://c.org/x/y/z": ("../.././w/./v/..", "c.org/w/"),
+        "http://d.org/x/y?old": ("?new", "d.org/x/y?new"),
+        "http://e.org/x": ("mailto:someone", None),
+        "http://f.org/x": ("#part", None),
+        "http://g.org/x": ("y?next=http://h.org/", "g.org/y?next=http://h.org/"),
+    }
+    pages = [(k, url, canonical(target)) for k, (url, (target, _)) in enumerate(edges.items())]
+    pages += [
+        (20, "http://i.org/", f"<!-- {canonical(bad)} > {'-' * 9000} -->"),
+        (21, "http://j.org/", f"<!-- open {canonical(bad)}"),
+        (22, "http://k.org", canonical(bad, f"title='{'t' * 50_000}'")),
+        (23, "http://K.org/#x", None),
+        (24, "http://l.org/", f'<link rel=canonical data-href="{bad}">'),
+        (25, "http://m.org/", "<!--" * 20_000 + canonical(bad) + "<link " * 20_000),
+        (26, None, canonical(bad)),
+    ]
+    frame = spark.createDataFrame(pages, "page_id long, url string, html string")
+    found = {tuple(r) for r in url_filters.alias_edges(frame).collect()}
+    expected = {(u.split("//", 1)[1], node) for u, (_, node) in edges.items() if node}
+    assert found == expected | {("k.org/", "x.example.com/en/bad")}
+    verdicts = {r.page_id: r.verdict for r in url_filters.judge(frame).collect()}
+    assert {k for k, v in verdicts.items() if v == "block"} == {22, 23}
+
+
 def test_url_aliases(spark):
     def canonical(url):
         return f"<head><LINK href='{url}' rel=canonical></head>"
