@@ -4,14 +4,18 @@ Detected: e-mail addresses, IPv4 addresses, phone numbers, card and account numb
 security numbers, hexadecimal secrets, and names after a title. A surrogate depends on the
 key and on the entity's canonical form (lower case, or digits only), so an entity has one
 surrogate in all documents and spellings (coreference). It keeps the format: separators,
-case, lengths, country codes, valid Luhn sums, octets below 256; given names keep their
-gender, surnames their script. Mail addresses go to reserved example domains.
-
-Collisions: the distinct entities are gathered with their surrogates. Where two entities got
-one surrogate, or a surrogate is itself an entity of the corpus, all but the first draw again
-with another salt until all differ. Only these exceptions are kept; every other surrogate is
-computed in place, so texts are not shuffled. Up to ``INLINE`` exceptions travel as a map
-literal, more are joined to their texts.
+case, lengths, country codes, valid Luhn sums, octets below 256; surnames keep their script,
+the given names of the lists below their script and gender (others become surnames). Mail
+addresses go to reserved example domains. A name found after a title is replaced wherever its
+document has it as a word of its own, in that spelling, in capitals or with one capital: also
+where the same word means something else there.
+
+Collisions: given names of a list swap places within it, by a permutation that moves each, so
+they differ by themselves. The other distinct entities are gathered with their surrogates. Where
+two entities got one surrogate, or a surrogate is itself an entity of the corpus or a given name,
+all but the first draw again with another salt until all differ. Only these exceptions are kept;
+every other surrogate is computed in place, so texts are not shuffled. Up to ``INLINE``
+exceptions travel as a map literal, more are joined to their texts.
 
 All of it is DataFrame functions. Null and empty texts stay as they are; repeated rows get
 the same surrogates.
@@ -19,6 +23,8 @@ the same surrogates.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,10 +36,14 @@ ROUNDS = 50
 
 TITLES = "Mr|Mrs|Ms|Miss|Dr|Prof|Herr|Frau|Señor|Señora|Sr|Sra|Monsieur|Madame|Mme"
 CYRILLIC_TITLES = "г-н|г-жа|господин|госпожа"
-NAME = r"\p{Lu}[\p{L}'’-]{1,30}+"
+JOINED = r"['’-](?!s(?!\p{L}))\p{L}"  # within a name; a possessive 's is no part of it
+NAME = rf"(?=\p{{L}}{{2}}|\p{{L}}{JOINED})\p{{Lu}}\p{{L}}*+(?:{JOINED}\p{{L}}*+){{0,9}}+"
 BEFORE = rf"(?<=\b(?:{TITLES}|{CYRILLIC_TITLES})\.? )"
 BEFORE_SECOND = rf"(?<=\b(?:{TITLES}|{CYRILLIC_TITLES})\.? \p{{Lu}}[\p{{L}}'’-]{{1,30}} )"
 
+# a title is no name ("Herr Dr. ...")
+TITLED = rf"(?=\p{{Lu}})(?:{BEFORE}|{BEFORE_SECOND})(?!(?:{TITLES}|{CYRILLIC_TITLES})(?!\p{{L}})){NAME}"
+
 # alternatives in order of precedence
 PATTERNS = {
     "email": r"(?<![\w.+-])[\w.+-]{1,64}+@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,8}",
@@ -43,7 +53,7 @@ PATTERNS = {
     "secret": r"(?<![0-9A-Za-z])(?:[0-9a-f]{32,128}+|[0-9A-F]{32,128}+)(?![0-9A-Za-z])",
     "card": r"(?<![\w-])\d(?:[ -]?\d){12,18}+(?!\w)",
     "account": r"(?<!\w)[A-Z]{2}\d{2}[A-Z0-9]{11,30}+(?!\w)",
-    "name": rf"(?=\p{{Lu}})(?:{BEFORE}|{BEFORE_SECOND}){NAME}",
+    "name": TITLED,
 }
 ENTITY = "|".join(PATTERNS.values())
 DIGITS = ("phone", "ssn", "card")
@@ -57,10 +67,23 @@ FEMALE = (
     "Mary Patricia Jennifer Linda Elizabeth Barbara Susan Jessica Sarah Karen Anna Ursula Petra Sabine Monika Marie"
     " Claire Sophie Julie Camille María Carmen Ana Lucía Elena Laura Emma Alice Ольга Мария Елена Анна"
 ).split()
+GIVEN = MALE + FEMALE
 LATIN = "ba be bo da de do fa fe ka ke ko la le lo ma me mo na ne no pa po ra re ro sa so ta te to va vi".split()
 CYRILLIC = "ба бе бо да де до ка ке ко ла ле ло ма ме мо на не но па по ра ре ро са со та те то ва ви ду зу".split()
 
 
+def permuted(key: str) -> dict[str, str]:
+    """Each given name of the lists to another one of its gender and script, none to itself and
+    no two to one: the names of a list in an order by the key, each to the one after it."""
+    out = {}
+    for names in (MALE, FEMALE):
+        for cyrillic in (False, True):
+            chosen = [n for n in names if ("Ѐ" <= n[0] <= "ӿ") == cyrillic]
+            chosen.sort(key=lambda n: hashlib.sha512(f"{key}\x1fgiven\x1f{n}".encode()).digest())
+            out |= dict(zip(chosen, chosen[1:] + chosen[:1], strict=True))
+    return out
+
+
 def kind_of(atom: Column) -> Column:
     found = None
     for kind in ("email", "ip", "phone", "ssn", "secret", "card", "account"):
@@ -162,6 +185,10 @@ def _entity(s: Column) -> Column:
     return F.concat(s["kind"], F.lit("\x1f"), s["plain"])
 
 
+def _listed(entity: Column) -> Column:
+    return entity.isin(*(f"name\x1f{n.lower()}" for n in GIVEN))
+
+
 def surrogates(items: Column, key: str, salt) -> Column:
     """Structs of atom and made for described atoms; ``salt`` gives an entity's salt."""
     fields = ["atom", "kind", "plain"]
@@ -172,6 +199,7 @@ def surrogates(items: Column, key: str, salt) -> Column:
         return out
 
     country = lambda s: F.length(F.regexp_extract(s["atom"], r"^\+(\d{1,3})(?=[ .(-])", 1))
+    given = F.create_map(*(F.lit(x) for pair in permuted(key).items() for x in pair))
     items = step(items, "h", lambda s: _digest(key, s["kind"], s["plain"], salt(_entity(s))))
     items = step(items, "fixed", lambda s: F.when(s["kind"] == "phone", country(s)).otherwise(0))
     items = step(
@@ -209,12 +237,7 @@ def surrogates(items: Column, key: str, salt) -> Column:
         email = F.concat(local, F.lit("@m"), F.substr(s["domain"], F.lit(1), F.lit(8)), F.lit(".example."), top)
         octets = F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: (_byte(h, i) % 254 + 1).cast("string"))
         account = F.concat(F.substr(plain, F.lit(1), F.lit(2)), _same_class(h, F.substr(plain, F.lit(3))))
-        number = _byte(h, F.lit(0)) + _byte(h, F.lit(1)) * 256
-        name = (
-            F.when(F.initcap(plain).isin(*MALE), _pick(MALE, number))
-            .when(F.initcap(plain).isin(*FEMALE), _pick(FEMALE, number))
-            .otherwise(_surname(h, plain))
-        )
+        name = F.coalesce(F.try_element_at(given, F.initcap(plain)), _surname(h, plain))
         return (
             F.when(s["kind"] == "email", email)
             .when(s["kind"] == "ip", F.array_join(octets, "."))
@@ -242,10 +265,21 @@ def atoms_of(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(ENTITY), F.lit(0))
 
 
+def with_mentions(found: Column) -> Column:
+    """The pattern of a text's entities and of all mentions of the names among those found by
+    ``ENTITY``; null where there are none. No character of a name is special in a pattern."""
+    names = F.array_distinct(F.filter(found, lambda a: a.rlike(f"^{NAME}$")))
+    forms = F.flatten(F.transform(names, lambda a: F.array(a, F.upper(a), F.initcap(F.lower(a)))))
+    start = rf"{ENTITY}|(?<![\p{{L}}\p{{N}}_])(?<!\p{{L}}['’-])(?:"
+    end = rf")(?![\p{{L}}\p{{N}}_]|{JOINED})"
+    return F.when(F.size(names) > 0, F.concat(F.lit(start), F.array_join(F.array_distinct(forms), "|"), F.lit(end)))
+
+
 def exceptions(docs: DataFrame, key: str, scratch: Scratch) -> DataFrame:
     """(entity, salt) of the entities whose first surrogate was taken.
 
-    Given names are left out: there are fewer of them than of entities, by intent.
+    The given names of the lists are no entities here, since they keep theirs whatever the
+    others draw; a surrogate that is one of them is taken.
     """
     atoms = docs.select(F.explode(F.array_distinct(atoms_of(F.col("text")))).alias("atom")).distinct()
 
@@ -259,7 +293,7 @@ def exceptions(docs: DataFrame, key: str, scratch: Scratch) -> DataFrame:
         scratch.save(atoms, "atoms")
         .withColumn("_s", described(F.array("atom"))[0])
         .withColumn("entity", _entity(F.col("_s")))
-        .filter(~F.initcap("atom").isin(*MALE, *FEMALE))
+        .filter(~_listed(F.col("entity")))
         .groupBy("entity")
         .agg(F.min("atom").alias("atom"))
         .withColumn("salt", F.lit(0))
@@ -269,7 +303,8 @@ def exceptions(docs: DataFrame, key: str, scratch: Scratch) -> DataFrame:
         shared = table.groupBy("made").agg(F.count("*").alias("n"), F.min("entity").alias("first")).filter("n > 1")
         second = table.join(shared.select("made", "first"), "made").filter("entity <> first").select("entity")
         real = table.join(table.select(F.col("entity").alias("made")), "made", "left_semi").select("entity")
-        again = scratch.save(second.union(real).distinct().withColumn("again", F.lit(1)), f"again_{turn}")
+        given = table.filter(_listed(F.col("made"))).select("entity")
+        again = scratch.save(second.union(real).union(given).distinct().withColumn("again", F.lit(1)), f"again_{turn}")
         if again.isEmpty():
             break
         kept = table.join(again, "entity", "left_anti").select("entity", "atom", "salt", "made")
@@ -289,7 +324,10 @@ def pseudonymise(docs: DataFrame, key: str = KEY) -> DataFrame:
     scratch = Scratch(docs.sparkSession)
     taken = scratch.save(exceptions(docs, key, scratch), "exceptions")
     columns = [c for c in docs.columns if c != "n_entities"]
-    found = docs.select(*columns, atoms_of(F.col("text")).alias("_atoms"))
+    found = docs.select(*columns, atoms_of(F.col("text")).alias("_found"))
+    found = found.withColumn("_pattern", with_mentions(F.col("_found")))
+    mentions = F.regexp_extract_all("text", F.col("_pattern"), F.lit(0))
+    found = found.withColumn("_atoms", F.when(F.col("_pattern").isNull(), F.col("_found")).otherwise(mentions))
     n = taken.count()
     if n == 0:
         salt = lambda entity: F.lit(0)
@@ -306,7 +344,9 @@ def pseudonymise(docs: DataFrame, key: str = KEY) -> DataFrame:
         maps = uses.groupBy("_digest").agg(F.map_from_entries(F.collect_list(F.struct("entity", "salt"))).alias("_salts"))
         found = found.withColumn("_digest", digest).join(maps, "_digest", "left")
         salt = lambda entity: F.coalesce(F.try_element_at(F.col("_salts"), entity), F.lit(0))
-    between = F.split("text", ENTITY, -1)
+    between = F.when(F.col("_pattern").isNull(), F.split("text", ENTITY, -1)).otherwise(
+        F.split("text", F.col("_pattern"), -1)
+    )
     made = surrogates(described(F.col("_atoms")), key, salt)
     joined = F.array_join(F.zip_with(between, made, lambda a, b: F.concat(a, F.coalesce(b["made"], F.lit("")))), "")
     text = F.when(F.size("_atoms") > 0, joined).otherwise(F.col("text"))

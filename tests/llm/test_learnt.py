@@ -396,6 +396,55 @@ def test_collisions_are_resolved(spark, monkeypatch, inline):
     assert not {a for a, _ in found} & set(names)
 
 
+def test_given_names_differ(spark):
+    """Each given name has a surrogate of its own in its list, never itself; no surname gets one of these."""
+    import re
+
+    for key in ("k1", "k2"):
+        swapped = pii.permuted(key)
+        assert sorted(swapped) == sorted(swapped.values()) == sorted(pii.GIVEN) and all(a != b for a, b in swapped.items())
+        assert all((a in pii.MALE) == (b in pii.MALE) and (a < "Ѐ") == (b < "Ѐ") for a, b in swapped.items())
+    assert pii.permuted("k1") != pii.permuted("k2")
+    # short names, whose surrogates of two syllables and an n are often Karen
+    short = [f"{a}{b}{c}" for a in "BCDFGHKLMN" for b in "aeiou" for c in "bcdfghjklm"]
+    short = [n for n in short if n not in pii.GIVEN]
+    names = [*pii.GIVEN, *short]
+    frame = spark.createDataFrame([(i, f"Mr. {n}") for i, n in enumerate(names)], "doc_id long, text string")
+    made = {names[r.doc_id]: re.fullmatch(r"Mr\. (\w+)", r.text)[1] for r in pii.pseudonymise(frame, "k1").collect()}
+    assert len(set(made.values())) == len(names) and all(a != b for a, b in made.items())
+    assert {made[n] for n in pii.GIVEN} == set(pii.GIVEN) and not {made[n] for n in short} & set(names)
+
+
+@pytest.mark.parametrize("inline", [10_000, 0])
+def test_later_mentions_of_names(spark, monkeypatch, inline):
+    import re
+
+    monkeypatch.setattr(pii, "INLINE", inline)
+    long = "Ab" + "c" * 60
+    texts = [
+        "Smith rang. Mr. Smith came. Later Smith left, and 'Smith' and SMITH's car. Contact Dr. Thomas or Thomas.",
+        "Smith and Thomas are in no title here; Mr. Brown is, Brown-Jones, O'Brown, Browning and x_Brown are others.",
+        "Herr Dr. Keller sagt: Dr. heisst nicht Keller. Mr. O'Neil's dog; O’Neil is spelled otherwise, O'Neil not.",
+        f"Mr. {long} and {long}, mail Keller@example.com",
+    ]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = {r.doc_id: r for r in pii.pseudonymise(frame, "k1").collect()}
+    name = r"([A-Z][a-z]+)"
+    m = re.fullmatch(
+        rf"{name} rang\. Mr\. {name} came\. Later {name} left, and '{name}' and ([A-Z]+)'s car\. Contact Dr\. {name} or {name}\.",
+        out[0].text,
+    )
+    assert len({x.lower() for x in m.groups()[:5]}) == 1 and m[1] != "Smith" and m[5] == m[1].upper()
+    assert m[6] == m[7] != "Thomas" and m[6] in pii.MALE and out[0].n_entities == 7
+    m = re.fullmatch(r"(.* Mr\. )(\w+)( is, .*)", out[1].text)
+    assert m[2] != "Brown" and f"{m[1]}Brown{m[3]}" == texts[1] and out[1].n_entities == 1
+    m = re.fullmatch(
+        rf"Herr Dr\. {name} sagt: Dr\. heisst nicht {name}\. Mr\. (\w+)'s dog; O’Neil is spelled otherwise, (\w+) not\.", out[2].text
+    )
+    assert m[1] == m[2] != "Keller" and m[3] == m[4] and out[2].n_entities == 4
+    assert "c" * 20 not in out[3].text and "Keller" not in out[3].text and out[3].n_entities == 3
+
+
 def test_pii_of_documents(spark, docs):
     import re
 
