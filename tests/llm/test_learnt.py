@@ -487,6 +487,18 @@ def test_pipeline_stages(spark):
     assert {r.doc_id for r in pieces.select("doc_id").distinct().collect()} == {r.doc_id for r in docs.collect()}
 
 
+def test_pipeline_keeps_names_apart(spark):
+    """Its stage for personal data tells given names apart and finds their later mentions."""
+    names = pii.MALE + pii.FEMALE
+    frame = spark.createDataFrame([(i, f"Dr. {n} met {n}") for i, n in enumerate(names)], "doc_id long, text string")
+    docs = frame.withColumns({"lang": F.lit("en"), "source": F.lit("s"), "n_chars": F.lit(0).cast("long")})
+    out = corpus_pipeline.pseudonymised(spark, docs, folder("0.001"))
+    made = {r.doc_id: r.text.removeprefix("Dr. ").split(" met ") for r in out.collect()}
+    assert out.columns == docs.columns and len({a for a, _ in made.values()}) == len(names)
+    assert all(a == b != names[i] for i, (a, b) in made.items())
+    assert out.filter("n_chars <> length(text)").isEmpty()
+
+
 def test_pipeline_edges(spark):
     """Nulls, empty texts, repeated rows and an empty table pass through every stage."""
     base = brute.corpus(spark).select("doc_id", "text", "lang")
