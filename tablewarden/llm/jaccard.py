@@ -20,7 +20,10 @@ similarity is at least ``PERCENT`` / 100. No link is lost:
    of set sizes, places and components. Two trees are walked
    together; a pair of nodes is dropped when its maximum possible overlap is too small for
    its sizes, or when both hold the same single component. Large groups are cut into blocks
-   and every pair of blocks is a task of its own, so that no task gets a whole group.
+   and every pair of blocks is a task of its own, so that no task gets a whole group. A family
+   in which many pairs may link would make a candidate of each; a component brings its ``BEST``
+   likeliest ones only, and groups with more are searched again with the components found since
+   and four times as many, until none is held back.
 5. Candidates are verified on the whole sets.
 
 Shingles are compared by 64-bit hashes. Null, empty and wordless texts have empty sets and
@@ -50,6 +53,8 @@ HOT = 4096  # shingles in cells with more are aggregated before they are shuffle
 BLOCK = 4096  # members of a group in one block
 SLICE = 1000  # documents of a batch worked on at a time, and rows of a batch that hold sets
 LEAF, FAN = 32, 8
+BEST = 8  # candidates of a component in a pair of blocks, in the first search
+HELD = 1 << 20  # candidates that a task holds
 BROADCAST_IDS = 1_000_000  # ids, 8 bytes each
 
 
@@ -307,8 +312,9 @@ def may_link(a: dict, b: dict) -> bool:
     return (100 + PERCENT) * min(slack + common, a["rest"], b["rest"]) >= PERCENT * (a0 + b0)
 
 
-def walk(s: Tree, t: Tree) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of members of different components whose overlap may suffice."""
+def walk(s: Tree, t: Tree) -> Iterator[tuple[np.ndarray, ...]]:
+    """Pairs of members of different components whose overlap may suffice: the members, their
+    components and the overlap at most by the sum of sizes."""
     stack = [(s.root, t.root)]
     while stack:
         a, b = stack.pop()
@@ -335,7 +341,8 @@ def walk(s: Tree, t: Tree) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         fits = ((100 + PERCENT) * most >= PERCENT * (nx + ny)) & (s.labels[p][:, None] != t.labels[q][None, :])
         i, j = np.nonzero(fits)
         if len(i):
-            yield s.reps[p][i], t.reps[q][j]
+            share = (most / (nx + ny))[i, j]
+            yield s.reps[p][i], t.reps[q][j], s.labels[p][i], t.labels[q][j], share
 
 
 def _trees(group: pd.DataFrame) -> dict[int, Tree]:
@@ -351,23 +358,44 @@ def _trees(group: pd.DataFrame) -> dict[int, Tree]:
     }
 
 
-def _candidates(group: pd.DataFrame) -> pd.DataFrame:
-    """Candidate pairs of one pair of blocks (i, j) of a group."""
+def _best(pairs: pd.DataFrame, most: int) -> pd.DataFrame:
+    """The pairs that are among the ``most`` likeliest ones of either component."""
+    pairs = pairs.sort_values(["share", "a", "b"], ascending=[False, True, True])
+    ends = pd.Series(pairs[["p", "q"]].to_numpy().ravel())
+    place = ends.groupby(ends).cumcount().to_numpy().reshape(-1, 2)
+    return pairs[place.min(1) < most]
+
+
+def _candidates(group: pd.DataFrame, most: int | None = None) -> pd.DataFrame:
+    """Candidate pairs of one pair of blocks (i, j) of a group, with ``most`` not all of them; the
+    pair (0, 0) says that some are held back."""
     i, j = int(group["i"].iloc[0]), int(group["j"].iloc[0])
     first = _trees(group[group["block"] == i])
     second = first if i == j else _trees(group[group["block"] == j])
-    left, right = [], []
+    columns = ["a", "b", "p", "q", "share"]
+    found, held, less = [pd.DataFrame({c: [] for c in columns}).astype(dict.fromkeys(columns[:4], "int64"))], 0, False
+
+    def shorten() -> None:
+        nonlocal found, held, less
+        pairs = pd.concat(found)
+        pairs = pairs[pairs["a"] != pairs["b"]].drop_duplicates(["a", "b"])
+        kept = pairs if most is None else _best(pairs, most)
+        found, held, less = [kept], 0, less or len(kept) < len(pairs)
+
     for w, s in first.items():
         for v, t in second.items():
             if i == j and v < w:
                 continue
-            for a, b in walk(s, t):
-                left.append(np.minimum(a, b))
-                right.append(np.maximum(a, b))
-    if not left:
-        return pd.DataFrame({"a": [], "b": []}, dtype="int64")
-    pairs = pd.DataFrame({"a": np.concatenate(left), "b": np.concatenate(right)})
-    return pairs[pairs["a"] != pairs["b"]].drop_duplicates()
+            for a, b, p, q, share in walk(s, t):
+                turned = a > b
+                ends = np.where(turned, b, a), np.where(turned, a, b), np.where(turned, q, p), np.where(turned, p, q)
+                found.append(pd.DataFrame(dict(zip(columns, (*ends, share), strict=True))))
+                held += len(a)
+                if held > HELD:
+                    shorten()
+    shorten()
+    out = found[0][["a", "b"]]
+    return pd.concat([out, pd.DataFrame({"a": [0], "b": [0]})]) if less else out
 
 
 def _pair(rows: list[tuple]) -> pd.DataFrame:
@@ -427,15 +455,24 @@ def _partnered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame(out, columns=columns)[["token", "size", "rep", "label", "n", "rest"]]
 
 
-def _block_pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _block_pairs(most: int):
     """Trees over sorted rows: those of a pair of blocks follow one another. A task holds
-    two blocks at a time."""
+    two blocks at a time. Pairs have no token; (0, 0) names that of a group with pairs held back."""
     columns = ["token", "i", "j", "block", "rep", "label", "n", "rest", "bits"]
-    for runs in _runs(batches, columns):
-        found = [_pair(rows) if len(rows) == 2 else _candidates(pd.DataFrame(rows, columns=columns)) for rows in runs]
-        found = [x for x in found if len(x)]
-        if found:
-            yield pd.concat(found).drop_duplicates()
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for runs in _runs(batches, columns):
+            out = []
+            for rows in runs:
+                found = _pair(rows) if len(rows) == 2 else _candidates(pd.DataFrame(rows, columns=columns), most)
+                if len(found):
+                    pair = (found["a"] != found["b"]).to_numpy()
+                    tokens = pd.arrays.IntegerArray(np.full(len(found), rows[0][0], np.int64), pair)
+                    out.append(found.assign(token=tokens))
+            if out:
+                yield pd.concat(out).drop_duplicates()
+
+    return run
 
 
 # --- the join ------------------------------------------------------------------------
@@ -461,8 +498,11 @@ def _members(shapes: DataFrame) -> DataFrame:
     left = F.col("n") - F.col("pos") - F.when(F.col("late"), F.col("ahead")).otherwise(0)
     place = F.shiftleft("n", 32).bitwiseOR(left).alias("place")
     ahead = F.size("common").alias("ahead")
+    # the filter that a join adds, so that both uses have one plan
     parts = [
-        shapes.select("rep", "n", ahead, F.lit(late).alias("late"), F.posexplode(c).alias("pos", "token")).select("token", "rep", place)
+        shapes.select("rep", "n", ahead, F.lit(late).alias("late"), F.posexplode(c).alias("pos", "token"))
+        .select("token", "rep", place)
+        .filter("token IS NOT NULL")
         for late, c in ((False, "common"), (True, "frequent"))
     ]
     common, frequent = parts[0].repartition("token"), parts[1]
@@ -495,6 +535,23 @@ def _sorted_pairs(placed: DataFrame) -> DataFrame:
     return placed.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
 
 
+def _of(small: DataFrame, ids: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+    """The rows of ``small`` with these ids, which are broadcast where they are few."""
+    ids = scratch.save(ids.distinct(), name)
+    return small.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "rep", "left_semi")
+
+
+def _labelled(members: DataFrame, label: DataFrame) -> DataFrame:
+    members = members.join(label, "rep", "left")
+    return members.withColumn("label", F.coalesce("component", "rep")).drop("component")
+
+
+def _open(members: DataFrame) -> DataFrame:
+    """The members of groups that hold several components."""
+    groups = members.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi")
+    return members.join(groups.select("token"), "token")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id for every row of ``docs`` (doc_id, text)."""
     scratch = Scratch(docs.sparkSession)
@@ -511,7 +568,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     copies = reps.filter("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
     heads = reps.filter("doc_id = rep").select("doc_id", "n").distinct()
 
-    shapes = _shapes(docs, codes).join(heads.withColumnRenamed("doc_id", "rep").select("rep").distinct(), "rep")
+    # copies, which are few or else joined, do without shapes
+    gone = reps.filter("doc_id <> rep").select("doc_id").distinct().join(heads, "doc_id", "left_anti")
+    gone = scratch.save(gone, "gone")
+    named = docs.filter("doc_id IS NOT NULL")
+    if gone.count() <= BROADCAST_IDS:
+        shapes = _shapes(named.join(F.broadcast(gone), "doc_id", "left_anti"), codes)
+    else:
+        shapes = _shapes(named, codes).join(heads.select(F.col("doc_id").alias("rep")).distinct(), "rep")
     with small_batches(scratch.spark, SLICE):
         shapes = scratch.save(shapes, "shapes")
     members = scratch.save(_members(shapes), "members")
@@ -527,29 +591,41 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     met = met.select("rep", "e.side", "e.end").filter("rep <> end").groupBy("rep", "side", "end").count()
     stars = met.groupBy("rep", "side").agg(F.max_by("end", F.struct("count", "end")).alias("end"))
     stars = stars.select(F.least("rep", "end").alias("a"), F.greatest("rep", "end").alias("b")).distinct()
-    first = small.toDF("a", "_m", "_x")
-    second = small.toDF("b", "_n", "_y")
+    stars = scratch.save(stars, "met")
+    some = _of(small, stars.select(F.explode(F.array("a", "b")).alias("rep")), scratch, "met_ids")
+    first = some.toDF("a", "_m", "_x")
+    second = some.toDF("b", "_n", "_y")
     stars = stars.join(first, "a").join(second, "b").filter(_plausible("_m", "_x", "_n", "_y")).select("a", "b")
     with small_batches(scratch.spark, SLICE):
         stars = scratch.save(stars.distinct(), "stars")
     links = _verified(stars, docs, scratch, "links")
 
     label = components(links, scratch, "first").withColumnRenamed("node", "rep")
-    tested = members.drop("lo", "hi").join(label, "rep", "left")
-    tested = tested.withColumn("label", F.coalesce("component", "rep")).drop("component")
-    tested = scratch.save(tested, "tested")
-    open_groups = tested.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi")
-    open_groups = scratch.save(open_groups.select("token"), "open")
+    tested = scratch.save(_labelled(members.drop("lo", "hi"), label), "tested")
+    scratch.drop("members")
     light = "token long, size long, rep long, label long, n long, rest long"
-    partnered = _sorted_pairs(_placed(tested.join(open_groups, "token"))).mapInPandas(_partnered, light).distinct()
+    partnered = _sorted_pairs(_placed(_open(tested))).mapInPandas(_partnered, light).distinct()
     partnered = scratch.save(partnered, "partnered")
-    # texts of one doc_id and one size take part with all their bitmaps
-    heavy = _placed(partnered).join(small, ["rep", "n"])
-    found = _sorted_pairs(heavy).mapInPandas(_block_pairs, "a long, b long").filter("a <> b").distinct()
-    with small_batches(scratch.spark, SLICE):
-        found = scratch.save(found, "found")
-    more = _verified(found, docs, scratch, "more")
-    label = components(links.union(more).union(copies), scratch, "all")
+    scratch.drop("tested")
+    most, turn = BEST, 0
+    while True:
+        # texts of one doc_id and one size take part with all their bitmaps
+        some = _of(small, partnered.select("rep"), scratch, f"partnered_ids_{turn}")
+        heavy = _placed(partnered).join(some, ["rep", "n"])
+        found = _sorted_pairs(heavy).mapInPandas(_block_pairs(most), "a long, b long, token long").distinct()
+        with small_batches(scratch.spark, SLICE):
+            found = scratch.save(found, f"found_{turn}")
+        pairs = found.filter("a <> b").select("a", "b")
+        links = links.union(_verified(pairs, docs, scratch, f"more_{turn}"))
+        held_back = found.filter("token IS NOT NULL").select("token").distinct()
+        if held_back.isEmpty():
+            break
+        most, turn = 4 * most, turn + 1
+        label = components(links, scratch, f"labels_{turn}").withColumnRenamed("node", "rep")
+        again = partnered.drop("label").join(held_back, "token")
+        partnered = scratch.save(_open(_labelled(again, label)), f"partnered_{turn}")
+    scratch.drop("shapes")
+    label = components(links.union(copies), scratch, "all")
     return (
         sets.join(label.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left")
         .withColumn("component_id", F.coalesce("component", "doc_id"))

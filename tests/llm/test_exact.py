@@ -60,6 +60,47 @@ def test_jaccard_join_of_variants(spark):
     assert found == brute.near_components(list(enumerate(texts)))
 
 
+@pytest.mark.parametrize("best", [1, 8])
+def test_families_bring_few_candidates(spark, monkeypatch, best):
+    """Variants that link with few others, though most pairs may: candidates grow with the
+    members, and what is held back is searched again."""
+    import pandas as pd
+
+    rng, n = np.random.default_rng(7), 160
+    texts = []
+    for k in range(n):
+        w = [f"w{i}" for i in range(200)]
+        for at in rng.choice(200, 3, replace=False):
+            w[at] = f"x{k}_{at}"
+        texts.append(" ".join(w))
+    sets = [jaccard.shingles(t, WordHashes()) for t in texts]
+    group = pd.DataFrame(
+        {
+            "token": 7, "i": 0, "j": 0, "block": 0, "rep": range(n), "label": range(n), "n": [len(s) for s in sets],
+            "bits": [jaccard.bitmap(s).tobytes() for s in sets],
+        }
+    )
+    assert len(jaccard._candidates(group)) > n * n / 8
+    some = jaccard._candidates(group, best)
+    assert n / 2 <= len(some) <= 2 * best * n + 1 and ((some["a"] == 0) & (some["b"] == 0)).sum() == 1
+    assert len(jaccard._candidates(group, n)) == len(jaccard._candidates(group))
+    monkeypatch.setattr(jaccard, "BEST", best)
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = Counter(map(tuple, jaccard.near_duplicates(frame).collect()))
+    assert found == brute.near_components(list(enumerate(texts)))
+
+
+def test_rare_shingles_are_shuffled_once(spark):
+    """The counts of groups and the join with them share one shuffle."""
+    rows = [(k, 40, [k % 7, k % 3 + 10, 100 + k], [k % 2 + 1000]) for k in range(60)]
+    shapes = spark.createDataFrame(rows, "rep long, n long, common array<long>, frequent array<long>")
+    members = jaccard._members(shapes)
+    members.collect()
+    plan = members._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    dealt = [line for line in plan.splitlines() if "REPARTITION_BY_COL" in line and "ReusedExchange" not in line]
+    assert len(dealt) == 1, plan
+
+
 @settings(max_examples=40, deadline=None)
 @given(st.data())
 def test_trees_lose_no_link(data):
