@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tablewarden.sources.store import shared_root
 
+FACTOR = np.uint64(0x9E3779B97F4A7C15)  # of the hashes of windows
 ROUNDS = 100  # of the component search, which needs a few; more means a fault
 
 
@@ -88,10 +89,17 @@ def windows(words: np.ndarray, size: int) -> np.ndarray:
     n = len(words) - size + 1
     if n <= 0:
         return np.empty(0, np.uint64)
-    h = np.full(n, size, np.uint64)
+    # a polynomial in FACTOR; powers of two of the words at once
     with np.errstate(over="ignore"):
-        for i in range(size):
-            h = h * np.uint64(0x9E3779B97F4A7C15) + words[i : i + n]
+        h, length, run, step, power = np.full(n, size, np.uint64), 0, words, 1, FACTOR
+        while True:
+            if size & step:
+                h = h * power + run[length : length + n]
+                length += step
+            if 2 * step > size:
+                break
+            run = run[:-step] * power + run[step:]
+            step, power = 2 * step, power * power
     return mixed(h)
 
 

@@ -72,9 +72,12 @@ class Words(dict):
         self.hash, self.flags, self.bare = array("Q"), array("B"), []
 
     def __missing__(self, raw: str) -> int:
+        if raw.isascii() and raw.isalpha() and raw.islower():  # neither edges nor capitals
+            flags = NUM if raw in NUMBER_WORDS else UNIT if raw in UNITS else PLAIN
+            return self.added(raw, raw, flags)
         bare = raw.strip(EDGE)
         low = bare.lower()
-        if low in NUMBER_WORDS or NUMBER.fullmatch(bare):
+        if low in NUMBER_WORDS or not bare.isalpha() and NUMBER.fullmatch(bare):
             flags = NUM
         elif low in UNITS or raw.strip(".,;:?!()") == "%":
             flags, low = UNIT, low or "%"
@@ -84,6 +87,9 @@ class Words(dict):
             flags |= TITLE
         if raw.rstrip("\"'»”’)]*#&%$")[-1:] in (".", "!", "?", ":"):
             flags |= ENDS
+        return self.added(raw, low, flags)
+
+    def added(self, raw: str, low: str, flags: int) -> int:
         value = len(self.hash)
         self.hash.append(xxhash.xxh3_64_intdigest(low) | 1 if low else 0)
         self.flags.append(flags)
@@ -151,9 +157,19 @@ def template_windows(
     no other window. ``wanted``: sorted hashes; other windows are left out. ``version``: a digest
     of the text."""
 
+    # a bit of the hash says of most windows that no other has theirs
+    bits = np.uint64((1 << 20) - 1)
+    if wanted is not None:
+        marked = np.zeros(1 << 20, bool)
+        marked[(wanted & bits).astype(np.int64)] = True
+
     def hit(h: np.ndarray, pos: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if wanted is None or not len(h):
             return h, pos
+        may = np.flatnonzero(marked[(h & bits).view(np.int64)])
+        h, pos = h[may], pos[may]
+        if not len(h):
+            return h, pos
         at = np.searchsorted(wanted, h)
         at[at == len(wanted)] = 0
         same = wanted[at] == h

@@ -60,6 +60,31 @@ def test_jaccard_join_of_variants(spark):
     assert found == brute.near_components(list(enumerate(texts)))
 
 
+def test_hashes_of_windows():
+    """The polynomial of each window, in passes that grow with the logarithm of its size."""
+    from tablewarden.llm import common
+
+    class Counted(np.ndarray):
+        sums = 0
+
+        def __array_ufunc__(self, ufunc, method, *given, **options):
+            Counted.sums += ufunc is np.add
+            given = [x.view(np.ndarray) if isinstance(x, Counted) else x for x in given]
+            return getattr(ufunc, method)(*given, **options).view(Counted)
+
+    words = np.random.default_rng(3).integers(0, 2**63, 70).astype(np.uint64) * np.uint64(2) + np.uint64(1)
+    for size in (*range(1, 20), 64, 70):
+        want = []
+        for k in range(len(words) - size + 1):
+            h = size
+            for w in words[k : k + size].tolist():
+                h = (h * 0x9E3779B97F4A7C15 + w) % 2**64
+            want.append(h)
+        assert common.windows(words, size).tolist() == common.mixed(np.array(want, np.uint64)).tolist()
+    common.windows(words.view(Counted), 64)
+    assert 0 < Counted.sums <= 14
+
+
 @pytest.mark.parametrize("best", [1, 8])
 def test_families_bring_few_candidates(spark, monkeypatch, best):
     """Variants that link with few others, though most pairs may: candidates grow with the
