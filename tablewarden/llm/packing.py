@@ -8,7 +8,9 @@ and its rest stays in the pool. Texts longer than a sequence fill whole sequence
 Within a task, examples are packed in pools of ``POOL`` pieces, so memory is bounded,
 nothing is shuffled and a lost task is repeated alone. What is left of the last pool of a
 task and does not fill a sequence is cut into sequences of a power of two tokens, which need
-no padding either.
+no padding either. A prompt at the start of a text and stretches within it may bear no loss; a
+token with a byte of such a stretch bears none. ``closed_by`` names the limit that closed a
+piece's sequence, or ``end`` for the last ones of a task.
 
 A null text counts as empty and has the end token only. Repeated rows are packed each.
 """
@@ -32,6 +34,7 @@ TOKENS = 2048
 END = 1
 POOL = 512
 PIECE = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
+REPORT = "loss long, closed_by string"
 
 
 @dataclass(frozen=True)
@@ -70,6 +73,10 @@ class Encoder:
             for token, rank in spec["model"]["vocab"].items()
             if token not in self.special
         }
+        lengths = {rank: len(token) for token, rank in ranks.items()}
+        lengths |= {t["id"]: len(t["content"].encode()) for t in spec["added_tokens"]}
+        self.lengths = np.zeros(max(lengths) + 1, np.int64)  # bytes of each id
+        self.lengths[list(lengths)] = list(lengths.values())
         self.fast = tiktoken.Encoding("file", pat_str=self.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def ids(self, text: str | None) -> np.ndarray:
@@ -85,6 +92,19 @@ class Encoder:
             found = self.plain.encode(text, add_special_tokens=False).ids
         return np.append(np.asarray(found, "<u4"), np.array([END], "<u4"))
 
+    def bearing(self, ids: np.ndarray, stretches: np.ndarray | None) -> np.ndarray:
+        """Which ids of a text bear loss: 1 or 0. ``stretches``: the bytes of text that bear loss
+        and that bear none, in turn."""
+        out = np.ones(len(ids), np.int8)
+        if stretches is not None:
+            lengths = self.lengths[ids[:-1]]
+            ends, bounds = np.cumsum(lengths), np.cumsum(stretches)
+            first = np.searchsorted(ends, bounds[::2], side="right")
+            last = np.searchsorted(ends - lengths, bounds[1::2], side="left")
+            for a, b in zip(first, last, strict=True):
+                out[a:b] = 0
+        return out
+
 
 class Packer:
     """Packs pieces (key, ids, start, doc_tokens, loss) of one task."""
@@ -95,14 +115,23 @@ class Packer:
         self.used = np.array([True, limits.segments > 0, limits.loss > 0])
         self.pool: list[tuple] = []
         self.out: list[tuple] = []
+        self.opened = 0  # where the open sequence begins in ``out``
 
     def _place(self, piece: tuple, take: int, offset: int) -> tuple | None:
         """Write ``take`` tokens of a piece to the open sequence; the rest of the piece."""
         key, ids, start, total, loss = piece
         part = ids[:take]
-        self.out.append((key, start, take, zlib.crc32(part.tobytes()), total, self.next, offset))
+        self.out.append((key, start, take, zlib.crc32(part.tobytes()), total, self.next, offset, int(loss[:take].sum())))
         return (key, ids[take:], start + take, total, loss[take:]) if take < len(ids) else None
 
+    def _close(self, free: np.ndarray) -> None:
+        """End the open sequence, which has this left."""
+        full = (free < 1) & self.used
+        reason = ("tokens", "segments", "loss")[int(np.argmax(full))] if full.any() else "end"
+        self.out[self.opened :] = [(*row, reason) for row in self.out[self.opened :]]
+        self.opened = len(self.out)
+        self.next += 1
+
     def _fitting(self, loss: np.ndarray, free: np.ndarray) -> int:
         """How many leading tokens fit into what is free."""
         most = min(len(loss), int(free[0]))
@@ -117,8 +146,9 @@ class Packer:
             if take < self.limits.tokens and take == len(piece[1]):
                 self.pool.append(piece)
                 break
+            free = self.capacity - (take, 1, piece[4][:take].sum())
             piece = self._place(piece, take, 0)
-            self.next += 1
+            self._close(free)
         if len(self.pool) >= POOL:
             self.pack(keep=POOL // 4)
 
@@ -158,63 +188,67 @@ class Packer:
                     vectors[best] = (len(rest[1]), 1, rest[4].sum())
                 if free[0] < 1:
                     break
-            self.next += 1
+            self._close(free)
         self.pool = [p for p, a in zip(self.pool, alive, strict=True) if a]
 
     def finish(self) -> None:
         """Pack what is left; the last tokens go to sequences of a power of two."""
         self.pack()
+        most = min(self.limits.tokens, self.limits.loss or self.limits.tokens)
         while self.pool:
-            total = sum(len(p[1]) for p in self.pool)
-            size, offset = 1 << (min(total, self.limits.tokens).bit_length() - 1), 0
-            free = self.capacity.copy()
-            while offset < size and self.pool:
+            # the longest pieces first, so that a limit of segments leaves no padding
+            self.pool.sort(key=lambda p: len(p[1]))
+            total = sum(len(p[1]) for p in self.pool[-self.limits.segments :])
+            size, offset = 1 << (min(total, most).bit_length() - 1), 0
+            while offset < size:
                 piece = self.pool.pop()
-                take = min(self._fitting(piece[4], free), size - offset)
-                if not take or (self.used[1] and free[1] < 1):
-                    self.pool.append(piece)
-                    break
+                take = min(len(piece[1]), size - offset)
                 rest = self._place(piece, take, offset)
                 offset += take
-                free -= (take, 1, piece[4][:take].sum())
                 if rest is not None:
                     self.pool.append(rest)
-            self.next += 1
+            self._close(self.capacity)
 
     def taken(self) -> list[tuple]:
-        out, self.out = self.out, []
+        out, self.out, self.opened = self.out, [], 0
         return out
 
 
-def pack(docs: DataFrame, tokenizer: str, limits: Limits = Limits(), loss: str | None = None) -> DataFrame:
+def pack(
+    docs: DataFrame, tokenizer: str, limits: Limits = Limits(), loss: str | None = None, stretches: str | None = None
+) -> DataFrame:
     """A row per piece of the whole texts of ``docs`` (doc_id, text).
 
-    ``loss`` names a column with the number of leading tokens that bear no loss (a prompt);
-    without it every token bears loss.
+    ``loss`` names a column with the number of leading tokens that bear no loss (a prompt),
+    ``stretches`` one with the bytes of text that bear loss and that bear none, in turn, or
+    null; without them every token bears loss.
     """
-    columns = ["doc_id", "text"] + ([loss] if loss else [])
+    columns = {"doc_id": "doc_id", "text": "text"} | ({"prompt": loss} if loss else {})
+    columns |= {"stretches": stretches} if stretches else {}
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder = Encoder(tokenizer)
         packer = Packer(limits, TaskContext.get().partitionId() << 33)
-        names = ["doc_id", *(x.split()[0] for x in PIECE.split(", "))]
+        names = ["doc_id", *(x.split()[0] for x in f"{PIECE}, {REPORT}".split(", "))]
 
         def frame() -> pd.DataFrame:
             out = pd.DataFrame([(k, *rest) for k, *rest in packer.taken()], columns=names)
-            return out.astype({n: "int64" for n in names[1:]} | {"doc_id": "Int64"})
+            return out.astype({n: "int64" for n in names[1:-1]} | {"doc_id": "Int64", names[-1]: object})
 
         for batch in batches:
-            prompts = batch.iloc[:, 2].fillna(0) if loss else [0] * len(batch)
-            for key, text, prompt in zip(batch.iloc[:, 0], batch.iloc[:, 1], prompts, strict=True):
+            prompts = batch["prompt"].fillna(0) if loss else [0] * len(batch)
+            turns = batch["stretches"] if stretches else [None] * len(batch)
+            for key, text, prompt, turn in zip(batch["doc_id"], batch["text"], prompts, turns, strict=True):
                 ids = encoder.ids(text)
-                bears = np.ones(len(ids), np.int8)
+                bears = encoder.bearing(ids, turn)
                 bears[: int(prompt)] = 0
                 packer.add(None if pd.isna(key) else int(key), ids, bears)
             yield frame()
         packer.finish()
         yield frame()
 
-    return docs.select(*columns).mapInPandas(run, f"doc_id long, {PIECE}")
+    named = docs.select(*(F.col(f"`{c}`").alias(name) for name, c in columns.items()))
+    return named.mapInPandas(run, f"doc_id long, {PIECE}, {REPORT}")
 
 
 def default_tokenizer() -> str:
@@ -224,4 +258,5 @@ def default_tokenizer() -> str:
 
 
 def op5_packing(spark, folder: str) -> DataFrame:
-    return pack(load(spark, folder, "documents"), default_tokenizer(), Limits(TOKENS, 64, TOKENS))
+    pieces = pack(load(spark, folder, "documents"), default_tokenizer(), Limits(TOKENS, 64, TOKENS))
+    return pieces.drop("loss", "closed_by")

@@ -275,6 +275,34 @@ def with_mentions(found: Column) -> Column:
     return F.when(F.size(names) > 0, F.concat(F.lit(start), F.array_join(F.array_distinct(forms), "|"), F.lit(end)))
 
 
+def _located(docs: DataFrame) -> DataFrame:
+    """With _atoms, the entities of ``text`` and all mentions of its names, and _pattern, which
+    finds them; where that is null, ``ENTITY`` does."""
+    found = docs.withColumn("_found", atoms_of(F.col("text")))
+    found = found.withColumn("_pattern", with_mentions(F.col("_found")))
+    mentions = F.regexp_extract_all("text", F.col("_pattern"), F.lit(0))
+    return found.withColumn("_atoms", F.when(F.col("_pattern").isNull(), F.col("_found")).otherwise(mentions))
+
+
+def _between() -> Column:
+    """What lies before, between and after the atoms of a located text."""
+    return F.when(F.col("_pattern").isNull(), F.split("text", ENTITY, -1)).otherwise(
+        F.split("text", F.col("_pattern"), -1)
+    )
+
+
+def stretches(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` with one more column: the bytes of ``text`` between entities and of entities (with
+    all mentions of names), in turn; null where there are none.
+
+    Surrogates keep the format of what they stand for, so this finds them as well.
+    """
+    bytes_of = lambda a, b: F.array(F.octet_length(a), F.coalesce(F.octet_length(b), F.lit(0)))
+    turns = F.flatten(F.zip_with(_between(), F.col("_atoms"), bytes_of))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    return _located(docs).select(*columns, F.when(F.size("_atoms") > 0, turns).alias(name))
+
+
 def exceptions(docs: DataFrame, key: str, scratch: Scratch) -> DataFrame:
     """(entity, salt) of the entities whose first surrogate was taken.
 
@@ -324,10 +352,7 @@ def pseudonymise(docs: DataFrame, key: str = KEY) -> DataFrame:
     scratch = Scratch(docs.sparkSession)
     taken = scratch.save(exceptions(docs, key, scratch), "exceptions")
     columns = [c for c in docs.columns if c != "n_entities"]
-    found = docs.select(*columns, atoms_of(F.col("text")).alias("_found"))
-    found = found.withColumn("_pattern", with_mentions(F.col("_found")))
-    mentions = F.regexp_extract_all("text", F.col("_pattern"), F.lit(0))
-    found = found.withColumn("_atoms", F.when(F.col("_pattern").isNull(), F.col("_found")).otherwise(mentions))
+    found = _located(docs.select(*columns))
     n = taken.count()
     if n == 0:
         salt = lambda entity: F.lit(0)
@@ -344,11 +369,8 @@ def pseudonymise(docs: DataFrame, key: str = KEY) -> DataFrame:
         maps = uses.groupBy("_digest").agg(F.map_from_entries(F.collect_list(F.struct("entity", "salt"))).alias("_salts"))
         found = found.withColumn("_digest", digest).join(maps, "_digest", "left")
         salt = lambda entity: F.coalesce(F.try_element_at(F.col("_salts"), entity), F.lit(0))
-    between = F.when(F.col("_pattern").isNull(), F.split("text", ENTITY, -1)).otherwise(
-        F.split("text", F.col("_pattern"), -1)
-    )
     made = surrogates(described(F.col("_atoms")), key, salt)
-    joined = F.array_join(F.zip_with(between, made, lambda a, b: F.concat(a, F.coalesce(b["made"], F.lit("")))), "")
+    joined = F.array_join(F.zip_with(_between(), made, lambda a, b: F.concat(a, F.coalesce(b["made"], F.lit("")))), "")
     text = F.when(F.size("_atoms") > 0, joined).otherwise(F.col("text"))
     return found.select(
         *(text.alias("text") if c == "text" else F.col(f"`{c}`") for c in columns),

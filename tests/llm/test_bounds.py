@@ -1,5 +1,6 @@
-"""Very long runs of blanks in packing, and the bounded sample of the toxicity scorer."""
+"""Very long runs of blanks and binding limits in packing, and the bounded sample of the toxicity scorer."""
 
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -47,6 +48,61 @@ def test_the_pipelines_packing_of_long_runs(spark, runs):
     check_pieces(corpus_pipeline.packed(spark, runs, folder("0.001")).collect())
 
 
+def test_the_pipelines_packing_has_limits_that_bind(spark):
+    """Surrogates bear no loss; tokens, segments and loss each close sequences, and pieces say which."""
+    who = "Grüße жук: mail anna{0}@corp.com, card 4111 1111 1111 1111 or Dr. Smith; later Smith said ÄÖ so"
+    here = r"mail (\S+), card ([\d ]+) or Dr\. (\w+); later (\w+) said"
+    texts = [f"short text {i} of some words" for i in range(2000)]
+    texts += [" ".join(f"word{i}x{k}" for k in range(3000)) for i in range(3)]
+    texts += [" ".join(who.format(f"{i}a{k}") for k in range(n)) for i, n in enumerate([1] * 40 + [300])]
+    docs = spark.createDataFrame(list(enumerate([*texts, None, ""])), "doc_id long, text string").withColumns(
+        {"lang": F.lit("de"), "source": F.lit("s"), "n_chars": F.length("text").cast("long")}
+    )
+    docs = corpus_pipeline.pseudonymised(spark, docs, folder("0.001")).repartition(2, "doc_id").cache()
+    tokenizer, bears = packing.Encoder(packing.default_tokenizer()).plain, {}
+    for i, text in brute.rows(docs):
+        spans = [m.span(k) for m in re.finditer(here, text or "") for k in range(1, 5)]
+        assert len(spans) == 4 * (texts + ["", ""])[i].count("mail")
+        ends = tokenizer.encode(text or "", add_special_tokens=False).offsets
+        a, b = np.array([*ends, (0, 0)], int).T
+        bears[i] = np.ones(len(ends) + 1, int)
+        for start, end in spans:
+            bears[i][:-1][(a[:-1] < end) & (b[:-1] > start)] = 0
+    pieces, sequences = defaultdict(list), defaultdict(list)
+    for r in corpus_pipeline.packed(spark, docs, folder("0.001")).collect():
+        pieces[r.doc_id].append((r.start, r.length))
+        sequences[r.sequence_id].append(r)
+        assert r.loss == bears[r.doc_id][r.start : r.start + r.length].sum() and r.doc_tokens == len(bears[r.doc_id])
+    for i, bear in bears.items():
+        at = 0
+        for start, length in sorted(pieces[i]):
+            assert start == at
+            at += length
+        assert at == len(bear)
+    limits, closed = corpus_pipeline.LIMITS, Counter()
+    for rows in sequences.values():
+        (reason,) = {r.closed_by for r in rows}
+        used = {"tokens": sum(r.length for r in rows), "segments": len(rows), "loss": sum(r.loss for r in rows)}
+        assert all(n <= getattr(limits, k) for k, n in used.items())
+        size = used["tokens"]
+        assert size & (size - 1) == 0 if reason == "end" else used[reason] == getattr(limits, reason)
+        closed[reason] += 1
+    assert closed.keys() == {"tokens", "segments", "loss", "end"}
+
+
+def test_the_last_tokens_need_no_padding_under_few_segments():
+    packer = packing.Packer(packing.Limits(2048, 4, 100), 0)
+    for i in range(40):
+        packer.add(i, np.arange(30 + i % 3, dtype="<u4"), np.ones(30 + i % 3, np.int8))
+    packer.finish()
+    sizes, segments = Counter(), Counter()
+    for row in packer.taken():
+        sizes[row[5]] += row[2]
+        segments[row[5]] += 1
+    assert sum(sizes.values()) == sum(30 + i % 3 for i in range(40))
+    assert all(n & (n - 1) == 0 for n in sizes.values()) and max(segments.values()) <= 4
+
+
 def test_the_sample_of_labels_is_bounded_and_enough(spark):
     docs, labels = (load(spark, folder("0.1"), t) for t in ("documents", "labels"))
     train = labels.filter(~toxicity.held_out(F.col("doc_id")))
