@@ -12,9 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewarden.llm import decontamination, jaccard, packing, pii, toxicity
-from tablewarden.llm.common import Scratch, load
+from tablewarden.llm.common import Scratch, load, small_batches
 
 BROADCAST_KEYS = 100_000  # digests of 32 bytes, or row ids
+SLICE = 1000  # texts of a batch
 # Surrogates bear no loss. They are some 0.1 % of the tokens, two of a sequence, so with this limit
 # on loss, sequences bear about the same and it is about as scarce as the tokens.
 LIMITS = packing.Limits(packing.TOKENS, 16, packing.TOKENS - 2)
@@ -65,7 +66,8 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     # equal texts have equal verdicts, so a text's digest is its id
     texts = docs.select(digest.alias("doc_id"), "text")
     found = decontamination.contaminations(texts, load(spark, sf_dir, "benchmark"))
-    found = Scratch(spark).save(found.select(F.col("doc_id").alias(key)).distinct(), "contaminated")
+    with small_batches(spark, SLICE):
+        found = Scratch(spark).save(found.select(F.col("doc_id").alias(key)).distinct(), "contaminated")
     return without(docs.withColumn(key, digest), found, key).select(docs.columns)
 
 

@@ -66,7 +66,7 @@ HASHES = np.array([0, 0x6E756D, 0x6E616D65, 0x756E6974], np.uint64)
 class Words(dict):
     """Raw word to (index); its hash and flags lie in growing tables."""
 
-    LIMIT = 400_000
+    LIMIT = 100_000
 
     def __init__(self):
         self.hash, self.flags, self.bare = array("Q"), array("B"), []
